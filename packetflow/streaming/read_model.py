@@ -132,3 +132,6 @@ class ReadModel:
 
     def read_stats(self, spark: SparkSession) -> DataFrame:
         return self.stats.current(spark, last_commit(spark, self.commits))
+
+    def read_markers(self, spark: SparkSession) -> DataFrame:
+        return self.markers.current(spark, last_commit(spark, self.commits))
