@@ -46,19 +46,32 @@ def evaluate_once(df: DataFrame, value: Column, name: str) -> DataFrame:
     Filters are pushed below projections by substituting the expression, which would parse each
     document once more per filter. They are not pushed below a generator.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    raw = f"__{name}_value"
+    valued = df.select("*", value.alias(raw))
+    return valued.select("*", F.explode(F.array(raw)).alias(name)).drop(raw)
 
 
-def with_record(df: DataFrame, text: Column, fields: str, name: str) -> DataFrame:
+def with_object(df: DataFrame, text: Column, fields: str, name: str) -> DataFrame:
     """Add the struct column ``name`` read from ``text``; null unless it is one whole object.
 
-    The same test as :func:`strict_object`, laid out so that everything above the parser itself
-    stays in generated code, with the generator as barrier (see :func:`evaluate_once`).
+    The same test as :func:`strict_object`, laid out so that the document is parsed once and all
+    but the parser stays in generated code. Filters on it would still parse again: put
+    :func:`evaluate_once` between.
     """
     raw, loose = f"__{name}_parsed", f"__{name}_loose"
     parsed = df.select(
         "*", parse_object(text, fields).alias(raw), closes_itself(text).alias(loose)
     )
+    whole = (F.size(raw) == 1) & ~F.col(loose)
+    return parsed.withColumn(name, F.when(whole, F.col(raw)[0])).drop(raw, loose)
+
+
+def with_record(df: DataFrame, text: Column, fields: str, name: str) -> DataFrame:
+    """:func:`with_object`, safe to filter on."""
+    raw, loose = f"__{name}_parsed", f"__{name}_loose"
+    parsed = df.select(
+        "*", parse_object(text, fields).alias(raw), closes_itself(text).alias(loose)
+    )
     whole = F.when((F.size(raw) == 1) & ~F.col(loose), F.col(raw))
     return parsed.select("*", F.explode_outer(whole).alias(name)).drop(raw, loose)
 
@@ -67,21 +80,14 @@ def is_nested(text: Column, fields: dict[str, Column]) -> Column:
     """True if one of the string ``fields`` read from ``text`` was an object or array there.
 
     Read into a string, an object looks like a string that starts with a brace. The document is
-    looked at again only for such rows.
+    looked at again only for rows with such a string.
     """
-    suspects = [value.startswith("{") | value.startswith("[") for value in fields.values()]
-    document = F.try_parse_json(text)
-    nested = [
-        F.coalesce(
-            F.schema_of_variant(F.try_variant_get(document, f"$.{name}", "variant")).rlike(
-                "^(OBJECT|ARRAY)"
-            ),
-            F.lit(False),
-        )
-        for name in fields
-    ]
-    any_suspect = reduce(lambda a, b: a | b, [F.coalesce(s, F.lit(False)) for s in suspects])
-    return F.when(any_suspect, reduce(lambda a, b: a | b, nested)).otherwise(F.lit(False))
+    braces = [f.startswith("{") | f.startswith("[") for f in fields.values()]
+    suspect = reduce(lambda a, b: a | b, [F.coalesce(one, F.lit(False)) for one in braces])
+    members = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+    typed = F.map_values(F.map_filter(members, lambda name, _: name.isin(*fields)))
+    nested = F.exists(typed, lambda v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
+    return F.when(suspect, F.coalesce(nested, F.lit(False))).otherwise(F.lit(False))
 
 
 def bad_number(text: Column, kind: str) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packetflow.functions import is_blank, stored_at, stored_at_usable, with_record
+from packetflow.functions import evaluate_once, is_blank, stored_at, stored_at_usable, with_object
 from packetflow.functions.json import READ_OPTIONS, bad_number, is_nested
 
 #: Fields of a flattened change event.
@@ -38,9 +38,9 @@ def _skip_reason(value: Column, record: Column) -> Column:
         [*bad_numbers, ~stored_at_usable(record[TIME_FIELD]), is_nested(value, texts)],
     )
     key = {name: record[name] for name in ("__op", "transaction_id")}
+    unreadable = F.when(is_blank(value), "tombstone").otherwise("malformed")
     return (
-        F.when(is_blank(value), "tombstone")
-        .when(record.isNull(), "malformed")
+        F.when(record.isNull(), unreadable)
         .when(record["__op"] == "d", "delete")
         .when(is_nested(value, key), "bad_type")
         .when(is_blank(record["transaction_id"]), "no_key")
@@ -53,12 +53,12 @@ def parse_changes(feed: DataFrame, value: str = "value") -> DataFrame:
 
     Reasons: ``tombstone`` (no value), ``malformed`` (not one JSON object), ``delete``, ``no_key``
     (no business key), ``bad_type`` (a field no record can be made of; for a quarantine). Each
-    document is read once; see :func:`packetflow.functions.with_record`.
+    document is read and typed once, whatever is filtered on afterwards.
     """
     types = [f"`{name}` string" for name in (*TEXT_FIELDS, *NUMBER_FIELDS)]
     fields = ", ".join([*types, f"`{TIME_FIELD}` variant"])
-    read = with_record(feed, F.col(value), fields, "rec")
-    rec = F.col("rec")
+    read = with_object(feed, F.col(value), fields, "__rec")
+    rec = F.col("__rec")
 
     def text(name: str, default: str) -> Column:
         return F.coalesce(rec[name], F.lit(default)).alias(name)
@@ -67,8 +67,7 @@ def parse_changes(feed: DataFrame, value: str = "value") -> DataFrame:
         name: F.coalesce(rec[name].try_cast(kind), F.lit(0).cast(kind)).alias(name)
         for name, kind in NUMBER_FIELDS.items()
     }
-    return read.select(
-        *feed.columns,
+    typed = F.struct(
         _skip_reason(F.col(value), rec).alias("skip_reason"),
         rec["transaction_id"].alias("transaction_id"),
         text("client_id", ""),
@@ -80,6 +79,9 @@ def parse_changes(feed: DataFrame, value: str = "value") -> DataFrame:
         numbers["dest_port"],
         stored_at(rec[TIME_FIELD]).alias("stored_at"),
     )
+    once = evaluate_once(read, typed, "__typed")
+    columns = ("skip_reason", *RECORD_COLUMNS)
+    return once.select(*feed.columns, *[F.col("__typed")[c].alias(c) for c in columns])
 
 
 def records(parsed: DataFrame) -> DataFrame:

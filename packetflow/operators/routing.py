@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,7 @@ from packetflow.functions import (
     strict_object,
     with_record,
 )
-from packetflow.functions.json import bad_number, is_nested
+from packetflow.functions.json import bad_number, closes_itself, is_nested, parse_object
 
 # Tries of a message in total, topics, and the reason given with a dead letter.
 MAX_ATTEMPTS = 3
@@ -30,10 +30,10 @@ MAX_ATTEMPTS_REASON = "max attempts exceeded"
 
 # Fields of the envelope and of the snapshot inside.
 ENVELOPE_FIELDS = (
-    "Topic string, Key string, Payload string, PayloadType string, "
-    "Metadata map<string,string>, Created string"
+    "Topic string, Key string, Payload variant, PayloadType string, "
+    "Metadata variant, Created string"
 )
-ENVELOPE_TEXTS = ("Topic", "Key", "Payload", "PayloadType", "Created")
+ENVELOPE_TEXTS = ("Topic", "Key", "PayloadType", "Created")
 SNAPSHOT_TEXTS = (
     "transaction_id", "client_id", "source_ip", "dest_ip", "source_mac", "dest_mac", "proto",
 )
@@ -47,23 +47,26 @@ COORDINATES = ("topic", "msg_partition", "msg_offset")
 
 
 def decode_envelope(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``envelope``, null if the message value is no well-formed envelope."""
+    """Add ``envelope``, null if the message value is no well-formed envelope.
+
+    The payload is a string that holds JSON. It is read as VARIANT to tell such a string from an
+    object put there without quotes, which is malformed; so is metadata that is no object.
+    """
     read = with_record(messages, F.col(value), ENVELOPE_FIELDS, "__raw")
     raw = F.col("__raw")
-    ill_typed = (raw["Created"].isNotNull() & ~is_iso_time(raw["Created"])) | is_nested(
-        F.col(value), {name: raw[name] for name in ENVELOPE_TEXTS if name != "Payload"}
-    )
-    # A payload is text that holds JSON, so it starts with a brace and is looked at apart.
-    payload_is_json = F.try_variant_get(
-        F.when(F.col(value).rlike(r"[\"']?Payload[\"']?\s*:\s*[\[{]"), F.try_parse_json(value)),
-        "$.Payload",
-        "variant",
+    bad_time = raw["Created"].isNotNull() & ~is_iso_time(raw["Created"])
+    bad_payload = F.schema_of_variant(raw["Payload"]).rlike("^(OBJECT|ARRAY)")
+    bad_text = is_nested(F.col(value), {name: raw[name] for name in ENVELOPE_TEXTS})
+    metadata = F.try_variant_get(raw["Metadata"], "$", "map<string,string>")
+    given = raw["Metadata"].isNotNull() & ~F.is_variant_null(raw["Metadata"])
+    bad = bad_time | F.coalesce(bad_payload, F.lit(False)) | bad_text | (given & metadata.isNull())
+    good = raw.isNotNull() & ~bad
+    envelope = F.struct(
+        *[raw[n].alias(n) for n in ENVELOPE_TEXTS],
+        metadata.alias("Metadata"),
+        F.try_variant_get(raw["Payload"], "$", "string").alias("Payload"),
     )
-    nested = F.coalesce(
-        F.schema_of_variant(payload_is_json).rlike("^(OBJECT|ARRAY)"), F.lit(False)
-    )
-    good = raw.isNotNull() & ~(F.coalesce(ill_typed, F.lit(False)) | nested)
-    return read.withColumn("envelope", F.when(good, raw)).drop("__raw")
+    return read.withColumn("envelope", F.when(good, envelope)).drop("__raw")
 
 
 def _well_typed(line: Column, snapshot: Column) -> Column:
@@ -89,6 +92,48 @@ def classify_payload(df: DataFrame, payload: str, name: str = "protocol") -> Dat
     return read.withColumn(name, classify_protocol(proto)).drop("__snap")
 
 
+def _line(snapshot: Column) -> Column:
+    """A line as stored: its snapshot, null if unreadable, and its shard."""
+    return F.struct(snapshot.alias("snapshot"), classify_protocol(snapshot["proto"]).alias("shard"))
+
+
+def _with_lines(messages: DataFrame, payload: Column) -> DataFrame:
+    """Add ``lines``, null for a blank payload.
+
+    Almost every payload is one line. That case is kept out of lambdas, which Spark interprets; only
+    payloads of several lines go through them.
+    """
+    texts, only, several = F.col("__texts"), F.col("__only"), F.size("__texts") > 1
+    split = messages.withColumn("__texts", F.when(~is_blank(payload), split_lines(payload)))
+    parsed = split.withColumn("__only", F.when(F.size("__texts") == 1, texts[0])).select(
+        "*",
+        parse_object(only, SNAPSHOT_FIELDS).alias("__parsed"),
+        closes_itself(only).alias("__loose"),
+        F.when(several, F.transform(texts, read_line)).alias("__many"),
+    )
+    whole = (F.size("__parsed") == 1) & ~F.col("__loose")
+    single = parsed.withColumn("__single", F.when(whole, F.col("__parsed")[0]))
+    checked = single.withColumn(
+        "__single", F.when(_well_typed(only, F.col("__single")), F.col("__single"))
+    )
+
+    def checked_line(text: Column, snapshot: Column) -> Column:
+        return _line(F.when(_well_typed(text, snapshot), snapshot))
+
+    lines = (
+        F.when(texts.isNull(), F.lit(None))
+        .when(several, F.zip_with(texts, F.col("__many"), checked_line))
+        .otherwise(F.array(_line(F.col("__single"))))
+    )
+    return evaluate_once(checked, lines, "lines").drop(
+        "__texts", "__only", "__parsed", "__loose", "__many", "__single"
+    )
+
+
+def _any_line(lines: Column, test: Callable[[Column], Column]) -> Column:
+    return F.when(F.size(lines) == 1, test(lines[0])).otherwise(F.exists(lines, test))
+
+
 def route(messages: DataFrame, down_shards: Sequence[str] = ()) -> DataFrame:
     """Every message with its ``lines``, ``verdict``, ``reason`` and ``attempts``.
 
@@ -97,39 +142,25 @@ def route(messages: DataFrame, down_shards: Sequence[str] = ()) -> DataFrame:
     the envelope or a line is malformed or a shard it needs is down. Nothing is shuffled.
     """
     decoded = decode_envelope(messages)
-    payload = F.col("envelope")["Payload"]
-    texts = decoded.withColumn("__texts", F.when(~is_blank(payload), split_lines(payload)))
-    # A payload of one line, the normal case, is read without a lambda.
-    only = F.try_element_at(F.col("__texts"), F.lit(1))
-    read = evaluate_once(
-        texts,
-        F.when(F.size("__texts") == 1, F.array(read_line(only))).otherwise(
-            F.transform("__texts", read_line)
-        ),
-        "__snaps",
-    )
-
-    def line(text: Column, snap: Column) -> Column:
-        good = F.when(_well_typed(text, snap), snap)
-        return F.struct(good.alias("snapshot"), classify_protocol(good["proto"]).alias("shard"))
-
-    lines = evaluate_once(read, F.zip_with("__texts", "__snaps", line), "lines")
-    down = [F.lit(s) for s in down_shards]
-    malformed = F.exists("lines", lambda one: one["snapshot"].isNull())
-    shard_down = F.exists("lines", lambda one: one["shard"].isin(*down)) if down else F.lit(False)
+    routed = _with_lines(decoded, F.col("envelope")["Payload"])
+    lines = F.col("lines")
+    malformed = _any_line(lines, lambda line: line["snapshot"].isNull())
+    down = F.lit(False)
+    if down_shards:
+        down = _any_line(lines, lambda line: line["shard"].isin(*down_shards))
     reason = (
         F.when(F.col("envelope").isNull(), "malformed_envelope")
-        .when(F.col("__texts").isNull(), "empty_payload")
+        .when(lines.isNull(), "empty_payload")
         .when(malformed, "malformed_payload")
-        .when(shard_down, "shard_down")
+        .when(down, "shard_down")
         .otherwise("stored")
     )
     settled = F.col("reason").isin("empty_payload", "stored")
     return (
-        lines.withColumn("reason", reason)
+        routed.withColumn("reason", reason)
         .withColumn("verdict", F.when(settled, SETTLED).otherwise(REJECTED))
         .withColumn("attempts", attempt_count(F.col("headers")))
-        .drop("__texts", "__snaps", "envelope")
+        .drop("envelope")
     )
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from packetflow.session import spread
+
 #: Fixed value: the moment lease and marker tests are at, in the middle of the events.
 NOW_MS = 1705300000000
 
@@ -186,7 +188,7 @@ TABLES = {
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

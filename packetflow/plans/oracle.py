@@ -92,8 +92,8 @@ DERIVED = {
         f"""SELECT id, date_timestamp_ms, 1 AS is_processing,
               CAST({fx.NOW_MS} AS BIGINT) AS reserved_at_ms,
               CAST({fx.NOW_MS + 20000} AS BIGINT) AS expired_at_ms, worker, claim_rank
-            FROM (SELECT *, row_number() OVER
-                    (PARTITION BY worker ORDER BY date_timestamp_ms, id) AS claim_rank
+            FROM (SELECT *, CAST(row_number() OVER
+                    (PARTITION BY worker ORDER BY date_timestamp_ms, id) AS INT) AS claim_rank
                   FROM (SELECT *, CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 4 AS worker
                         FROM eligible))
             WHERE claim_rank <= 40""",
@@ -333,7 +333,7 @@ ORACLE: dict[str, str] = {
         "hashed",
         "valid",
     ),
-    "split_lines": f"""SELECT doc_id, unnest(range(len(lines))) AS no, unnest(lines) AS line
+    "split_lines": f"""SELECT doc_id, CAST(unnest(range(len(lines))) AS INT) AS no, unnest(lines) AS line
         FROM (SELECT doc_id, list_filter(
             list_transform(string_split(text, chr(10)),
                 lambda x: regexp_replace(x, '{BLANKS}', '', 'g')),
@@ -353,7 +353,7 @@ ORACLE: dict[str, str] = {
         "SELECT msg_offset, verdict, reason, attempts FROM verdicts", "verdicts"
     ),
     "retry_messages": with_tables(
-        f"SELECT {RESENT.format(topic='SnapshotTopic', reason='NULL')} AND attempts + 1 < 3",
+        f"SELECT {RESENT.format(topic='SnapshotTopic', reason='CAST(NULL AS VARCHAR)')} AND attempts + 1 < 3",
         "verdicts",
     ),
     "dead_letters": with_tables(

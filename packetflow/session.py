@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that change results, not only speed: times without an offset mean UTC, and of a key
 #: given twice in one JSON object the last one counts.
@@ -46,16 +46,27 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session, where driver and executors are one process, may fall back to a folder
     of this machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="packetflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context.setCheckpointDir(folder)
     return folder
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder below :func:`shared_dir` for one run of one job."""
     return f"{shared_dir(spark)}/packetflow/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on a source of fewer splits than cores, such as one small file.
+
+    A source with enough splits, which any large one has, is left as it is: no shuffle. ``keys``
+    identify a row, so the pieces are even and the same when a task is run again.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
