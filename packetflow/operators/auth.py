@@ -18,11 +18,18 @@ def valid_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return literal_keys(df, keys, "key").select(api_key_hash(F.col("key")).alias(HASH))
 
 
-def accepted(messages: DataFrame, valid: DataFrame, spread_by: Sequence[str]) -> DataFrame:
-    """Messages whose ``api_key_hash`` is in ``valid``; ``spread_by`` identifies a message."""
-    return in_key_set(messages, valid, HASH, spread_by)
+def accepted(
+    messages: DataFrame, valid: DataFrame, spread_by: Sequence[str], size: int | None = None
+) -> DataFrame:
+    """Messages whose ``api_key_hash`` is in ``valid``; ``spread_by`` identifies a message.
 
+    ``size`` is the number of valid hashes, if known.
+    """
+    return in_key_set(messages, valid, HASH, spread_by, size=size)
 
-def rejected(messages: DataFrame, valid: DataFrame, spread_by: Sequence[str]) -> DataFrame:
+
+def rejected(
+    messages: DataFrame, valid: DataFrame, spread_by: Sequence[str], size: int | None = None
+) -> DataFrame:
     """The other messages, those without a hash included."""
-    return in_key_set(messages, valid, HASH, spread_by, keep_members=False)
+    return in_key_set(messages, valid, HASH, spread_by, keep_members=False, size=size)

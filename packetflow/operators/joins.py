@@ -31,16 +31,20 @@ def in_key_set(
     on: str,
     spread_by: Sequence[str],
     keep_members: bool = True,
+    size: int | None = None,
     max_broadcast: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Rows whose ``on`` is (or is not) in ``keys``, whatever the size of the set.
 
-    The set is counted, up to the bound only. Within it, it is broadcast; beyond it, the rows are
-    salted so that one key shared by a third of them does not end in one task.
+    A set whose ``size`` is not known is counted, up to the bound only. Within it, it is broadcast;
+    beyond it, the rows are salted so that one key shared by a third of them does not end in one
+    task.
     """
     how = "left_semi" if keep_members else "left_anti"
     keys = keys.select(on).distinct()
-    if keys.limit(max_broadcast + 1).count() <= max_broadcast:
+    if size is None:
+        size = keys.limit(max_broadcast + 1).count()
+    if size <= max_broadcast:
         return df.join(F.broadcast(keys), on, how)
     return salted(df, spread_by).join(replicated(keys), [on, "__salt"], how).drop("__salt")
 

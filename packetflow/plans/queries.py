@@ -268,13 +268,13 @@ def api_key_hash_of_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("auth_accepted")
 def auth_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hashed(spark, sf_dir)
-    return auth.accepted(rows, auth.valid_hashes(rows, VALID_KEYS), ["msg_offset"])
+    return auth.accepted(rows, auth.valid_hashes(rows, VALID_KEYS), ["msg_offset"], len(VALID_KEYS))
 
 
 @query("auth_rejected")
 def auth_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hashed(spark, sf_dir)
-    return auth.rejected(rows, auth.valid_hashes(rows, VALID_KEYS), ["msg_offset"])
+    return auth.rejected(rows, auth.valid_hashes(rows, VALID_KEYS), ["msg_offset"], len(VALID_KEYS))
 
 
 @query("split_lines")

@@ -24,11 +24,10 @@ class BatchTable:
     options: dict[str, str] = field(default_factory=dict)
 
     def create(self, spark: SparkSession) -> None:
-        """Make the table readable before its first batch."""
-        empty = spark.createDataFrame([], self.schema)
-        empty.write.mode("ignore").partitionBy(*self.partition_by).parquet(
-            f"{self.path}/batch_id=-1"
-        )
+        """Make the table readable before its first batch; works on any Hadoop file system."""
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(self.path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         writer = df.select(*StructType.fromDDL(self.schema).names).write.mode("overwrite").options(**self.options)
@@ -89,9 +88,13 @@ class FoldedTable:
             state = self.fold(versions)
             self.snapshots.write(state if keep is None else state.filter(keep), batch_id)
 
+    def rows(self, spark: SparkSession, upto: int) -> DataFrame:
+        """What the state after batch ``upto`` folds from; enough where only keys matter."""
+        return self._versions(spark, upto, max(upto, 0) // self.every * self.every)
+
     def current(self, spark: SparkSession, upto: int) -> DataFrame:
         """The state after batch ``upto``."""
-        return self.fold(self._versions(spark, upto, max(upto, 0) // self.every * self.every))
+        return self.fold(self.rows(spark, upto))
 
     def _versions(self, spark: SparkSession, upto: int, snapshot: int) -> DataFrame:
         """Rows of a snapshot and of the deltas after it; batch 0 never has a snapshot."""

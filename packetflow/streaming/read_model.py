@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from packetflow import schemas
 from packetflow.operators import changes, projection, stats
+from packetflow.session import spread
 from packetflow.sources.batches import (
     BatchTable,
     FoldedTable,
@@ -80,7 +81,8 @@ class ReadModel:
         Only a count and the clock come back to the driver.
         """
         spark = batch.sparkSession
-        parsed = changes.parse_changes(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        events = spread(batch, "arrival_seq", "msg_partition")
+        parsed = changes.parse_changes(events).persist(StorageLevel.MEMORY_AND_DISK)
         firsts = projection.first_arrivals(changes.records(parsed))
         firsts = firsts.persist(StorageLevel.MEMORY_AND_DISK)
         fresh = firsts
@@ -89,7 +91,8 @@ class ReadModel:
             self.quarantine.write(changes.quarantined(parsed), batch_id)
             parsed.unpersist()
             clock = clock or 0
-            markers = self.markers.current(spark, batch_id - 1)
+            # Any live marker stops a record, so markers are scanned as they lie, not folded.
+            markers = self.markers.rows(spark, batch_id - 1)
             fresh = projection.fast_path(firsts, markers, clock, self.ttl_ms, size)
             fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
             ledger = self.ledger.before(spark, batch_id)

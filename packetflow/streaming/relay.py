@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from packetflow import schemas
 from packetflow.operators.relay import topic_messages, with_partition
+from packetflow.session import spread
 from packetflow.sources.batches import BatchTable
 
 PUBLISHED = (
@@ -35,7 +36,7 @@ def start_relay(
     table.create(outbox.sparkSession)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        pending = batch.filter((F.col("is_processed") == 0) & (F.col("is_sequential") == 0))
+        pending = spread(batch, "id").filter((F.col("is_processed") == 0) & (F.col("is_sequential") == 0))
         table.write(with_partition(topic_messages(pending)), batch_id)
 
     writer = outbox.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from packetflow import schemas
 from packetflow.functions import api_key_hash
 from packetflow.operators import auth, routing
+from packetflow.session import spread
 from packetflow.sources.batches import BatchTable, commit_log, write_commit
 from packetflow.sources.shards import shard_table
 
@@ -69,12 +70,13 @@ class Router:
         if not self.reachable():
             raise TargetUnreachable(f"batch {batch_id} was not delivered")
         spark = batch.sparkSession
-        messages = batch
+        messages = spread(batch, *routing.COORDINATES)
         if self.valid_keys is not None:
-            hashed = batch.withColumn(auth.HASH, api_key_hash(F.col("api_key")))
+            hashed = messages.withColumn(auth.HASH, api_key_hash(F.col("api_key")))
             valid = auth.valid_hashes(batch, self.valid_keys)
-            self.refused.write(auth.rejected(hashed, valid, routing.COORDINATES), batch_id)
-            messages = auth.accepted(hashed, valid, routing.COORDINATES)
+            known = (valid, routing.COORDINATES, len(self.valid_keys))
+            self.refused.write(auth.rejected(hashed, *known), batch_id)
+            messages = auth.accepted(hashed, *known)
         routed = routing.route(messages, self.down_shards).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             documents = routing.shard_documents(routed, F.col("msg_ts_ms"), self.down_shards)

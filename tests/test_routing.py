@@ -146,7 +146,7 @@ def test_authentication(spark, bound):
     valid = auth.valid_hashes(df, ["valid_api_key_1", "valid_api_key_2"])
 
     def numbers(keep):
-        rows = joins.in_key_set(df, valid, auth.HASH, ["n"], keep, bound).collect()
+        rows = joins.in_key_set(df, valid, auth.HASH, ["n"], keep, max_broadcast=bound).collect()
         return sorted(r["n"] for r in rows)
 
     assert numbers(True) == [0, 2, *range(4, 54)]
