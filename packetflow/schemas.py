@@ -22,7 +22,7 @@ TOPIC_MESSAGE = """
     value STRING, headers ARRAY<STRUCT<key: STRING, value: BINARY>>, api_key STRING
 """
 
-#: ``origin`` fields keep the coordinates of the message a row was made from.
+#: A message to send, in the columns a Kafka sink takes.
 TOPIC_RECORD = """
     topic STRING, key STRING, value STRING,
     headers ARRAY<STRUCT<key: STRING, value: BINARY>>

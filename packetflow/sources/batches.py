@@ -47,7 +47,15 @@ class BatchTable:
         return self.read(spark).filter(F.col("batch_id") <= batch_id)
 
     def only(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return self.read(spark).filter(F.col("batch_id") == batch_id)
+        return self.batches(spark, [batch_id])
+
+    def batches(self, spark: SparkSession, batch_ids: Sequence[int]) -> DataFrame:
+        """Given batches by name: the other folders are not even listed."""
+        schema = f"{self.schema}, batch_id BIGINT"
+        if not batch_ids:
+            return spark.createDataFrame([], schema)
+        folders = [f"{self.path}/batch_id={number}" for number in batch_ids]
+        return spark.read.schema(schema).option("basePath", self.path).parquet(*folders)
 
 
 @dataclass(frozen=True)
@@ -55,8 +63,8 @@ class FoldedTable:
     """Batch deltas that fold into a current state, with a snapshot every so many batches.
 
     The snapshot of batch S replaces all deltas up to S. Which snapshot a reader needs follows from
-    the batch number alone, so it reads one snapshot and fewer than ``every`` deltas, however long
-    the stream has run.
+    the batch number alone, so it opens one snapshot and fewer than ``every`` deltas, however long
+    the stream has run. Batches are numbered from 0 without gaps, as Spark does.
     """
 
     deltas: BatchTable
@@ -83,27 +91,86 @@ class FoldedTable:
         """
         self.deltas.write(delta, batch_id)
         if batch_id > 0 and batch_id % self.every == 0:
-            spark = delta.sparkSession
-            versions = self._versions(spark, batch_id, (batch_id - 1) // self.every * self.every)
-            state = self.fold(versions)
+            state = self.fold(self._rows_after(delta.sparkSession, batch_id - self.every, batch_id))
             self.snapshots.write(state if keep is None else state.filter(keep), batch_id)
 
     def rows(self, spark: SparkSession, upto: int) -> DataFrame:
         """What the state after batch ``upto`` folds from; enough where only keys matter."""
-        return self._versions(spark, upto, max(upto, 0) // self.every * self.every)
+        return self._rows_after(spark, last_multiple(upto, self.every), upto)
 
     def current(self, spark: SparkSession, upto: int) -> DataFrame:
         """The state after batch ``upto``."""
         return self.fold(self.rows(spark, upto))
 
-    def _versions(self, spark: SparkSession, upto: int, snapshot: int) -> DataFrame:
-        """Rows of a snapshot and of the deltas after it; batch 0 never has a snapshot."""
-        first = snapshot + 1 if snapshot > 0 else 0
-        deltas = self.deltas.read(spark).filter(F.col("batch_id").between(first, upto))
-        base = self.snapshots.read(spark).filter(F.col("batch_id") == snapshot)
+    def _rows_after(self, spark: SparkSession, snapshot: int, upto: int) -> DataFrame:
+        base = self.snapshots.batches(spark, [snapshot] if snapshot > 0 else [])
+        deltas = self.deltas.batches(spark, deltas_after(snapshot, upto))
         return base.unionByName(deltas).drop("batch_id")
 
 
+def last_multiple(batch_id: int, every: int) -> int:
+    """The last batch up to this one at which tables were merged; 0 stands for none."""
+    return max(batch_id, 0) // every * every
+
+
+def deltas_after(merged: int, upto: int) -> list[int]:
+    """Batches not merged yet; batch 0 waits for the first merge."""
+    return list(range(merged + 1 if merged > 0 else 0, upto + 1))
+
+
+@dataclass(frozen=True)
+class SegmentedTable:
+    """A growing table: every so many batches, their folders are merged into one segment.
+
+    Rows are written twice at most, and a reader opens one folder per segment and fewer than
+    ``every`` deltas.
+    """
+
+    deltas: BatchTable
+    segments: BatchTable
+    every: int = 50
+
+    @classmethod
+    def at(
+        cls, path: str, schema: str, every: int = 50, options: dict[str, str] | None = None
+    ) -> SegmentedTable:
+        return cls(
+            BatchTable(f"{path}/deltas", schema, options=options or {}),
+            BatchTable(f"{path}/segments", schema, options=options or {}),
+            every,
+        )
+
+    def create(self, spark: SparkSession) -> None:
+        self.deltas.create(spark)
+        self.segments.create(spark)
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """Write the rows of a batch and, when it is due, the segment that ends with it."""
+        self.deltas.write(rows, batch_id)
+        if batch_id > 0 and batch_id % self.every == 0:
+            recent = deltas_after(batch_id - self.every, batch_id)
+            merged = self.deltas.batches(rows.sparkSession, recent)
+            self.segments.write(merged.drop("batch_id"), batch_id)
+
+    def upto(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """All rows of the batches up to this one."""
+        merged = last_multiple(batch_id, self.every)
+        deltas = self.deltas.batches(spark, deltas_after(merged, batch_id))
+        if merged == 0:
+            return deltas.drop("batch_id")
+        return self.segments.upto(spark, merged).unionByName(deltas).drop("batch_id")
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        return self.upto(spark, batch_id - 1)
+
+    def only(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        return self.deltas.only(spark, batch_id).drop("batch_id")
+
+
+#: Commits kept; only the last one is ever asked for.
+COMMITS_KEPT = 100
+
+
 def commit_log(root: str) -> BatchTable:
     """One row per finished batch; readers of several tables read no further than the last."""
     return BatchTable(f"{root}/commits", "rows BIGINT")
@@ -117,3 +184,7 @@ def last_commit(spark: SparkSession, log: BatchTable) -> int:
 
 def write_commit(spark: SparkSession, log: BatchTable, batch_id: int, rows: int) -> None:
     log.write(spark.range(1).select(F.lit(rows).cast("bigint").alias("rows")), batch_id)
+    if batch_id >= COMMITS_KEPT:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        old = hadoop.Path(f"{log.path}/batch_id={batch_id - COMMITS_KEPT}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)

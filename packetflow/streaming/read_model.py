@@ -20,6 +20,7 @@ from packetflow.session import spread
 from packetflow.sources.batches import (
     BatchTable,
     FoldedTable,
+    SegmentedTable,
     commit_log,
     last_commit,
     write_commit,
@@ -35,10 +36,12 @@ class ReadModel:
     snapshot_every: int = 50
 
     @property
-    def ledger(self) -> BatchTable:
+    def ledger(self) -> SegmentedTable:
         # The bloom filter lets a lookup by id skip the row groups that do not hold it.
         bloom = {"parquet.bloom.filter.enabled#transaction_id": "true"}
-        return BatchTable(f"{self.root}/ledger", schemas.LEDGER, options=bloom)
+        return SegmentedTable.at(
+            f"{self.root}/ledger", schemas.LEDGER, self.snapshot_every, options=bloom
+        )
 
     @property
     def client_state(self) -> FoldedTable:

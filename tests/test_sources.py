@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 from packetflow import schemas
 from packetflow.functions import PROTOCOLS
 from packetflow.session import shared_dir, spread, work_dir
-from packetflow.sources.batches import BatchTable
+from packetflow.sources import batches
+from packetflow.sources.batches import BatchTable, SegmentedTable
 from packetflow.sources.topics import arrival
 
 
@@ -45,3 +46,27 @@ def test_work_folders_lie_in_the_shared_one(spark):
     assert first != second
     assert first.startswith(shared_dir(spark))
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_segments_hold_every_row_once_at_any_batch(spark, tmp_path):
+    table = SegmentedTable.at(str(tmp_path / "seg"), "n BIGINT", every=2)
+    table.create(spark)
+    assert table.upto(spark, -1).count() == 0
+    for batch in range(6):
+        rows = spark.createDataFrame([(batch,)], "n BIGINT")
+        for _ in range(2):  # written, and replayed
+            table.write(rows, batch)
+        assert sorted(r["n"] for r in table.upto(spark, batch).collect()) == list(range(batch + 1))
+        assert sorted(r["n"] for r in table.before(spark, batch).collect()) == list(range(batch))
+        assert [r["n"] for r in table.only(spark, batch).collect()] == [batch]
+
+
+def test_commits_are_kept_for_a_while(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches, "COMMITS_KEPT", 2)
+    log = batches.commit_log(str(tmp_path))
+    log.create(spark)
+    assert batches.last_commit(spark, log) == -1
+    for batch in range(4):
+        batches.write_commit(spark, log, batch, 7)
+        assert batches.last_commit(spark, log) == batch
+    assert sorted(r["batch_id"] for r in log.read(spark).collect()) == [2, 3]
