@@ -2,7 +2,13 @@
 
 from packetflow.functions.headers import attempt_count, message_headers, retry_headers
 from packetflow.functions.ids import api_key_hash, hash_slot, stable_id
-from packetflow.functions.json import evaluate_once, parse_object, strict_object, with_object, with_record
+from packetflow.functions.json import (
+    evaluate_once,
+    parse_object,
+    strict_object,
+    with_object,
+    with_record,
+)
 from packetflow.functions.protocol import PROTOCOLS, classify_protocol
 from packetflow.functions.text import is_blank, split_lines, trimmed
 from packetflow.functions.times import is_iso_time, stored_at, stored_at_usable

@@ -18,7 +18,8 @@ NOW_MS = 1705300000000
 SECOND_DELIVERY = 1_000_000_000
 
 EVENTS_SCHEMA = (
-    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+    "props STRING"
 )
 
 SPARK = {

@@ -30,7 +30,8 @@ class BatchTable:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        writer = df.select(*StructType.fromDDL(self.schema).names).write.mode("overwrite").options(**self.options)
+        rows = df.select(*StructType.fromDDL(self.schema).names)
+        writer = rows.write.mode("overwrite").options(**self.options)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.path}/batch_id={batch_id}")
@@ -77,7 +78,10 @@ class FoldedTable:
         cls, path: str, schema: str, fold: Callable[[DataFrame], DataFrame], every: int = 50
     ) -> FoldedTable:
         return cls(
-            BatchTable(f"{path}/deltas", schema), BatchTable(f"{path}/snapshots", schema), fold, every
+            BatchTable(f"{path}/deltas", schema),
+            BatchTable(f"{path}/snapshots", schema),
+            fold,
+            every,
         )
 
     def create(self, spark: SparkSession) -> None:

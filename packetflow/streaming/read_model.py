@@ -113,7 +113,11 @@ class ReadModel:
                 frame.unpersist()
 
     def start(
-        self, feed: DataFrame, checkpoint: str, available_now: bool = True, interval: str = "1 minute"
+        self,
+        feed: DataFrame,
+        checkpoint: str,
+        available_now: bool = True,
+        interval: str = "1 minute",
     ) -> StreamingQuery:
         """Project a stream of change events.
 

@@ -36,7 +36,8 @@ def start_relay(
     table.create(outbox.sparkSession)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        pending = spread(batch, "id").filter((F.col("is_processed") == 0) & (F.col("is_sequential") == 0))
+        unsent = (F.col("is_processed") == 0) & (F.col("is_sequential") == 0)
+        pending = spread(batch, "id").filter(unsent)
         table.write(with_partition(topic_messages(pending)), batch_id)
 
     writer = outbox.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
