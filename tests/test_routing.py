@@ -8,8 +8,8 @@ from packetflow.functions import api_key_hash
 from packetflow.operators import auth, joins, routing
 
 PACKET = {
-    "transaction_id": "tx-1", "client_id": "c1", "version": 1, "source_port": 51000,
-    "dest_port": 443, "source_ip": "10.0.0.1", "dest_ip": "10.0.0.2",
+    "transaction_id": "tx-1", "client_id": "c1", "version": 1, "source_port": 40100,
+    "dest_port": 8443, "source_ip": "10.0.0.1", "dest_ip": "10.0.0.2",
     "source_mac": "aa", "dest_mac": "bb", "proto": "UDP",
 }
 
