@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.llm import ngram_lm
+from packetflow.llm import jaccard_join, ngram_lm
 from packetflow.llm.common import id_remainder, table
 
 
@@ -18,8 +18,14 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score_documents(docs, model, keep=(F.col("doc_id"), held_out.alias("held_out")))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.linked_documents(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_model": op7_language_model,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
