@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.llm import jaccard_join, ngram_lm
+from packetflow.llm import jaccard_join, ngram_lm, packing
 from packetflow.llm.common import id_remainder, table
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file that the packing queries use; installed beside Spark on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, tokenizer_path())
+
+
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_remainder("doc_id", 7) == 2
@@ -24,6 +36,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op7_language_model": op7_language_model,
     "op8_jaccard_join": op8_jaccard_join,
 }
