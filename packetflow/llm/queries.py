@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.llm import jaccard_join, ngram_lm, packing
+from packetflow.llm import decontamination, jaccard_join, ngram_lm, packing
 from packetflow.llm.common import id_remainder, table
 
 
@@ -18,6 +18,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, tokenizer_path())
@@ -36,6 +41,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op7_language_model": op7_language_model,
     "op8_jaccard_join": op8_jaccard_join,
