@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.llm import decontamination, jaccard_join, ngram_lm, packing
+from packetflow.llm import decontamination, jaccard_join, ngram_lm, packing, quality_rules
 from packetflow.llm.common import id_remainder, table
 
 
@@ -28,6 +28,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.score_documents(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_remainder("doc_id", 7) == 2
@@ -43,6 +48,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op6_quality_rules": op6_quality_rules,
     "op7_language_model": op7_language_model,
     "op8_jaccard_join": op8_jaccard_join,
 }
