@@ -23,7 +23,7 @@ from packetflow.session import work_dir
 CHUNK_BYTES = 8 << 20
 
 #: Bytes of input (as stored) for which one more shard of a hashed structure is made.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

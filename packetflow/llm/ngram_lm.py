@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +34,15 @@ from packetflow.llm.common import (
     window_hashes,
 )
 
+#: Bytes of a word's hash that are kept: with 10^9 words, two in 500,000 share one with another.
+HASH_BYTES = 6
+_KEPT = np.uint64(2**64 - 2 ** (64 - 8 * HASH_BYTES))
+
 #: Stand for the place before the first word and for the end of a text; no word has white space.
-BEGIN, END = hash_words(pa.array([" begin", " end"]))
+BEGIN, END = hash_words(pa.array([" begin", " end"])) & _KEPT
 
 #: Bytes of text whose pairs are counted together before they are dealt out.
-COUNT_BYTES = 16 << 20
+COUNT_BYTES = 6 << 20
 
 
 @dataclass(frozen=True)
@@ -57,7 +62,7 @@ class Model:
 def _sequence(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Context and word of every token as ranks of sorted hashes, the hashes, text numbers."""
     words = split_words(text)
-    table = np.concatenate([[BEGIN, END], hash_words(words.words)]).astype(np.uint64)
+    table = np.concatenate([[BEGIN, END], hash_words(words.words) & _KEPT]).astype(np.uint64)
     lengths = words.counts + 1
     ends = np.cumsum(lengths)
     codes = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
@@ -71,6 +76,17 @@ def _sequence(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return before, codes, table, np.repeat(np.arange(len(lengths)), lengths)
 
 
+def _packed(hashes: np.ndarray) -> bytes:
+    return hashes.view(np.uint8).reshape(-1, 8)[:, 8 - HASH_BYTES :].tobytes()
+
+
+def _unpacked(column: pa.ChunkedArray) -> np.ndarray:
+    stored = joined(column, np.uint8).reshape(-1, HASH_BYTES)
+    whole = np.zeros((len(stored), 8), np.uint8)
+    whole[:, 8 - HASH_BYTES :] = stored
+    return whole.view(np.uint64).ravel()
+
+
 def _pair_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     both = np.concatenate([context, word])
     starts = np.arange(len(context))
@@ -92,8 +108,8 @@ def _count_pairs(bits: int):
                     [
                         {
                             "shard": shard,
-                            "context": context[rows].tobytes(),
-                            "word": word[rows].tobytes(),
+                            "context": _packed(context[rows]),
+                            "word": _packed(word[rows]),
                             "n": counts[rows].astype(np.uint32).tobytes(),
                         }
                     ],
@@ -107,10 +123,11 @@ _PAIRS = pa.schema(
     [("shard", pa.int32()), ("context", pa.binary()), ("word", pa.binary()), ("n", pa.binary())]
 )
 _PAIRS_SQL = "shard int, context binary, word binary, n binary"
-_WORDS_SQL = "shard int, word binary, stats binary, n1 long, n2 long, n3 long, n4 long, pairs long"
-_TOTALS_SQL = (
-    "tokens long, words long, n1 long, n2 long, n3 long, n4 long, more long, kinds long, texts long"
+_WORDS_SQL = "shard int, word binary, stats binary, n1 long, n2 long, n3 long, n4 long"
+_TOTAL_NAMES = (
+    "tokens", "words", "kinds", *(f"n{i}" for i in range(1, 5)), *(f"pairs{i}" for i in range(1, 5))
 )
+_TOTALS_SQL = ", ".join(f"{name} long" for name in _TOTAL_NAMES)
 
 
 def _save(folder: str, name: str, array: np.ndarray) -> None:
@@ -122,6 +139,14 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(temporary, path)
 
 
+def _save_table(folder: str, name: str, shard: int, keys: np.ndarray, values: np.ndarray) -> None:
+    """Sorted keys and a row of numbers for each; those with small numbers take a byte a number."""
+    large = values.max(axis=1, initial=0) > 255
+    for kind, rows, dtype in (("rare", ~large, np.uint8), ("frequent", large, np.int64)):
+        _save(folder, f"{name}-{kind}-keys-{shard}.npy", keys[rows])
+        _save(folder, f"{name}-{kind}-values-{shard}.npy", values[rows].astype(dtype))
+
+
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else values[:0]
 
@@ -131,7 +156,7 @@ def _merge_pairs(folder: str, bits: int):
 
     def merge(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
-        context, word = joined(group.column("context"), np.uint64), joined(group.column("word"), np.uint64)
+        context, word = _unpacked(group.column("context")), _unpacked(group.column("word"))
         n = joined(group.column("n"), np.uint32)
         hashes = _pair_hash(context, word)
         order = np.argsort(hashes)
@@ -140,8 +165,7 @@ def _merge_pairs(folder: str, bits: int):
         counts = _sums(n[order].astype(np.int64), starts)
         context, word, hashes = context[order][starts], word[order][starts], hashes[starts]
         os.makedirs(folder, exist_ok=True)
-        _save(folder, f"pair-{shard}.npy", hashes)
-        _save(folder, f"count-{shard}.npy", counts.astype(np.uint32))
+        _save_table(folder, "pair", shard, hashes, counts.reshape(-1, 1))
 
         # as a context: occurrences, and kinds of followers seen once, twice, more often
         kinds, place = np.unique(np.concatenate([context, word]), return_inverse=True)
@@ -155,12 +179,10 @@ def _merge_pairs(folder: str, bits: int):
         shards = (kinds >> np.uint64(64 - bits)).astype(np.int32)
         for target, members in by_shard(shards):
             rows.append(
-                {"shard": target, "word": kinds[members].tobytes(),
-                 "stats": stats[members].tobytes()}
-            )
+                {"shard": target, "word": _packed(kinds[members]), "stats": stats[members].tobytes()}
+            )
         for i in range(1, 5):
             rows[0][f"n{i}"] = int((counts == i).sum())
-        rows[0]["pairs"] = len(counts)
         return pa.Table.from_pylist(rows, _WORDS)
 
     return merge
@@ -168,11 +190,9 @@ def _merge_pairs(folder: str, bits: int):
 
 _WORDS = pa.schema(
     [("shard", pa.int32()), ("word", pa.binary()), ("stats", pa.binary())]
-    + [(name, pa.int64()) for name in ("n1", "n2", "n3", "n4", "pairs")]
-)
-_TOTALS = pa.schema(
-    [(name, pa.int64()) for name in ("tokens", "words", "n1", "n2", "n3", "n4", "more", "kinds", "texts")]
+    + [(name, pa.int64()) for name in ("n1", "n2", "n3", "n4")]
 )
+_TOTALS = pa.schema([(name, pa.int64()) for name in _TOTAL_NAMES])
 
 
 def _merge_words(folder: str):
@@ -180,27 +200,25 @@ def _merge_words(folder: str):
 
     def merge(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
-        word = joined(group.column("word"), np.uint64)
+        word = _unpacked(group.column("word"))
         stats = joined(group.column("stats"), np.int64).reshape(-1, 5)
         order = np.argsort(word)
         word = word[order]
         starts = runs(word)[:-1]
         stats = np.add.reduceat(stats[order], starts, axis=0)
         word = word[starts]
-        _save(folder, f"word-{shard}.npy", word)
-        _save(folder, f"stats-{shard}.npy", stats)
+        _save_table(folder, "word", shard, word, stats)
         before, texts = stats[:, 4], int(stats[word == BEGIN, 0].sum())
         # an end is never a context: it occurs as often as a beginning
         real = (word != BEGIN) & (word != END)
         totals = {
             "tokens": int(stats[real, 0].sum()) + texts,
             "words": int((before > 0).sum()),
-            "more": int((before > 0).sum()),
             "kinds": int(before.sum()),
-            "texts": texts,
         }
         for i in range(1, 5):
             totals[f"n{i}"] = int((before == i).sum())
+            totals[f"pairs{i}"] = pc.sum(group.column(f"n{i}")).as_py() or 0
         return pa.Table.from_pylist([totals], _TOTALS)
 
     return merge
@@ -225,26 +243,19 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     bits = shard_bits(texts)
     pairs = map_arrow(texts, _count_pairs(bits), _PAIRS_SQL)
     parts = grouped_arrow(pairs, "shard", _merge_pairs(folder, bits), _WORDS_SQL)
-    # written once: the counts of counts and the words are read from it
-    path = f"{folder}/parts"
-    parts.write.parquet(f"file://{path}")
-    parts = spark.read.schema(_WORDS_SQL).parquet(f"file://{path}")
-    seen = parts.agg(*[F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "pairs")]).first()
     totals = (
-        grouped_arrow(
-            parts.select("shard", "word", "stats"), "shard", _merge_words(folder), _TOTALS_SQL
-        )
-        .agg(*[F.sum(c).alias(c) for c in _TOTALS.names])
+        grouped_arrow(parts, "shard", _merge_words(folder), _TOTALS_SQL)
+        .agg(*[F.sum(c).alias(c) for c in _TOTAL_NAMES])
         .first()
     )
-    value = {name: int(totals[name] or 0) for name in _TOTALS.names}
-    pair_discounts = discounts(*[int(seen[c] or 0) for c in ("n1", "n2", "n3", "n4")])
-    word_discounts = discounts(value["n1"], value["n2"], value["n3"], value["n4"])
-    more = value["more"] - value["n1"] - value["n2"]
-    taken = np.dot(word_discounts, (value["n1"], value["n2"], more))
+    value = {name: int(totals[name] or 0) for name in _TOTAL_NAMES}
+    word_discounts = discounts(*[value[f"n{i}"] for i in range(1, 5)])
+    frequent = value["words"] - value["n1"] - value["n2"]
+    taken = np.dot(word_discounts, (value["n1"], value["n2"], frequent))
     return Model(
-        folder, bits, value["tokens"], value["words"], int(seen["pairs"] or 0), pair_discounts,
-        word_discounts, float(taken) / value["kinds"] if value["kinds"] else 1.0,
+        folder, bits, value["tokens"], value["words"], value["kinds"],
+        discounts(*[value[f"pairs{i}"] for i in range(1, 5)]), word_discounts,
+        float(taken) / value["kinds"] if value["kinds"] else 1.0,
     )
 
 
@@ -261,20 +272,20 @@ class _Arrays:
             self.open[key] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
         return self.open[key]
 
-    def find(self, keys: np.ndarray, hashes: str, values: str, width: int) -> np.ndarray:
-        """The values of sorted ``keys``; zeros for those that are not stored."""
+    def find(self, keys: np.ndarray, name: str, width: int) -> np.ndarray:
+        """The numbers of sorted ``keys``; zeros for those that are not stored."""
         found = np.zeros((len(keys), width), np.int64)
         shards = (keys >> np.uint64(64 - self.model.bits)).astype(np.int64)
         bounds = runs(shards)
         for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
-            shard = int(shards[begin]) if end > begin else 0
-            stored = self.mapped(hashes, shard)
-            if stored is None or not len(stored) or end == begin:
-                continue
-            place = np.minimum(np.searchsorted(stored, keys[begin:end]), len(stored) - 1)
-            hit = np.flatnonzero(stored[place] == keys[begin:end])
-            rows = self.mapped(values, shard)[place[hit]]
-            found[begin + hit] = rows.reshape(len(hit), width)
+            for kind in ("rare", "frequent"):
+                stored = self.mapped(f"{name}-{kind}-keys", int(shards[begin]))
+                if stored is None or not len(stored):
+                    continue
+                place = np.minimum(np.searchsorted(stored, keys[begin:end]), len(stored) - 1)
+                hit = np.flatnonzero(stored[place] == keys[begin:end])
+                values = self.mapped(f"{name}-{kind}-values", int(shards[begin]))
+                found[begin + hit] = values[place[hit]]
         return found
 
 
@@ -291,7 +302,7 @@ def _score(model: Model, names: list[str]):
             rows = chunk.num_rows
             order = np.argsort(table)
             stats = np.empty((len(table), 5), np.int64)
-            stats[order] = arrays.find(table[order], "word", "stats", 5)
+            stats[order] = arrays.find(table[order], "word", 5)
             total, before_kinds = stats[:, 0].copy(), stats[:, 4]
             texts_seen, total[0] = total[0], 0
             own = total.copy()
@@ -309,7 +320,7 @@ def _score(model: Model, names: list[str]):
             hashes = _pair_hash(table[left], table[right])
             order = np.argsort(hashes)
             counts = np.empty(len(keys), np.int64)
-            counts[order] = arrays.find(hashes[order], "pair", "count", 1)[:, 0]
+            counts[order] = arrays.find(hashes[order], "pair", 1)[:, 0]
             known = _discounted(counts, model.pair_discounts) / np.maximum(total[left], 1)
             logs = np.log10(known + weight[left] * single[right])
             columns = {
