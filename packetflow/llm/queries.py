@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.llm import decontamination, jaccard_join, ngram_lm, packing, quality_rules
+from packetflow.llm import (
+    decontamination,
+    jaccard_join,
+    ngram_lm,
+    packing,
+    quality_rules,
+    site_quality,
+    toxicity,
+)
 from packetflow.llm.common import id_remainder, table
 
 
@@ -28,6 +36,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 5) == 0
+    detector = toxicity.train(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    return toxicity.score_documents(docs, detector, (F.col("doc_id"), held_out.alias("held_out")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.score_documents(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
@@ -45,12 +60,20 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(docs)
 
 
+def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    model = site_quality.train(docs, table(spark, sf_dir, "labels"))
+    return site_quality.score_documents(docs, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_language_model": op7_language_model,
     "op8_jaccard_join": op8_jaccard_join,
+    "op10_site_quality": op10_site_quality,
 }
 
 ORACLE: dict[str, str] = {}
