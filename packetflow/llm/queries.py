@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from packetflow.llm import (
     decontamination,
+    extraction,
     jaccard_join,
+    language,
     ngram_lm,
     packing,
+    preferences,
     quality_rules,
     site_quality,
     toxicity,
@@ -36,6 +39,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder("doc_id", 3) == 1
+    model = language.train(docs.filter(~held_out))
+    return language.predict(docs, model, (F.col("doc_id"), held_out.alias("held_out")))
+
+
+def op4_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train(pages))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_remainder("doc_id", 5) == 0
@@ -60,6 +75,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(docs)
 
 
+def op9_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preferences.swapped_replies(table(spark, sf_dir, "conversations"))
+    return preferences.preference_segments(*pairs)
+
+
 def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     model = site_quality.train(docs, table(spark, sf_dir, "labels"))
@@ -69,11 +89,54 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op3_language": op3_language,
+    "op4_extraction": op4_extraction,
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_language_model": op7_language_model,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_preferences": op9_preferences,
     "op10_site_quality": op10_site_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_preferences": """
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+            QUALIFY row_number() OVER (
+                PARTITION BY conv_id, turn ORDER BY coalesce(role, ''), coalesce(text, '')) = 1
+        ),
+        replies AS (
+            SELECT conv_id, turn AS last, text AS reply FROM turns WHERE role = 'assistant'
+            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1
+        ),
+        sides AS (
+            SELECT t.conv_id AS pair_id, t.turn, t.role, t.text AS chosen, r.last,
+                CASE WHEN t.turn = r.last THEN o.reply ELSE t.text END AS rejected
+            FROM turns t JOIN replies r USING (conv_id)
+            JOIN replies o ON o.conv_id = xor(r.conv_id, 1)
+            WHERE t.turn <= r.last
+        ),
+        ends AS (
+            SELECT pair_id, min(CASE WHEN chosen <> rejected THEN turn END) AS prompt_end
+            FROM sides GROUP BY pair_id
+        ),
+        parts AS (
+            SELECT pair_id, 'prompt' AS part, turn, role, chosen AS text, prompt_end
+            FROM sides JOIN ends USING (pair_id) WHERE prompt_end IS NULL OR turn < prompt_end
+            UNION ALL
+            SELECT pair_id, 'chosen', turn, role, chosen, prompt_end
+            FROM sides JOIN ends USING (pair_id) WHERE turn >= prompt_end
+            UNION ALL
+            SELECT pair_id, 'rejected', turn, role, rejected, prompt_end
+            FROM sides JOIN ends USING (pair_id) WHERE turn >= prompt_end
+        )
+        SELECT pair_id, part, turn, role,
+            '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered,
+            CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(role) + 13 END
+                AS trained_from,
+            prompt_end
+        FROM parts
+    """,
+}
