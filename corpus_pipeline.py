@@ -24,8 +24,11 @@ def keep_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_good_sites(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are good by their text and their site."""
-    model = site_quality.train(docs, table(spark, sf_dir, "labels"))
+    """Documents that are good by their text and their site.
+
+    The classifier learns from all labelled documents: few bad ones are left at this stage.
+    """
+    model = site_quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return site_quality.kept_documents(docs, model)
 
 
