@@ -108,7 +108,7 @@ def tokens(page: str) -> list[Token]:
             result.append(Token("br", 0, " ", block, False, marked > 0))
             continue
         attributes = found["rest"] or found["rest2"] or ""
-        labels = [next(v for v in m[1:] if v is not None) for m in _NAMES.findall(attributes)]
+        labels = ["".join(m[1:]) for m in _NAMES.findall(attributes)]
         parts = {p for label in labels for p in _PART.split(label.lower()) if p}
         noise = name in NOISE_ELEMENTS or bool(parts & NOISE_WORDS) and name not in ("body", "html")
         noise = noise or (name == "header" and not marked)
@@ -156,7 +156,7 @@ LEAST_SEEN = 20
 class Weights:
     """What a word in an element, and a tag, weighs for a run of main text."""
 
-    WORD, NOISE_WORD, TAG = 1.0, -1.0, -0.3
+    WORD, NOISE_WORD, TAG, MOST_AGAINST = 1.0, -1.0, -0.3, 3.0
 
     def __init__(self, counts: Mapping[str, tuple[int, int]]):
         self.known = {}
@@ -175,7 +175,9 @@ class Weights:
             return 0.0
         if token.words:
             usual = self.NOISE_WORD if token.noise else self.known.get(token.key, self.WORD)
-            return token.words * (min(usual, -0.1) if token.noise else usual)
+            usual = min(usual, -0.1) if token.noise else usual
+            # what is left out anyway parts an article only where little stands on one side of it
+            return max(token.words * usual, -self.MOST_AGAINST) if usual < 0 else token.words * usual
         return self.known.get(token.key, self.TAG)
 
 
