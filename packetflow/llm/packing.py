@@ -11,13 +11,17 @@ driver sees one number for each class, never a piece.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,21 +31,26 @@ from packetflow.session import work_dir
 #: Tokens in one unit of the length classes; a piece leaves less than this unused.
 GRAIN = 8
 
-#: Words whose ids a task remembers. Rarer ones are looked up again; results do not depend on it.
-CACHE_WORDS = 250_000
-
 #: Pieces of one class that are ranked in one group.
 GROUP_PIECES = 100_000
 
-_CACHES: dict[str, tuple] = {}
+#: How a byte-level tokenizer cuts text before it merges, the mark put before a text,
+#: and a white-space character that stands between words that are encoded together.
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+FIRST, BETWEEN = "\0", "\x0c"
+
+_ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of whole texts from a tokenizer file, word by word.
+    """Ids of whole texts from a tokenizer file; every different word of a chunk is encoded once.
 
-    A byte-level tokenizer never joins what a single space followed by a letter or sign parts. So
-    a text whose white space between words is one space is cut there, and ids of words are kept.
-    Any other text is given to the tokenizer as it is, and so is any text with a special token.
+    A byte-level tokenizer never joins what a single space followed by no white space parts. So a
+    text is cut there, and the ids of its parts are put together. Words of Western letters whose
+    merges the file lists in the order of their ids go through a faster merger, all at once; other
+    words, and whole texts with other white space or special tokens, through the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -49,63 +58,133 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = list(
-            {t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content}
-        )
-        self.known: dict[str, bytes | None] = {}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content for t in added if t.content]
+        self.merger = self._merger(json.loads(Path(path).read_text(encoding="utf-8")))
+        if self.merger:
+            self.between = self.merger.encode_ordinary(BETWEEN)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
-        if path not in _CACHES:
-            _CACHES[path] = cls(path)
-        return _CACHES[path]
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
+
+    @staticmethod
+    def _merger(described: dict):
+        """The same vocabulary as ranks of byte strings, if it can be one; else None."""
+        before, model = described.get("pre_tokenizer") or {}, described["model"]
+        plain = (
+            model.get("type") == "BPE"
+            and before.get("type") == "ByteLevel"
+            and before.get("use_regex", True)
+            and not before.get("add_prefix_space")
+            and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+            and described.get("normalizer") is None
+        )
+        if not plain:
+            return None
+        shown = [b for r in ((33, 126), (161, 172), (174, 255)) for b in range(r[0], r[1] + 1)]
+        letters = {chr(b): b for b in shown}
+        letters |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
+        vocab = model["vocab"]
+        merged = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        order = [vocab["".join(pair)] for pair in merged]
+        special = {t["content"] for t in described.get("added_tokens", [])}
+        if order != sorted(order) or len(order) + 256 != len(set(vocab) - special):
+            return None
+        import tiktoken
+
+        ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
+        return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > CACHE_WORDS:
-            kept = dict(list(self.known.items())[: CACHE_WORDS // 2])
-            self.known = kept
-        known, parts = self.known, []
-        for text in texts:
-            # a word carries the space before it, the first one a mark instead
-            units = ("\0" + text).split(" ")
-            parts.append(units)
-        fresh = list({u for units in parts for u in units if u not in known})
-        for begin in range(0, len(fresh), 20_000):
-            some = fresh[begin : begin + 20_000]
-            good = [u for u in some if u.strip("\0") and not u[0].isspace() and not u[-1].isspace()]
-            known.update(dict.fromkeys(some))
-            spelled = [u[1:] if u[0] == "\0" else " " + u for u in good]
-            known.update(zip(good, self._plain(spelled), strict=True))
-        result: list[bytes | None] = []
-        for text, units in zip(texts, parts, strict=True):
-            ids = [known[u] for u in units]
-            whole = None in ids or any(s in text for s in self.special)
-            result.append(None if whole else b"".join(ids))
-        rest = [i for i, ids in enumerate(result) if ids is None]
-        for i, ids in zip(rest, self._plain([texts[i] for i in rest]), strict=True):
-            result[i] = ids
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _words(self, units: list[str]) -> list[np.ndarray | None]:
+        """Ids of the parts of texts; None where a text has to be encoded as a whole."""
+        result: list[np.ndarray | None] = [None] * len(units)
+        fast, slow = [], []
+        for i, unit in enumerate(units):
+            body = unit[1:] if unit[:1] == FIRST else unit
+            if not body or body[0].isspace() or body[-1].isspace():
+                if unit == FIRST and len(units) == 1:
+                    result[i] = np.zeros(0, np.uint32)
+            elif any(s in unit for s in self.special):
+                continue
+            elif self.merger and BETWEEN not in body and FIRST not in body and _WESTERN(body):
+                fast.append(i)
+            else:
+                slow.append(i)
+
+        def spelled(i: int) -> str:
+            return units[i][1:] if units[i][:1] == FIRST else " " + units[i]
+
+        if fast:
+            ids = self.merger.encode_to_numpy(BETWEEN.join(map(spelled, fast)) + BETWEEN, disallowed_special=())
+            ends = np.flatnonzero(ids == self.between[0])
+            if len(self.between) == 1 and len(ends) == len(fast):
+                begin = 0
+                for i, end in zip(fast, ends.tolist(), strict=True):
+                    result[i] = ids[begin:end]
+                    begin = end + 1
+            else:
+                slow += fast
+        for begin in range(0, len(slow), 20_000):
+            some = slow[begin : begin + 20_000]
+            for i, ids in zip(some, self._plain([spelled(i) for i in some]), strict=True):
+                result[i] = ids
         return result
 
+    def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: none), and where those of each text begin."""
+        text = pc.fill_null(text, "")
+        parts = pc.split_pattern(pc.binary_join_element_wise(FIRST, text, ""), " ")
+        encoded = parts.values.dictionary_encode()
+        codes = encoded.indices.to_numpy(False).astype(np.int64)
+        bounds = parts.offsets.to_numpy().astype(np.int64)
+        found = self._words(encoded.dictionary.to_pylist())
+        whole = np.fromiter((ids is None for ids in found), bool, len(found))
+        sums = np.concatenate([[0], np.cumsum(whole[codes])])
+        marked = pc.match_substring(text, FIRST).to_numpy(False)  # the mark can not be told apart
+        odd = np.flatnonzero((np.diff(sums[bounds]) > 0) | marked)
+        sizes = np.fromiter((0 if ids is None else len(ids) for ids in found), np.int64, len(found))
+        some = [ids for ids in found if ids is not None]
+        flat = np.concatenate(some) if some else np.zeros(0, np.uint32)
+        begins = (np.cumsum(sizes) - sizes)[codes]
+        sizes = sizes[codes]
+        ends = np.cumsum(sizes)
+        at = np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        ids, offsets = flat[at], np.concatenate([[0], ends])[bounds]
+        if len(odd):
+            pieces = [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            again = self._plain([text[int(i)].as_py() for i in odd])
+            for i, own in zip(odd.tolist(), again, strict=True):
+                pieces[i] = own
+            ids = np.concatenate(pieces)
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in pieces])])
+        return ids, offsets
+
+
+#: Letters on whose kind all Unicode tables agree; words of other ones go to the tokenizer itself.
+_WESTERN = re.compile(r"[\x01-\u024f]*\Z").match
+
 
 def _pieces(path: str, size: int, end: int, text: str, names: list[str], with_ids: bool):
     last = np.array([end], np.uint32).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, number = Encoder.of(path), 0
-        for chunk in chunks(batches, column=text, limit=2 << 20):
-            texts = [t or "" for t in chunk.column(text).to_pylist()]
+        for chunk in chunks(batches, column=text):
+            ids, offsets = encoder.encode(chunk.column(text))
             rows, columns = [], {c: [] for c in ("start", "length", "ids_crc32", "doc_tokens", "spot")}
             packed = []
-            for row, ids in enumerate(encoder.encode(texts)):
-                ids += last
-                total = len(ids) // 4
+            for row, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+                own = ids[a:b].tobytes() + last
+                total = len(own) // 4
                 for start in range(0, total, size):
-                    piece = ids[4 * start : 4 * (start + size)]
+                    piece = own[4 * start : 4 * (start + size)]
                     rows.append(row)
                     columns["start"].append(start)
                     columns["length"].append(len(piece) // 4)

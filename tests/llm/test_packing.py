@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,17 +20,26 @@ def plain_ids(text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=" \n\tab'stre9.,éß中😀 ̀²", max_size=40))
-def test_ids_by_word_are_those_of_the_tokenizer(text):
-    got = np.frombuffer(packing.Encoder.of(PATH).encode([text])[0], np.uint32).tolist()
-    assert got == plain_ids(text)
+def ids_of(texts):
+    ids, offsets = packing.Encoder.of(PATH).encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
-def test_special_tokens_in_a_text():
-    text = "a <|endoftext|> b<|endoftext|>"
-    got = np.frombuffer(packing.Encoder.of(PATH).encode([text])[0], np.uint32).tolist()
-    assert got == plain_ids(text)
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\t\0\x0c\x85\u00a0ab'stre9.,éß中😀 ̀²Ⅳ", max_size=30), max_size=4))
+def test_ids_by_word_are_those_of_the_tokenizer(texts):
+    assert ids_of(texts) == [plain_ids(t) for t in texts]
+
+
+def test_special_tokens_in_a_text_and_nulls():
+    texts = ["a <|endoftext|> b<|endoftext|>", None, "", " ", "x"]
+    assert ids_of(texts) == [plain_ids(t) for t in texts]
+
+
+def test_ids_of_the_table(spark, sf_dir):
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    assert packing.Encoder.of(PATH).merger is not None
+    assert ids_of(texts) == [plain_ids(t) for t in texts]
 
 
 @settings(max_examples=60, deadline=None)
