@@ -19,8 +19,8 @@ def _header(key: Column | str, value: Column) -> Column:
 
 def little_endian(value: Column) -> Column:
     """The eight bytes of a bigint, lowest first."""
-    pairs = F.regexp_extract_all(F.lpad(F.hex(value), 16, "0"), F.lit("(..)"), 1)
-    return F.unhex(F.array_join(F.reverse(pairs), ""))
+    digits = F.lpad(F.hex(value), 16, "0")
+    return F.unhex(F.concat(*[F.substring(digits, at, 2) for at in range(15, 0, -2)]))
 
 
 def message_headers(ts_ms: Column, message_type: Column, metadata: Column) -> Column:

@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 def stable_id(*coordinates: Column) -> Column:
     """An id made from where a row came from.
 
-    A random id would change when a batch is replayed and defeat deduplication downstream.
+    A random id would change when a batch is replayed and defeat deduplication downstream. A null
+    coordinate has a sign of its own and separators inside values are escaped, so different places
+    never give the same text.
     """
-    return F.sha2(F.concat_ws("|", *[c.cast("string") for c in coordinates]), 256)
+    parts = [F.coalesce(_escaped(c.cast("string")), F.lit("\\N")) for c in coordinates]
+    return F.sha2(F.concat_ws("|", *parts), 256)
+
+
+def _escaped(text: Column) -> Column:
+    marked = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(marked, F.lit("|"), F.lit("\\|"))
 
 
 def hash_slot(key: Column, slots: int) -> Column:

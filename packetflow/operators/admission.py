@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetflow.operators.joins import replicated, salted
+from packetflow.session import prepare
 
 # Calls per window, and its length.
 PERMITS = 100
@@ -32,6 +33,7 @@ def fixed_window_admission(
     """
     if permits < 1:
         raise ValueError("permits must be positive")
+    prepare(calls.sparkSession)
     start = F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(window_ms).cast("bigint"))
     keyed = with_caller(calls).withColumn("window_start_ms", start)
     group = ["caller", "window_start_ms"]

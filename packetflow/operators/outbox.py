@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from packetflow.functions import hash_slot, stable_id
 from packetflow.operators.joins import MAX_BROADCAST_KEYS
+from packetflow.session import prepare
 
 # Rows per claim and length of its lease.
 CLAIM_LIMIT = 100
@@ -41,12 +42,20 @@ def outbox_rows(
     """Outbox rows for records: the record as JSON, with topic, key and metadata beside it.
 
     ``partition_by`` is any column expression, ``metadata`` a ``map<string,string>``. The id is
-    made from ``coordinates``, by default the first field.
+    made from ``coordinates``, by default the first field, or all fields where that is null.
     """
     keep_nulls = {"ignoreNullFields": "false"}
     text = F.lit(None).cast("string")
+    kind = F.lit("outbox")
+    if coordinates:
+        row_id = stable_id(kind, *coordinates)
+    else:
+        unnamed = stable_id(kind, *[F.col(f) for f in fields])
+        row_id = F.when(F.col(fields[0]).isNull(), unnamed).otherwise(
+            stable_id(kind, F.col(fields[0]))
+        )
     return df.select(
-        stable_id(F.lit("outbox"), *(coordinates or [F.col(fields[0])])).alias("id"),
+        row_id.alias("id"),
         created_ms.cast("bigint").alias("date_timestamp_ms"),
         F.to_json(F.struct(*fields), keep_nulls).alias("raw_data"),
         F.lit(message_type).alias("message_type"),
@@ -100,8 +109,10 @@ def worker_claims(
 ) -> DataFrame:
     """Claims of several workers at once: each takes the oldest rows of its own share of ids.
 
-    The shares are disjoint by construction, so workers need no locks to stay apart.
+    The shares are disjoint by construction, so workers need no locks to stay apart. Each map task
+    sends on ``limit`` rows of a worker at most, whatever the limit.
     """
+    prepare(outbox.sparkSession)
     window = Window.partitionBy("worker").orderBy("date_timestamp_ms", "id")
     ranked = (
         eligible(outbox, now_ms)

@@ -23,9 +23,17 @@ PROJECTED = "Projected"
 DUPLICATE = "Duplicate"
 
 
+#: What tells events of one ``arrival_seq`` apart, where a feed has it.
+TIES = ("topic", "msg_partition", "line_no")
+
+
+def arrival_order(recs: DataFrame) -> list[Column]:
+    return [F.col(c).asc() for c in ("arrival_seq", *TIES) if c in recs.columns]
+
+
 def first_arrivals(recs: DataFrame) -> DataFrame:
     """The first record of each transaction; later ones never change it."""
-    return best_per_key(recs, ["transaction_id"], [F.col("arrival_seq").asc()])
+    return best_per_key(recs, ["transaction_id"], arrival_order(recs))
 
 
 def new_ledger_rows(
@@ -72,7 +80,7 @@ def fold_markers(versions: DataFrame) -> DataFrame:
 
 def client_winners(recs: DataFrame) -> DataFrame:
     """State of each client after these records: the highest version, on a tie the earliest."""
-    order = [F.col("version").desc(), F.col("arrival_seq").asc()]
+    order = [F.col("version").desc(), *arrival_order(recs)]
     return best_per_key(recs, ["client_id"], order).select(
         "client_id",
         "version",
@@ -95,8 +103,12 @@ def merge_client_state(state: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def fold_client_state(versions: DataFrame) -> DataFrame:
-    """State from any number of winners per client, all of them in arrival order."""
-    order = [F.col("version").desc(), F.col("arrival_seq").asc()]
+    """State from any number of winners per client, each with the number of its batch.
+
+    Of equal versions the one of the earlier batch stays, as if the batches had come one by one; a
+    later batch may well bring a lower offset, of another partition.
+    """
+    order = [F.col("version").desc(), F.col("batch_no").asc(), F.col("arrival_seq").asc()]
     return best_per_key(versions, ["client_id"], order)
 
 

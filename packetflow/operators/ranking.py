@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,17 +21,21 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def number_within(
-    df: DataFrame, group: Sequence[str], order: str, name: str, bucket_width: int = 1 << 20
+    df: DataFrame, group: Sequence[str], order: str, name: str, bucket_rows: int = 1 << 20
 ) -> DataFrame:
-    """Add ``name``: 1, 2, 3, ... within each group, by ``order``.
+    """Add ``name``: 1, 2, 3, ... within each group, by ``order``; null is a group like any other.
 
-    ``order`` is an integer sequence number, unique within the group. Each group is cut into
-    ranges of ``bucket_width`` numbers, so no task ever sorts more than that many rows. The count
-    of each range is a partial aggregate; a running sum over the counts gives where its numbers
-    start.
+    ``order`` is an integer sequence number, unique within the group, with or without gaps. Each
+    group is cut into ranges of numbers, as wide as makes a range of all rows hold ``bucket_rows``
+    on average, so a task sorts few rows and there are few ranges, however sparse the numbers. The
+    count of each range is a partial aggregate; a running sum over the counts gives where its
+    numbers start. One row, the span of the numbers, comes to the driver.
     """
     group = list(group)
-    bucketed = df.withColumn("__bucket", F.floor(F.col(order) / F.lit(bucket_width)))
+    low, high, rows = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    span = 1 if low is None else high - low + 1
+    width = max(bucket_rows, -(-span * bucket_rows // max(rows, 1)))
+    bucketed = df.withColumn("__bucket", F.floor((F.col(order) - F.lit(low)) / F.lit(width)))
     earlier = (
         Window.partitionBy(*group)
         .orderBy("__bucket")
@@ -43,8 +48,13 @@ def number_within(
         .drop("__rows")
     )
     within = Window.partitionBy(*group, "__bucket").orderBy(order)
+    keys = [*group, "__bucket"]
+    starts = starts.withColumnsRenamed({key: f"__{key}_of" for key in keys})
+    same = reduce(
+        lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__{key}_of")) for key in keys]
+    )
     return (
-        bucketed.join(starts, [*group, "__bucket"])
+        bucketed.join(starts, same)
         .withColumn(name, F.row_number().over(within) + F.col("__start"))
-        .drop("__bucket", "__start")
+        .drop("__bucket", "__start", *[f"__{key}_of" for key in keys])
     )

@@ -61,10 +61,11 @@ def with_partition(
 
 
 class Tick(NamedTuple):
-    """What one run of the relay sends, and the outbox once it is sent."""
+    """What one run of the relay sends, the outbox once it is sent, and what can not be sent."""
 
     messages: DataFrame
     outbox: DataFrame
+    errors: DataFrame
 
 
 def relay_tick(
@@ -72,17 +73,19 @@ def relay_tick(
 ) -> Tick:
     """Claim, turn into messages, mark as processed.
 
-    Nothing is written here. The caller writes the messages first and the outbox after, so a
-    failed send leaves every row pending.
+    Nothing is written here, and messages and outbox each work out the claim; a job that sends
+    writes the claim first (:class:`packetflow.streaming.relay.StoredOutbox`). Rows with a blank
+    topic are never claimed, so they stand in nobody's way.
     """
-    claims = ob.reserve(outbox, now_ms, limit, lease_ms)
+    blank = is_blank(F.col("topic"))
+    claims = ob.reserve(outbox.filter(~blank), now_ms, limit, lease_ms)
     messages = topic_messages(claims)
-    sendable = claims.filter(~is_blank(F.col("topic")))
-    done = sendable.withColumn("is_processed", F.lit(1))
+    errors = topic_messages(ob.eligible(outbox.filter(blank), now_ms))
+    done = claims.withColumn("is_processed", F.lit(1))
     fields = ["is_processed", "is_processing", "reserved_at_ms", "expired_at_ms"]
     update = done.select("id", F.struct(*fields).alias("__after"))
     if limit <= ob.MAX_BROADCAST_KEYS:
         update = F.broadcast(update)
     joined = outbox.join(update, "id", "left")
     after = {f: F.coalesce(F.col("__after")[f], F.col(f)) for f in fields}
-    return Tick(messages, joined.withColumns(after).select(*outbox.columns))
+    return Tick(messages, joined.withColumns(after).select(*outbox.columns), errors)

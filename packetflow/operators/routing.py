@@ -198,6 +198,7 @@ def shard_documents(
         number("dest_port").alias("dest_port"),
         *[text(f).alias(f) for f in ("source_ip", "dest_ip", "source_mac", "dest_mac", "proto")],
         stable_id(F.lit("packet"), *place).alias("packet_id"),
+        F.col("no").alias("line_no"),
         "stored_at_ms",
         shard.alias("shard"),
     )
@@ -216,7 +217,7 @@ def _resent(routed: DataFrame, topic: str, attempts: Column, headers: Column) ->
         "value",
         headers.alias("headers"),
         attempts.alias("attempts"),
-        *[F.col(c).alias(f"origin_{c}") for c in (*COORDINATES, "msg_ts_ms", "api_key")],
+        *[F.col(c).alias(f"origin_{c}") for c in (*COORDINATES, "msg_ts_ms", "api_key_hash")],
     )
 
 
@@ -241,7 +242,8 @@ def dead_letters(
 def change_feed(documents: DataFrame, prefix: str = "pcap") -> DataFrame:
     """Change events of stored documents: the document and its operation, a topic per shard.
 
-    Shards only ever get inserts, so every event is a create.
+    Shards only ever get inserts, so every event is a create. Where documents know the message they
+    came from, the events keep its place as their order.
     """
     fields = (
         "packet_id", "transaction_id", "client_id", "version", "source_port", "dest_port",
@@ -253,10 +255,19 @@ def change_feed(documents: DataFrame, prefix: str = "pcap") -> DataFrame:
         F.col("stored_at_ms").alias("storedAt"),
     )
     topic = F.concat(F.lit(f"{prefix}."), F.lower("shard"), F.lit(f".{prefix}.packets"))
+    place = []
+    if "msg_offset" in documents.columns:
+        place = [
+            F.col("msg_offset").alias("arrival_seq"),
+            F.col("stored_at_ms").alias("arrival_ms"),
+            "msg_partition",
+            "line_no",
+        ]
     return documents.select(
         topic.alias("topic"),
         "shard",
         F.to_json(document, {"ignoreNullFields": "false"}).alias("value"),
+        *place,
     )
 
 

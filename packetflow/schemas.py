@@ -19,7 +19,7 @@ OUTBOX = """
 #: A topic as files, row for row what a Kafka source gives.
 TOPIC_MESSAGE = """
     topic STRING, msg_partition BIGINT, msg_offset BIGINT, msg_ts_ms BIGINT, msg_key STRING,
-    value STRING, headers ARRAY<STRUCT<key: STRING, value: BINARY>>, api_key STRING
+    value STRING, headers ARRAY<STRUCT<key: STRING, value: BINARY>>, api_key_hash STRING
 """
 
 #: A message to send, in the columns a Kafka sink takes.
@@ -28,9 +28,14 @@ TOPIC_RECORD = """
     headers ARRAY<STRUCT<key: STRING, value: BINARY>>
 """
 
-SHARD_DOCUMENT = SNAPSHOT + ", packet_id STRING, stored_at_ms BIGINT, shard STRING"
+SHARD_DOCUMENT = SNAPSHOT + """,
+    packet_id STRING, msg_partition BIGINT, msg_offset BIGINT, line_no INT, stored_at_ms BIGINT,
+    shard STRING
+"""
 
-CHANGE_EVENT = "arrival_seq BIGINT, arrival_ms BIGINT, msg_partition BIGINT, value STRING"
+CHANGE_EVENT = (
+    "arrival_seq BIGINT, arrival_ms BIGINT, topic STRING, msg_partition BIGINT, value STRING"
+)
 
 LEDGER = """
     transaction_id STRING, client_id STRING, version BIGINT, proto STRING, source_ip STRING,
@@ -39,7 +44,8 @@ LEDGER = """
 """
 
 CLIENT_STATE = """
-    client_id STRING, version BIGINT, last_proto STRING, updated_at_ms BIGINT, arrival_seq BIGINT
+    client_id STRING, version BIGINT, last_proto STRING, updated_at_ms BIGINT, arrival_seq BIGINT,
+    batch_no BIGINT
 """
 
 PROTOCOL_STATS = "proto STRING, packet_count BIGINT, first_seen TIMESTAMP, last_seen TIMESTAMP"

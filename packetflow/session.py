@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Settings that change results, not only speed: times without an offset mean UTC, and of a key
-#: given twice in one JSON object the last one counts.
+#: Settings that the operators rely on: times without an offset mean UTC, of a key given twice in one
+#: JSON object the last one counts, and a rank limit of any size is applied before the shuffle.
 RUNTIME_CONF = {
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

@@ -192,3 +192,16 @@ def write_commit(spark: SparkSession, log: BatchTable, batch_id: int, rows: int)
         hadoop = spark._jvm.org.apache.hadoop.fs
         old = hadoop.Path(f"{log.path}/batch_id={batch_id - COMMITS_KEPT}")
         old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
+def first_batch(spark: SparkSession, checkpoint: str, fresh: int) -> int:
+    """The number that batch 0 of a checkpoint has in the tables: ``fresh`` if it is a new one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{checkpoint}/first-batch")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        started = hadoop.Path(f"{checkpoint}/offsets")
+        if started.getFileSystem(spark._jsc.hadoopConfiguration()).exists(started):
+            fresh = 0  # a checkpoint from before the number was kept
+        row = spark.range(1).select(F.lit(fresh).cast("bigint").alias("first"))
+        row.write.mode("overwrite").parquet(folder.toString())
+    return int(spark.read.schema("first BIGINT").parquet(folder.toString()).first()["first"])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from packetflow import schemas
+from packetflow.functions import api_key_hash
 from packetflow.operators.routing import CHANGE_TOPICS
 
 
@@ -24,10 +26,29 @@ def _kafka_rows(spark: SparkSession, options: dict[str, str]) -> DataFrame:
         F.col("key").cast("string").alias("msg_key"),
         F.col("value").cast("string").alias("value"),
         "headers",
-        F.lit(None).cast("string").alias("api_key"),
+        _sender(F.col("headers")).alias("api_key_hash"),
     )
 
 
+#: Name of the header that holds the key of the sender, or the hash of the key.
+KEY_HEADER, HASH_HEADER = "api_key", "api_key_hash"
+
+
+def _sender(headers: Column) -> Column:
+    """The hash of the sender's key out of the headers; the key itself goes no further."""
+
+    def last(name: str) -> Column:
+        found = F.try_element_at(F.filter(headers, lambda h: h["key"] == name), F.lit(-1))
+        return found["value"].cast("string")
+
+    return F.coalesce(last(HASH_HEADER), api_key_hash(last(KEY_HEADER)))
+
+
+def without_sender(headers: Column) -> Column:
+    """The headers without the key of the sender, for storage."""
+    return F.filter(headers, lambda h: h["key"] != KEY_HEADER)
+
+
 def kafka_topic(
     spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, **options: str
 ) -> DataFrame:
@@ -50,15 +71,15 @@ def kafka_pattern(
 
 
 def arrival(topic: DataFrame) -> DataFrame:
-    """Change events of topic rows, with ``arrival_seq`` that every replay gives the same way.
+    """Change events of topic rows, in an order that every replay gives the same way.
 
-    No order holds across partitions. Offsets come first; a number made of topic and partition
-    tells equal offsets apart (up to 4096 partitions per topic).
+    No order holds across partitions. ``arrival_seq`` is the offset; ``topic`` and
+    ``msg_partition`` tell equal ones apart, however many there are of either.
     """
-    slot = F.pmod(F.crc32(F.col("topic")), F.lit(1 << 8)) * F.lit(1 << 12) + F.col("msg_partition")
     return topic.select(
-        (F.col("msg_offset") * F.lit(1 << 20) + slot).alias("arrival_seq"),
+        F.col("msg_offset").alias("arrival_seq"),
         F.col("msg_ts_ms").alias("arrival_ms"),
+        "topic",
         "msg_partition",
         "value",
     )
@@ -67,7 +88,7 @@ def arrival(topic: DataFrame) -> DataFrame:
 def file_topic(
     spark: SparkSession,
     path: str,
-    schema: str = schemas.TOPIC_MESSAGE,
+    schema: str | StructType = schemas.TOPIC_MESSAGE,
     max_files: int | None = None,
     glob: str | None = None,
 ) -> DataFrame:
@@ -81,7 +102,12 @@ def file_topic(
 
 
 def write_kafka(messages: DataFrame, servers: str, **options: str) -> None:
-    """Send messages (``topic``, ``key``, ``value``, ``headers``); returns once all are sent."""
+    """Send messages (``topic``, ``key``, ``value``, ``headers``); returns once all are sent.
+
+    Messages with an ``error`` can not be sent and are left to whoever reads the errors.
+    """
+    if "error" in messages.columns:
+        messages = messages.filter(F.col("error").isNull())
     sendable = messages.select("topic", "key", "value", "headers")
     writer = sendable.write.format("kafka").option("kafka.bootstrap.servers", servers)
     writer.option("includeHeaders", "true").options(**options).save()

@@ -22,6 +22,7 @@ from packetflow.sources.batches import (
     FoldedTable,
     SegmentedTable,
     commit_log,
+    first_batch,
     last_commit,
     write_commit,
 )
@@ -84,6 +85,14 @@ class ReadModel:
         Only a count and the clock come back to the driver.
         """
         spark = batch.sparkSession
+        last = last_commit(spark, self.commits)
+        if batch_id < last:
+            raise RuntimeError(
+                f"batch {batch_id} comes after batch {last} was committed: the tables belong to "
+                "another checkpoint; start() numbers the batches of a new one on"
+            )
+        if "topic" not in batch.columns:
+            batch = batch.withColumn("topic", F.lit(None).cast("string"))
         events = spread(batch, "arrival_seq", "msg_partition")
         parsed = changes.parse_changes(events).persist(StorageLevel.MEMORY_AND_DISK)
         firsts = projection.first_arrivals(changes.records(parsed))
@@ -103,7 +112,8 @@ class ReadModel:
             self.ledger.write(changes.with_payload(new), batch_id)
             written = self.ledger.only(spark, batch_id)
             self.stats.write(stats.protocol_stats(written), batch_id)
-            self.client_state.write(projection.client_winners(fresh), batch_id)
+            winners = projection.client_winners(fresh)
+            self.client_state.write(winners.withColumn("batch_no", F.lit(batch_id)), batch_id)
             marks = fresh.select("transaction_id", F.lit(clock).alias("marked_at_ms"))
             alive = F.col("marked_at_ms") > F.lit(clock - self.ttl_ms)
             self.markers.write(marks, batch_id, keep=alive)
@@ -122,15 +132,21 @@ class ReadModel:
         """Project a stream of change events.
 
         The clock is the time of the micro-batch. Spark keeps it in the checkpoint, so a replay
-        sees the same one.
+        sees the same one. A new checkpoint may read what these tables hold already: its batches
+        are numbered on from the last commit, so they meet the ledger of all before and change
+        nothing twice. The first number is kept in the checkpoint. One stream at a time writes.
         """
-        self.create(feed.sparkSession)
+        spark = feed.sparkSession
+        self.create(spark)
+        first = first_batch(spark, checkpoint, last_commit(spark, self.commits) + 1)
         clocked = feed
         if "processed_ms" not in feed.columns:
             clocked = feed.withColumn("processed_ms", F.unix_millis(F.current_timestamp()))
-        writer = clocked.writeStream.foreachBatch(self.project).option(
-            "checkpointLocation", checkpoint
-        )
+
+        def project(batch: DataFrame, batch_id: int) -> None:
+            self.project(batch, first + batch_id)
+
+        writer = clocked.writeStream.foreachBatch(project).option("checkpointLocation", checkpoint)
         trigger = {"availableNow": True} if available_now else {"processingTime": interval}
         return writer.trigger(**trigger).start()
 

@@ -1,15 +1,21 @@
-"""The relay as a stream over the outbox table: new rows are published once, in micro-batches."""
+"""The relay: a stream over new outbox rows, or ticks over an outbox that is stored with its claims."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from packetflow import schemas
+from packetflow.functions import is_blank
+from packetflow.operators import outbox as ob
+from packetflow.operators.ranking import best_per_key
 from packetflow.operators.relay import topic_messages, with_partition
 from packetflow.session import spread
-from packetflow.sources.batches import BatchTable
+from packetflow.sources.batches import BatchTable, FoldedTable
 
 PUBLISHED = (
     "id STRING, " + schemas.TOPIC_RECORD + ", partition_id BIGINT, error STRING"
@@ -43,3 +49,70 @@ def start_relay(
     writer = outbox.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()
+
+
+@dataclass(frozen=True)
+class StoredOutbox:
+    """An outbox kept as versions of its rows: those added, claimed and done are written, no others.
+
+    The claim is written before anything is sent, so a send that fails leaves rows under a lease
+    and they are claimed again when it has run out. A tick that is run again under its number
+    overwrites what it left. Every so many ticks the versions fold into a snapshot without the rows
+    that are done.
+    """
+
+    root: str
+    snapshot_every: int = 50
+
+    @property
+    def versions(self) -> FoldedTable:
+        def fold(rows: DataFrame) -> DataFrame:
+            return best_per_key(rows, ["id"], [F.col("version_no").desc()])
+
+        schema = schemas.OUTBOX + ", version_no BIGINT"
+        return FoldedTable.at(f"{self.root}/outbox", schema, fold, self.snapshot_every)
+
+    def _write(self, rows: DataFrame, number: int) -> None:
+        numbered = rows.withColumn("version_no", F.lit(number).cast("bigint"))
+        self.versions.write(numbered, number, keep=F.col("is_processed") == 0)
+
+    def load(self, rows: DataFrame) -> None:
+        """Start the outbox with these rows."""
+        self.versions.create(rows.sparkSession)
+        self._write(rows, 0)
+
+    def read(self, spark: SparkSession, ticks: int | None = None) -> DataFrame:
+        """The outbox after so many ticks, by default all of them."""
+        last = self._last(spark) if ticks is None else 2 * ticks
+        return self.versions.current(spark, last).drop("version_no")
+
+    def _last(self, spark: SparkSession) -> int:
+        row = self.versions.deltas.read(spark).agg(F.max("batch_id")).first()
+        return int(row[0] or 0)
+
+    def errors(self, spark: SparkSession, now_ms: int) -> DataFrame:
+        """Rows that wait and can not be sent, as messages with an ``error``."""
+        blank = self.read(spark).filter(is_blank(F.col("topic")))
+        return topic_messages(ob.eligible(blank, now_ms))
+
+    def tick(
+        self,
+        spark: SparkSession,
+        number: int,
+        now_ms: int,
+        send: Callable[[DataFrame], None],
+        limit: int = ob.CLAIM_LIMIT,
+        lease_ms: int = ob.LEASE_MS,
+    ) -> None:
+        """Claim the oldest rows, send their messages, mark them as done; ``number`` counts from 0."""
+        claimed, done = 2 * number + 1, 2 * number + 2
+        state = self.versions.current(spark, claimed - 1)
+        sendable = state.filter(~is_blank(F.col("topic")))
+        self._write(ob.reserve(sendable, now_ms, limit, lease_ms), claimed)
+        claims = self.versions.deltas.only(spark, claimed).drop("batch_id")
+        finished = claims.limit(0)
+        try:
+            send(topic_messages(claims))
+            finished = claims.withColumn("is_processed", F.lit(1))
+        finally:
+            self._write(finished, done)

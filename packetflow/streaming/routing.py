@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from packetflow import schemas
-from packetflow.functions import api_key_hash
 from packetflow.operators import auth, routing
 from packetflow.session import spread
 from packetflow.sources.batches import BatchTable, commit_log, write_commit
@@ -29,11 +28,17 @@ DEAD_LETTER = schemas.TOPIC_RECORD + """,
 
 @dataclass(frozen=True)
 class Router:
-    """Sinks below ``root``; retries go to ``retry_path``, where the source finds them again."""
+    """Sinks below ``root``; retries go to ``retry_path``, where the source finds them again.
+
+    Senders are known by the hashes of their keys: of ``valid_keys``, or a table of hashes. With
+    neither, nobody is, unless ``allow_anyone`` says that there is no authentication.
+    """
 
     root: str
     retry_path: str | None = None
     valid_keys: Sequence[str] | None = None
+    valid_hashes: DataFrame | None = None
+    allow_anyone: bool = False
     down_shards: Sequence[str] = ()
     max_attempts: int = routing.MAX_ATTEMPTS
     main_topic: str = routing.MAIN_TOPIC
@@ -71,14 +76,12 @@ class Router:
             raise TargetUnreachable(f"batch {batch_id} was not delivered")
         spark = batch.sparkSession
         messages = spread(batch, *routing.COORDINATES)
-        if self.valid_keys is not None:
-            hashed = messages.withColumn(auth.HASH, api_key_hash(F.col("api_key")))
-            valid = auth.valid_hashes(batch, self.valid_keys)
-            known = (valid, routing.COORDINATES, len(self.valid_keys))
-            self.refused.write(auth.rejected(hashed, *known), batch_id)
-            messages = auth.accepted(hashed, *known)
-        routed = routing.route(messages, self.down_shards).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = messages.persist(StorageLevel.MEMORY_AND_DISK)
+        routed = checked
         try:
+            accepted = self._admitted(checked, batch_id)
+            routed = routing.route(accepted, self.down_shards)
+            routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
             documents = routing.shard_documents(routed, F.col("msg_ts_ms"), self.down_shards)
             self.shards.write(documents, batch_id)
             dead = routing.dead_letters(routed, max_attempts=self.max_attempts)
@@ -87,6 +90,20 @@ class Router:
             write_commit(spark, self.commits, batch_id, routed.count())
         finally:
             routed.unpersist()
+            checked.unpersist()
+
+    def _admitted(self, messages: DataFrame, batch_id: int) -> DataFrame:
+        """The messages of known senders; the others are written to ``refused``."""
+        if self.allow_anyone:
+            return messages
+        if self.valid_hashes is not None:
+            valid, size = self.valid_hashes.select(auth.HASH), None
+        else:
+            valid = auth.valid_hashes(messages, self.valid_keys or [""])
+            size = len(self.valid_keys or [""])
+        known = (valid, routing.COORDINATES, size)
+        self.refused.write(auth.rejected(messages, *known), batch_id)
+        return auth.accepted(messages, *known)
 
     def _resent(self, routed: DataFrame) -> DataFrame:
         """Retries as topic rows, under the coordinates of the message they repeat.
@@ -103,7 +120,7 @@ class Router:
             F.col("key").alias("msg_key"),
             "value",
             "headers",
-            F.col("origin_api_key").alias("api_key"),
+            F.col("origin_api_key_hash").alias("api_key_hash"),
             "attempts",
         )
 
