@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from packetflow.functions import api_key_hash
 from packetflow.session import spread
 
 #: Fixed value: the moment lease and marker tests are at, in the middle of the events.
@@ -112,7 +113,7 @@ TOPIC_MESSAGES = [
         "value": """CASE WHEN event_id % 61 = 0 THEN '{{ bad envelope' ELSE """
         f"""'{{{{"Topic":"SnapshotTopic","Key":"' || {DEST_IP} || '","Payload":"' || """
         """replace(payload, '"', chr(92) || '"') || '","PayloadType":"SnapshotMessage","""
-        """"Metadata":{{"origin":"srv_ingest"}},"Created":"2024-01-01T00:00:00Z"}}' END""",
+        """"Metadata":{{"origin":"intake"}},"Created":"2024-01-01T00:00:00Z"}}' END""",
         "attempts_header": "CASE WHEN event_id % 43 = 0 THEN 'abc' WHEN event_id % 4 = 0 THEN NULL "
         "ELSE CAST(event_id % 4 - 1 AS STRING) END",
         "api_key": "CASE event_id % 3 WHEN 0 THEN 'valid_api_key_1' WHEN 1 THEN 'valid_api_key_2' "
@@ -193,8 +194,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream; a folder is named, since a stream cannot read a single file."""
+    """The events as a stream, be the table one file or a folder of them; none is an error."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(f"{sf_dir}/events.parquet")
+    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
     reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if status.isDirectory():
+        return reader.parquet(path.toString())
+    # A stream reads folders only: the folder is named, and the file in it.
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
@@ -206,6 +213,32 @@ def table(source: DataFrame, name: str) -> DataFrame:
     return df
 
 
+#: Micro-batches of the feed, and how long after the fixture's moment each comes.
+STAGES = 3
+STAGE_AFTER_MS = (0, 86_400_000, 648_000_000)
+
+STAGE = (
+    f"CASE WHEN arrival_seq < {SECOND_DELIVERY} THEN arrival_seq % 2 "
+    f"WHEN (arrival_seq - {SECOND_DELIVERY}) % 3 = 0 THEN 1 ELSE 2 END"
+)
+STAGE_CLOCK = (
+    f"CAST({NOW_MS} AS BIGINT) + CASE {STAGE} WHEN 0 THEN {STAGE_AFTER_MS[0]} "
+    f"WHEN 1 THEN {STAGE_AFTER_MS[1]} ELSE {STAGE_AFTER_MS[2]} END"
+)
+
+
+def staged(feed: DataFrame) -> DataFrame:
+    """The feed with the micro-batch each event comes in and that batch's clock."""
+    return feed.selectExpr("*", f"{STAGE} AS stage", f"{STAGE_CLOCK} AS processed_ms")
+
+
+BLANK_TOPIC = "CASE WHEN CAST(substr(id, 4) AS BIGINT) % 10 = 7 THEN ' ' ELSE topic END"
+
+
+def some_blank_topics(outbox: DataFrame) -> DataFrame:
+    return outbox.withColumn("topic", F.expr(BLANK_TOPIC))
+
+
 def seen_markers(source: DataFrame) -> DataFrame:
     return table(source, "all_markers").filter("seen").drop("seen")
 
@@ -216,7 +249,8 @@ def with_headers(messages: DataFrame) -> DataFrame:
         F.lit("attempts").alias("key"), F.col("attempts_header").cast("binary").alias("value")
     )
     headers = F.when(F.col("attempts_header").isNotNull(), F.array(counter))
-    return messages.withColumn("headers", headers).drop("attempts_header", "payload")
+    hashed = messages.withColumn("api_key_hash", api_key_hash(F.col("api_key")))
+    return hashed.withColumn("headers", headers).drop("attempts_header", "payload", "api_key")
 
 
 def ctes(*names: str) -> list[str]:

@@ -51,6 +51,71 @@ DERIVED = {
         """SELECT * FROM recs QUALIFY
              row_number() OVER (PARTITION BY transaction_id ORDER BY arrival_seq) = 1""",
     ),
+    "staged": (
+        ["recs"],
+        f"SELECT *, {fx.STAGE} AS stage, {fx.STAGE_CLOCK} AS clock FROM recs",
+    ),
+    "firsts": (
+        ["staged"],
+        """SELECT * FROM staged QUALIFY row_number() OVER
+             (PARTITION BY stage, transaction_id ORDER BY arrival_seq) = 1""",
+    ),
+    "past0": (["firsts"], "SELECT * FROM firsts WHERE stage = 0"),
+    "past1": (
+        ["firsts", "past0"],
+        """SELECT * FROM firsts WHERE stage = 1
+             AND transaction_id NOT IN (SELECT transaction_id FROM past0)""",
+    ),
+    "past2": (
+        ["firsts", "past1"],
+        """SELECT * FROM firsts WHERE stage = 2
+             AND transaction_id NOT IN (SELECT transaction_id FROM past1)""",
+    ),
+    "past": (
+        ["past0", "past1", "past2"],
+        "SELECT * FROM past0 UNION ALL SELECT * FROM past1 UNION ALL SELECT * FROM past2",
+    ),
+    "stored": (
+        ["past"],
+        """SELECT * FROM past QUALIFY
+             row_number() OVER (PARTITION BY transaction_id ORDER BY stage) = 1""",
+    ),
+    "stored_state": (
+        ["past"],
+        """SELECT client_id, version, proto AS last_proto, arrival_ms AS updated_at_ms FROM past
+           QUALIFY row_number() OVER
+             (PARTITION BY client_id ORDER BY version DESC, stage, arrival_seq) = 1""",
+    ),
+    "stored_stats": (
+        ["stored"],
+        """SELECT proto, count(*) AS packet_count, min(stored_at_ms) AS first_seen_ms,
+             max(stored_at_ms) AS last_seen_ms FROM stored GROUP BY proto""",
+    ),
+    "ticking": (
+        ["outbox_table"],
+        f"""SELECT * EXCLUDE (topic), {fx.BLANK_TOPIC} AS topic FROM outbox_table""",
+    ),
+    "tick0": (
+        ["ticking"],
+        f"""SELECT id FROM ticking WHERE is_processed = 0 AND is_sequential = 0
+             AND trim(topic) <> '' AND (is_processing = 0 OR expired_at_ms <= {fx.NOW_MS})
+           ORDER BY date_timestamp_ms, id LIMIT 100""",
+    ),
+    "tick1": (
+        ["ticking", "tick0"],
+        f"""SELECT id FROM ticking WHERE is_processed = 0 AND is_sequential = 0
+             AND trim(topic) <> '' AND (is_processing = 0 OR expired_at_ms <= {fx.NOW_MS + 1000})
+             AND id NOT IN (SELECT id FROM tick0)
+           ORDER BY date_timestamp_ms, id LIMIT 100""",
+    ),
+    "tick2": (
+        ["ticking", "tick0", "tick1"],
+        f"""SELECT id FROM ticking WHERE is_processed = 0 AND is_sequential = 0
+             AND trim(topic) <> '' AND (is_processing = 0 OR expired_at_ms <= {fx.NOW_MS + 30000}
+               OR id IN (SELECT id FROM tick1))
+             AND id NOT IN (SELECT id FROM tick0)
+           ORDER BY date_timestamp_ms, id LIMIT 100""",
+    ),
     "known": (
         ["recs"],
         f"SELECT DISTINCT transaction_id FROM recs WHERE arrival_ms <= {fx.NOW_MS}",
@@ -426,10 +491,10 @@ ORACLE: dict[str, str] = {
         "known",
     ),
     "ledger_lookup": with_tables(
-        f"SELECT {RECORD} FROM ledger WHERE transaction_id = 'tx-1'", "ledger"
+        f"SELECT {RECORD} FROM stored WHERE transaction_id = 'tx-1'", "stored"
     ),
     "client_lookup": with_tables(
-        f"SELECT {STATE} FROM state_fastpath WHERE client_id = 'c1'", "state_fastpath"
+        f"SELECT {STATE} FROM stored_state WHERE client_id = 'c1'", "stored_state"
     ),
     "client_state_store": with_tables(f"SELECT {STATE} FROM state_store", "state_store"),
     "client_state_fastpath": with_tables(f"SELECT {STATE} FROM state_fastpath", "state_fastpath"),
@@ -437,13 +502,13 @@ ORACLE: dict[str, str] = {
     "packet_stats_by_proto": with_tables(f"SELECT {STATS} FROM proto_stats", "proto_stats"),
     "stats_incremental_merge": with_tables(f"SELECT {STATS} FROM proto_stats", "proto_stats"),
     "stats_protocols": with_tables(
-        f"SELECT {STATS} FROM proto_stats ORDER BY packet_count DESC, proto", "proto_stats"
+        f"SELECT {STATS} FROM stored_stats ORDER BY packet_count DESC, proto", "stored_stats"
     ),
     "stats_clients": with_tables(
-        f"SELECT {STATE} FROM state_fastpath ORDER BY updated_at_ms DESC, client_id LIMIT 100",
-        "state_fastpath",
+        f"SELECT {STATE} FROM stored_state ORDER BY updated_at_ms DESC, client_id LIMIT 100",
+        "stored_state",
     ),
-    "stats_total": with_tables("SELECT count(*) AS total_packets FROM ledger", "ledger"),
+    "stats_total": with_tables("SELECT count(*) AS total_packets FROM stored", "stored"),
     "fixed_window_admission": with_tables(
         """SELECT call_id, caller, window_start_ms, CAST(row_number() OVER
              (PARTITION BY caller, window_start_ms ORDER BY ts_ms, call_id) <= 3 AS INT) AS admitted
@@ -452,11 +517,33 @@ ORACLE: dict[str, str] = {
     ),
     "stream_topic_read": with_tables(ENVELOPE, "envelopes"),
     "stream_ledger": with_tables(
-        f"SELECT {RECORD}, transaction_id AS payload_transaction_id FROM ledger", "ledger"
+        f"SELECT {RECORD}, transaction_id AS payload_transaction_id FROM stored", "stored"
+    ),
+    "stream_fast_path": with_tables(
+        f"""SELECT transaction_id, max(clock) AS marked_at_ms FROM past
+            GROUP BY transaction_id
+            HAVING max(clock) > {fx.NOW_MS + fx.STAGE_AFTER_MS[2] - TTL_MS}""",
+        "past",
+    ),
+    "stream_client_state": with_tables(f"SELECT {STATE} FROM stored_state", "stored_state"),
+    "stream_stats": with_tables(f"SELECT {STATS} FROM stored_stats", "stored_stats"),
+    "relay_ticks": with_tables(
+        f"""SELECT id,
+              CASE WHEN id IN (SELECT id FROM tick0) OR id IN (SELECT id FROM tick2)
+                THEN 1 ELSE is_processed END AS is_processed,
+              CASE WHEN t.after_ms IS NULL THEN is_processing ELSE 1 END AS is_processing,
+              coalesce({fx.NOW_MS} + t.after_ms, reserved_at_ms) AS reserved_at_ms,
+              coalesce({fx.NOW_MS} + t.after_ms + 20000, expired_at_ms) AS expired_at_ms,
+              CAST(CASE t.after_ms WHEN 0 THEN 0 WHEN 30000 THEN 2 END AS BIGINT) AS sent_in
+            FROM ticking LEFT JOIN (
+              SELECT id, max(after_ms) AS after_ms FROM (
+                SELECT id, 0 AS after_ms FROM tick0 UNION ALL SELECT id, 1000 FROM tick1
+                UNION ALL SELECT id, 30000 FROM tick2) GROUP BY id) t USING (id)""",
+        "tick0",
+        "tick1",
+        "tick2",
+        "ticking",
     ),
-    "stream_fast_path": with_tables("SELECT DISTINCT transaction_id FROM recs", "recs"),
-    "stream_client_state": with_tables(f"SELECT {STATE} FROM state_fastpath", "state_fastpath"),
-    "stream_stats": with_tables(f"SELECT {STATS} FROM proto_stats", "proto_stats"),
     "stream_relay": with_tables(
         f"""SELECT id, topic, key, value, {SLOT} AS partition_id, error FROM published
             WHERE is_processed = 0 AND is_sequential = 0""",
@@ -465,7 +552,8 @@ ORACLE: dict[str, str] = {
     "stream_route": with_tables(
         """SELECT 'shard' AS sink, packet_id AS item, shard AS detail FROM shard_docs
              WHERE api_key LIKE 'valid%'
-           UNION ALL SELECT 'refused', CAST(msg_offset AS VARCHAR), api_key FROM verdicts
+           UNION ALL SELECT 'refused', CAST(msg_offset AS VARCHAR), sha256(api_key || chr(10))
+             FROM verdicts
              WHERE api_key NOT LIKE 'valid%'
            UNION ALL SELECT CASE WHEN attempts + 1 < 3 THEN 'retry' ELSE 'dead_letter' END,
                CAST(msg_offset AS VARCHAR), CAST(attempts + 1 AS VARCHAR) FROM verdicts

@@ -6,13 +6,13 @@ that engines print differently.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetflow.functions import (
-    api_key_hash,
     attempt_count,
     classify_protocol,
     message_headers,
@@ -34,7 +34,7 @@ from packetflow.session import prepare, work_dir
 from packetflow.sources.shards import read_shards, shard_table
 from packetflow.sources.topics import file_topic
 from packetflow.streaming.read_model import ReadModel
-from packetflow.streaming.relay import published_table, start_relay
+from packetflow.streaming.relay import StoredOutbox, published_table, start_relay
 from packetflow.streaming.routing import Router
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -257,7 +257,7 @@ def attempt_count_of_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = topic_rows(spark, sf_dir)
-    return rows.select("msg_offset", api_key_hash(F.col("api_key")).alias(auth.HASH))
+    return rows.select("msg_offset", auth.HASH)
 
 
 @query("api_key_hash")
@@ -345,19 +345,21 @@ def shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("shard_change_feed")
 def shard_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routing.change_feed(documents(spark, sf_dir))
+    return routing.change_feed(documents(spark, sf_dir)).select("topic", "shard", "value")
 
 
 @query("cdc_union_shards")
 def cdc_union_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents are stored by shard; the feeds of the stored shards are read back as one."""
+    """The feed of all stored shards in one scan, picked by name out of other topics."""
     path = work_dir(spark, "shards")
     shard_table(path).write(documents(spark, sf_dir), 0)
-    feeds = [
-        routing.change_feed(read_shards(spark, path, [shard]))
-        for shard in ("HTTPS", "TCP", "UDP", "ARP", "OTHER")
-    ]
-    return routing.matching_topics(changes.union_feeds(*feeds)).select("topic", "value")
+    feed = routing.change_feed(read_shards(spark, path)).select("topic", "value")
+    messages = topic_rows(spark, sf_dir).select("topic", "msg_offset", "value")
+    named = F.when(F.col("msg_offset") % 2 == 0, "pcap.tcp.pcap.packets.old").otherwise(
+        F.when(F.col("msg_offset") % 3 == 0, "copy.pcap.tcp.packets").otherwise(F.col("topic"))
+    )
+    others = messages.select(named.alias("topic"), "value")
+    return routing.matching_topics(changes.union_feeds(feed, others))
 
 
 # --- read side -----------------------------------------------------------------------------------
@@ -445,13 +447,14 @@ def ledger_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ledger_lookup")
 def ledger_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = full_ledger(spark, sf_dir).filter(F.col("transaction_id") == LOOKUP_TX)
+    stored = run_read_model(spark, sf_dir).read_ledger(spark)
+    row = stored.filter(F.col("transaction_id") == LOOKUP_TX)
     return row.select(*RECORD, millis("stored_at"))
 
 
 @query("client_lookup")
 def client_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = projection.client_winners(full_ledger(spark, sf_dir))
+    state = run_read_model(spark, sf_dir).read_client_state(spark)
     return state_columns(state.filter(F.col("client_id") == LOOKUP_CLIENT))
 
 
@@ -493,18 +496,19 @@ def stats_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stats_protocols")
 def stats_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats_columns(stats.protocols_by_count(ledger_stats(spark, sf_dir)))
+    stored = run_read_model(spark, sf_dir).read_stats(spark)
+    return stats_columns(stats.protocols_by_count(stored))
 
 
 @query("stats_clients")
 def stats_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = projection.client_winners(full_ledger(spark, sf_dir))
+    state = run_read_model(spark, sf_dir).read_client_state(spark)
     return state_columns(stats.latest_clients(state))
 
 
 @query("stats_total")
 def stats_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.total_packets(full_ledger(spark, sf_dir))
+    return stats.total_packets(run_read_model(spark, sf_dir).read_ledger(spark))
 
 
 @query("fixed_window_admission")
@@ -521,12 +525,29 @@ def topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.with_headers(fx.table(fx.event_stream(spark, sf_dir), "topic_messages"))
 
 
+#: Read models by session and input: the queries on stored tables share what one stream wrote.
+MODELS: dict[tuple[str, str], ReadModel] = {}
+
+
 def run_read_model(spark: SparkSession, sf_dir: str) -> ReadModel:
-    root = work_dir(spark, "read-model")
-    model = ReadModel(root)
-    feed = fx.table(fx.event_stream(spark, sf_dir), "cdc_feed")
-    model.start(feed, f"{root}/checkpoint").awaitTermination()
-    return model
+    """The read model after three micro-batches of the feed, each a folder that arrives by itself.
+
+    Second deliveries come in the same batch or later; markers are met while they live and after
+    they have expired; a later batch brings lower arrival numbers.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in MODELS:
+        root = work_dir(spark, "read-model")
+        model = ReadModel(root, snapshot_every=2)
+        staged = fx.staged(source(spark, sf_dir, "cdc_feed"))
+        schema = staged.drop("stage").schema
+        for stage in range(fx.STAGES):
+            rows = staged.filter(F.col("stage") == stage).drop("stage")
+            rows.write.parquet(f"{root}/feed/{stage}")
+            feed = file_topic(spark, f"{root}/feed", schema)
+            model.start(feed, f"{root}/checkpoint").awaitTermination()
+        MODELS[key] = model
+    return MODELS[key]
 
 
 @query("stream_topic_read")
@@ -553,7 +574,7 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_fast_path")
 def stream_fast_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = run_read_model(spark, sf_dir)
-    return model.read_markers(spark).select("transaction_id")
+    return model.read_markers(spark).select("transaction_id", "marked_at_ms")
 
 
 @query("stream_client_state")
@@ -575,6 +596,31 @@ def stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.select("id", "topic", "key", "value", "partition_id", "error")
 
 
+@query("relay_ticks")
+def relay_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three ticks over a stored outbox: sent, failed on the way, and sent after the lease ran out."""
+    root = work_dir(spark, "outbox")
+    stored = StoredOutbox(root)
+    stored.load(fx.some_blank_topics(source(spark, sf_dir, "outbox_table")))
+    published = published_table(f"{root}/published")
+    published.create(spark)
+
+    def sent_in(number: int) -> Callable[[DataFrame], None]:
+        return lambda messages: published.write(relay.with_partition(messages), number)
+
+    def unreachable(messages: DataFrame) -> None:
+        raise ConnectionError("no broker")
+
+    for number, (after, send) in enumerate(
+        ((0, sent_in(0)), (1_000, unreachable), (30_000, sent_in(2)))
+    ):
+        with contextlib.suppress(ConnectionError):
+            stored.tick(spark, number, fx.NOW_MS + after, send)
+    sent = published.read(spark).select("id", F.col("batch_id").alias("sent_in"))
+    fields = ["id", "is_processed", "is_processing", "reserved_at_ms", "expired_at_ms"]
+    return stored.read(spark).select(*fields).join(sent, "id", "left")
+
+
 @query("stream_route")
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "route")
@@ -592,7 +638,7 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
         sink(router.shards.read(spark), "shard", "packet_id", "shard"),
         sink(router.retries.read(spark), "retry", "msg_offset", "attempts"),
         sink(router.dead_letters.read(spark), "dead_letter", "origin_msg_offset", "attempts"),
-        sink(router.refused.read(spark), "refused", "msg_offset", "api_key"),
+        sink(router.refused.read(spark), "refused", "msg_offset", auth.HASH),
     )
 
 
@@ -601,7 +647,7 @@ def stream_retry_to_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retries go back into the folder the stream reads, until all tries are used up."""
     root = work_dir(spark, "retry")
     topic = f"{root}/topic"
-    router = Router(root, retry_path=f"{topic}/retries", down_shards=DOWN)
+    router = Router(root, retry_path=f"{topic}/retries", allow_anyone=True, down_shards=DOWN)
     topic_rows(spark, sf_dir).write.parquet(f"{topic}/first")
     for _ in range(router.max_attempts):
         stream = file_topic(spark, topic)
