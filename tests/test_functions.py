@@ -1,9 +1,17 @@
+"""Column functions against plain Python, over values made by rule."""
+
 import hashlib
+import json
+import random
+from datetime import UTC, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from packetflow import functions as fn
+from packetflow.functions.text import WHITESPACE
+
+CLASS_OF = {**{p: p for p in fn.PROTOCOLS}, "TLS": "HTTPS", "SSL": "HTTPS"}
 
 
 def apply(spark, column, values, kind="string"):
@@ -12,126 +20,151 @@ def apply(spark, column, values, kind="string"):
     return [r["out"] for r in rows]
 
 
-def test_protocol_names_aliases_case_and_whitespace(spark):
-    names = ["HTTPS", "TLS", "SSL", "TCP", "UDP", "ARP", "https", "Https", "  udp  ", "\tTCP\n",
-             " arp ", "ICMP", "DNS", "", "   ", None]
-    want = ["HTTPS", "HTTPS", "HTTPS", "TCP", "UDP", "ARP", "HTTPS", "HTTPS", "UDP", "TCP", "ARP",
-            "OTHER", "OTHER", "OTHER", "OTHER", "OTHER"]
-    assert apply(spark, fn.classify_protocol, names) == want
-    assert set(want) == set(fn.PROTOCOLS)
+def padded(rng, text):
+    ends = ["".join(rng.choices(WHITESPACE, k=rng.randrange(3))) for _ in range(2)]
+    return ends[0] + text + ends[1]
+
+
+def any_case(rng, text):
+    return "".join(rng.choice([c.lower(), c.upper()]) for c in text)
 
 
-def test_blank_means_unicode_whitespace(spark):
-    values = [None, "", "  ", "\t\n", "  ", "x", " x "]
-    assert apply(spark, fn.is_blank, values) == [True] * 5 + [False] * 2
-    assert apply(spark, fn.trimmed, [" a b\t", "　a\u0085"]) == ["a b", "a"]
+def test_protocol_classes(spark):
+    rng = random.Random(1)
+    names = [padded(rng, any_case(rng, rng.choice(list(CLASS_OF)))) for _ in range(200)]
+    others = [rng.choice(["", name[:-1], name + "x", name[0] + " " + name[1:]]) for name in CLASS_OF for _ in range(4)]
+    got = apply(spark, fn.classify_protocol, [*names, *others, None])
+    assert got[:200] == [CLASS_OF[n.strip(WHITESPACE).upper()] for n in names]
+    assert got[200:] == [CLASS_OF.get(n.upper(), "OTHER") for n in others] + ["OTHER"]
+
+
+def test_blank_and_trimmed_text(spark):
+    rng = random.Random(2)
+    words = [padded(rng, rng.choice(["", "a", "a b", "a　b"])) for _ in range(200)]
+    assert apply(spark, fn.trimmed, words) == [w.strip(WHITESPACE) for w in words]
+    assert apply(spark, fn.is_blank, [*words, None]) == [not w.strip(WHITESPACE) for w in words] + [True]
 
 
 def test_key_hash_includes_the_newline(spark):
-    (got,) = apply(spark, fn.api_key_hash, ["valid_api_key_1"])
-    assert got == hashlib.sha256(b"valid_api_key_1\n").hexdigest()
-    assert got != hashlib.sha256(b"valid_api_key_1").hexdigest()
-
-
-def test_split_lines_drops_blank_lines_and_trims(spark):
-    values = ["a\n\n  b \r\n", "one", "  ", "", None]
-    assert apply(spark, fn.split_lines, values) == [["a", "b"], ["one"], [], [], None]
-
-
-STRICT = [
-    ('{"a":1}', True),
-    ('  {"a":1}\n', True),
-    ('{"a":1,"a":2}', True),
-    ("{'a':1}", True),
-    ('{"a":[1,{"b":2}]}', True),
-    ('{"a":"]"}', True),
-    ("{}", True),
-    ('{"a":1} junk', False),
-    ('{"a":1}] junk', False),
-    ('{"a":1}]', False),
-    ('{"a":1}} x', False),
-    ('{"a":1}}] x', False),
-    ('{"a":1},{"a":2}', False),
-    ('{"a":1},{"a":2}] x', False),
-    ("[1, 2, 3]", False),
-    ('[{"a":1}]', False),
-    ('"s"', False),
-    ("5", False),
-    ("null", False),
-    ("", False),
-    ("{ unterminated", False),
-    ("not json", False),
-    (None, False),
-]
+    keys = [f"key {i}" * i for i in range(5)]
+    assert apply(spark, fn.api_key_hash, [*keys, None]) == [
+        hashlib.sha256(k.encode() + b"\n").hexdigest() for k in keys
+    ] + [None]
+
+
+def test_stable_ids_differ_for_different_places(spark):
+    parts = [None, "", "a", "|", "\\", "\\N", "a|", "|a", "\\|"]
+    rows = [(a, b, c) for a in parts for b in parts for c in parts]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    ids = df.select(fn.stable_id("a" and F.col("a"), F.col("b"), F.col("c")).alias("id"))
+    assert ids.distinct().count() == len(rows)
+    one = df.filter("a = 'a' AND b = '' AND c = 'a'").select(fn.stable_id(F.col("a"), F.col("c")).alias("id"))
+    assert one.first()["id"] == hashlib.sha256(b"a|a").hexdigest()
+
+
+def test_lines_of_a_payload(spark):
+    rng = random.Random(3)
+    values = ["\n".join(padded(rng, rng.choice(["", "x", "y z"])) for _ in range(rng.randrange(1, 5))) for _ in range(100)]
+    want = [[line.strip(WHITESPACE) for line in v.split("\n") if line.strip(WHITESPACE)] for v in values]
+    assert apply(spark, fn.split_lines, [*values, None]) == [*want, None]
+
+
+def json_value(rng, depth=0):
+    kinds = [lambda: rng.randrange(100), lambda: rng.choice(["s", "]", "}", "{", '"']), lambda: None, lambda: True]
+    if depth < 2:
+        kinds += [
+            lambda: [json_value(rng, depth + 1) for _ in range(rng.randrange(3))],
+            lambda: {k: json_value(rng, depth + 1) for k in rng.sample("abcd", rng.randrange(4))},
+        ] * 2
+    return rng.choice(kinds)()
 
 
 def test_one_whole_object(spark):
-    texts = [t for t, _ in STRICT]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    rng = random.Random(4)
+    values = [json_value(rng) for _ in range(150)]
+    texts = [padded(rng, json.dumps(v)).replace("\x85", "\n").translate({ord(c): " " for c in WHITESPACE if ord(c) > 127 or c in "\x0b\x0c"}) for v in values]
+    good = [isinstance(v, dict) for v in values]
+    objects = [t for t, ok in zip(texts, good, strict=True) if ok]
+    broken = [t.rstrip() + rng.choice(["]", "}", " x", "] x", ",{}", "}] x"]) for t in objects]
+    broken += [t.rstrip()[:-1] for t in objects]
+    cases = [*zip(texts, good, strict=True), *((t, False) for t in broken), (None, False), ("", False)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, v string")
     for read in (fn.with_record, fn.with_object):
         rows = read(df, F.col("v"), "a string", "rec").orderBy("i").collect()
-        assert [(r["v"], r["rec"] is not None) for r in rows] == STRICT
+        assert [(r["v"], r["rec"] is not None) for r in rows] == cases
 
     def first(v):
         return F.try_element_at(fn.strict_object(v, "a string"), F.lit(1)).isNotNull()
 
-    assert apply(spark, first, texts) == [ok for _, ok in STRICT]
+    assert apply(spark, first, [t for t, _ in cases]) == [ok for _, ok in cases]
 
 
 def test_last_of_equal_keys_counts(spark):
-    df = spark.createDataFrame([('{"a":1,"a":2}',)], "v string")
-    assert fn.with_record(df, F.col("v"), "a string", "rec").first()["rec"]["a"] == "2"
-
-
-@pytest.mark.parametrize(
-    ("field", "seconds"),
-    [
-        ("1709618828000", 1709618828),
-        ('"2024-03-05T06:07:08Z"', 1709618828),
-        ('"2024-03-05T06:07:08+05:00"', 1709618828 - 5 * 3600),
-        ('"2024-03-05T06:07:08"', 1709618828),
-        ('"2024-03-05"', 1709596800),
-        ('"1709618828000"', None),
-        ('"12:00"', None),
-        ('"2024"', None),
-        ('"not a date"', None),
-        ("null", None),
-        ("1.5", None),
-        ("true", None),
-        ("9223372036854775807", None),
-        ("{}", None),
-    ],
-)
-def test_stored_at_forms(spark, field, seconds):
-    df = spark.createDataFrame([(f'{{"t":{field}}}',)], "v string")
-    t = F.try_variant_get(F.try_parse_json("v"), "$.t", "variant")
-    got = df.select(F.unix_seconds(fn.stored_at(t)).alias("s")).first()["s"]
-    assert got == seconds
-
-
-def test_message_headers_carry_time_type_and_metadata(spark):
-    df = spark.createDataFrame(
-        [(1705300000123, {"proto": "UDP"}), (0, None)], "ms bigint, m map<string,string>"
-    )
-    column = fn.message_headers(F.col("ms"), F.lit("SnapshotMessage"), F.col("m"))
-    first, second = [r[0] for r in df.select(column).collect()]
-    assert [h["key"] for h in first] == ["timestamp", "type", "proto"]
-    assert int.from_bytes(first[0]["value"], "little") == 1705300000123
-    assert bytes(first[1]["value"]) == b"SnapshotMessage"
-    assert bytes(first[2]["value"]) == b"UDP"
-    assert [h["key"] for h in second] == ["timestamp", "type"]
-
-
-def test_attempt_count_takes_the_last_header(spark):
+    df = spark.createDataFrame([("{" + ",".join(f'"a":{i}' for i in range(n)) + "}",) for n in (1, 2, 5)], "v string")
+    rows = fn.with_record(df, F.col("v"), "a string", "rec").collect()
+    assert [r["rec"]["a"] for r in rows] == ["0", "1", "4"]
+
+
+def spelled(rng, at):
+    """An instant in a random accepted form, and the instant that form stands for."""
+    form = rng.randrange(4)
+    if form == 0:
+        return json.dumps(int(at.timestamp() * 1000)), at
+    if form == 1:
+        return json.dumps(at.strftime("%Y-%m-%d")), at.replace(hour=0, minute=0, second=0)
+    text = at.strftime(f"%Y-%m-%d{rng.choice('T ')}%H:%M:%S")
+    if form == 2:
+        return json.dumps(text + rng.choice(["", "Z"])), at
+    hours = rng.randrange(-11, 12)
+    return json.dumps(text + f"{hours:+03d}:30"), at.replace(tzinfo=timezone(_offset(hours)))
+
+
+def _offset(hours):
+    return timedelta(hours=hours, minutes=30 if hours >= 0 else -30)
+
+
+def test_stored_times(spark):
+    rng = random.Random(5)
+    cases = []
+    for _ in range(150):
+        at = datetime(1990, 1, 1, tzinfo=UTC) + timedelta(seconds=rng.randrange(10**9))
+        text, means = spelled(rng, at)
+        cases.append((text, int(means.timestamp())))
+        short = json.dumps(at.strftime(rng.choice(["%Y", "%H:%M", "%d %b %Y", "on %Y-%m-%d"])))
+        cases.append((short, None))
+    for value in (None, True, 0.5, {}, [], "", str(10**12), 1 << 62, -(1 << 62)):
+        cases.append((json.dumps(value), None))
+    df = spark.createDataFrame([(i, f'{{"t":{t}}}') for i, (t, _) in enumerate(cases)], "i int, v string")
+    field = F.try_variant_get(F.try_parse_json("v"), "$.t", "variant")
+    rows = df.select("i", F.unix_seconds(fn.stored_at(field)).alias("s")).orderBy("i").collect()
+    assert [(cases[r["i"]][0], r["s"]) for r in rows] == cases
+
+
+@pytest.mark.parametrize("ms", [0, 1, 255, 256, 1705300000123, (1 << 63) - 1, -1])
+def test_message_headers(spark, ms):
+    pairs = {f"k{i}": f"v{i}" for i in range(ms % 4)}
+    df = spark.createDataFrame([(ms, pairs), (ms, None)], "ms bigint, m map<string,string>")
+    full, bare = [r[0] for r in df.select(fn.message_headers(F.col("ms"), F.lit("Kind"), F.col("m"))).collect()]
+    assert [h["key"] for h in bare] == ["timestamp", "type"]
+    assert int.from_bytes(full[0]["value"], "little", signed=True) == ms
+    assert bytes(full[1]["value"]) == b"Kind"
+    assert {h["key"]: bytes(h["value"]).decode() for h in full[2:]} == pairs
+
+
+def test_attempts_are_counted_by_the_last_header(spark):
+    rng = random.Random(7)
+    rows = []
+    for _ in range(100):
+        values = [rng.choice(["7", "12", "x", "", "1.5", str(1 << 40)]) for _ in range(rng.randrange(3))]
+        own = [("attempts", v) for v in values] + [("other", "3")] * rng.randrange(2)
+        if rng.random() < 0.5:
+            own.reverse()
+        rows.append(own)
+
+    def count(own):
+        last = [v for k, v in own if k == "attempts"][-1:]
+        return int(last[0]) if last and last[0].isdigit() and int(last[0]) < 1 << 31 else 0
+
     kind = "array<struct<key:string,value:binary>>"
-    cases = [
-        (None, 0),
-        ([], 0),
-        ([("other", b"7")], 0),
-        ([("attempts", b"2")], 2),
-        ([("attempts", b"1"), ("attempts", b"2")], 2),
-        ([("attempts", b"1"), ("attempts", b"abc")], 0),
-        ([("attempts", b"99999999999")], 0),
-    ]
-    headers = [None if c is None else [(k, bytearray(v)) for k, v in c] for c, _ in cases]
-    assert apply(spark, fn.attempt_count, headers, kind) == [n for _, n in cases]
+    headers = [[(k, bytearray(v.encode())) for k, v in own] for own in rows]
+    assert apply(spark, fn.attempt_count, [*headers, None], kind) == [*map(count, rows), 0]

@@ -7,20 +7,23 @@ import pytest
 from packetflow.operators import admission, ranking
 
 
-@pytest.mark.parametrize("width", [1, 7, 1 << 20])
-def test_numbering_equals_a_sorted_loop(spark, width):
+@pytest.mark.parametrize(("width", "gap"), [(1, 1), (7, 1 << 20), (1 << 20, 1)])
+def test_numbering_equals_a_sorted_loop(spark, width, gap):
     rng = random.Random(3)
     rows = [("hot" if rng.random() < 0.5 else f"g{rng.randrange(9)}", i) for i in rng.sample(range(5000), 600)]
+    rows += [(None, n) for n in rng.sample(range(5000), 50)]
+    # with gaps of any size between the numbers
+    rows = [(g, n * gap) for g, n in rows]
     df = spark.createDataFrame(rows, "g string, n bigint")
     got = {(r["g"], r["n"]): r["no"] for r in ranking.number_within(df, ["g"], "n", "no", width).collect()}
     want, seen = {}, {}
-    for g, n in sorted(rows):
+    for g, n in sorted(rows, key=lambda r: r[1]):
         seen[g] = seen.get(g, 0) + 1
         want[g, n] = seen[g]
     assert got == want
 
 
-@pytest.mark.parametrize("permits", [1, 3, 1000])
+@pytest.mark.parametrize("permits", [1, 3, 5000])
 def test_admission_equals_a_counter_per_window(spark, permits):
     rng = random.Random(5)
     rows = [

@@ -1,9 +1,11 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from packetflow import schemas
 from packetflow.operators import ingest, outbox, relay
+from packetflow.streaming.relay import StoredOutbox
 
 NOW = 1_000_000
 
@@ -110,8 +112,41 @@ def test_failed_send_leaves_rows_pending(spark):
 def test_rows_without_topic_are_reported_and_stay(spark):
     rows = stored(added(spark, 1).withColumn("topic", F.lit("  ")))
     tick = relay.relay_tick(rows, NOW)
-    assert tick.messages.first()["error"] == "blank topic"
+    assert tick.messages.count() == 0
+    assert tick.errors.first()["error"] == "blank topic"
     assert tick.outbox.first()["is_processed"] == 0
+    both = rows.unionByName(stored(added(spark, 1)).withColumns({"id": F.lit("z"), "date_timestamp_ms": F.lit(NOW)}))
+    assert [r["id"] for r in relay.relay_tick(both, NOW, limit=1).messages.collect()] == ["z"]
+
+
+def test_rows_without_a_first_field_get_ids_of_their_own(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "id string, n int")
+    ids = [r["id"] for r in outbox.outbox_rows(rows, "T", F.lit(1), fields=["id", "n"]).collect()]
+    assert len(set(ids)) == 3
+
+
+def test_stored_outbox_keeps_claims_of_a_failed_send(spark, tmp_path):
+    box = StoredOutbox(str(tmp_path / "box"), snapshot_every=4)
+    box.load(stored(added(spark, 3)))
+    sent = []
+
+    def send(messages):
+        sent.extend(r["id"] for r in messages.collect())
+
+    def fail(messages):
+        raise ConnectionError
+
+    with pytest.raises(ConnectionError):
+        box.tick(spark, 0, NOW, fail, limit=2, lease_ms=100)
+    assert box.read(spark).filter("is_processing = 1 AND is_processed = 0").count() == 2
+    box.tick(spark, 1, NOW + 50, send)  # the leases hold
+    assert len(sent) == 1
+    box.tick(spark, 2, NOW + 200, send)
+    assert len(sent) == len(set(sent)) == 3
+    box.tick(spark, 3, NOW + 300, send)
+    assert len(sent) == 3
+    assert box.read(spark).filter("is_processed = 0").count() == 0
+    assert box.versions.snapshots.only(spark, 8).count() == 0  # rows that are done leave with a snapshot
 
 
 def test_empty_outbox(spark):

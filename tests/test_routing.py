@@ -7,11 +7,11 @@ from packetflow import schemas
 from packetflow.functions import api_key_hash
 from packetflow.operators import auth, joins, routing
 
+#: A value for every field of a snapshot, by its type.
 PACKET = {
-    "transaction_id": "tx-1", "client_id": "c1", "version": 1, "source_port": 40100,
-    "dest_port": 8443, "source_ip": "10.0.0.1", "dest_ip": "10.0.0.2",
-    "source_mac": "aa", "dest_mac": "bb", "proto": "UDP",
-}
+    name: f"some {name}" if kind == "STRING" else number
+    for number, (name, kind) in enumerate(field.split() for field in schemas.SNAPSHOT.split(","))
+} | {"proto": "UDP"}
 
 
 def packet(**changes):
@@ -97,7 +97,7 @@ def test_document_defaults_and_generated_ids_are_stable(spark):
     routed = routing.route(messages(spark, *values))
     docs = routing.shard_documents(routed, F.col("msg_ts_ms")).orderBy("msg_offset")
     first, second = docs.collect()
-    assert first["client_id"] == "10.0.0.1"
+    assert first["client_id"] == PACKET["source_ip"]
     assert len(first["transaction_id"]) == 64
     assert (second["version"], second["source_ip"], second["shard"]) == (0, "", "OTHER")
     assert docs.collect() == [first, second]

@@ -1,9 +1,14 @@
+import hashlib
+
+import pytest
 from pyspark.sql import functions as F
 
 from packetflow import schemas
 from packetflow.functions import PROTOCOLS
+from packetflow.operators import projection
+from packetflow.plans import fixtures
 from packetflow.session import shared_dir, spread, work_dir
-from packetflow.sources import batches
+from packetflow.sources import batches, topics
 from packetflow.sources.batches import BatchTable, SegmentedTable
 from packetflow.sources.topics import arrival
 
@@ -13,11 +18,41 @@ def test_arrival_numbers_differ_between_shards_and_partitions(spark):
         (f"pcap.{shard.lower()}.pcap.packets", part, offset, 0, None, "v", None, None)
         for shard in PROTOCOLS for part in range(5) for offset in (0, 1, 10**9)
     ]
+    rows += [(f"pcap.t{n}.pcap.packets", 1 << n % 40, 1, 0, None, "v", None, None) for n in range(300)]
     df = arrival(spark.createDataFrame(rows, schemas.TOPIC_MESSAGE))
-    assert df.select("arrival_seq").distinct().count() == len(rows)
-    one = arrival(spark.createDataFrame(rows[:3], schemas.TOPIC_MESSAGE)).collect()
-    numbers = [r["arrival_seq"] for r in one]
-    assert numbers == sorted(numbers)
+    order = [c for c in ("arrival_seq", *projection.TIES) if c in df.columns]
+    assert df.select(*order).distinct().count() == len(rows)
+    assert [r["arrival_seq"] for r in df.collect()] == [r[2] for r in rows]
+
+
+def test_sender_is_known_by_the_hash_in_a_header(spark):
+    hashed = hashlib.sha256(b"k1\n").hexdigest()
+    rows = [([("api_key", bytearray(b"k1"))],), ([("api_key_hash", bytearray(hashed.encode()))],), ([],), (None,)]
+    df = spark.createDataFrame(rows, "headers array<struct<key:string,value:binary>>")
+    got = df.select(topics._sender(F.col("headers")).alias("h"), topics.without_sender(F.col("headers")).alias("kept")).collect()
+    assert [r["h"] for r in got] == [hashed, hashed, None, None]
+    assert got[0]["kept"] == []
+
+
+def test_messages_with_an_error_are_not_sent(spark):
+    sent = spark.createDataFrame([("t", "k", "v", None, None), (" ", "k", "v", None, "blank topic")], schemas.TOPIC_RECORD + ", error string")
+    with pytest.raises(Exception, match="(?i)kafka"):  # the connector is not part of this environment
+        topics.write_kafka(sent, "localhost:1")
+
+
+def test_events_are_streamed_from_a_file_or_a_folder(spark, sf_dir, tmp_path):
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+
+    def streamed(folder, name):
+        out = str(tmp_path / name)
+        writer = fixtures.event_stream(spark, folder).writeStream.format("parquet").trigger(availableNow=True)
+        writer.option("path", out).option("checkpointLocation", out + "-cp").start().awaitTermination()
+        return spark.read.parquet(out).count()
+
+    assert streamed(sf_dir, "a") == streamed(str(tmp_path), "b") == rows.count()
+    with pytest.raises(Exception, match="(?i)does not exist|FileNotFound"):
+        fixtures.event_stream(spark, str(tmp_path / "nothing"))
 
 
 def test_batch_table_reads_what_it_should(spark, tmp_path):

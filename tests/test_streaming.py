@@ -1,5 +1,6 @@
 """Streams over several micro-batches: redelivery, replay, failure, recovery."""
 
+import hashlib
 import json
 
 import pytest
@@ -26,7 +27,7 @@ def event(tx, client="c1", version=1, proto="TCP", stored=1000, op="c"):
 
 
 def feed(spark, first, *values, clock=None):
-    rows = [(first + i, first + i, 0, v, clock or first + i) for i, v in enumerate(values)]
+    rows = [(first + i, first + i, "T", 0, v, clock or first + i) for i, v in enumerate(values)]
     return spark.createDataFrame(rows, FEED)
 
 
@@ -154,19 +155,20 @@ def packet(proto="UDP", tx="tx-1"):
 
 
 def topic(spark, *values, key="valid_api_key_1"):
-    rows = [("SnapshotTopic", 0, i, 5000 + i, f"k{i}", v, None, key) for i, v in enumerate(values)]
+    sender = hashlib.sha256(f"{key}\n".encode()).hexdigest()
+    rows = [("SnapshotTopic", 0, i, 5000 + i, f"k{i}", v, None, sender) for i, v in enumerate(values)]
     return spark.createDataFrame(rows, schemas.TOPIC_MESSAGE)
 
 
 def test_unreachable_store_replays_the_batch_without_counting(spark, tmp_path):
     source, checkpoint = str(tmp_path / "topic"), str(tmp_path / "checkpoint")
     topic(spark, packet(), "{ bad").write.parquet(source)
-    down = Router(str(tmp_path / "sink"), reachable=lambda: False)
+    down = Router(str(tmp_path / "sink"), allow_anyone=True, reachable=lambda: False)
     with pytest.raises(StreamingQueryException, match="was not delivered"):
         down.start(file_topic(spark, source), checkpoint).awaitTermination()
     with pytest.raises(TargetUnreachable):
         down.route(topic(spark, packet()), 0)
-    up = Router(str(tmp_path / "sink"))
+    up = Router(str(tmp_path / "sink"), allow_anyone=True)
     up.start(file_topic(spark, source), checkpoint).awaitTermination()
     assert up.shards.read(spark).count() == 1
     assert [r["attempts"] for r in up.retries.read(spark).collect()] == [1]
@@ -189,7 +191,7 @@ def test_routing_replay_and_refused_senders(spark, tmp_path):
 
 def test_retries_end_in_dead_letters_after_three_tries(spark, tmp_path):
     source, checkpoint = str(tmp_path / "topic"), str(tmp_path / "checkpoint")
-    router = Router(str(tmp_path / "sink"), retry_path=f"{source}/retries")
+    router = Router(str(tmp_path / "sink"), retry_path=f"{source}/retries", allow_anyone=True)
     topic(spark, packet(), "{ bad").write.parquet(f"{source}/first")
     tries = []
     for _ in range(4):
@@ -201,18 +203,53 @@ def test_retries_end_in_dead_letters_after_three_tries(spark, tmp_path):
 
 
 def test_shards_feed_the_read_model(spark, model, tmp_path):
+    router = Router(str(tmp_path / "sink"), allow_anyone=True)
+    router.create(spark)
+    router.route(topic(spark, packet("TLS", "a"), packet("udp", "b"), packet("tcp", "b")), 0)
+    for batch in (1, 2):
+        stream = shard_change_stream(spark, router.shards.path)
+        model.start(stream, str(tmp_path / "cdc")).awaitTermination()
+        # the order of the messages is that of the events: the first b stays
+        assert ledger(model, spark) == {"a": "TLS", "b": "udp", **({"d": "arp"} if batch == 2 else {})}
+        router.route(topic(spark, packet("ARP", "a"), packet("arp", "d")), 1)
+    assert counts(model, spark) == {"TLS": 1, "udp": 1, "arp": 1}
+
+
+def test_version_ties_go_to_the_earlier_batch_whatever_the_offsets(spark, model):
+    model.project(feed(spark, 1000, event("a", version=5, proto="TCP")), 0)
+    for number in range(1, 5):  # before and behind a snapshot
+        model.project(feed(spark, 5 * number, event(f"b{number}", version=5, proto="UDP")), number)
+        assert states(model, spark) == {"c1": (5, "TCP")}
+
+
+def test_new_checkpoint_on_filled_tables_changes_nothing(spark, model, tmp_path):
+    source = str(tmp_path / "feed")
+    write_files(spark, source, [feed(spark, 10 * i, event("a", version=i), event(f"t{i}", version=i)) for i in range(3)])
+    for checkpoint in ("one", "two"):
+        stream = file_topic(spark, source, FEED, max_files=1)
+        model.start(stream, str(tmp_path / checkpoint)).awaitTermination()
+        assert sorted(r["transaction_id"] for r in model.read_ledger(spark).collect()) == ["a", "t0", "t1", "t2"]
+        assert counts(model, spark) == {"TCP": 4}
+    assert last_commit(spark, model.commits) == 5
+    with pytest.raises(RuntimeError, match="another checkpoint"):
+        model.project(feed(spark, 0, event("x")), 0)
+
+
+def test_nobody_is_let_in_by_default(spark, tmp_path):
     router = Router(str(tmp_path / "sink"))
     router.create(spark)
-    router.route(topic(spark, packet("TLS", "a"), packet("udp", "b"), packet("udp", "b")), 0)
-    stream = shard_change_stream(spark, router.shards.path).select(
-        F.lit(0).cast("bigint").alias("arrival_seq"),
-        F.lit(0).cast("bigint").alias("arrival_ms"),
-        F.lit(0).cast("bigint").alias("msg_partition"),
-        "value",
-    )
-    model.start(stream, str(tmp_path / "cdc")).awaitTermination()
-    assert ledger(model, spark) == {"a": "TLS", "b": "udp"}
-    assert counts(model, spark) == {"TLS": 1, "udp": 1}
+    router.route(topic(spark, packet(), packet("TCP", "b")), 0)
+    assert router.shards.read(spark).count() == 0
+    assert router.refused.read(spark).count() == 2
+
+
+def test_hashes_of_a_table_let_senders_in(spark, tmp_path):
+    known = topic(spark, packet()).select("api_key_hash").distinct()
+    router = Router(str(tmp_path / "sink"), valid_hashes=known)
+    router.create(spark)
+    router.route(topic(spark, packet()).unionByName(topic(spark, packet("TCP", "b"), key="other")), 0)
+    assert [r["shard"] for r in router.shards.read(spark).collect()] == ["UDP"]
+    assert router.refused.read(spark).count() == 1
 
 
 def test_relay_stream_publishes_each_row_once(spark, tmp_path):
