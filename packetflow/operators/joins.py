@@ -7,9 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from packetflow.session import prepare
+
 #: Above this many keys a set is not broadcast (100,000 hashes of 64 characters are about 10 MB).
 MAX_BROADCAST_KEYS = 100_000
 
+#: Up to this many keys are named in the filter of the scan that looks for them.
+MAX_PUSHED_KEYS = 1_000
+
 #: Pieces a key of the large side is cut into where one key may hold much of the data.
 SALTS = 32
 
@@ -66,10 +71,16 @@ def without_stored(
     """Rows of ``batch`` whose ``key`` is not stored yet. ``batch`` holds each key once.
 
     With a known small ``batch_rows`` the stored side is first cut down to the keys of the batch by
-    a broadcast, so the large table is scanned for one column and never shuffled. Otherwise both
-    sides are shuffled by the key, which is unique on both and therefore even.
+    a broadcast, so the large table is scanned for one column and never shuffled; very few keys are
+    pushed to the scan, where statistics and bloom filters skip what can not hold them. Otherwise
+    both sides are shuffled by the key, which is unique on both and therefore even.
     """
     stored_keys = stored.select(key)
+    if batch_rows is not None and batch_rows <= min(MAX_PUSHED_KEYS, max_broadcast):
+        prepare(batch.sparkSession)
+        wanted = [row[0] for row in batch.select(key).limit(MAX_PUSHED_KEYS + 1).collect()]
+        if len(wanted) <= MAX_PUSHED_KEYS:
+            stored_keys = stored_keys.filter(F.col(key).isin(wanted))
     if batch_rows is not None and batch_rows <= max_broadcast:
         stored_keys = stored_keys.join(F.broadcast(batch.select(key)), key, "left_semi")
     return batch.join(stored_keys, key, "left_anti")

@@ -15,6 +15,11 @@ from packetflow.operators import auth, routing
 from packetflow.session import spread
 from packetflow.sources.batches import BatchTable, commit_log, write_commit
 from packetflow.sources.shards import shard_table
+from packetflow.sources.topics import HASH_HEADER
+
+
+#: Messages of a micro-batch that are worth a task of their own when they are written.
+ROWS_PER_TASK = 200_000
 
 
 class TargetUnreachable(RuntimeError):
@@ -32,6 +37,10 @@ class Router:
 
     Senders are known by the hashes of their keys: of ``valid_keys``, or a table of hashes. With
     neither, nobody is, unless ``allow_anyone`` says that there is no authentication.
+
+    With ``publish``, such as a :func:`packetflow.sources.topics.write_kafka` to its servers, retries
+    and dead letters are sent to their topics instead of written to folders; a retry carries the
+    hash of its sender in a header.
     """
 
     root: str
@@ -43,6 +52,7 @@ class Router:
     max_attempts: int = routing.MAX_ATTEMPTS
     main_topic: str = routing.MAIN_TOPIC
     reachable: Callable[[], bool] = lambda: True
+    publish: Callable[[DataFrame], None] | None = None
 
     @property
     def shards(self) -> BatchTable:
@@ -82,12 +92,19 @@ class Router:
             accepted = self._admitted(checked, batch_id)
             routed = routing.route(accepted, self.down_shards)
             routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+            rows = routed.count()
+            # a task writes a file for each shard it has: no more tasks than rows are worth
+            tasks = max(1, -(-rows // ROWS_PER_TASK))
             documents = routing.shard_documents(routed, F.col("msg_ts_ms"), self.down_shards)
-            self.shards.write(documents, batch_id)
-            dead = routing.dead_letters(routed, max_attempts=self.max_attempts)
-            self.dead_letters.write(dead, batch_id)
-            self.retries.write(self._resent(routed), batch_id)
-            write_commit(spark, self.commits, batch_id, routed.count())
+            self.shards.write(documents.coalesce(tasks), batch_id)
+            dead = routing.dead_letters(routed, max_attempts=self.max_attempts).coalesce(tasks)
+            if self.publish:
+                again = routing.retry_messages(routed, self.main_topic, self.max_attempts)
+                self.publish(self._sendable(again.unionByName(dead)))
+            else:
+                self.dead_letters.write(dead, batch_id)
+                self.retries.write(self._resent(routed).coalesce(tasks), batch_id)
+            write_commit(spark, self.commits, batch_id, rows)
         finally:
             routed.unpersist()
             checked.unpersist()
@@ -105,6 +122,16 @@ class Router:
         self.refused.write(auth.rejected(messages, *known), batch_id)
         return auth.accepted(messages, *known)
 
+    def _sendable(self, messages: DataFrame) -> DataFrame:
+        sender = F.struct(
+            F.lit(HASH_HEADER).alias("key"),
+            F.col("origin_api_key_hash").cast("binary").alias("value"),
+        )
+        known = F.when(F.col("origin_api_key_hash").isNull(), F.col("headers")).otherwise(
+            F.concat("headers", F.array(sender))
+        )
+        return messages.select("topic", "key", "value", known.alias("headers"))
+
     def _resent(self, routed: DataFrame) -> DataFrame:
         """Retries as topic rows, under the coordinates of the message they repeat.
 
