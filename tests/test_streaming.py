@@ -268,3 +268,27 @@ def test_relay_stream_publishes_each_row_once(spark, tmp_path):
     sent = published_table(str(tmp_path / "out")).read(spark)
     payloads = sorted(json.loads(r["value"])["Payload"] for r in sent.collect())
     assert payloads == ['{"id":"a"}', '{"id":"b"}', '{"id":"c"}']
+
+
+def test_retries_and_dead_letters_are_published_where_a_topic_is_given(spark, tmp_path):
+    sent = []
+    router = Router(str(tmp_path / "sink"), allow_anyone=True, max_attempts=2, publish=lambda m: sent.extend(m.collect()))
+    router.create(spark)
+    tried = [("attempts", bytearray(b"1"))]
+    batch = topic(spark, "{ bad", packet()).unionByName(
+        spark.createDataFrame([("SnapshotTopic", 0, 9, 1, "k9", "{ bad", tried, None)], schemas.TOPIC_MESSAGE)
+    )
+    router.route(batch, 0)
+    assert sorted((r["topic"], r["key"], [h["key"] for h in r["headers"]]) for r in sent) == [
+        ("SnapshotTopic", "k0", ["attempts", "api_key_hash"]),
+        ("deadletter", "k9", ["attempts", "x-failure-reason"]),
+    ]
+    assert router.retries.read(spark).count() == router.dead_letters.read(spark).count() == 0
+
+
+def test_a_small_batch_writes_few_files(spark, tmp_path):
+    router = Router(str(tmp_path / "sink"), allow_anyone=True)
+    router.create(spark)
+    kinds = ["UDP", "TCP", "ARP", "TLS", "x"]
+    router.route(topic(spark, *[packet(kinds[i % 5], f"t{i}") for i in range(100)]).repartition(16), 0)
+    assert len(list((tmp_path / "sink" / "shards").rglob("*.parquet"))) == 5
