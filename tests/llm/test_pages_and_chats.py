@@ -146,3 +146,9 @@ def test_swapped_replies(spark):
     chosen, rejected = preferences.swapped_replies(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     assert sorted(map(tuple, chosen.collect())) == [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (1, 0, "assistant", "d")]
     assert sorted(map(tuple, rejected.collect())) == [(0, 0, "user", "a"), (0, 1, "assistant", "d"), (1, 0, "assistant", "b")]
+
+
+def test_query_equals_sql(spark, sf_dir):
+    import oracle_check
+
+    assert oracle_check.compare(spark, oracle_check.connect(sf_dir), "op9_preferences", sf_dir) is None
