@@ -33,7 +33,7 @@ def whole_turns(turns: DataFrame, key: str) -> DataFrame:
 
 
 def preference_segments(
-    chosen: DataFrame, rejected: DataFrame, trained_role: str = "assistant"
+    chosen: DataFrame, rejected: DataFrame, trained_role: str = "assistant", unique: bool = False
 ) -> DataFrame:
     """Both sides as rendered turns: ``pair_id, part, turn, role, rendered, trained_from, prompt_end``.
 
@@ -43,16 +43,23 @@ def preference_segments(
     of ``trained_role`` in a completion the loss counts from character ``trained_from`` of
     ``rendered`` to its end; null: it does not count. ``prompt_end`` is the first turn that
     differs, null if none does. A pair with one side only has no preference and no rows. Repeated
-    turns, nulls: see :func:`whole_turns`.
+    turns, nulls: see :func:`whole_turns`; ``unique`` says that both sides come from there.
+
+    Turns are compared by digest, so texts are moved once for each side, to meet the end of the
+    prompt of their pair.
     """
-    sides = [
-        whole_turns(side, "pair_id").withColumn("side", F.lit(number))
-        for number, side in enumerate((chosen, rejected))
-    ]
+    if not unique:
+        chosen, rejected = (whole_turns(side, "pair_id") for side in (chosen, rejected))
+    said = F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text")
+    digest = F.unhex(F.sha2(said, 256))
 
     def of_side(number: int) -> Column:
-        return F.min(F.when(F.col("side") == number, F.struct("role", "text")))
+        return F.min(F.when(F.col("side") == number, F.col("digest")))
 
+    sides = [
+        side.select("pair_id", "turn", digest.alias("digest"), F.lit(number).alias("side"))
+        for number, side in enumerate((chosen, rejected))
+    ]
     laid = (
         sides[0].unionByName(sides[1]).groupBy("pair_id", "turn")
         .agg(of_side(0).alias("chosen"), of_side(1).alias("rejected"))
@@ -66,29 +73,20 @@ def preference_segments(
         )
         .filter("__chosen > 0 AND __rejected > 0").drop("__chosen", "__rejected")
     )
-    in_prompt = F.col("prompt_end").isNull() | (F.col("turn") < F.col("prompt_end"))
-    said = F.when(in_prompt, F.array(_part("prompt", "chosen"))).otherwise(
-        F.array(_part("chosen", "chosen"), _part("rejected", "rejected"))
-    )
-    head = F.concat(F.lit(HEAD), F.col("said.role"), F.lit("\n"))
-    trained = (F.col("said.part") != "prompt") & (F.col("said.role") == trained_role)
-    return (
-        laid.join(ends, "pair_id")
-        .select("pair_id", "turn", "prompt_end", F.explode(said).alias("said"))
-        .filter("said.role IS NOT NULL")
-        .select(
-            "pair_id", "said.part", "turn", "said.role",
-            F.concat(head, F.col("said.text"), F.lit(TAIL)).alias("rendered"),
-            F.when(trained, F.length(head)).cast("long").alias("trained_from"),
-            "prompt_end",
-        )
+    after = F.coalesce(F.col("turn") >= F.col("prompt_end"), F.lit(False))
+    part = F.when(after, "chosen").otherwise("prompt")
+    parts = (
+        chosen.join(ends, "pair_id").withColumn("part", part)
+        .unionByName(rejected.join(ends, "pair_id").filter(after).withColumn("part", F.lit("rejected")))
+    )
+    head = F.concat(F.lit(HEAD), F.col("role"), F.lit("\n"))
+    trained = (F.col("part") != "prompt") & (F.col("role") == trained_role)
+    return parts.select(
+        "pair_id", "part", "turn", "role",
+        F.concat(head, F.col("text"), F.lit(TAIL)).alias("rendered"),
+        F.when(trained, F.length(head)).cast("long").alias("trained_from"),
+        "prompt_end",
     )
-
-
-def _part(name: str, side: str) -> Column:
-    return F.struct(
-        F.lit(name).alias("part"), F.col(f"{side}.role").alias("role"), F.col(f"{side}.text").alias("text")
-    )
 
 
 def preference_rows(segments: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preferences.swapped_replies(table(spark, sf_dir, "conversations"))
-    return preferences.preference_segments(*pairs)
+    return preferences.preference_segments(*pairs, unique=True)
 
 
 def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
