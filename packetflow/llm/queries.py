@@ -72,7 +72,7 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard_join.linked_documents(docs)
+    return jaccard_join.linked_documents(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def op9_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +100,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op8_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents
+        ),
+        grams AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS gram
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i
+                  FROM words WHERE len(ws) > 0)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+            FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+            GROUP BY ALL
+        ),
+        links AS (
+            SELECT x, y FROM shared
+            JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+            WHERE 100 * o >= 80 * (a.n + b.n - o)
+        ),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT reached.doc_id, links.y FROM reached JOIN links ON links.x = reached.other
+        )
+        SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+        FROM words w LEFT JOIN sizes s USING (doc_id)
+        JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r
+            USING (doc_id)
+    """,
     "op9_preferences": """
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text

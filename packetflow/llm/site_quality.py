@@ -169,12 +169,12 @@ def site_posteriors(evidence: DataFrame) -> DataFrame:
     return result.checkpoint()
 
 
-def _posterior(text_score: str, site_weight: float) -> Column:
+def _posterior(text_score: str, site_weight: float, before: str = "") -> Column:
     def logit(p: Column) -> Column:
         p = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
         return F.log(p / (1 - p))
 
-    moved = logit(F.col("site_score")) - logit(F.col("global_score"))
+    moved = logit(F.col(before + "site_score")) - logit(F.col(before + "global_score"))
     return 1 / (1 + F.exp(-(logit(F.col(text_score)) + site_weight * moved)))
 
 
@@ -219,9 +219,10 @@ def kept_documents(
     rows = docs.select(host.alias("host"), path.alias("path"), "text")
     evidence = with_evidence(rows, model, ["host", "path"])
     sites = site_posteriors(evidence)
+    sites = sites.withColumnsRenamed({c: f"__{c}" for c in ("site_score", "global_score")})
     marked = with_evidence(
         docs.withColumn("__path", path), model, [*docs.columns, "__path"], target="__text_score"
     )
     found = _join_sites(marked, sites, "__path", ["__text_score", "text"], broadcast_paths)
-    kept = found.filter(_posterior("__text_score", site_weight) >= keep_from)
+    kept = found.filter(_posterior("__text_score", site_weight, "__") >= keep_from)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,10 +1,12 @@
 import itertools
 import random
 
+import oracle_check
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from packetflow.llm import extraction, preferences
+from packetflow.llm import extraction, preferences, queries
 from packetflow.llm.extraction import Weights, best_run, main_text
 
 PLAIN = Weights({})
@@ -148,7 +150,6 @@ def test_swapped_replies(spark):
     assert sorted(map(tuple, rejected.collect())) == [(0, 0, "user", "a"), (0, 1, "assistant", "d"), (1, 0, "assistant", "b")]
 
 
-def test_query_equals_sql(spark, sf_dir):
-    import oracle_check
-
-    assert oracle_check.compare(spark, oracle_check.connect(sf_dir), "op9_preferences", sf_dir) is None
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_equals_sql(spark, sf_dir, name):
+    assert oracle_check.compare(spark, oracle_check.connect(sf_dir), name, sf_dir) is None

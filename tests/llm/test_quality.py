@@ -78,10 +78,11 @@ def corpus(spark, number=240):
             lines = [" ".join(w + rng.choice(["***", "$$$", "|"]) for w in line.split()) for line in lines]
             if i % 8 == 0:
                 lines = [line.upper() + "!!" for line in lines]
-        rows.append((i, "\n".join(lines), f"site{i % 7}", i))
+        rows.append((i, "\n".join(lines), f"site{i % 7}", i, 0.0))
         if i % 3:
             labels.append((i, 0 if bad else 1, 0))
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, label int").repartition(3)
+    schema = "doc_id long, text string, source string, label int, site_score double"
+    docs = spark.createDataFrame(rows, schema).repartition(3)
     return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
