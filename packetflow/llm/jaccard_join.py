@@ -41,7 +41,8 @@ from packetflow.llm.common import (
     window_starts,
 )
 from packetflow.llm.components import components
-from packetflow.session import work_dir
+from packetflow.operators.joins import in_key_set
+from packetflow.session import shared_dir, work_dir
 
 #: N-grams of the sets in one task of the join; a larger group is cut into blocks.
 TASK_NGRAMS = 4_000_000
@@ -374,16 +375,15 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFra
     Rows that repeat an id are linked or not by their texts; of those that carry the kept id one
     stays for each component. Rows without an id are kept, since no result can name them.
     """
-    kept = (
-        linked_documents(docs, width, threshold)
-        .filter("doc_id = component_id")
-        .groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows"))
-    )
-    found = docs.join(kept, F.col("doc_id") == F.col("__kept"))
-    single = found.filter("__rows = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    shared_dir(docs.sparkSession)
+    found = linked_documents(docs, width, threshold).select("doc_id", "component_id").checkpoint()
+    # few ids go, and few are repeated: the texts of the others are not moved
+    repeated = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    gone = found.filter("component_id <> doc_id").select("doc_id").unionByName(repeated)
+    single = in_key_set(docs, gone, "doc_id", ["text"], keep_members=False)
+    first = found.filter("doc_id = component_id").join(repeated, "doc_id").select("doc_id")
+    several = in_key_set(docs, first, "doc_id", ["text"])
     window = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.col("text"))
-    repeated = (
-        found.filter("__rows > 1").withColumn("__number", F.row_number().over(window))
-        .filter("__number = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
-    return single.unionByName(repeated).unionByName(docs.filter("doc_id IS NULL"))
+    several = several.withColumn("__number", F.row_number().over(window)).filter("__number = 1")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return single.select(*columns).unionByName(several.select(*columns))
