@@ -122,12 +122,24 @@ def deltas_after(merged: int, upto: int) -> list[int]:
     return list(range(merged + 1 if merged > 0 else 0, upto + 1))
 
 
+def segment_ends(upto: int, every: int, after: int = 0) -> list[int]:
+    """The segments that together hold the batches merged at ``upto``, without those to ``after``."""
+    ends = []
+    while upto > after:
+        ends.append(upto)
+        number = upto // every
+        upto -= (number & -number) * every
+    return ends
+
+
 @dataclass(frozen=True)
 class SegmentedTable:
     """A growing table: every so many batches, their folders are merged into one segment.
 
-    Rows are written twice at most, and a reader opens one folder per segment and fewer than
-    ``every`` deltas.
+    Segments are merged with each other as the digits of a binary counter are carried: the one that
+    ends with merge n replaces as many merges as the lowest bit of n counts. Which ones a reader
+    needs follows from the batch number alone. It opens as many as that number has bits, and fewer
+    than ``every`` deltas; a row is written again once for each bit.
     """
 
     deltas: BatchTable
@@ -152,17 +164,20 @@ class SegmentedTable:
         """Write the rows of a batch and, when it is due, the segment that ends with it."""
         self.deltas.write(rows, batch_id)
         if batch_id > 0 and batch_id % self.every == 0:
-            recent = deltas_after(batch_id - self.every, batch_id)
-            merged = self.deltas.batches(rows.sparkSession, recent)
-            self.segments.write(merged.drop("batch_id"), batch_id)
+            spark = rows.sparkSession
+            before = batch_id - self.every
+            number = batch_id // self.every
+            first = batch_id - (number & -number) * self.every
+            merged = self.deltas.batches(spark, deltas_after(before, batch_id))
+            carried = self.segments.batches(spark, segment_ends(before, self.every, first))
+            self.segments.write(merged.unionByName(carried).drop("batch_id"), batch_id)
 
     def upto(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """All rows of the batches up to this one."""
         merged = last_multiple(batch_id, self.every)
         deltas = self.deltas.batches(spark, deltas_after(merged, batch_id))
-        if merged == 0:
-            return deltas.drop("batch_id")
-        return self.segments.upto(spark, merged).unionByName(deltas).drop("batch_id")
+        segments = self.segments.batches(spark, segment_ends(merged, self.every))
+        return segments.unionByName(deltas).drop("batch_id")
 
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return self.upto(spark, batch_id - 1)

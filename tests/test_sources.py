@@ -87,7 +87,7 @@ def test_segments_hold_every_row_once_at_any_batch(spark, tmp_path):
     table = SegmentedTable.at(str(tmp_path / "seg"), "n BIGINT", every=2)
     table.create(spark)
     assert table.upto(spark, -1).count() == 0
-    for batch in range(6):
+    for batch in range(10):
         rows = spark.createDataFrame([(batch,)], "n BIGINT")
         for _ in range(2):  # written, and replayed
             table.write(rows, batch)
@@ -96,6 +96,15 @@ def test_segments_hold_every_row_once_at_any_batch(spark, tmp_path):
         assert [r["n"] for r in table.only(spark, batch).collect()] == [batch]
 
 
+def test_segments_are_as_many_as_the_bits_of_their_number():
+    for number in range(1, 300):
+        ends = batches.segment_ends(number * 50, 50)
+        assert len(ends) == number.bit_count() and ends[0] == number * 50
+        held = [(end, (end // 50 & -(end // 50)) * 50) for end in ends]
+        assert sum(size for _, size in held) == number * 50
+        assert all(end - size == later for (end, size), (later, _) in zip(held, [*held[1:], (0, 0)], strict=True))
+
+
 def test_commits_are_kept_for_a_while(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(batches, "COMMITS_KEPT", 2)
     log = batches.commit_log(str(tmp_path))
