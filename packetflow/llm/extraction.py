@@ -42,6 +42,12 @@ NOISE_WORDS = frozenset(
     "newsletter notice notices pager pagination popup promo promotion related replies respond search "
     "share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Beginnings of such words, and words that do so only outside a marked article.
+NOISE_STEMS = (
+    "advert", "breadcrumb", "comment", "cookie", "navigation", "newsletter", "promo", "sidebar",
+    "sponsor",
+)
+OUTER_NOISE_WORDS = frozenset("header masthead topbar".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -82,14 +88,14 @@ def tokens(page: str) -> list[Token]:
             continue
         if found["end"] or found["end2"]:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            key = name
+            key, noise = name, False
             if at is not None:
-                key = stack[at][1]
+                key, noise = stack[at][1:]
                 marked -= sum(1 for e, _, _ in stack[at:] if e in ("article", "main"))
                 del stack[at:]
             if name in BLOCKS:
                 block += 1
-            result.append(Token("/" + key, 0, "", block, False, marked > 0))
+            result.append(Token("/" + key, 0, "", block, noise, marked > 0))
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, place)
@@ -110,8 +116,11 @@ def tokens(page: str) -> list[Token]:
         attributes = found["rest"] or found["rest2"] or ""
         labels = ["".join(m[1:]) for m in _NAMES.findall(attributes)]
         parts = {p for label in labels for p in _PART.split(label.lower()) if p}
-        noise = name in NOISE_ELEMENTS or bool(parts & NOISE_WORDS) and name not in ("body", "html")
-        noise = noise or (name == "header" and not marked)
+        noise = name in NOISE_ELEMENTS or bool(parts & NOISE_WORDS)
+        noise = noise or any(p.startswith(NOISE_STEMS) for p in parts)
+        if not marked:
+            noise = noise or name == "header" or bool(parts & OUTER_NOISE_WORDS)
+        noise = noise and name not in ("body", "html", "article", "main")
         inherited = bool(stack) and stack[-1][2]
         key = name + "".join(f".{p}" for p in sorted(parts)[:1])
         if name not in BLOCKS and name != "a" and not noise:
@@ -120,7 +129,7 @@ def tokens(page: str) -> list[Token]:
             key = stack[-1][1]
         if name in ("article", "main") and not (noise or inherited):
             marked += 1
-        result.append(Token(key or name, 0, "", block, False, marked > 0))
+        result.append(Token(key or name, 0, "", block, noise or inherited, marked > 0))
         if name not in VOID:
             stack.append((name, key, noise or inherited))
     return result
@@ -173,10 +182,12 @@ class Weights:
     def of(self, token: Token) -> float:
         if not token.words and token.key.startswith("text "):
             return 0.0
+        if token.noise and token.marked:
+            return 0.0  # it is left out, and an insertion in an article does not part it
         if token.words:
             usual = self.NOISE_WORD if token.noise else self.known.get(token.key, self.WORD)
             usual = min(usual, -0.1) if token.noise else usual
-            # what is left out anyway parts an article only where little stands on one side of it
+            # what is left out anyway parts a text only where little stands on one side of it
             return max(token.words * usual, -self.MOST_AGAINST) if usual < 0 else token.words * usual
         return self.known.get(token.key, self.TAG)
 

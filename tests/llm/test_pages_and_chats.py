@@ -50,11 +50,26 @@ def test_articles_are_extracted_also_where_nothing_marks_them(spark):
 
 def test_what_is_left_out_inside():
     html = (
-        "<article><h1>A &amp; B</h1><p>One\n two&nbsp;&#233; and several more words.<aside>Side words here</aside></p>"
+        "<article><h1>A &amp; B</h1><p>One\n two&nbsp;&#233;.<aside>Side words here</aside></p>"
         "<form>Your name <input></form><p>Three <b>four</b>five<br>six &lt;p&gt; 1 < 2</p>"
         "<div class='comments'><p>First! Very nice indeed.</p></div><style>p {}</style><!-- no --></article>"
     )
-    assert main_text(html, PLAIN) == "A & B\nOne two é and several more words.\nThree fourfive six <p> 1 < 2"
+    assert main_text(html, PLAIN) == "A & B\nOne two é.\nThree fourfive six <p> 1 < 2"
+
+
+def test_inserts_are_known_by_their_names():
+    inserts = [
+        "<section id='comments'><h3>Readers say</h3><p>Very good indeed.</p></section>",
+        "<ol class=commentlist><li>First one here</li></ol>",
+        '<div class="cookie-notice">We use cookies</div>', "<div class='Sidebar left'><p>Other news of today</p></div>",
+        '<div role="navigation"><a href="/">Home</a></div>', "<footer>All rights</footer>", "<select><option>One</select>",
+    ]
+    rng = random.Random(2)
+    for _ in range(30):
+        blocks = [" ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(5, 30))) for _ in range(5)]
+        body = "".join(f"<p>{b}</p>" + rng.choice(["", rng.choice(inserts)]) for b in blocks)
+        html = f"<header class=top><b>Site name</b></header><article class='post comments-open'>{body}</article>{inserts[0]}"
+        assert main_text(html, PLAIN) == "\n".join(blocks)
 
 
 def test_odd_pages(spark):
