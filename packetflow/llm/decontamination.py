@@ -135,7 +135,7 @@ def find_items(text: pa.Array, items: Items, coverage: float) -> Iterator[tuple]
     for (number, item), starts in sorted(hits.items()):
         wanted = items.words[item]
         width = min(items.min_match, len(wanted))
-        if len(starts) + width - 1 < coverage * len(wanted) and len(starts) * width < coverage * len(wanted):
+        if len(starts) * width < coverage * len(wanted):
             continue
         # only words under a seed can be under a tile; what lies between the runs is cut out
         under = np.zeros(int(offsets[number + 1] - offsets[number]) + 1, bool)

@@ -129,7 +129,7 @@ _SHARED_SQL = "shard int, sets binary, sizes binary, grams binary, df binary"
 
 
 def _shared(bits: int):
-    """Of one shard: n-grams of two or more different sets, with their number, by shard of the set."""
+    """Of one shard: n-grams of two or more sets, with their number, by shard of the set."""
 
     def shared(group: pa.Table) -> pa.Table:
         counts = joined(group.column("counts"), np.uint32)
@@ -308,9 +308,8 @@ def _tasks(alive: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
     own = F.pmod(F.xxhash64("set"), blocks)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = groups.join(load, "component").withColumn("blocks", blocks).withColumn("own", own)
-    keys = placed.withColumn("other", other).select(
-        "set", F.struct("component", F.least("own", "other"), F.greatest("own", "other")).alias("task")
-    )
+    pair = F.struct("component", F.least("own", "other"), F.greatest("own", "other"))
+    keys = placed.withColumn("other", other).select("set", pair.alias("task"))
     return alive.join(keys, "set")
 
 
@@ -346,10 +345,8 @@ def linked_documents(
     tasks = _tasks(alive.drop("prefix"), groups, task_ngrams)
     links = grouped_arrow(tasks, "task", _join(threshold), "left long, right long").checkpoint()
     classes = components(links, "left", "right")
-    degrees = (
-        links.select(F.col("left").alias("set")).unionByName(links.select(F.col("right").alias("set")))
-        .groupBy("set").agg(F.count("*").alias("n_links"))
-    )
+    ends = [links.select(F.col(side).alias("set")) for side in ("left", "right")]
+    degrees = ends[0].unionByName(ends[1]).groupBy("set").agg(F.count("*").alias("n_links"))
     smallest = members.groupBy("set").agg(F.min("doc_id").alias("first"))
     named = smallest.join(classes.select(F.col("node").alias("set"), "component"), "set", "left")
     named = named.withColumn("component", F.coalesce("component", "set"))

@@ -128,7 +128,9 @@ class Model:
     allowed: np.ndarray  # of each script and language
 
 
-def train(docs: DataFrame, lang: str = "lang", text: str = "text", size: int = SAMPLE_DOCUMENTS) -> Model:
+def train(
+    docs: DataFrame, lang: str = "lang", text: str = "text", size: int = SAMPLE_DOCUMENTS
+) -> Model:
     """Learn from rows with a language: of each language about ``size``, all if there are fewer.
 
     Which ones does not depend on the order of rows: a hash of the id decides. Counts are summed in
@@ -136,12 +138,15 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", size: int = S
     """
     rows = docs.select("doc_id", F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    there = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES + 1).collect()
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    there = counted.limit(LANGUAGES + 1).collect()
     if len(there) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages: the column does not name languages")
     if not there:
         return Model((), np.zeros((SLOTS, 0), np.float32), np.zeros((len(NAMES), 0), bool))
-    parts = F.create_map(*[F.lit(x) for r in there for x in (r["lang"], min(1.0, size / r["count"]))])
+    parts = F.create_map(
+        *[F.lit(x) for r in there for x in (r["lang"], min(1.0, size / r["count"]))]
+    )
     draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1_000_000)) / 1_000_000
     sample = rows.filter(draw < parts[F.col("lang")]).select("lang", "text")
     counts = (
@@ -179,7 +184,9 @@ def word_scores(words: pa.Array, model: Model) -> np.ndarray:
     return scores - scores.max(axis=1, keepdims=True, initial=-np.inf)
 
 
-def best_paths(codes: np.ndarray, offsets: np.ndarray, scores: np.ndarray, switch: float) -> np.ndarray:
+def best_paths(
+    codes: np.ndarray, offsets: np.ndarray, scores: np.ndarray, switch: float
+) -> np.ndarray:
     """The language of each word on the best path of its text; texts go side by side.
 
     Of languages that are equally good the one of lower number is taken.
@@ -212,7 +219,9 @@ def best_paths(codes: np.ndarray, offsets: np.ndarray, scores: np.ndarray, switc
     return labels
 
 
-def label_texts(text: pa.Array, model: Model, switch: float) -> tuple[np.ndarray, np.ndarray, Tokens, np.ndarray]:
+def label_texts(
+    text: pa.Array, model: Model, switch: float
+) -> tuple[np.ndarray, np.ndarray, Tokens, np.ndarray]:
     """Number of the language of each text (-1: none), its share, the words and their labels."""
     found = letter_words(text)
     rows, width = len(found.offsets) - 1, len(model.languages)

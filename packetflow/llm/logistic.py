@@ -12,7 +12,9 @@ class Logistic:
         self.mean, self.scale, self.weights = mean, scale, weights
 
     @classmethod
-    def fit(cls, rows: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> Logistic:
+    def fit(
+        cls, rows: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 25
+    ) -> Logistic:
         """``target`` may be a probability. Without rows the chance of both labels is even."""
         width = rows.shape[1]
         if not len(rows):

@@ -179,7 +179,11 @@ def _merge_pairs(folder: str, bits: int):
         shards = (kinds >> np.uint64(64 - bits)).astype(np.int32)
         for target, members in by_shard(shards):
             rows.append(
-                {"shard": target, "word": _packed(kinds[members]), "stats": stats[members].tobytes()}
+                {
+                    "shard": target,
+                    "word": _packed(kinds[members]),
+                    "stats": stats[members].tobytes(),
+                }
             )
         for i in range(1, 5):
             rows[0][f"n{i}"] = int((counts == i).sum())
@@ -337,7 +341,9 @@ def _score(model: Model, names: list[str]):
     return score
 
 
-def score_documents(docs: DataFrame, model: Model, text: str = "text", keep: tuple[Column, ...] = ()) -> DataFrame:
+def score_documents(
+    docs: DataFrame, model: Model, text: str = "text", keep: tuple[Column, ...] = ()
+) -> DataFrame:
     """``keep``, then ``n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     Lower-cased words and one end are the tokens of a text; null is the empty text, whose only

@@ -79,7 +79,7 @@ class Encoder:
             and before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
-            and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+            and not any(model.get(k) for k in _OPTIONS)
             and described.get("normalizer") is None
         )
         if not plain:
@@ -122,7 +122,8 @@ class Encoder:
             return units[i][1:] if units[i][:1] == FIRST else " " + units[i]
 
         if fast:
-            ids = self.merger.encode_to_numpy(BETWEEN.join(map(spelled, fast)) + BETWEEN, disallowed_special=())
+            together = BETWEEN.join(map(spelled, fast)) + BETWEEN
+            ids = self.merger.encode_to_numpy(together, disallowed_special=())
             ends = np.flatnonzero(ids == self.between[0])
             if len(self.between) == 1 and len(ends) == len(fast):
                 begin = 0
@@ -167,6 +168,9 @@ class Encoder:
         return ids, offsets
 
 
+#: What would change how a tokenizer merges.
+_OPTIONS = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+
 #: Letters on whose kind all Unicode tables agree; words of other ones go to the tokenizer itself.
 _WESTERN = re.compile(r"[\x01-\u024f]*\Z").match
 
@@ -178,7 +182,8 @@ def _pieces(path: str, size: int, end: int, text: str, names: list[str], with_id
         encoder, number = Encoder.of(path), 0
         for chunk in chunks(batches, column=text):
             ids, offsets = encoder.encode(chunk.column(text))
-            rows, columns = [], {c: [] for c in ("start", "length", "ids_crc32", "doc_tokens", "spot")}
+            names_of = ("start", "length", "ids_crc32", "doc_tokens", "spot")
+            rows, columns = [], {c: [] for c in names_of}
             packed = []
             for row, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
                 own = ids[a:b].tobytes() + last
@@ -195,7 +200,8 @@ def _pieces(path: str, size: int, end: int, text: str, names: list[str], with_id
                     if with_ids:
                         packed.append(np.frombuffer(piece, np.uint32).astype(np.int32))
             kept = chunk.select(names).take(pa.array(rows, pa.int64())) if names else None
-            arrays = (kept.columns if kept else []) + [pa.array(v, pa.int64()) for v in columns.values()]
+            arrays = kept.columns if kept else []
+            arrays = arrays + [pa.array(v, pa.int64()) for v in columns.values()]
             labels = names + list(columns)
             if with_ids:
                 arrays.append(pa.array(packed, pa.list_(pa.int32())))
@@ -277,7 +283,8 @@ def patterns(histogram: Mapping[int, int], capacity: int) -> list[tuple[dict[int
         for j in np.flatnonzero(times > 0):
             key = tuple((classes[i], int(columns[i, j])) for i in np.flatnonzero(columns[:, j]))
             used[key] += int(times[j])
-        for pattern in _best_fit({k: round(n) for k, n in zip(classes, left, strict=True)}, capacity):
+        rest = {k: round(n) for k, n in zip(classes, left, strict=True)}
+        for pattern in _best_fit(rest, capacity):
             used[pattern] += 1
     return [(dict(pattern), times) for pattern, times in sorted(used.items())]
 
@@ -327,12 +334,15 @@ def assign(cut: DataFrame, size: int = 2048) -> DataFrame:
         places(patterns(histogram, size // grain)),
         "__class int, __from long, __to long, __each long, __first long",
     )
-    before = Window.partitionBy("__class").orderBy("__spread").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("__class", "__spread", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__begin"))
-    within = Window.partitionBy("__class", "__spread").orderBy("doc_id", "start", "ids_crc32", "spot")
+    groups = ["__class", "__spread"]
+    earlier = (Window.unboundedPreceding, -1)
+    before = Window.partitionBy("__class").orderBy("__spread").rowsBetween(*earlier)
+    begin = F.coalesce(F.sum("__n").over(before), F.lit(0))
+    begins = counts.select(*groups, begin.alias("__begin"))
+    within = Window.partitionBy(*groups).orderBy("doc_id", "start", "ids_crc32", "spot")
     ranked = (
         sized.withColumn("__row", F.row_number().over(within) - 1)
-        .join(begins, ["__class", "__spread"])
+        .join(begins, groups)
         .withColumn("__rank", F.col("__row") + F.col("__begin"))
     )
     inside = (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to"))
@@ -342,12 +352,13 @@ def assign(cut: DataFrame, size: int = 2048) -> DataFrame:
     sequence = F.col("__first") + F.floor((F.col("__rank") - F.col("__from")) / F.col("__each"))
     ahead = (
         Window.partitionBy("sequence_id").orderBy(F.desc("length"), "__rank")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .rowsBetween(*earlier)
     )
+    kept = [F.col(f"r.{c}").alias(c) for c in cut.columns if c != "spot"]
     return (
         placed.withColumn("sequence_id", sequence)
         .withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0)))
-        .select(*[F.col(f"r.{c}").alias(c) for c in cut.columns if c != "spot"], "sequence_id", "offset")
+        .select(*kept, "sequence_id", "offset")
     )
 
 

@@ -35,8 +35,9 @@ def whole_turns(turns: DataFrame, key: str) -> DataFrame:
 def preference_segments(
     chosen: DataFrame, rejected: DataFrame, trained_role: str = "assistant", unique: bool = False
 ) -> DataFrame:
-    """Both sides as rendered turns: ``pair_id, part, turn, role, rendered, trained_from, prompt_end``.
+    """Both sides as rendered turns.
 
+    Columns: ``pair_id, part, turn, role, rendered, trained_from, prompt_end``.
     ``chosen`` and ``rejected`` have ``pair_id, turn, role, text``. Turns are aligned by number.
     Those before the first that differs (in role, text, or by being absent on one side) are the
     ``prompt`` and come once; the others are the completions ``chosen`` and ``rejected``. In turns
@@ -75,9 +76,10 @@ def preference_segments(
     )
     after = F.coalesce(F.col("turn") >= F.col("prompt_end"), F.lit(False))
     part = F.when(after, "chosen").otherwise("prompt")
+    others = rejected.join(ends, "pair_id").filter(after)
     parts = (
         chosen.join(ends, "pair_id").withColumn("part", part)
-        .unionByName(rejected.join(ends, "pair_id").filter(after).withColumn("part", F.lit("rejected")))
+        .unionByName(others.withColumn("part", F.lit("rejected")))
     )
     head = F.concat(F.lit(HEAD), F.col("role"), F.lit("\n"))
     trained = (F.col("part") != "prompt") & (F.col("role") == trained_role)
@@ -124,10 +126,11 @@ def preference_rows(segments: DataFrame) -> DataFrame:
     rows = parts.select(
         "pair_id", "part", text(F.col("turns")).alias("text"), spans(F.col("turns")).alias("spans")
     )
+    sides = ("chosen", "rejected")
     none = F.expr("cast(array() AS array<struct<start: bigint, end: bigint>>)")
     return rows.groupBy("pair_id").agg(
-        *[F.coalesce(one(p, F.col("text")), empty).alias(p) for p in ("prompt", "chosen", "rejected")],
-        *[F.coalesce(one(p, F.col("spans")), none).alias(f"{p}_spans") for p in ("chosen", "rejected")],
+        *[F.coalesce(one(p, F.col("text")), empty).alias(p) for p in ("prompt", *sides)],
+        *[F.coalesce(one(p, F.col("spans")), none).alias(f"{p}_spans") for p in sides],
     )
 
 
@@ -144,7 +147,8 @@ def swapped_replies(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.max(F.struct("turn", "text")).alias("reply"))
         .select("conv_id", F.col("reply.turn").alias("last"), F.col("reply.text").alias("reply"))
     )
-    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("reply").alias("other"))
+    partner = F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id")
+    other = last.select(partner, F.col("reply").alias("other"))
     pairs = last.drop("reply").join(other, "conv_id")
     chosen = turns.join(pairs, "conv_id").filter(F.col("turn") <= F.col("last"))
     swapped = F.when(F.col("turn") == F.col("last"), F.col("other")).otherwise(F.col("text"))

@@ -60,7 +60,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_rules.score_documents(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+    field = quality_rules.train(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.score_documents(docs, field)
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,7 +100,10 @@ def _score(model: Logistic, text: str, target: str, names: list[str]):
     return score
 
 
-def with_evidence(docs: DataFrame, model: Logistic, keep: list[str], text: str = "text", target: str = "text_score") -> DataFrame:
+def with_evidence(
+    docs: DataFrame, model: Logistic, keep: list[str], text: str = "text",
+    target: str = "text_score",
+) -> DataFrame:
     """The columns ``keep`` of ``docs``, in its order, and what the text alone says."""
     names = [c for c in docs.columns if c in keep]
     schema = docs.select(*[F.col(f"`{c}`") for c in names]).schema.add(target, "double")
@@ -178,7 +181,9 @@ def _posterior(text_score: str, site_weight: float, before: str = "") -> Column:
     return 1 / (1 + F.exp(-(logit(F.col(text_score)) + site_weight * moved)))
 
 
-def _join_sites(rows: DataFrame, sites: DataFrame, path: str, spread_by: list[str], bound: int) -> DataFrame:
+def _join_sites(
+    rows: DataFrame, sites: DataFrame, path: str, spread_by: list[str], bound: int
+) -> DataFrame:
     """Bring each row the numbers of its path; a path may hold any share of the rows."""
     if sites.count() <= bound:
         return rows.join(F.broadcast(sites.withColumnRenamed("path", path)), path)

@@ -59,7 +59,8 @@ def _count_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         labels = chunk.column("label").to_pylist()
         counts = (Counter(), Counter())
         for i, label in enumerate(labels):
-            own = {bare[c] for c in set(words.codes[words.offsets[i] : words.offsets[i + 1]].tolist())}
+            codes = words.codes[words.offsets[i] : words.offsets[i + 1]]
+            own = {bare[c] for c in set(codes.tolist())}
             counts[label].update({e for w in own if len(w) > 2 for e in _entries_of(w)})
         names = list(counts[0] | counts[1])
         yield pa.RecordBatch.from_arrays(
@@ -125,7 +126,8 @@ def hit_counts(text: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray
 def votes(counts: np.ndarray, words: np.ndarray, near: np.ndarray) -> np.ndarray:
     """Which voters speak up on each text: the entries, then the patterns."""
     hits = counts.sum(axis=1)
-    patterns = (hits > 0, (counts > 0).sum(axis=1) > 1, hits > 2, near > 0, (hits > 0) & (hits * 200 >= words))
+    dense = (hits > 0) & (hits * 200 >= words)
+    patterns = (hits > 0, (counts > 0).sum(axis=1) > 1, hits > 2, near > 0, dense)
     return np.column_stack([counts > 0, *patterns])
 
 
@@ -138,7 +140,9 @@ def features(counts: np.ndarray, words: np.ndarray, near: np.ndarray) -> np.ndar
     )
 
 
-def label_model(spoke: np.ndarray, given: np.ndarray, prior: float, rounds: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(
+    spoke: np.ndarray, given: np.ndarray, prior: float, rounds: int = 40
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of the label of each text, rates of each voter by label, and voters' weights.
 
     ``spoke`` has a column for each voter, ``given`` the label it came with, a voter too.
@@ -169,7 +173,7 @@ def shared_weights(x: np.ndarray, posterior: np.ndarray, rates: np.ndarray) -> n
     for label, w in enumerate((1 - posterior, posterior)):
         rest = (x - rates[label]) * np.sqrt(w)[:, None]
         size = np.sqrt((rest**2).sum(axis=0)) + 1e-9
-        total += (rest.T @ rest) / np.outer(size, size) * w.mean()
+        total += (rest.T @ rest) / np.outer(size, size) * w.sum() / max(len(w), 1)
     strong = np.where(total > 0.1, total, 0)
     np.fill_diagonal(strong, 0)
     strong[-1] = strong[:, -1] = 0  # the given label shares with nobody
@@ -190,8 +194,9 @@ def _count_hits(lexicon: Lexicon):
         for chunk in chunks(batches):
             counts, words, near = hit_counts(chunk.column("text"), lexicon)
             rows = np.column_stack([counts, words, near]).astype(np.int64)
+            packed = pa.array([r.tobytes() for r in rows], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array([r.tobytes() for r in rows], pa.binary()), chunk.column("label")],
+                [chunk.column("doc_id"), packed, chunk.column("label")],
                 ["doc_id", "row", "label"],
             )
 
@@ -253,7 +258,9 @@ def _score(detector: Detector, names: list[str]):
     return score
 
 
-def score_documents(docs: DataFrame, detector: Detector, keep: tuple[Column, ...], text: str = "text") -> DataFrame:
+def score_documents(
+    docs: DataFrame, detector: Detector, keep: tuple[Column, ...], text: str = "text"
+) -> DataFrame:
     """``keep``, then ``score`` from 0 to 1 and ``predicted`` of every row of ``docs``.
 
     Only the text plays a part. A null or empty text has no hits and gets the score of one; equal
