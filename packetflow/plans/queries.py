@@ -598,7 +598,7 @@ def stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("relay_ticks")
 def relay_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three ticks over a stored outbox: sent, failed on the way, and sent after the lease ran out."""
+    """Three ticks over a stored outbox: sent, failed, and sent after the lease ran out."""
     root = work_dir(spark, "outbox")
     stored = StoredOutbox(root)
     stored.load(fx.some_blank_topics(source(spark, sf_dir, "outbox_table")))

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Settings that the operators rely on: times without an offset mean UTC, of a key given twice in one
+#: Settings that operators rely on: times without an offset mean UTC, of a key given twice in one
 #: JSON object the last one counts, a rank limit of any size is applied before the shuffle, and a
 #: scan gets up to 1000 keys it is asked for by name.
 RUNTIME_CONF = {

@@ -123,7 +123,7 @@ def deltas_after(merged: int, upto: int) -> list[int]:
 
 
 def segment_ends(upto: int, every: int, after: int = 0) -> list[int]:
-    """The segments that together hold the batches merged at ``upto``, without those to ``after``."""
+    """The segments that hold the batches merged at ``upto``, without those up to ``after``."""
     ends = []
     while upto > after:
         ends.append(upto)

@@ -1,4 +1,4 @@
-"""The relay: a stream over new outbox rows, or ticks over an outbox that is stored with its claims."""
+"""The relay: a stream over new outbox rows, or ticks over an outbox stored with its claims."""
 
 from __future__ import annotations
 
@@ -104,7 +104,7 @@ class StoredOutbox:
         limit: int = ob.CLAIM_LIMIT,
         lease_ms: int = ob.LEASE_MS,
     ) -> None:
-        """Claim the oldest rows, send their messages, mark them as done; ``number`` counts from 0."""
+        """Claim the oldest rows, send their messages, mark them done; ``number`` counts from 0."""
         claimed, done = 2 * number + 1, 2 * number + 2
         state = self.versions.current(spark, claimed - 1)
         sendable = state.filter(~is_blank(F.col("topic")))

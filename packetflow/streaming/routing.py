@@ -38,7 +38,7 @@ class Router:
     Senders are known by the hashes of their keys: of ``valid_keys``, or a table of hashes. With
     neither, nobody is, unless ``allow_anyone`` says that there is no authentication.
 
-    With ``publish``, such as a :func:`packetflow.sources.topics.write_kafka` to its servers, retries
+    With ``publish``, such as :func:`packetflow.sources.topics.write_kafka` to some servers, retries
     and dead letters are sent to their topics instead of written to folders; a retry carries the
     hash of its sender in a header.
     """
