@@ -335,7 +335,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("shard_documents")
 def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).drop("topic", "msg_partition")
+    return documents(spark, sf_dir).drop("topic", "msg_partition", "line_no")
 
 
 @query("shard_counts")
