@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -20,7 +22,7 @@ import packetflow
 from packetflow.session import work_dir
 
 #: Bytes of text that a task turns into words at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 #: Bytes of input (as stored) for which one more shard of a hashed structure is made.
 SHARD_BYTES = 4 << 20
@@ -151,7 +153,14 @@ def map_arrow(
 ) -> DataFrame:
     """``mapInArrow``: whole columns, no row at a time."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def grouped_arrow(
@@ -159,7 +168,21 @@ def grouped_arrow(
 ) -> DataFrame:
     """``applyInArrow`` over groups of bounded size, such as shards."""
     ship(df.sparkSession)
-    return df.groupBy(key).applyInArrow(function, schema)
+
+    def run(group: pa.Table) -> pa.Table:
+        try:
+            return function(group)
+        finally:
+            give_back()
+
+    return df.groupBy(key).applyInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return free memory to the system: workers live on, and other stages run in them."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def ship(spark: SparkSession) -> None:
