@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import packetflow
 from packetflow.session import work_dir
@@ -149,7 +150,7 @@ def joined(chunked: pa.ChunkedArray | pa.Array, dtype: type) -> np.ndarray:
 
 def map_arrow(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow``: whole columns, no row at a time."""
     ship(df.sparkSession)

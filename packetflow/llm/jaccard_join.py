@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from packetflow.llm.common import (
     by_shard,
@@ -313,19 +314,13 @@ def _tasks(alive: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
     return alive.join(keys, "set")
 
 
-def linked_documents(
-    docs: DataFrame, width: int = 5, threshold: int = 80, doc_id: str = "doc_id",
-    text: str = "text", task_ngrams: int = TASK_NGRAMS,
+def _labelled(
+    docs: DataFrame, width: int, threshold: int, doc_id: str = "doc_id", text: str = "text",
+    task_ngrams: int = TASK_NGRAMS,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs``.
+    """``doc_id, set, n, component_id, n_links`` of every row, and the smallest set of its component.
 
-    Two documents are linked when their sets of ``width``-grams of lower-cased words have
-    ``100 * intersection >= threshold * union``; a component is named by its smallest ``doc_id``.
-    A text of fewer words is one n-gram. A null, empty or blank text has no n-gram and no links. A
-    row with a null id takes part and gets the component of its links, null if there is none with
-    an id. Rows that repeat an id are documents of their own with that id. ``n_links`` counts the
-    different sets found next to its set in the forest of links, not all pairs. Other columns of
-    ``docs`` play no part.
+    That is ``component``, which tells components of one name apart; 0 for a text without words.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -353,34 +348,73 @@ def linked_documents(
     names = named.groupBy("component").agg(F.min("first").alias("component_id"))
     labels = (
         named.join(names, "component").join(degrees, "set", "left")
-        .select("set", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .select(
+            "set", "component", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
+        )
     )
     full = members.filter("n > 0").join(labels, "set")
+    none = F.lit(0).cast("long")
     empty = members.filter("n = 0").select(
-        "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
-    )
-    return (
-        full.select("doc_id", "n", "component_id", "n_links")
-        .unionByName(empty)
-        .withColumnRenamed("n", "n_shingles")
-    )
+        "doc_id", "set", "n", F.col("set").alias("component"),
+        F.col("doc_id").alias("component_id"), none.alias("n_links"),
+    )
+    return full.select(empty.columns).unionByName(empty)
+
+
+def linked_documents(
+    docs: DataFrame, width: int = 5, threshold: int = 80, doc_id: str = "doc_id",
+    text: str = "text", task_ngrams: int = TASK_NGRAMS,
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs``.
+
+    Two documents are linked when their sets of ``width``-grams of lower-cased words have
+    ``100 * intersection >= threshold * union``; a component is named by its smallest ``doc_id``.
+    A text of fewer words is one n-gram. A null, empty or blank text has no n-gram and no links. A
+    row with a null id takes part and gets the component of its links, null if there is none with
+    an id. Rows that repeat an id are documents of their own with that id. ``n_links`` counts the
+    different sets found next to its set in the forest of links, not all pairs. Other columns of
+    ``docs`` play no part.
+    """
+    found = _labelled(docs, width, threshold, doc_id, text, task_ngrams)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+
+
+def _with_set(width: int, names: list[str]):
+    """The columns of a row and its set."""
+
+    def with_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches):
+            _, _, sets = shingle_sets(chunk.column("text"), width)
+            columns = [*chunk.columns, pa.array(sets.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return with_set
 
 
 def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
     """The columns of ``docs``, with one document of each component: that of the smallest id.
 
     Rows that repeat an id are linked or not by their texts; of those that carry the kept id one
-    stays for each component. Rows without an id are kept, since no result can name them.
+    stays for each component, so different texts under one id all stay. Rows of one id without any
+    word are one document. Rows without an id are kept, since no result can name them.
     """
     shared_dir(docs.sparkSession)
-    found = linked_documents(docs, width, threshold).select("doc_id", "component_id").checkpoint()
+    found = _labelled(docs, width, threshold).drop("n", "n_links").checkpoint()
     # few ids go, and few are repeated: the texts of the others are not moved
     repeated = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     gone = found.filter("component_id <> doc_id").select("doc_id").unionByName(repeated)
     single = in_key_set(docs, gone, "doc_id", ["text"], keep_members=False)
-    first = found.filter("doc_id = component_id").join(repeated, "doc_id").select("doc_id")
-    several = in_key_set(docs, first, "doc_id", ["text"])
-    window = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.col("text"))
+    # of repeated ids: a set for each component that is named by the id, then a row for each set
+    first = (
+        found.filter("doc_id = component_id").join(repeated, "doc_id")
+        .groupBy("doc_id", "component").agg(F.min("set").alias("__set"))
+    )
+    several = in_key_set(docs, first, "doc_id", ["text"]).select(*[f"`{c}`" for c in docs.columns])
+    schema = StructType([*docs.schema.fields, StructField("__set", LongType())])
+    several = map_arrow(several, _with_set(width, schema.names), schema)
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), "__set").alias("__key")
+    several = in_key_set(several.withColumn("__key", key), first.select(key), "__key", ["text"])
+    window = Window.partitionBy("doc_id", "__set").orderBy(F.xxhash64("text"), F.col("text"))
     several = several.withColumn("__number", F.row_number().over(window)).filter("__number = 1")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return single.select(*columns).unionByName(several.select(*columns))

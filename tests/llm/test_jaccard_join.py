@@ -114,6 +114,23 @@ def test_one_of_each_keeps_the_smallest(spark):
     assert sorted(r.doc_id for r in twice.collect()) == sorted(wanted)
 
 
+def test_one_of_each_keeps_different_texts_of_one_id(spark):
+    def words(name, n=20):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [
+        (3, words("a")), (7, words("a")), (7, words("b")), (7, words("c")), (7, words("c")),
+        (7, words("c") + " more"), (8, words("d")), (8, words("e")), (8, words("e")), (9, words("f")), (9, None),
+        (None, words("a")), (10, words("b")),
+    ]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id int, text string, set string").repartition(3)
+    kept = sorted(((r.doc_id or 0, r.text or "") for r in jaccard_join.one_of_each(docs).collect()), key=str)
+    seven = [t for i, t in kept if i == 7]
+    assert len(seven) == 2 and words("b") in seven and any(t.startswith(words("c")) for t in seven)
+    wanted = [(0, words("a")), (3, words("a")), (8, words("d")), (8, words("e")), (9, ""), (9, words("f"))]
+    assert [r for r in kept if r[0] != 7] == wanted
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.linked_documents(docs).collect() == []
