@@ -3,8 +3,9 @@
 A page is a sequence of words and tags. Words weigh what labelled pages say of the element they
 stand in, tags weigh against a run; a linear scan finds the contiguous run of highest sum. Pages
 that mark their article (one ``article`` or ``main`` element) are the labelled ones; what is learned
-holds for pages that mark nothing. Out of the run, text of menus, forms, notices and the like is
-left out, and what remains is given block by block.
+holds for pages that mark nothing. Weights choose the run and nothing else: it is completed to whole
+blocks, only text of menus, forms, notices and the like is left out of it, and what remains is given
+block by block.
 """
 
 from __future__ import annotations
@@ -33,7 +34,10 @@ BLOCKS = frozenset(
 )
 #: Elements without an end, and elements whose content is no text of the page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noembed xmp svg math select".split())
+RAW = frozenset(
+    "script style textarea title noscript template iframe noembed xmp svg select "
+    "annotation annotation-xml".split()  # a formula once more, in another notation
+)
 #: Elements, and words of class, id and role, that mark what is not the article.
 NOISE_ELEMENTS = frozenset("nav footer aside form menu dialog button fieldset search".split())
 NOISE_WORDS = frozenset(
@@ -75,6 +79,7 @@ def tokens(page: str) -> list[Token]:
     result: list[Token] = []
     stack: list[tuple[str, str, bool]] = []  # element, key, whether it is or stands in noise
     place, block, marked = 0, 0, 0
+    formula = False  # tags inside of math count for nothing, its text is text
     while found := _TOKEN.match(page, place):
         place = found.end()
         text = found["text"]
@@ -89,20 +94,32 @@ def tokens(page: str) -> list[Token]:
         if found["end"] or found["end2"]:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             key, noise = name, False
+            inner = formula and name not in BLOCKS
             if at is not None:
                 key, noise = stack[at][1:]
+                formula = formula and all(e != "math" for e, _, _ in stack[at:])
                 marked -= sum(1 for e, _, _ in stack[at:] if e in ("article", "main"))
                 del stack[at:]
             if name in BLOCKS:
                 block += 1
-            result.append(Token("/" + key, 0, "", block, noise, marked > 0))
+            if not inner:
+                result.append(Token("/" + key, 0, "", block, noise, marked > 0))
             continue
+        rest = found["rest"] or found["rest2"] or ""
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, place)
-            rest = found["rest"] or found["rest2"] or ""
             if not rest.rstrip().endswith("/") or name in ("script", "style", "textarea", "title"):
                 place = close.end() if close else len(page)
-            result.append(Token(name, 0, "", block, False, marked > 0))
+            if not formula:
+                result.append(Token(name, 0, "", block, False, marked > 0))
+            continue
+        if formula and name in BLOCKS:  # a block ends a formula
+            del stack[next(i for i, (e, _, _) in enumerate(stack) if e == "math") :]
+            formula = False
+        if (formula and name != "br") or name == "math":
+            if not rest.rstrip().endswith("/") and name not in VOID:
+                stack.append((name, *(stack[-1][1:] if stack else ("", False))))
+                formula = True
             continue
         if name in BLOCKS:
             block += 1
@@ -113,8 +130,7 @@ def tokens(page: str) -> list[Token]:
         if name == "br":
             result.append(Token("br", 0, " ", block, False, marked > 0))
             continue
-        attributes = found["rest"] or found["rest2"] or ""
-        labels = ["".join(m[1:]) for m in _NAMES.findall(attributes)]
+        labels = ["".join(m[1:]) for m in _NAMES.findall(rest)]
         parts = {p for label in labels for p in _PART.split(label.lower()) if p}
         noise = name in NOISE_ELEMENTS or bool(parts & NOISE_WORDS)
         noise = noise or any(p.startswith(NOISE_STEMS) for p in parts)
@@ -208,11 +224,16 @@ def best_run(weights: list[float]) -> tuple[int, int]:
 def main_text(page: str | None, weights: Weights) -> str:
     """The blocks of main text, one to a line; empty if nothing on the page speaks for itself."""
     found = tokens(page or "")
-    values = [weights.of(t) for t in found]
-    begin, end = best_run(values)
+    begin, end = best_run([weights.of(t) for t in found])
+    said = [t.block for t in found[begin:end] if t.words and not t.noise]
+    if said:  # what stands in one block with a text of the run belongs to it, links too
+        while begin and found[begin - 1].block == said[0]:
+            begin -= 1
+        while end < len(found) and found[end].block == said[-1]:
+            end += 1
     blocks: dict[int, list[str]] = {}
-    for token, value in zip(found[begin:end], values[begin:end], strict=True):
-        if token.text and not token.noise and not (token.words and value < 0):
+    for token in found[begin:end]:
+        if token.text and not token.noise:
             blocks.setdefault(token.block, []).append(token.text)
     lines = (" ".join(html.unescape("".join(parts)).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)

@@ -1,3 +1,4 @@
+import collections
 import itertools
 import random
 
@@ -57,6 +58,44 @@ def test_what_is_left_out_inside():
     assert main_text(html, PLAIN) == "A & B\nOne two é.\nThree fourfive six <p> 1 < 2"
 
 
+def test_links_in_articles_stay_where_links_outside_are_learned():
+    rng = random.Random(6)
+
+    def some(a, b):
+        return " ".join(f"w{rng.randrange(200)}" for _ in range(rng.randrange(a, b)))
+
+    def links():
+        rows = "".join(f"<li><a href=/{k}>{some(2, 5)}</a></li>" for k in range(8))
+        return f"<div><h2>{some(2, 4)}</h2><ul>{rows}</ul><table><tr><td>{some(2, 4)}</td></tr></table></div>"
+
+    def article(body, tag="article"):
+        return f"<html><body>{links()}<{tag}>{body}</{tag}>{links()}</body></html>"
+
+    counts = [collections.Counter(), collections.Counter()]
+    for _ in range(60):
+        found = extraction.tokens(article("".join(f"<p>{some(20, 40)}</p>" for _ in range(4))))
+        assert extraction.is_labelled(found)
+        for t in found:
+            counts[t.marked][t.key] += max(t.words, 1)
+    weights = Weights({k: (counts[0][k], counts[1][k]) for k in counts[0] | counts[1]})
+    assert all(weights.known[f"text {k}"] < 0 for k in ("a", "td", "h2"))
+    for tag in ("article", "div"):
+        a, b, c, d, e = (some(20, 40) for _ in range(5))
+        body = (
+            f"<p><a href=/1>Start here</a> {a}</p><h2>Part two</h2><p>{b} see <a href=/2>this page</a> now</p>"
+            f"<ul><li>{c}</li><li>short one</li></ul><table><tr><td>cell</td></tr></table>"
+            f"<p>{d} where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p><p>{e} more in <a href=/3>that other page</a></p>"
+        )
+        wanted = [f"Start here {a}", "Part two", f"{b} see this page now", c, "short one", "cell", f"{d} where x=1 holds", f"{e} more in that other page"]
+        assert main_text(article(body, tag), weights).split("\n") == wanted
+
+
+def test_formulas_are_text():
+    many = "<mrow>" + "<mi>y</mi><mo>+</mo>" * 40 + "<mn>2</mn></mrow>"
+    html = f"<article><p>One <math display=block>{many}<mspace/><annotation>y+</annotation></math> two</p><p>three <math><mi>z<p>four</p></article>"
+    assert main_text(html, PLAIN) == f"One {'y+' * 40}2 two\nthree z\nfour"
+
+
 def test_inserts_are_known_by_their_names():
     inserts = [
         "<section id='comments'><h3>Readers say</h3><p>Very good indeed.</p></section>",
