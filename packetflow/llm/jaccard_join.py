@@ -11,8 +11,9 @@
    task, so no link is lost.
 4. *Join.* A task stores its sets in a prefix tree and walks it once for each set: the overlap with
    a shared path is counted once, and a subtree is left as soon as what remains of the set and of
-   the tree can not bring the overlap that its smallest set would need, or when all in it are
-   linked to the set already. It returns a forest of links, not all pairs.
+   the tree can not bring the overlap that its smallest set would need. Branches too short to be
+   worth a step each are counted together. All links are found, each pair in one task; the task
+   returns a forest of them and the number of links of each set, not all pairs.
 
 Equal sets are one set throughout, so copies cost nothing but their row.
 """
@@ -48,6 +49,9 @@ from packetflow.session import shared_dir, work_dir
 #: N-grams of the sets in one task of the join; a larger group is cut into blocks.
 TASK_NGRAMS = 4_000_000
 
+#: N-grams of neighbouring sets that the walk of a tree counts in one step.
+STEP_NGRAMS = 1 << 14
+
 _MEMBERS = pa.schema([("doc_id", pa.int64()), ("set", pa.int64()), ("n", pa.int64())])
 _MEMBERS_SQL = "doc_id long, set long, n long"
 _PARTS = pa.schema(
@@ -200,7 +204,10 @@ def _alive(threshold: int):
 
 
 class _Node:
-    """A path of n-grams that the sets ``low`` to ``high`` (not included) have in common."""
+    """A path of n-grams that the sets ``low`` to ``high`` (not included) have in common.
+
+    Without children it is a set, or neighbouring sets that are counted together.
+    """
 
     __slots__ = ("children", "depth", "high", "longest", "low", "smallest", "start")
 
@@ -211,37 +218,56 @@ class _Node:
         self.longest = max(len(sets[i]) for i in range(low, high))
 
 
-def _grow(sets: list[np.ndarray], sizes: list[int]) -> _Node:
-    """The prefix tree of sets in sorted order, single paths joined into one node."""
+def _grow(sets: list[np.ndarray], sizes: list[int], step: int) -> _Node:
+    """The prefix tree of sets in sorted order, single paths joined into one node.
+
+    Neighbouring branches of at most ``step`` n-grams in all are one node without children.
+    """
     common = [0] * (len(sets) + 1)  # with the set before
     for i in range(1, len(sets)):
         short = min(len(sets[i - 1]), len(sets[i]))
         differ = np.flatnonzero(sets[i - 1][:short] != sets[i][:short])
         common[i] = int(differ[0]) if len(differ) else short
+    ends = np.cumsum([0, *map(len, sets)]).tolist()
     root = _Node(0, len(sets), 0, min(common[1 : len(sets)], default=len(sets[0])), sets, sizes)
     todo = [root]
     while todo:
         node = todo.pop()
-        if node.high - node.low == 1:
+        if node.high - node.low == 1 or ends[node.high] - ends[node.low] <= step:
             continue
         cuts = [node.low, *(i for i in range(node.low + 1, node.high) if common[i] == node.depth), node.high]
-        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-            depth = len(sets[low]) if high - low == 1 else min(common[low + 1 : high])
+        at = 0
+        while at < len(cuts) - 1:
+            low, last = cuts[at], at + 1
+            while last < len(cuts) - 1 and ends[cuts[last + 1]] - ends[low] <= step:
+                last += 1
+            high = cuts[last]
+            if last > at + 1:
+                depth = node.depth
+            else:
+                depth = len(sets[low]) if high - low == 1 else min(common[low + 1 : high])
             child = _Node(low, high, node.depth, depth, sets, sizes)
             node.children.append(child)
-            todo.append(child)
+            if last == at + 1:
+                todo.append(child)
+            at = last
     return root
 
 
-def tree_links(
-    grams: list[np.ndarray], df: list[np.ndarray], sizes: list[int], threshold: int
-) -> list[tuple[int, int]]:
-    """Pairs of positions that join all linked sets into groups, at most one less than the sets.
+def tree_joins(
+    grams: list[np.ndarray], df: list[np.ndarray], sizes: list[int], threshold: int,
+    copies: list[int], blocks: list[int] | None = None, step: int = STEP_NGRAMS,
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """A forest of links and, of every position, the number of its links.
 
-    ``grams`` are the n-grams that a set may share, in the global order, ``sizes`` the whole sizes.
-    """
+    The forest has pairs of positions that join all linked sets into groups, at most one less than
+    the sets. ``grams`` are the n-grams that a set may share, in the global order, ``sizes`` the
+    whole sizes. A link counts as often as the other set has ``copies``. With ``blocks`` only links
+    between sets of different blocks are looked for.
+    """
+    degrees = np.zeros(len(sizes), np.int64)
     if len(sizes) < 2:
-        return []
+        return [], degrees
     flat, numbers = np.concatenate(grams), np.concatenate(df)
     ranked = np.lexsort((flat, numbers))
     new = np.ones(len(flat), bool)
@@ -249,56 +275,97 @@ def tree_links(
     rank = np.empty(len(flat), np.int64)
     rank[ranked] = np.cumsum(new) - 1
     parts = np.split(rank, np.cumsum([len(g) for g in grams])[:-1])
-    order = sorted(range(len(parts)), key=lambda i: parts[i].astype(">i8").tobytes())
-    sets, sizes = [parts[i] for i in order], [sizes[i] for i in order]
-    root = _grow(sets, sizes)
+    order = np.array(sorted(range(len(parts)), key=lambda i: parts[i].astype(">i8").tobytes()))
+    sets, sizes = [parts[i] for i in order], np.asarray(sizes, np.int64)[order]
+    weights = np.asarray(copies, np.int64)[order]
+    block = None if blocks is None else np.asarray(blocks)[order]
+    root = _grow(sets, sizes.tolist(), step)
+    rank = np.concatenate(sets)
+    ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     group = np.arange(len(sets))
     inside = np.zeros(int(new.sum()) + 1, bool)
     links = []
     for i, own in enumerate(sets):
-        if (group[i + 1 :] == group[i]).all():
-            continue
+        size = int(sizes[i])
         inside[own] = True
         todo = [(root, 0)]
+        found = []
         while todo:
             node, overlap = todo.pop()
-            if node.high <= i + 1 or (group[max(node.low, i + 1) : node.high] == group[i]).all():
+            if node.high <= i + 1:
                 continue
-            path = sets[node.low][node.start : node.depth]
             rest = len(own)
             if node.depth:
+                path = sets[node.low][node.start : node.depth]
                 overlap += int(np.count_nonzero(inside[path])) if len(path) else 0
                 rest -= int(np.searchsorted(own, sets[node.low][node.depth - 1], "right"))
             most = overlap + min(rest, node.longest - node.depth)
             # 100 o >= t (a + b - o)
-            if (100 + threshold) * most < threshold * (sizes[i] + node.smallest):
+            if (100 + threshold) * most < threshold * (size + node.smallest):
                 continue
             if node.children:
                 todo.extend((child, overlap) for child in node.children)
-            elif (100 + threshold) * overlap >= threshold * (sizes[i] + sizes[node.low]):
-                links.append((order[i], order[node.low]))
-                group[group == group[node.low]] = group[i]
+                continue
+            low = max(node.low, i + 1)
+            shared = np.concatenate([[0], np.cumsum(inside[rank[ends[low] : ends[node.high]]])])
+            overlaps = np.diff(shared[ends[low : node.high + 1] - ends[low]])
+            linked = (100 + threshold) * overlaps >= threshold * (size + sizes[low : node.high])
+            if block is not None:
+                linked &= block[low : node.high] != block[i]
+            found.append(low + np.flatnonzero(linked))
         inside[own] = False
-    return links
+        partners = np.concatenate(found) if found else np.zeros(0, np.int64)
+        if not len(partners):
+            continue
+        degrees[order[i]] += weights[partners].sum()
+        degrees[order[partners]] += weights[i]
+        others, first = np.unique(group[partners], return_index=True)
+        joins = others != group[i]
+        if joins.any():
+            links.extend((int(order[i]), int(order[j])) for j in partners[first[joins]])
+            group[np.isin(group, others[joins])] = group[i]
+    return links, degrees
+
 
+def tree_links(
+    grams: list[np.ndarray], df: list[np.ndarray], sizes: list[int], threshold: int
+) -> list[tuple[int, int]]:
+    """The forest of :func:`tree_joins`."""
+    return tree_joins(grams, df, sizes, threshold, [1] * len(sizes))[0]
 
-_LINKS = pa.schema([("left", pa.int64()), ("right", pa.int64())])
+
+_LINKS = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("links", pa.int64())])
+_LINKS_SQL = "left long, right long, links long"
 
 
 def _join(threshold: int):
+    """Links, and of each set that has some their number under ``left`` with a null ``right``."""
+
     def join(group: pa.Table) -> pa.Table:
         group = group.sort_by("set")
-        sets = group.column("set").to_pylist()
+        sets = group.column("set").to_numpy()
         grams = [np.frombuffer(x, np.uint64) for x in group.column("grams").to_pylist()]
         df = [np.frombuffer(x, np.uint32) for x in group.column("df").to_pylist()]
-        found = tree_links(grams, df, group.column("n").to_pylist(), threshold)
-        return pa.table([[sets[a] for a, _ in found], [sets[b] for _, b in found]], schema=_LINKS)
+        task = group.column("task")[0].as_py()
+        blocks = group.column("own").to_numpy() if task["low"] != task["high"] else None
+        links, degrees = tree_joins(
+            grams, df, group.column("n").to_pylist(), threshold, group.column("copies").to_pylist(),
+            blocks,
+        )
+        found = np.flatnonzero(degrees)
+        left = np.concatenate([sets[[a for a, _ in links]], sets[found]])
+        right = pa.array([int(sets[b]) for _, b in links] + [None] * len(found), pa.int64())
+        number = pa.array([None] * len(links) + degrees[found].tolist(), pa.int64())
+        return pa.table([pa.array(left, pa.int64()), right, number], schema=_LINKS)
 
     return join
 
 
 def _tasks(alive: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
-    """Every set under the key of each task that needs it: its group, or pairs of its blocks."""
+    """Every set under the key of each task that needs it: its group, or pairs of its blocks.
+
+    A task of two blocks is for the links between them, those inside a block have their own.
+    """
     load = (
         alive.select("set", "shared").join(groups, "set")
         .groupBy("component").agg(F.sum("shared").alias("load"), F.count("*").alias("sets"))
@@ -309,8 +376,9 @@ def _tasks(alive: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
     own = F.pmod(F.xxhash64("set"), blocks)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = groups.join(load, "component").withColumn("blocks", blocks).withColumn("own", own)
-    pair = F.struct("component", F.least("own", "other"), F.greatest("own", "other"))
-    keys = placed.withColumn("other", other).select("set", pair.alias("task"))
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    pair = F.struct("component", low, high)
+    keys = placed.withColumn("other", other).select("set", "own", pair.alias("task"))
     return alive.join(keys, "set")
 
 
@@ -337,19 +405,25 @@ def _labelled(
     near = prefixes.join(heads.filter("sets > 1").drop("sets"), "gram")
     groups = components(near.select("set", "head"), "set", "head")
     groups = groups.select(F.col("node").alias("set"), "component")
-    tasks = _tasks(alive.drop("prefix"), groups, task_ngrams)
-    links = grouped_arrow(tasks, "task", _join(threshold), "left long, right long").checkpoint()
-    classes = components(links, "left", "right")
-    ends = [links.select(F.col(side).alias("set")) for side in ("left", "right")]
-    degrees = ends[0].unionByName(ends[1]).groupBy("set").agg(F.count("*").alias("n_links"))
-    smallest = members.groupBy("set").agg(F.min("doc_id").alias("first"))
-    named = smallest.join(classes.select(F.col("node").alias("set"), "component"), "set", "left")
+    different = members.groupBy("set").agg(
+        F.min("doc_id").alias("first"), F.count("*").alias("copies")
+    )
+    counted = alive.drop("prefix").join(different.select("set", "copies"), "set")
+    tasks = _tasks(counted, groups, task_ngrams)
+    joined_sets = grouped_arrow(tasks, "task", _join(threshold), _LINKS_SQL).checkpoint()
+    classes = components(joined_sets.filter("right IS NOT NULL"), "left", "right")
+    degrees = (
+        joined_sets.filter("right IS NULL").groupBy(F.col("left").alias("set"))
+        .agg(F.sum("links").alias("links"))
+    )
+    named = different.join(classes.select(F.col("node").alias("set"), "component"), "set", "left")
     named = named.withColumn("component", F.coalesce("component", "set"))
     names = named.groupBy("component").agg(F.min("first").alias("component_id"))
     labels = (
         named.join(names, "component").join(degrees, "set", "left")
         .select(
-            "set", "component", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
+            "set", "component", "component_id",
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
     full = members.filter("n > 0").join(labels, "set")
@@ -371,9 +445,9 @@ def linked_documents(
     ``100 * intersection >= threshold * union``; a component is named by its smallest ``doc_id``.
     A text of fewer words is one n-gram. A null, empty or blank text has no n-gram and no links. A
     row with a null id takes part and gets the component of its links, null if there is none with
-    an id. Rows that repeat an id are documents of their own with that id. ``n_links`` counts the
-    different sets found next to its set in the forest of links, not all pairs. Other columns of
-    ``docs`` play no part.
+    an id. Rows that repeat an id are documents of their own with that id. ``n_links`` is the
+    number of other documents (rows) that a document is linked to, its copies among them. Other
+    columns of ``docs`` play no part.
     """
     found = _labelled(docs, width, threshold, doc_id, text, task_ngrams)
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")

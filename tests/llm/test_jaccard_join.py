@@ -103,6 +103,44 @@ def test_null_ids_and_repeated_rows(spark):
     assert got == [("3", 3), ("5", 3), ("5", 3), ("9", 9), ("None", 3), ("None", None)]
 
 
+def test_number_of_links_is_that_of_all_pairs(spark):
+    texts = near_copies(5, groups=3, size=14)
+    texts |= {500 + k: texts[k] for k in (0, 1, 4)} | {600: "a b", 601: "A b", 602: "", 603: ""}
+    texts |= {700 + k: " ".join(f"v{i}" for i in range(40)) + f" end{k}" for k in range(8)}
+    sets = {k: shingles(t) for k, t in texts.items()}
+
+    def linked(a, b):
+        same = len(a & b)
+        return same > 0 and 100 * same >= 80 * (len(a) + len(b) - same)
+
+    wanted = {k: sum(linked(s, sets[j]) for j in sets if j != k) for k, s in sets.items()}
+    assert max(wanted.values()) > 4
+    for task_ngrams in (jaccard_join.TASK_NGRAMS, 150):
+        got = jaccard_join.linked_documents(frame(spark, texts), task_ngrams=task_ngrams).collect()
+        assert {r.doc_id: r.n_links for r in got} == wanted
+
+
+def test_tree_counts_all_pairs_in_steps_of_any_size():
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        bases = [rng.choice(60, 25, replace=False) for _ in range(4)]
+        sets = [np.unique(np.where(rng.random(25) < 0.08, rng.integers(0, 60, 25), bases[k % 4])) for k in range(24)]
+        df = np.bincount(np.concatenate(sets), minlength=60)
+        ordered = [s[np.lexsort((s, df[s]))].astype(np.uint64) for s in sets]
+        sizes, copies, blocks = [len(s) for s in sets], rng.integers(1, 4, 24), rng.integers(0, 2, 24)
+        numbers = [df[s.astype(int)].astype(np.uint32) for s in ordered]
+        pairs = [
+            (i, j) for i in range(24) for j in range(24)
+            if i != j and (o := len(np.intersect1d(sets[i], sets[j]))) * 100 >= 80 * (sizes[i] + sizes[j] - o)
+        ]
+        for own in (None, blocks):
+            wanted = [sum(copies[j] for i, j in pairs if i == k and (own is None or own[i] != own[j])) for k in range(24)]
+            for step in (1, 60, 1 << 14):
+                links, degrees = jaccard_join.tree_joins(ordered, numbers, sizes, 80, copies, own, step)
+                assert degrees.tolist() == wanted
+                assert own is None or all(own[a] != own[b] for a, b in links)
+
+
 def test_one_of_each_keeps_the_smallest(spark):
     texts = near_copies(3)
     wanted = {c for _, c in brute_force(texts).values()}
