@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from packetflow.operators.ranking import number_within
+
 #: What stands around a turn.
 HEAD, TAIL = "<|im_start|>", "<|im_end|>\n"
 
@@ -157,3 +159,33 @@ def swapped_replies(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         chosen.select(own, "turn", "role", "text"),
         chosen.select(own, "turn", "role", swapped.alias("text")),
     )
+
+
+def ranked_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Preference pairs out of plain conversations: each that has a reply against the next one.
+
+    Conversations with an assistant turn are ranked by id, and the last is followed by the first, so
+    each is chosen once and rejected once, whatever ids are missing. Both sides are whole: all their
+    own turns, in their own roles and number. One conversation alone has no pair.
+    """
+    turns = whole_turns(conversations, "conv_id")
+    replied = turns.filter("role = 'assistant'").select("conv_id").distinct()
+    ranked = number_within(replied, [], "conv_id", "rank")
+    total = F.broadcast(ranked.agg(F.max("rank").alias("total")))
+    following = (F.col("rank") % F.col("total") + 1).alias("rank")
+    nexts = (
+        ranked.crossJoin(total).filter("total > 1")
+        .select(F.col("conv_id").alias("pair_id"), following)
+    )
+    partners = nexts.join(ranked, "rank").select("pair_id", "conv_id")
+    own = F.col("conv_id").alias("pair_id")
+    return (
+        turns.join(partners.select(F.col("pair_id").alias("conv_id")), "conv_id")
+        .select(own, "turn", "role", "text"),
+        turns.join(partners, "conv_id").select("pair_id", "turn", "role", "text"),
+    )
+
+
+def preference_pairs(conversations: DataFrame) -> DataFrame:
+    """:func:`preference_rows` of :func:`ranked_pairs`: completions of both sides with spans."""
+    return preference_rows(preference_segments(*ranked_pairs(conversations), unique=True))

@@ -204,6 +204,31 @@ def test_swapped_replies(spark):
     assert sorted(map(tuple, rejected.collect())) == [(0, 0, "user", "a"), (0, 1, "assistant", "d"), (1, 0, "assistant", "b")]
 
 
+def test_ranked_pairs_drop_no_conversation_and_no_turn(spark):
+    rows = [(k * 1000, t, "system" if t == 0 else ["user", "assistant"][t % 2], "same" if t < k % 3 else f"{k} {t}")
+            for k in range(9) for t in range(k % 3 + 2)]
+    rows += [(500, 0, "user", "no reply"), (8000, 9, "user", "after the reply"), (10**12, 0, "assistant", "far")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    replied = sorted({r[0] for r in rows if r[2] == "assistant"})
+    assert len(replied) > 5
+    partner = dict(zip(replied, replied[1:] + replied[:1], strict=True))
+    chosen, rejected = preferences.ranked_pairs(frame)
+    wanted = [[(p, *r[1:]) for p in replied for r in rows if r[0] == side(p)] for side in (lambda p: p, partner.get)]
+    assert sorted(map(tuple, chosen.collect())) == sorted(wanted[0])
+    assert sorted(map(tuple, rejected.collect())) == sorted(wanted[1])
+    pairs = preferences.preference_pairs(frame)
+    assert "Python" not in pairs._jdf.queryExecution().toString()
+    got = {r.pair_id: r for r in pairs.collect()}
+    assert sorted(got) == replied and len({r.prompt for r in got.values()}) > 1
+    for pair, row in got.items():
+        for text, spans, conv in ((row.chosen, row.chosen_spans, pair), (row.rejected, row.rejected_spans, partner[pair])):
+            whole = "".join(f"<|im_start|>{r[2]}\n{r[3]}<|im_end|>\n" for r in sorted(r for r in rows if r[0] == conv))
+            assert row.prompt + text == whole
+            assert all(text[s.start : s.end].endswith("<|im_end|>\n") for s in spans)
+    alone = preferences.ranked_pairs(frame.filter("conv_id = 1000000000000"))
+    assert [side.collect() for side in alone] == [[], []]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, sf_dir, name):
     assert oracle_check.compare(spark, oracle_check.connect(sf_dir), name, sf_dir) is None
