@@ -17,6 +17,7 @@ from packetflow.llm import (
     preferences,
     quality_rules,
     site_quality,
+    spelling,
     toxicity,
 )
 from packetflow.llm.common import id_remainder, table
@@ -87,6 +88,11 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.score_documents(docs, model)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(docs, edits=spelling.EDIT_MODULUS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_preferences": op9_preferences,
     "op10_site_quality": op10_site_quality,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -173,4 +180,66 @@ ORACLE: dict[str, str] = {
             prompt_end
         FROM parts
     """,
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE bytes AS (
+            SELECT list(crc ORDER BY i) AS crcs
+            FROM (SELECT i, list_reduce(range(8), lambda a, k: CASE WHEN a % 2 = 1
+                    THEN xor(a // 2, 3988292384) ELSE a // 2 END, i) AS crc FROM range(256) t(i))
+        ),
+        found AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+            FROM documents
+        ),
+        pairs AS (
+            SELECT run, count(*) AS n, coalesce(doc_id::VARCHAR, '') || ':' || run AS spelled
+            FROM found GROUP BY doc_id, run
+        ),
+        hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                flatten(list_transform(string_split(spelled, ''), lambda c: CASE
+                    WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+                    ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END)),
+                lambda a, b: xor(a // 256, crcs[(xor(a, b) % 256) + 1]), 4294967295)) AS h
+            FROM pairs, bytes
+        ),
+        words AS (
+            SELECT word, sum(n)::BIGINT AS n FROM (
+                SELECT CASE WHEN h % 97 = 0
+                    THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n
+                FROM hashed)
+            WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+        ),
+        cut AS (
+            SELECT word, n, length(word) AS size, i, word[:i - 1] || word[i + 1:] AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ),
+        near AS (
+            SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b
+                ON a.i = b.i AND a.size = b.size AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+            UNION SELECT a.word, b.word, b.n FROM words a JOIN cut b ON a.word = b.rest
+        ),
+        best AS (
+            SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, n AS other_n
+            FROM near
+            QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1
+        ),
+        forms AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+                CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+            FROM words w LEFT JOIN best USING (word)
+        ),
+        paths AS (
+            SELECT word, word AS reached FROM words
+            UNION ALL
+            SELECT paths.word, form FROM paths JOIN forms ON forms.word = paths.reached
+            WHERE form IS NOT NULL
+        )
+        SELECT f.word, f.form, p.reached AS root, f.n, f.n_near, f.form_n
+        FROM forms f JOIN paths p USING (word) JOIN forms e ON e.word = p.reached
+        WHERE e.form IS NULL
+    """,
 }
