@@ -41,12 +41,17 @@ PATTERN = (
 )
 FIRST, BETWEEN = "\0", "\x0c"
 
+#: Different words, of at most so many letters, whose ids a worker keeps from chunk to chunk.
+KNOWN_WORDS, KNOWN_LETTERS = 200_000, 32
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
     """Ids of whole texts from a tokenizer file; every different word of a chunk is encoded once.
 
+    The first ``KNOWN_WORDS`` short words that a worker meets are kept for later chunks.
+
     A byte-level tokenizer never joins what a single space followed by no white space parts. So a
     text is cut there, and the ids of its parts are put together. Words of Western letters whose
     merges the file lists in the order of their ids go through a faster merger, all at once; other
@@ -61,6 +66,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content for t in added if t.content]
         self.merger = self._merger(json.loads(Path(path).read_text(encoding="utf-8")))
+        self.known: dict[str, np.ndarray] = {}
         if self.merger:
             self.between = self.merger.encode_ordinary(BETWEEN)
 
@@ -138,6 +144,20 @@ class Encoder:
                 result[i] = ids
         return result
 
+    def _found(self, units: list[str]) -> list[np.ndarray | None]:
+        """The same as ``_words``, which is asked only for what is not known."""
+        if len(units) == 1:  # the mark alone stands for empty texts there
+            return self._words(units)
+        result: list[np.ndarray | None] = list(map(self.known.get, units))
+        missing = [i for i, ids in enumerate(result) if ids is None]
+        some = [units[i] for i in missing]
+        again = self._words([*some, ""])  # never a single one
+        for i, unit, ids in zip(missing, some, again, strict=False):
+            result[i] = ids
+            if ids is not None and len(unit) <= KNOWN_LETTERS and len(self.known) < KNOWN_WORDS:
+                self.known[unit] = ids.copy()
+        return result
+
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: none), and where those of each text begin."""
         text = pc.fill_null(text, "")
@@ -145,7 +165,7 @@ class Encoder:
         encoded = parts.values.dictionary_encode()
         codes = encoded.indices.to_numpy(False).astype(np.int64)
         bounds = parts.offsets.to_numpy().astype(np.int64)
-        found = self._words(encoded.dictionary.to_pylist())
+        found = self._found(encoded.dictionary.to_pylist())
         whole = np.fromiter((ids is None for ids in found), bool, len(found))
         sums = np.concatenate([[0], np.cumsum(whole[codes])])
         marked = pc.match_substring(text, FIRST).to_numpy(False)  # the mark can not be told apart

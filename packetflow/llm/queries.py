@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from packetflow.llm import (
     decontamination,
     extraction,
+    hard_negatives,
     jaccard_join,
     language,
     ngram_lm,
@@ -18,9 +19,11 @@ from packetflow.llm import (
     quality_rules,
     site_quality,
     spelling,
+    token_files,
     toxicity,
 )
 from packetflow.llm.common import id_remainder, table
+from packetflow.session import work_dir
 
 
 def tokenizer_path() -> str:
@@ -93,6 +96,20 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(docs, edits=spelling.EDIT_MODULUS))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = work_dir(spark, "token-files")
+    token_files.write_tokens(docs, folder, tokenizer_path(), end=2)
+    return token_files.read_digests(spark, folder)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", moved)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -105,6 +122,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_preferences": op9_preferences,
     "op10_site_quality": op10_site_quality,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_files": op12_token_files,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -242,4 +261,29 @@ ORACLE: dict[str, str] = {
         FROM forms f JOIN paths p USING (word) JOIN forms e ON e.word = p.reached
         WHERE e.form IS NULL
     """,
+    "op13_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+                list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ),
+        positives AS (
+            SELECT * FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+            row_number() OVER (
+                PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INT AS rank,
+            n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scores n ON p.anchor_id = n.anchor_id AND NOT n.same
+            AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+        QUALIFY rank <= 10
+    """,
 }
