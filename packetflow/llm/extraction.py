@@ -14,6 +14,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from functools import lru_cache
 from math import log
 from typing import NamedTuple
 
@@ -41,22 +42,35 @@ RAW = frozenset(
 #: Elements, and words of class, id and role, that mark what is not the article.
 NOISE_ELEMENTS = frozenset("nav footer aside form menu dialog button fieldset search".split())
 NOISE_WORDS = frozenset(
-    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments complementary "
-    "consent contentinfo cookie cookies disqus dialog footer gdpr menu modal nav navbar navigation "
-    "newsletter notice notices pager pagination popup promo promotion related replies respond search "
-    "share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment commentform "
+    "commentlist comments complementary consent contentinfo cookie cookies dialog disqus footer gdpr menu "
+    "modal nav navbar navigation newsletter notice notices pager pagination popup promo promos promotion "
+    "related replies respond search share sharing sidebar signup social sponsor sponsored subscribe "
+    "toolbar widget widgets".split()
 )
-#: Beginnings of such words, and words that do so only outside a marked article.
-NOISE_STEMS = (
-    "advert", "breadcrumb", "comment", "cookie", "navigation", "newsletter", "promo", "sidebar",
-    "sponsor",
-)
+#: Beginnings of such words, words that are so only outside a marked article, words
+#: that name the remarks of readers, and words that change nothing beside one of these.
+NOISE_STEMS = ("advert", "breadcrumb", "cookie", "navigation", "newsletter", "sidebar", "sponsor")
 OUTER_NOISE_WORDS = frozenset("header masthead topbar".split())
+REMARKS = frozenset("comment commentform commentlist comments disqus replies respond".split())
+NEUTRAL = frozenset(
+    "area bar block body bottom box button buttons col column container fixed form global group icons "
+    "inner items left link links list main overlay page panel post posts region right row section site "
+    "small sticky top unit wrap wrapper".split()
+)
+#: Elements that can be an insertion in a marked article by their name, and controls.
+INSERTIONS = frozenset("center details div ol section ul".split())
+CONTROLS = frozenset("input select textarea button".split())
+
+#: A form of more words than this is no form to fill in; an insertion in an article holds at most
+#: this share of its words.
+FORM_WORDS = 100
+INSERTED_SHARE = 1 / 3
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
-    r"""|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)|(?P<text>[^<]+|<)""",
+    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
+    r"""|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*)(?:>|\Z)|(?P<text>[^<]+|<)""",
     re.S,
 )
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -74,80 +88,199 @@ class Token(NamedTuple):
     marked: bool
 
 
-def tokens(page: str) -> list[Token]:
-    """Tags and texts of a page in order; unclosed elements end where an outer one does."""
-    result: list[Token] = []
-    stack: list[tuple[str, str, bool]] = []  # element, key, whether it is or stands in noise
-    place, block, marked = 0, 0, 0
+class Element:
+    """An element of the page and what is known of it once the page is read."""
+
+    __slots__ = ("name", "parent", "names", "words", "controls", "noise", "key", "marked")
+
+    def __init__(self, name: str, parent: Element | None, names: list[str]):
+        self.name, self.parent, self.names = name, parent, names
+        self.words = self.controls = 0
+        self.noise = self.marked = False
+        self.key = ""
+
+
+@lru_cache(100_000)
+def named_noise(label: str, outer: bool) -> tuple[bool, bool]:
+    """Whether a class, id or role names an insertion, and whether the remarks of readers.
+
+    A name counts as a whole: ``sidebar``, ``site-footer`` and ``share-buttons`` do, ``no-sidebar``,
+    ``ad-free`` and ``notice-board`` do not.
+    """
+    noise = remarks = False
+    for name in label.lower().split():
+        parts = [p for p in _PART.split(name) if p]
+        hits = [
+            p in NOISE_WORDS or p.startswith(NOISE_STEMS) or (outer and p in OUTER_NOISE_WORDS)
+            for p in parts
+        ]
+        others = (p for p, hit in zip(parts, hits, strict=True) if not hit)
+        if any(hits) and all(p in NEUTRAL or p.isdigit() for p in others):
+            noise = True
+            remarks = remarks or not REMARKS.isdisjoint(parts)
+    return noise, remarks
+
+
+def _read(page: str) -> tuple[list[Element], list[tuple]]:
+    """Elements of a page in the order they open, and its raw tokens with the element they are in.
+
+    Unclosed elements end where an outer one does. Every step is paid for by a character or an
+    element, so the work grows with the page however it is made.
+    """
+    elements: list[Element] = []
+    found_tokens: list[tuple] = []  # element, prefix of the key, words, text, block
+    stack: list[Element] = []
+    opened: Counter[str] = Counter()
+    place, block = 0, 0
     formula = False  # tags inside of math count for nothing, its text is text
+
+    def drop(at: int) -> None:
+        opened.subtract(e.name for e in stack[at:])
+        del stack[at:]
+
+    def add(name: str, names: list[str]) -> Element:
+        elements.append(Element(name, stack[-1] if stack else None, names))
+        return elements[-1]
+
     while found := _TOKEN.match(page, place):
         place = found.end()
         text = found["text"]
         if text is not None:
             words = len(text.split())
-            key, noise = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-            result.append(Token("text " + key, words, text, block, noise, marked > 0))
+            if stack:
+                stack[-1].words += words
+            found_tokens.append((stack[-1] if stack else None, "text ", words, text, block))
             continue
         name = (found["name"] or found["name2"] or "").lower()
         if not name:
             continue
         if found["end"] or found["end2"]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            key, noise = name, False
             inner = formula and name not in BLOCKS
-            if at is not None:
-                key, noise = stack[at][1:]
-                formula = formula and all(e != "math" for e, _, _ in stack[at:])
-                marked -= sum(1 for e, _, _ in stack[at:] if e in ("article", "main"))
-                del stack[at:]
+            closed: Element | str = name
+            if opened[name] > 0:
+                at = len(stack) - 1
+                while stack[at].name != name:
+                    at -= 1
+                closed = stack[at]
+                formula = formula and all(e.name != "math" for e in stack[at:])
+                drop(at)
             if name in BLOCKS:
                 block += 1
             if not inner:
-                result.append(Token("/" + key, 0, "", block, noise, marked > 0))
+                found_tokens.append((closed, "/", 0, "", block))
             continue
         rest = found["rest"] or found["rest2"] or ""
+        alone = rest.rstrip().endswith("/")
+        if name in CONTROLS and stack:
+            stack[-1].controls += 1
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, place)
-            if not rest.rstrip().endswith("/") or name in ("script", "style", "textarea", "title"):
+            if not alone or name in ("script", "style", "textarea", "title"):
+                close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, place)
                 place = close.end() if close else len(page)
             if not formula:
-                result.append(Token(name, 0, "", block, False, marked > 0))
+                found_tokens.append((name, "", 0, "", block))
             continue
         if formula and name in BLOCKS:  # a block ends a formula
-            del stack[next(i for i, (e, _, _) in enumerate(stack) if e == "math") :]
+            at = len(stack) - 1
+            while stack[at].name != "math":
+                at -= 1
+            drop(at)
             formula = False
         if (formula and name != "br") or name == "math":
-            if not rest.rstrip().endswith("/") and name not in VOID:
-                stack.append((name, *(stack[-1][1:] if stack else ("", False))))
+            if not alone and name not in VOID:
+                stack.append(add(name, []))
+                opened[name] += 1
                 formula = True
             continue
         if name in BLOCKS:
             block += 1
-            if stack and name == stack[-1][0] and name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
-                stack.pop()
-            while name in BLOCKS and name != "p" and stack and stack[-1][0] == "p":
-                stack.pop()
+            if stack and name == stack[-1].name and name in _REPEATED:
+                drop(len(stack) - 1)
+            while name != "p" and stack and stack[-1].name == "p":
+                drop(len(stack) - 1)
         if name == "br":
-            result.append(Token("br", 0, " ", block, False, marked > 0))
+            found_tokens.append(("br", "", 0, " ", block))
             continue
-        labels = ["".join(m[1:]) for m in _NAMES.findall(rest)]
-        parts = {p for label in labels for p in _PART.split(label.lower()) if p}
-        noise = name in NOISE_ELEMENTS or bool(parts & NOISE_WORDS)
-        noise = noise or any(p.startswith(NOISE_STEMS) for p in parts)
-        if not marked:
-            noise = noise or name == "header" or bool(parts & OUTER_NOISE_WORDS)
-        noise = noise and name not in ("body", "html", "article", "main")
-        inherited = bool(stack) and stack[-1][2]
-        key = name + "".join(f".{p}" for p in sorted(parts)[:1])
-        if name not in BLOCKS and name != "a" and not noise:
-            key = stack[-1][1] if stack else ""  # of inline elements only links count
-        if inherited:
-            key = stack[-1][1]
-        if name in ("article", "main") and not (noise or inherited):
-            marked += 1
-        result.append(Token(key or name, 0, "", block, noise or inherited, marked > 0))
+        element = add(name, ["".join(m[1:]) for m in _NAMES.findall(rest)])
+        found_tokens.append((element, "", 0, "", block))
         if name not in VOID:
-            stack.append((name, key, noise or inherited))
+            stack.append(element)
+            opened[name] += 1
+    return elements, found_tokens
+
+
+#: Elements that end where the next of their kind begins.
+_REPEATED = frozenset("p li dt dd tr td th option".split())
+
+
+def _judge(elements: list[Element], page_words: int) -> None:
+    """Which elements are no part of the text, and the key each counts for.
+
+    The article is the ``article`` or ``main`` element of most words. What it stands in is never
+    noise; without one, what holds more than half of the words of the page is not, whatever its
+    name says, unless it names remarks of readers. A form is noise if it has controls and few words.
+    In the article, names count on containers of few of its words only.
+    """
+    for element in reversed(elements):
+        if element.parent:
+            element.parent.words += element.words
+            element.parent.controls += element.controls
+    remarked: set[int] = set()
+    for element in elements:
+        if id(element.parent) in remarked or any(
+            named_noise(label, False)[1] for label in element.names
+        ):
+            remarked.add(id(element))
+    marks = [
+        e for e in elements
+        if e.words and (e.name == "main" or (e.name == "article" and id(e) not in remarked))
+    ]
+    article = max(marks, key=lambda e: e.words, default=None)
+    safe, around = set(), article
+    while around:
+        safe.add(id(around))
+        around = around.parent
+    for element in elements:
+        name, parent = element.name, element.parent
+        inside = bool(parent) and parent.marked
+        inherited = bool(parent) and parent.noise
+        judged = [named_noise(label, not inside) for label in element.names]
+        remarks = any(r for _, r in judged)
+        noise = any(n for n, _ in judged)
+        if name == "form":
+            noise = noise or (element.controls > 0 and element.words <= FORM_WORDS)
+        if inside and not remarks and name != "form":
+            noise = noise and name in INSERTIONS and element.words <= INSERTED_SHARE * article.words
+        elif not article and not remarks:
+            noise = noise and 2 * element.words <= page_words
+        if (name in NOISE_ELEMENTS and name != "form") or (name == "header" and not inside):
+            noise = True
+        noise = noise and name not in ("body", "html", "main") and id(element) not in safe
+        if name == "article" and not remarks:
+            noise = False
+        element.noise = noise or inherited
+        parts = sorted({p for label in element.names for p in _PART.split(label.lower()) if p})
+        element.key = name + "".join(f".{p}" for p in parts[:1])
+        if inherited or (name not in BLOCKS and name != "a" and not noise):
+            element.key = parent.key if parent else ""  # of inline elements only links count
+        marks_it = name in ("article", "main") and not element.noise
+        element.marked = marks_it or inside
+
+
+def tokens(page: str) -> list[Token]:
+    """Tags and texts of a page in order, with what their elements say of them."""
+    elements, found = _read(page)
+    _judge(elements, sum(words for _, _, words, _, _ in found))
+    result = []
+    for where, prefix, words, text, block in found:
+        if isinstance(where, Element):
+            own = where.key or (where.name if prefix != "text " else "")
+            after = where.parent.marked if prefix == "/" and where.parent else where.marked
+            if prefix == "/" and not where.parent:
+                after = False
+            result.append(Token(prefix + own, words, text, block, where.noise, after))
+        else:
+            result.append(Token(prefix + (where or ""), words, text, block, False, False))
     return result
 
 

@@ -1,6 +1,7 @@
 import collections
 import itertools
 import random
+import time
 
 import oracle_check
 import pytest
@@ -111,6 +112,60 @@ def test_inserts_are_known_by_their_names():
         assert main_text(html, PLAIN) == "\n".join(blocks)
 
 
+BODY = " ".join(f"word{i}" for i in range(40))
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<div class="no-sidebar"><article><p>{BODY}</p></article></div>',
+        f'<div id="content" class="site-content with-sidebar"><main><p>{BODY}</p></main></div>',
+        f'<div class="has-share"><p>{BODY}</p></div>',
+        f'<div class="ad-free"><p>{BODY}</p></div>',
+        f'<div class="post header-large"><p>{BODY}</p></div>',
+        f'<div id="notice-board"><p>{BODY}</p></div>',
+        f'<main class="content related"><p>{BODY}</p></main>',
+        f'<form action="/"><input type="hidden" name="state"><article><p>{BODY}</p></article></form>',
+        f'<form action="/"><input type="hidden" name="state"><div><p>{BODY}</p></div></form>',
+        f'<div class="widget"><p>{BODY}</p></div>',
+        f'<div class="comments"><main><p>{BODY}</p></main></div>',
+    ],
+)
+def test_wrappers_of_the_article_lose_nothing(html):
+    around = "<nav><a href='/'>Home</a> <a href='/b'>Blog</a></nav>{}<footer>Legal notes</footer>"
+    assert main_text(around.format(html), PLAIN) == BODY
+
+
+def test_tables_and_definitions_in_an_article_stay():
+    html = (
+        f"<article><p>{BODY}</p><table class='widget'><tr><td>cell</td></tr></table>"
+        "<dl><dt>term</dt><dd class='notice'>meaning</dd></dl><p class='notice'>Careful!</p>"
+        "<form><p>No field here.</p></form><div class='share-buttons'>Send it on</div>"
+        "<form>Your mail <input></form><section id='comments'>" + "<p>Me first!</p>" * 90 + "</section></article>"
+    )
+    assert main_text(html, PLAIN).split("\n")[1:] == [
+        "cell", "term", "meaning", "Careful!", "No field here.",
+    ]
+
+
+def test_remarks_of_readers_are_no_article():
+    remarks = "".join(f"<article class='comment'><p>I say {i} times no to it.</p></article>" for i in range(40))
+    html = f"<div class='post'><p>{BODY}</p></div><div id='comments'>{remarks}</div>"
+    assert main_text(html, PLAIN) == BODY
+
+
+@pytest.mark.parametrize("odd", ["<svg/>", "<div></b>", "<i></p></u>", "<math><p>", "<select/>", "<a", "</x>"])
+def test_work_grows_with_the_page(odd):
+    def seconds(n):
+        text = odd * n
+        begin = time.process_time()
+        main_text(text, PLAIN)
+        return time.process_time() - begin
+
+    seconds(10)
+    assert seconds(40_000) < 12 * max(seconds(10_000), 0.02)
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>"), (4, "u", "<p>word <b <i>" + "<" * 50), (5, "u", "no tags at all"),
             (6, "u", "<div>" * 3000 + "deep words" + "</div>" * 10), (7, "u", "<nav>menu only</nav>"), (5, "u", "no tags at all"),
