@@ -3,7 +3,8 @@
 The test items are cut into slices of bounded size. Every document is scanned once for each slice:
 windows of a few words that an item has too are the seeds. Where seeds could cover enough of an
 item, tiles are laid: the longest run of words that both still have free is found with Karp-Rabin
-hashes of windows, all its places are marked in both, and so on down to the shortest length. The
+hashes of windows, which one step over the words gives for any length; its places are marked in
+both from left to right, and so on down to the shortest length. The
 share of the item under tiles, in whatever order they stand in the document, decides.
 """
 
@@ -18,16 +19,20 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructField, StructType
 
 from packetflow.llm.common import (
     Words,
     chunks,
     hash_words,
     map_arrow,
+    runs,
     split_words,
     window_hashes,
     window_starts,
 )
+from packetflow.session import work_dir
 
 #: Characters of test items that are broadcast at once; more items are further slices.
 SLICE_CHARS = 16_000_000
@@ -54,110 +59,200 @@ def bare_words(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Items:
-    """Test items with an index of their seeds."""
+    """Test items as arrays, with an index from each seed to the places of items that have it.
+
+    Seeds are windows of ``min_match`` words; an item of fewer words has one, the whole of it.
+    """
 
     def __init__(self, ids: list, texts: list[str | None], min_match: int):
-        hashes, offsets = bare_words(pa.array(texts, pa.string()))
+        self.hashes, self.offsets = bare_words(pa.array(texts, pa.string()))
         self.ids, self.min_match = ids, min_match
-        self.words = [hashes[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        index: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-        for number, words in enumerate(self.words):
-            # an item of fewer words has one seed, the whole of it
-            width = min(min_match, len(words))
-            if width:
-                for seed in window_hashes(words, np.arange(len(words) - width + 1), width).tolist():
-                    index[width][seed].add(number)
-        self.index = {w: {s: sorted(n) for s, n in found.items()} for w, found in index.items()}
-        self.seeds = {w: np.sort(np.array(list(s), np.uint64)) for w, s in self.index.items()}
+        self.sizes = np.diff(self.offsets)
+        words = Words(np.arange(len(self.hashes)), self.offsets, pa.array([], pa.string()))
+        self.index: dict[int, tuple[np.ndarray, ...]] = {}
+        for width in np.unique(np.minimum(self.sizes, min_match)).tolist():
+            if not width:
+                continue
+            starts, items = window_starts(words, width)
+            if width < min_match:  # only those that have no longer window
+                own = self.sizes[items] == width
+                starts, items = starts[own], items[own]
+            seeds = window_hashes(self.hashes, starts, width)
+            order = np.argsort(seeds, kind="stable")
+            bounds = runs(seeds[order])
+            self.index[width] = (
+                seeds[order][bounds[:-1]], bounds, items[order].astype(np.int32),
+                (starts - self.offsets[items])[order].astype(np.int32),
+            )
+
+    def words(self, item: int) -> np.ndarray:
+        return self.hashes[self.offsets[item] : self.offsets[item + 1]]
+
+
+#: An odd number to whose powers words are added up, and its inverse among 64-bit numbers.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+def _powers(base: int, most: int) -> np.ndarray:
+    factors = np.full(most + 1, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+class KarpRabin:
+    """Hashes of all windows of one width, for any width, in one step over the words each."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        powers, self.back = (_powers(x, len(words)) for x in (BASE, INVERSE))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers[:-1])])
+
+    def hashes(self, starts: np.ndarray, width: int) -> np.ndarray:
+        return (self.sums[starts + width] - self.sums[starts]) * self.back[starts]
 
 
 def tiles(
     text: np.ndarray, item: np.ndarray, min_match: int
 ) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: ``(place in text, place in item, length)``, longest first."""
-    free = [np.ones(len(text), bool), np.ones(len(item), bool)]
+    """Greedy string tiling: ``(place in text, place in item, length)``, longest first.
+
+    Of tiles of one length the first in the text comes first, at the first free place of the item.
+    Each length is one pass over the words, however often they repeat.
+    """
+    sides = KarpRabin(text), KarpRabin(item)
+    free = np.ones(len(text), bool), np.ones(len(item), bool)
     longest, found = min(len(text), len(item)), []
+
+    def windows(width: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        result = []
+        for side, open_ in zip(sides, free, strict=True):
+            taken = np.concatenate([[0], np.cumsum(~open_)])
+            starts = np.arange(len(open_) - width + 1)
+            starts = starts[taken[starts + width] == taken[starts]]
+            result.append((starts, side.hashes(starts, width)))
+        return result
+
     while longest >= min_match:
         low, high = min_match - 1, longest  # a common free run of n words has one of n - 1
-        best = None
         while low < high:
             middle = (low + high + 1) // 2
-            pairs = _common(text, item, free, middle)
-            if pairs:
-                low, best = middle, pairs
+            (_, ours), (_, theirs) = windows(middle)
+            if np.isin(theirs, ours).any():
+                low = middle
             else:
                 high = middle - 1
-        if best is None:
+        if low < min_match:
             break
-        for i, j in best:
-            if free[0][i : i + low].all() and free[1][j : j + low].all():
-                free[0][i : i + low] = free[1][j : j + low] = False
-                found.append((i, j, low))
-        longest = low
+        found += _lay(text, item, free, low, *windows(low))
+        longest = low - 1  # no two free windows of this width are left
     return found
 
 
-def _common(text, item, free, width: int) -> list[tuple[int, int]]:
-    """Places of equal free windows, by hash and then word for word."""
-    at = []
-    for words, open_ in zip((text, item), free, strict=True):
-        taken = np.concatenate([[0], np.cumsum(~open_)])
-        starts = np.arange(len(words) - width + 1)
-        at.append(starts[taken[starts + width] == taken[starts]])
-    hashes = [window_hashes(w, s, width) for w, s in zip((text, item), at, strict=True)]
-    places = defaultdict(list)
-    for j, h in zip(at[1].tolist(), hashes[1].tolist(), strict=True):
-        places[h].append(j)
-    hit = np.isin(hashes[0], hashes[1])
-    return [
-        (i, j)
-        for i, h in zip(at[0][hit].tolist(), hashes[0][hit].tolist(), strict=True)
-        for j in places[h]
-        if (text[i : i + width] == item[j : j + width]).all()
-    ]
+def _lay(text, item, free, width: int, ours, theirs) -> list[tuple[int, int, int]]:
+    """Mark equal windows from left to right; a place of the item is looked at once for each hash."""
+    places: dict[int, list[int]] = defaultdict(list)
+    hit = np.isin(theirs[1], ours[1])
+    for j, h in zip(theirs[0][hit][::-1].tolist(), theirs[1][hit][::-1].tolist(), strict=True):
+        places[h].append(j)  # the first place comes last
+    hit = np.isin(ours[1], theirs[1])
+    laid, next_free, left = [], 0, len(places)
+    for i, h in zip(ours[0][hit].tolist(), ours[1][hit].tolist(), strict=True):
+        if not left:
+            break
+        waiting, others = places[h], []
+        if i < next_free or not waiting:
+            continue
+        while waiting:
+            j = waiting.pop()
+            if not free[1][j : j + width].all():
+                continue  # it will not be free again
+            if (text[i : i + width] != item[j : j + width]).any():
+                others.append(j)  # equal by hash only
+                continue
+            free[0][i : i + width] = free[1][j : j + width] = False
+            laid.append((i, j, width))
+            next_free = i + width
+            break
+        else:
+            left -= not others
+        waiting.extend(reversed(others))
+    return laid
+
+
+#: Places of seeds in items that are looked at together.
+MAX_PLACES = 1 << 22
 
 
 def find_items(text: pa.Array, items: Items, coverage: float) -> Iterator[tuple]:
-    """``(text, item, tiles, words under tiles, words of the item)`` of all that reach the share."""
+    """``(text, item, tiles, words under tiles, words of the item)`` of all that reach the share.
+
+    First the words of each item that lie under a seed of the text are counted, for all items at
+    once; only where they reach the share tiles are laid.
+    """
     hashes, offsets = bare_words(text)
     words = Words(np.arange(len(hashes)), offsets, pa.array([], pa.string()))
-    hits: dict[tuple[int, int], list[int]] = defaultdict(list)
-    for width, seeds in items.seeds.items():
+    for width, (seeds, bounds, item_of, place_of) in items.index.items():
         starts, texts = window_starts(words, width)
         found = window_hashes(hashes, starts, width)
-        place = np.minimum(np.searchsorted(seeds, found), len(seeds) - 1)
-        at = np.flatnonzero(seeds[place] == found)
-        for start, number, seed in zip(
-            starts[at].tolist(), texts[at].tolist(), found[at].tolist(), strict=True
-        ):
-            for item in items.index[width][seed]:
-                hits[number, item].append(start)
-    for (number, item), starts in sorted(hits.items()):
-        wanted = items.words[item]
-        width = min(items.min_match, len(wanted))
-        if len(starts) * width < coverage * len(wanted):
-            continue
-        # only words under a seed can be under a tile; what lies between the runs is cut out
-        under = np.zeros(int(offsets[number + 1] - offsets[number]) + 1, bool)
-        for start in starts:
-            under[start - offsets[number] : start - offsets[number] + width] = True
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], under.astype(np.int8)])))
-        gap = np.zeros(1, np.uint64)
-        parts = []
-        for begin, end in zip(edges[::2], edges[1::2], strict=True):
-            parts += [hashes[offsets[number] + begin : offsets[number] + end], gap]
-        laid = tiles(np.concatenate(parts), wanted, width)
-        covered = sum(length for _, _, length in laid)
-        if covered >= coverage * len(wanted):
-            yield number, item, len(laid), covered, len(wanted)
-
-
-def _find(items: Broadcast, coverage: float):
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("item_id", pa.int64())]
-        + [(name, pa.int64()) for name in ("n_tiles", "n_covered", "n_item_words")]
-    )
-
+        seed = np.minimum(np.searchsorted(seeds, found), len(seeds) - 1)
+        hit = seeds[seed] == found
+        starts, texts, seed = starts[hit], texts[hit], seed[hit]
+        # each seed of a text once, in the order of texts
+        pairs = np.unique(texts * len(seeds) + seed)
+        pair_text, pair_seed = np.divmod(pairs, len(seeds))
+        sizes = bounds[pair_seed + 1] - bounds[pair_seed]
+        for part in _whole_texts(pair_text, sizes):
+            of = np.repeat(np.arange(part.start, part.stop), sizes[part])
+            first = np.cumsum(sizes[part]) - sizes[part]
+            at = np.arange(len(of)) - np.repeat(first - bounds[pair_seed[part]], sizes[part])
+            order = np.lexsort((place_of[at], item_of[at], pair_text[of]))
+            number, item = pair_text[of][order], item_of[at][order].astype(np.int64)
+            place = place_of[at][order].astype(np.int64)
+            ends = runs(number * len(items.ids) + item)
+            gaps = np.full(len(place), width)
+            gaps[:-1] = np.minimum(width, np.diff(place))
+            gaps[ends[1:] - 1] = width
+            under = np.add.reduceat(gaps, ends[:-1]) if len(gaps) else gaps
+            enough = under >= coverage * items.sizes[item[ends[:-1]]]
+            for row in ends[:-1][enough].tolist():
+                wanted = items.words(item[row])
+                begin, end = np.searchsorted(texts, [number[row], number[row] + 1])
+                own = starts[begin:end] - offsets[number[row]]
+                own_seeds = window_hashes(wanted, np.arange(len(wanted) - width + 1), width)
+                own = own[np.isin(seeds[seed[begin:end]], own_seeds)]
+                whole = hashes[offsets[number[row]] : offsets[number[row] + 1]]
+                laid = tiles(_under(whole, own, width), wanted, width)
+                covered = sum(length for _, _, length in laid)
+                if covered >= coverage * len(wanted):
+                    yield int(number[row]), int(item[row]), len(laid), covered, len(wanted)
+
+
+def _whole_texts(text: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of rows of about ``MAX_PLACES`` in all, or of one text."""
+    ends = runs(text)[1:]
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    begin = 0
+    while begin < len(text):
+        most = int(np.searchsorted(total[ends], total[begin] + MAX_PLACES, "right"))
+        end = int(ends[max(most - 1, np.searchsorted(ends, begin, "right"))])
+        yield slice(begin, end)
+        begin = end
+
+
+def _under(words: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """The words under windows, with a gap for what lies between: nothing else can be in a tile."""
+    change = np.zeros(len(words) + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + width, -1)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(change) > 0])))
+    gap, parts = np.zeros(1, np.uint64), []
+    for begin, end in zip(edges[::2], edges[1::2], strict=True):
+        parts += [words[begin:end], gap]
+    return np.concatenate(parts)
+
+
+def _find(items: Broadcast, coverage: float, schema: pa.Schema):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
             ids = chunk.column("doc_id")
@@ -184,9 +279,12 @@ def _clean(items: Broadcast, coverage: float, text: str):
 
 
 def _slices(benchmark: DataFrame, item_id: str, text: str, min_match: int, slice_chars: int):
-    """Broadcasts of the test items, each of about ``slice_chars`` at most."""
+    """Broadcasts of the test items one after the other, each of about ``slice_chars`` at most.
+
+    Yields how many there are, too. Only one is built and held at a time.
+    """
     items = benchmark.select(
-        F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")
+        F.col(item_id).alias("item_id"), F.col(text).alias("text")
     ).filter("text IS NOT NULL")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     number = -(-size * 2 // slice_chars) if size > slice_chars else 1
@@ -194,7 +292,14 @@ def _slices(benchmark: DataFrame, item_id: str, text: str, min_match: int, slice
     for i in range(number):
         rows = items.filter(own == i).distinct().orderBy("item_id", "text").collect()
         found = Items([r[0] for r in rows], [r[1] for r in rows], min_match)
-        yield benchmark.sparkSession.sparkContext.broadcast(found)
+        yield number, benchmark.sparkSession.sparkContext.broadcast(found)
+
+
+def _written(part: DataFrame, path: str, items: Broadcast) -> DataFrame:
+    """The part as a table, after which its items are needed no more."""
+    part.write.parquet(path)
+    items.destroy()
+    return part.sparkSession.read.schema(part.schema).parquet(path)
 
 
 def contaminated(
@@ -206,19 +311,23 @@ def contaminated(
 
     A document holds an item if at least ``coverage`` of the item's words lie under tiles of
     ``min_match`` words or more. An item of fewer words is one tile. Null and empty texts, and items
-    without a word, hold nothing and are held by nothing; no items give no rows. Null ids stay
-    null; each row that repeats a document reports for itself, items repeated whole count once.
-    Columns of other names play no part.
+    without a word, hold nothing and are held by nothing; no items give no rows. Ids are of any
+    type; null ones stay null; each row that repeats a document reports for itself, items repeated
+    whole count once. Columns of other names play no part. With several slices of items, what one
+    finds is written to the shared folder before the next is built.
     """
-    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id long, item_id long, n_tiles long, n_covered long, n_item_words long"
-    parts = [
-        map_arrow(base, _find(items, coverage), schema)
-        for items in _slices(benchmark, item_id, text, min_match, slice_chars)
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+    spark = docs.sparkSession
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    fields = [StructField("doc_id", base.schema["doc_id"].dataType)]
+    fields += [StructField("item_id", benchmark.schema[item_id].dataType)]
+    fields += [StructField(n, LongType()) for n in ("n_tiles", "n_covered", "n_item_words")]
+    schema, result = StructType(fields), None
+    folder = work_dir(spark, "decontamination")
+    for i, (number, items) in enumerate(_slices(benchmark, item_id, text, min_match, slice_chars)):
+        part = map_arrow(base, _find(items, coverage, to_arrow_schema(schema)), schema)
+        if number > 1:
+            part = _written(part, f"{folder}/{i}", items)
+        result = part if result is None else result.unionByName(part)
     return result
 
 
@@ -226,7 +335,15 @@ def without_items(
     docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE,
     text: str = "text", slice_chars: int = SLICE_CHARS,
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns; nothing is shuffled."""
-    for items in _slices(benchmark, "item_id", "text", min_match, slice_chars):
+    """The rows of ``docs`` that hold no item, with all their columns; nothing is shuffled.
+
+    With several slices of items, what one leaves is written before the next is built.
+    """
+    folder = work_dir(docs.sparkSession, "decontamination")
+    for i, (number, items) in enumerate(
+        _slices(benchmark, "item_id", "text", min_match, slice_chars)
+    ):
         docs = map_arrow(docs, _clean(items, coverage, text), docs.schema)
+        if number > 1:
+            docs = _written(docs, f"{folder}/{i}", items)
     return docs

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -110,3 +111,49 @@ def test_repeated_rows_report_each_and_long_texts_pass(spark):
     assert sorted((str(r.doc_id), str(r.item_id)) for r in rows) == sorted(
         [("1", "4"), ("1", "None")] * 2 + [("None", "4"), ("None", "None")]
     )
+
+
+def test_whole_query_equals_plain_tiling_of_every_pair(spark):
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(9)]
+    items = {i: [rng.choice(words) for _ in range(rng.randrange(1, 14))] for i in range(25)}
+    docs = {k: [rng.choice(words) for _ in range(rng.randrange(0, 40))] for k in range(40)}
+    for k in range(0, 40, 3):
+        docs[k] = docs[k][:8] + items[k % 25] + docs[k][8:] + items[(k + 1) % 25][::-1]
+    left, right = frames(
+        spark, {k: " ".join(w) for k, w in docs.items()}, {i: " ".join(w) for i, w in items.items()}
+    )
+    wanted = set()
+    for k, text in docs.items():
+        for i, item in items.items():
+            covered = plain_tiles(text, item, min(4, len(item)))
+            if 2 * covered >= len(item):
+                wanted.add((k, i, covered, len(item)))
+    rows = dec.contaminated(left, right).collect()
+    assert {(r.doc_id, r.item_id, r.n_covered, r.n_item_words) for r in rows} == wanted
+    assert len(rows) == len(wanted) > 20
+
+
+def test_repetitive_texts_and_shared_phrases_end_soon():
+    begin = time.process_time()
+    same = np.ones(100_000, np.uint64)
+    assert sum(n for _, _, n in dec.tiles(same, same[:1000], 4)) == 1000
+    assert sum(n for _, _, n in dec.tiles(np.tile(np.arange(7, dtype=np.uint64), 9000), same, 4)) == 0
+    phrase = " ".join(f"p{i}" for i in range(12))
+    items = dec.Items(
+        list(range(10_000)),
+        [f"{phrase} " + " ".join(f"i{n}x{k}" for k in range(30)) for n in range(10_000)], 4,
+    )
+    import pyarrow as pa
+
+    texts = [f"{phrase} and more of it " * 200, "w " * 100_000, "", None]
+    texts.append(" ".join(f"i77x{k}" for k in range(30)) + phrase)
+    found = list(dec.find_items(pa.array(texts), items, 0.5))
+    assert [(t, i) for t, i, *_ in found] == [(4, 77)]
+    assert time.process_time() - begin < 20
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "one two three four five")], "doc_id string, text string")
+    items = spark.createDataFrame([("x", "two three four five")], "item_id string, text string")
+    assert [(r.doc_id, r.item_id) for r in dec.contaminated(docs, items).collect()] == [("a", "x")]
