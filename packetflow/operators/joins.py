@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,23 +65,33 @@ def literal_keys(df: DataFrame, values: Sequence[str], name: str) -> DataFrame:
 def without_stored(
     batch: DataFrame,
     stored: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     batch_rows: int | None = None,
     max_broadcast: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
-    """Rows of ``batch`` whose ``key`` is not stored yet. ``batch`` holds each key once.
+    """Rows of ``batch`` whose ``key``, one column or several, is not stored yet.
 
     With a known small ``batch_rows`` the stored side is first cut down to the keys of the batch by
-    a broadcast, so the large table is scanned for one column and never shuffled; very few keys are
-    pushed to the scan, where statistics and bloom filters skip what can not hold them. Otherwise
-    both sides are shuffled by the key, which is unique on both and therefore even.
+    a broadcast, so the large table is scanned for its key and never shuffled; very few keys of one
+    column are pushed to the scan, where buckets, statistics and bloom filters skip what can not
+    hold them. Otherwise both sides are joined by the key, which is unique on the stored one; a
+    table that is bucketed by it is not shuffled then either. Null is a key like any other where
+    there are several columns.
     """
-    stored_keys = stored.select(key)
-    if batch_rows is not None and batch_rows <= min(MAX_PUSHED_KEYS, max_broadcast):
+    keys = [key] if isinstance(key, str) else list(key)
+    stored_keys = stored.select(*keys)
+    small = batch_rows is not None and batch_rows <= max_broadcast
+    if len(keys) == 1 and small and batch_rows <= MAX_PUSHED_KEYS:
         prepare(batch.sparkSession)
-        wanted = [row[0] for row in batch.select(key).limit(MAX_PUSHED_KEYS + 1).collect()]
+        wanted = [row[0] for row in batch.select(*keys).limit(MAX_PUSHED_KEYS + 1).collect()]
         if len(wanted) <= MAX_PUSHED_KEYS:
-            stored_keys = stored_keys.filter(F.col(key).isin(wanted))
-    if batch_rows is not None and batch_rows <= max_broadcast:
-        stored_keys = stored_keys.join(F.broadcast(batch.select(key)), key, "left_semi")
-    return batch.join(stored_keys, key, "left_anti")
+            stored_keys = stored_keys.filter(F.col(keys[0]).isin(wanted))
+    if len(keys) == 1:
+        if small:
+            stored_keys = stored_keys.join(F.broadcast(batch.select(*keys)), keys, "left_semi")
+        return batch.join(stored_keys, keys, "left_anti")
+    named = stored_keys.toDF(*[f"__{k}" for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    if small:
+        named = named.join(F.broadcast(batch.select(*keys)), same, "left_semi")
+    return batch.join(named, same, "left_anti")

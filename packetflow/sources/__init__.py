@@ -1,13 +1,14 @@
 """Where rows come from and go to."""
 
-from packetflow.sources.batches import BatchTable, FoldedTable, SegmentedTable
+from packetflow.sources.batches import BatchTable, BucketedTable, CommitLog, FoldedTable
 from packetflow.sources.shards import read_shards, shard_change_stream
 from packetflow.sources.topics import file_topic, kafka_pattern, kafka_topic, write_kafka
 
 __all__ = [
     "BatchTable",
+    "BucketedTable",
+    "CommitLog",
     "FoldedTable",
-    "SegmentedTable",
     "file_topic",
     "kafka_pattern",
     "kafka_topic",

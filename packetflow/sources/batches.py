@@ -6,8 +6,11 @@ read with ``before=N``, which leaves out what an interrupted run of N itself may
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +53,13 @@ class BatchTable:
     def only(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return self.batches(spark, [batch_id])
 
+    def remove(self, spark: SparkSession, batch_ids: Sequence[int]) -> None:
+        """Delete the folders of batches that nothing reads any more."""
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for number in batch_ids:
+            folder = hadoop.Path(f"{self.path}/batch_id={number}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def batches(self, spark: SparkSession, batch_ids: Sequence[int]) -> DataFrame:
         """Given batches by name: the other folders are not even listed."""
         schema = f"{self.schema}, batch_id BIGINT"
@@ -65,7 +75,8 @@ class FoldedTable:
 
     The snapshot of batch S replaces all deltas up to S. Which snapshot a reader needs follows from
     the batch number alone, so it opens one snapshot and fewer than ``every`` deltas, however long
-    the stream has run. Batches are numbered from 0 without gaps, as Spark does.
+    the stream has run. Batches are numbered from 0 without gaps, as :class:`CommitLog` does. Deltas
+    and snapshots are deleted once a later snapshot but one holds them.
     """
 
     deltas: BatchTable
@@ -97,6 +108,10 @@ class FoldedTable:
         if batch_id > 0 and batch_id % self.every == 0:
             state = self.fold(self._rows_after(delta.sparkSession, batch_id - self.every, batch_id))
             self.snapshots.write(state if keep is None else state.filter(keep), batch_id)
+            old = batch_id - self.every
+            if old > 0:  # those who still read the snapshot before need no delta up to it
+                self.deltas.remove(delta.sparkSession, deltas_after(old - self.every, old))
+                self.snapshots.remove(delta.sparkSession, [old - self.every])
 
     def rows(self, spark: SparkSession, upto: int) -> DataFrame:
         """What the state after batch ``upto`` folds from; enough where only keys matter."""
@@ -122,65 +137,72 @@ def deltas_after(merged: int, upto: int) -> list[int]:
     return list(range(merged + 1 if merged > 0 else 0, upto + 1))
 
 
-def segment_ends(upto: int, every: int, after: int = 0) -> list[int]:
-    """The segments that hold the batches merged at ``upto``, without those up to ``after``."""
-    ends = []
-    while upto > after:
-        ends.append(upto)
-        number = upto // every
-        upto -= (number & -number) * every
-    return ends
-
-
 @dataclass(frozen=True)
-class SegmentedTable:
-    """A growing table: every so many batches, their folders are merged into one segment.
-
-    Segments are merged with each other as the digits of a binary counter are carried: the one that
-    ends with merge n replaces as many merges as the lowest bit of n counts. Which ones a reader
-    needs follows from the batch number alone. It opens as many as that number has bits, and fewer
-    than ``every`` deltas; a row is written again once for each bit.
+class BucketedTable:
+    """A growing table with a unique key: deltas, and every so many batches one bucketed table of all.
+
+    The table of batch S holds every row up to S, bucketed and sorted by the key. It is written by a
+    plain job, an ordinary Spark table that names its folder, so what is joined with it by the key
+    meets it bucket by bucket and is the only side that is shuffled, and keys asked for by name open
+    their buckets only. Which table a reader needs follows from the batch number alone. ``every`` is
+    how often the rows are written anew: set it to a day of batches where the table is large.
     """
 
     deltas: BatchTable
-    segments: BatchTable
+    key: str
+    buckets: int = 64
     every: int = 50
 
     @classmethod
     def at(
-        cls, path: str, schema: str, every: int = 50, options: dict[str, str] | None = None
-    ) -> SegmentedTable:
-        return cls(
-            BatchTable(f"{path}/deltas", schema, options=options or {}),
-            BatchTable(f"{path}/segments", schema, options=options or {}),
-            every,
-        )
+        cls, path: str, schema: str, key: str, every: int = 50, buckets: int = 64,
+        options: dict[str, str] | None = None,
+    ) -> BucketedTable:
+        return cls(BatchTable(f"{path}/deltas", schema, options=options or {}), key, buckets, every)
 
     def create(self, spark: SparkSession) -> None:
         self.deltas.create(spark)
-        self.segments.create(spark)
+
+    def _place(self, batch_id: int) -> tuple[str, str]:
+        """The name in the catalog and the folder of the table that ends with a batch."""
+        folder = f"{self.deltas.path.removesuffix('/deltas')}/upto/{batch_id}"
+        return f"packetflow_{hashlib.md5(folder.encode()).hexdigest()}", folder
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        """Write the rows of a batch and, when it is due, the segment that ends with it."""
+        """Write the rows of a batch and, when it is due, the table that ends with it."""
         self.deltas.write(rows, batch_id)
         if batch_id > 0 and batch_id % self.every == 0:
-            spark = rows.sparkSession
-            before = batch_id - self.every
-            number = batch_id // self.every
-            first = batch_id - (number & -number) * self.every
-            merged = self.deltas.batches(spark, deltas_after(before, batch_id))
-            carried = self.segments.batches(spark, segment_ends(before, self.every, first))
-            self.segments.write(merged.unionByName(carried).drop("batch_id"), batch_id)
+            self._rebuild(rows.sparkSession, batch_id)
+
+    def _rebuild(self, spark: SparkSession, batch_id: int) -> None:
+        before = batch_id - self.every
+        deltas = self.deltas.batches(spark, deltas_after(before, batch_id)).drop("batch_id")
+        rows = deltas if before <= 0 else self._stored(spark, before).unionByName(deltas)
+        name, folder = self._place(batch_id)
+        writer = rows.repartition(self.buckets, self.key).write.mode("overwrite")
+        writer = writer.options(**self.deltas.options).option("path", folder)
+        writer.bucketBy(self.buckets, self.key).sortBy(self.key).saveAsTable(name)
+
+    def _stored(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The bucketed table; a session that does not know it yet learns of its folder."""
+        name, folder = self._place(batch_id)
+        if not spark.catalog.tableExists(name):
+            spark.sql(
+                f"CREATE TABLE {name} ({self.deltas.schema}) USING parquet "
+                f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {self.buckets} BUCKETS "
+                f"LOCATION '{folder}'"
+            )
+        spark.catalog.refreshTable(name)
+        return spark.table(name)
+
+    def parts(self, spark: SparkSession, upto: int) -> list[DataFrame]:
+        """All rows of the batches up to this one: the bucketed table, and what came after it."""
+        merged = last_multiple(upto, self.every)
+        deltas = self.deltas.batches(spark, deltas_after(merged, upto)).drop("batch_id")
+        return [self._stored(spark, merged), deltas] if merged > 0 else [deltas]
 
     def upto(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """All rows of the batches up to this one."""
-        merged = last_multiple(batch_id, self.every)
-        deltas = self.deltas.batches(spark, deltas_after(merged, batch_id))
-        segments = self.segments.batches(spark, segment_ends(merged, self.every))
-        return segments.unionByName(deltas).drop("batch_id")
-
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return self.upto(spark, batch_id - 1)
+        return reduce(DataFrame.unionByName, self.parts(spark, batch_id))
 
     def only(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return self.deltas.only(spark, batch_id).drop("batch_id")
@@ -190,33 +212,62 @@ class SegmentedTable:
 COMMITS_KEPT = 100
 
 
-def commit_log(root: str) -> BatchTable:
-    """One row per finished batch; readers of several tables read no further than the last."""
-    return BatchTable(f"{root}/commits", "rows BIGINT")
-
-
-def last_commit(spark: SparkSession, log: BatchTable) -> int:
-    """The last finished batch, -1 if there is none."""
-    row = log.read(spark).agg(F.max("batch_id").alias("last")).first()
-    return -1 if row is None or row["last"] is None else int(row["last"])
+@dataclass(frozen=True)
+class CommitLog:
+    """The finished batches of the tables of one root, and the streams that wrote them.
 
+    Batches are numbered on by the tables, whichever stream writes: the number after the last commit.
+    A commit holds the last batch of every stream that ever wrote, by the id in its checkpoint, so
+    a batch that a stream delivers again is known as finished, also after others have written. One
+    stream at a time writes.
+    """
 
-def write_commit(spark: SparkSession, log: BatchTable, batch_id: int, rows: int) -> None:
-    log.write(spark.range(1).select(F.lit(rows).cast("bigint").alias("rows")), batch_id)
-    if batch_id >= COMMITS_KEPT:
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        old = hadoop.Path(f"{log.path}/batch_id={batch_id - COMMITS_KEPT}")
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    table: BatchTable
 
+    @classmethod
+    def at(cls, path: str) -> CommitLog:
+        return cls(BatchTable(path, "writer STRING, stream_batch BIGINT, rows BIGINT"))
 
-def first_batch(spark: SparkSession, checkpoint: str, fresh: int) -> int:
-    """The number that batch 0 of a checkpoint has in the tables: ``fresh`` if it is a new one."""
+    def create(self, spark: SparkSession) -> None:
+        self.table.create(spark)
+
+    def state(self, spark: SparkSession) -> tuple[int, dict[str, int]]:
+        """The last finished batch (-1: none) and the last batch of each stream."""
+        rows = self.table.read(spark).collect()
+        last = max((r["batch_id"] for r in rows), default=-1)
+        return last, {r["writer"]: r["stream_batch"] for r in rows if r["batch_id"] == last}
+
+    def last(self, spark: SparkSession) -> int:
+        return self.state(spark)[0]
+
+    def next_number(self, spark: SparkSession, writer: str, stream_batch: int) -> int | None:
+        """The number a batch of a stream gets, None if it is finished already."""
+        last, written = self.state(spark)
+        return None if stream_batch <= written.get(writer, -1) else last + 1
+
+    def others(self, spark: SparkSession, writer: str) -> bool:
+        """Whether another stream has written here, so that a row may come for a second time."""
+        return any(name != writer for name in self.state(spark)[1])
+
+    def write(
+        self, spark: SparkSession, number: int, writer: str, stream_batch: int, rows: int
+    ) -> None:
+        written = self.state(spark)[1] | {writer: stream_batch}
+        values = [(w, b, rows if w == writer else None) for w, b in sorted(written.items())]
+        held = F.array(
+            *[F.struct(*[F.lit(v).cast(t) for v, t in zip(row, ("string", "bigint", "bigint"), strict=True)])
+              for row in values]
+        )
+        columns = StructType.fromDDL(self.table.schema).names
+        self.table.write(spark.range(1).select(F.inline(held)).toDF(*columns), number)
+        self.table.remove(spark, [number - COMMITS_KEPT])
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of a checkpoint, kept in it: a new folder is a new stream, whatever its name."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(f"{checkpoint}/first-batch")
+    folder = hadoop.Path(f"{checkpoint}/writer-id")
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        started = hadoop.Path(f"{checkpoint}/offsets")
-        if started.getFileSystem(spark._jsc.hadoopConfiguration()).exists(started):
-            fresh = 0  # a checkpoint from before the number was kept
-        row = spark.range(1).select(F.lit(fresh).cast("bigint").alias("first"))
+        row = spark.range(1).select(F.lit(uuid.uuid4().hex).alias("id"))
         row.write.mode("overwrite").parquet(folder.toString())
-    return int(spark.read.schema("first BIGINT").parquet(folder.toString()).first()["first"])
+    return spark.read.schema("id STRING").parquet(folder.toString()).first()["id"]

@@ -19,12 +19,10 @@ from packetflow.operators import changes, projection, stats
 from packetflow.session import spread
 from packetflow.sources.batches import (
     BatchTable,
+    BucketedTable,
+    CommitLog,
     FoldedTable,
-    SegmentedTable,
-    commit_log,
-    first_batch,
-    last_commit,
-    write_commit,
+    checkpoint_id,
 )
 
 
@@ -35,14 +33,17 @@ class ReadModel:
     root: str
     ttl_ms: int = projection.MARKER_TTL_MS
     snapshot_every: int = 50
+    ledger_buckets: int = 64
+    ledger_every: int = 50
 
     @property
-    def ledger(self) -> SegmentedTable:
+    def ledger(self) -> BucketedTable:
         # The bloom filter lets a lookup by id skip the row groups that do not hold it.
         bloom = {"parquet.bloom.filter.enabled#transaction_id": "true"}
-        return SegmentedTable.at(
-            f"{self.root}/ledger", schemas.LEDGER, self.snapshot_every, options=bloom
-        )
+        return BucketedTable.at(
+            f"{self.root}/ledger", schemas.LEDGER, "transaction_id", self.ledger_every,
+            self.ledger_buckets, options=bloom,
+        )
 
     @property
     def client_state(self) -> FoldedTable:
@@ -70,8 +71,8 @@ class ReadModel:
         return BatchTable(f"{self.root}/quarantine", schemas.QUARANTINE)
 
     @property
-    def commits(self) -> BatchTable:
-        return commit_log(self.root)
+    def commits(self) -> CommitLog:
+        return CommitLog.at(f"{self.root}/commits")
 
     def create(self, spark: SparkSession) -> None:
         for table in (
@@ -79,18 +80,16 @@ class ReadModel:
         ):
             table.create(spark)
 
-    def project(self, batch: DataFrame, batch_id: int) -> None:
+    def project(self, batch: DataFrame, stream_batch: int, writer: str = "") -> None:
         """Project one micro-batch of change events; ``processed_ms`` is its clock.
 
-        Only a count and the clock come back to the driver.
+        ``writer`` names the stream, whose batches are counted by ``stream_batch``; one that is
+        finished already changes nothing. Only a count and the clock come back to the driver.
         """
         spark = batch.sparkSession
-        last = last_commit(spark, self.commits)
-        if batch_id < last:
-            raise RuntimeError(
-                f"batch {batch_id} comes after batch {last} was committed: the tables belong to "
-                "another checkpoint; start() numbers the batches of a new one on"
-            )
+        batch_id = self.commits.next_number(spark, writer, stream_batch)
+        if batch_id is None:
+            return
         if "topic" not in batch.columns:
             batch = batch.withColumn("topic", F.lit(None).cast("string"))
         events = spread(batch, "arrival_seq", "msg_partition")
@@ -107,8 +106,9 @@ class ReadModel:
             markers = self.markers.rows(spark, batch_id - 1)
             fresh = projection.fast_path(firsts, markers, clock, self.ttl_ms, size)
             fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-            ledger = self.ledger.before(spark, batch_id)
-            new = projection.new_ledger_rows(fresh, ledger, size)
+            new = fresh
+            for part in self.ledger.parts(spark, batch_id - 1):
+                new = projection.new_ledger_rows(new, part, size)
             self.ledger.write(changes.with_payload(new), batch_id)
             written = self.ledger.only(spark, batch_id)
             self.stats.write(stats.protocol_stats(written), batch_id)
@@ -117,7 +117,7 @@ class ReadModel:
             marks = fresh.select("transaction_id", F.lit(clock).alias("marked_at_ms"))
             alive = F.col("marked_at_ms") > F.lit(clock - self.ttl_ms)
             self.markers.write(marks, batch_id, keep=alive)
-            write_commit(spark, self.commits, batch_id, size)
+            self.commits.write(spark, batch_id, writer, stream_batch, size)
         finally:
             for frame in (parsed, firsts, fresh):
                 frame.unpersist()
@@ -132,32 +132,32 @@ class ReadModel:
         """Project a stream of change events.
 
         The clock is the time of the micro-batch. Spark keeps it in the checkpoint, so a replay
-        sees the same one. A new checkpoint may read what these tables hold already: its batches
-        are numbered on from the last commit, so they meet the ledger of all before and change
-        nothing twice. The first number is kept in the checkpoint. One stream at a time writes.
+        sees the same one. Several checkpoints may write one after the other, in any order, and
+        read what these tables hold already: their batches are numbered on from the last commit,
+        so they meet the ledger of all before and change nothing twice.
         """
         spark = feed.sparkSession
         self.create(spark)
-        first = first_batch(spark, checkpoint, last_commit(spark, self.commits) + 1)
+        writer_id = checkpoint_id(spark, checkpoint)
         clocked = feed
         if "processed_ms" not in feed.columns:
             clocked = feed.withColumn("processed_ms", F.unix_millis(F.current_timestamp()))
 
         def project(batch: DataFrame, batch_id: int) -> None:
-            self.project(batch, first + batch_id)
+            self.project(batch, batch_id, writer_id)
 
         writer = clocked.writeStream.foreachBatch(project).option("checkpointLocation", checkpoint)
         trigger = {"availableNow": True} if available_now else {"processingTime": interval}
         return writer.trigger(**trigger).start()
 
     def read_ledger(self, spark: SparkSession) -> DataFrame:
-        return self.ledger.upto(spark, last_commit(spark, self.commits))
+        return self.ledger.upto(spark, self.commits.last(spark))
 
     def read_client_state(self, spark: SparkSession) -> DataFrame:
-        return self.client_state.current(spark, last_commit(spark, self.commits))
+        return self.client_state.current(spark, self.commits.last(spark))
 
     def read_stats(self, spark: SparkSession) -> DataFrame:
-        return self.stats.current(spark, last_commit(spark, self.commits))
+        return self.stats.current(spark, self.commits.last(spark))
 
     def read_markers(self, spark: SparkSession) -> DataFrame:
-        return self.markers.current(spark, last_commit(spark, self.commits))
+        return self.markers.current(spark, self.commits.last(spark))

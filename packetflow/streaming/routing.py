@@ -9,11 +9,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from packetflow import schemas
 from packetflow.operators import auth, routing
+from packetflow.operators.joins import without_stored
 from packetflow.session import spread
-from packetflow.sources.batches import BatchTable, commit_log, write_commit
+from packetflow.sources.batches import BatchTable, CommitLog, checkpoint_id
 from packetflow.sources.shards import shard_table
 from packetflow.sources.topics import HASH_HEADER
 
@@ -73,54 +75,81 @@ class Router:
         return BatchTable(path, schemas.TOPIC_MESSAGE + ", attempts INT")
 
     @property
-    def commits(self) -> BatchTable:
-        return commit_log(self.root)
+    def commits(self) -> CommitLog:
+        return CommitLog.at(f"{self.root}/commits")
 
     def create(self, spark: SparkSession) -> None:
         for table in (self.shards, self.dead_letters, self.refused, self.commits, self.retries):
             table.create(spark)
 
-    def route(self, batch: DataFrame, batch_id: int) -> None:
-        """Route one micro-batch: authenticate, decide once, write each sink."""
+    def route(self, batch: DataFrame, stream_batch: int, writer: str = "") -> None:
+        """Route one micro-batch: authenticate, decide once, write each sink.
+
+        ``writer`` names the stream, whose batches are counted by ``stream_batch``; one that is
+        finished already changes nothing. Where another stream has written too, what it stored is
+        looked up, so that a topic that is read again is stored once.
+        """
         if not self.reachable():
-            raise TargetUnreachable(f"batch {batch_id} was not delivered")
+            raise TargetUnreachable(f"batch {stream_batch} was not delivered")
         spark = batch.sparkSession
+        batch_id = self.commits.next_number(spark, writer, stream_batch)
+        if batch_id is None:
+            return
+        again = self.commits.others(spark, writer)
         messages = spread(batch, *routing.COORDINATES)
         checked = messages.persist(StorageLevel.MEMORY_AND_DISK)
         routed = checked
+
+        def write(table: BatchTable, rows: DataFrame, tasks: int, *key: str) -> None:
+            if again:
+                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                stored = table.upto(spark, batch_id - 1)
+                fresh = without_stored(rows, stored, key, rows.count())
+                table.write(fresh.coalesce(tasks), batch_id)
+                rows.unpersist()
+            else:
+                table.write(rows.coalesce(tasks), batch_id)
+
         try:
-            accepted = self._admitted(checked, batch_id)
+            accepted, refused = self._admitted(checked)
             routed = routing.route(accepted, self.down_shards)
             routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
             rows = routed.count()
             # a task writes a file for each shard it has: no more tasks than rows are worth
             tasks = max(1, -(-rows // ROWS_PER_TASK))
+            if refused is not None:
+                write(self.refused, refused, tasks, *routing.COORDINATES)
             documents = routing.shard_documents(routed, F.col("msg_ts_ms"), self.down_shards)
-            self.shards.write(documents.coalesce(tasks), batch_id)
-            dead = routing.dead_letters(routed, max_attempts=self.max_attempts).coalesce(tasks)
+            write(self.shards, documents, tasks, "packet_id")
+            dead = routing.dead_letters(routed, max_attempts=self.max_attempts)
             if self.publish:
-                again = routing.retry_messages(routed, self.main_topic, self.max_attempts)
-                self.publish(self._sendable(again.unionByName(dead)))
+                retried = routing.retry_messages(routed, self.main_topic, self.max_attempts)
+                self.publish(self._sendable(retried.unionByName(dead)))
             else:
-                self.dead_letters.write(dead, batch_id)
-                self.retries.write(self._resent(routed).coalesce(tasks), batch_id)
-            write_commit(spark, self.commits, batch_id, rows)
+                of_origin = [c for c in StructType.fromDDL(DEAD_LETTER).names if "origin" in c]
+                write(self.dead_letters, dead, tasks, *of_origin, "attempts")
+                tried = (*routing.COORDINATES, "attempts")
+                write(self.retries, self._resent(routed), tasks, *tried)
+            self.commits.write(spark, batch_id, writer, stream_batch, rows)
         finally:
             routed.unpersist()
             checked.unpersist()
 
-    def _admitted(self, messages: DataFrame, batch_id: int) -> DataFrame:
-        """The messages of known senders; the others are written to ``refused``."""
+    def stored(self, spark: SparkSession, table: BatchTable) -> DataFrame:
+        """What finished batches have written to one of the tables."""
+        return table.upto(spark, self.commits.last(spark))
+
+    def _admitted(self, messages: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """The messages of known senders, and the others."""
         if self.allow_anyone:
-            return messages
+            return messages, None
         if self.valid_hashes is not None:
             valid, size = self.valid_hashes.select(auth.HASH), None
         else:
             valid = auth.valid_hashes(messages, self.valid_keys or [""])
             size = len(self.valid_keys or [""])
         known = (valid, routing.COORDINATES, size)
-        self.refused.write(auth.rejected(messages, *known), batch_id)
-        return auth.accepted(messages, *known)
+        return auth.accepted(messages, *known), auth.rejected(messages, *known)
 
     def _sendable(self, messages: DataFrame) -> DataFrame:
         sender = F.struct(
@@ -158,9 +187,19 @@ class Router:
         available_now: bool = True,
         interval: str = "5 seconds",
     ) -> StreamingQuery:
-        self.create(topic.sparkSession)
-        writer = topic.writeStream.foreachBatch(self.route).option(
-            "checkpointLocation", checkpoint
-        )
+        """Route a stream of topic rows.
+
+        Several checkpoints may write one after the other, in any order, and may read messages that
+        another has routed: batches are numbered on, and what is stored is not stored again.
+        Messages that are published, rather than stored, are sent again.
+        """
+        spark = topic.sparkSession
+        self.create(spark)
+        writer_id = checkpoint_id(spark, checkpoint)
+
+        def route(batch: DataFrame, batch_id: int) -> None:
+            self.route(batch, batch_id, writer_id)
+
+        writer = topic.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
         trigger = {"availableNow": True} if available_now else {"processingTime": interval}
         return writer.trigger(**trigger).start()

@@ -9,7 +9,13 @@ from packetflow.operators import projection
 from packetflow.plans import fixtures
 from packetflow.session import shared_dir, spread, work_dir
 from packetflow.sources import batches, topics
-from packetflow.sources.batches import BatchTable, SegmentedTable
+from packetflow.sources.batches import (
+    BatchTable,
+    BucketedTable,
+    CommitLog,
+    FoldedTable,
+    checkpoint_id,
+)
 from packetflow.sources.topics import arrival
 
 
@@ -83,34 +89,47 @@ def test_work_folders_lie_in_the_shared_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_segments_hold_every_row_once_at_any_batch(spark, tmp_path):
-    table = SegmentedTable.at(str(tmp_path / "seg"), "n BIGINT", every=2)
+def test_a_bucketed_table_holds_every_row_once_at_any_batch(spark, tmp_path):
+    table = BucketedTable.at(str(tmp_path / "bucketed"), "n BIGINT", "n", every=2, buckets=3)
     table.create(spark)
     assert table.upto(spark, -1).count() == 0
-    for batch in range(10):
+    for batch in range(7):
         rows = spark.createDataFrame([(batch,)], "n BIGINT")
         for _ in range(2):  # written, and replayed
             table.write(rows, batch)
         assert sorted(r["n"] for r in table.upto(spark, batch).collect()) == list(range(batch + 1))
-        assert sorted(r["n"] for r in table.before(spark, batch).collect()) == list(range(batch))
+        assert sorted(r["n"] for r in table.upto(spark, batch - 1).collect()) == list(range(batch))
         assert [r["n"] for r in table.only(spark, batch).collect()] == [batch]
 
 
-def test_segments_are_as_many_as_the_bits_of_their_number():
-    for number in range(1, 300):
-        ends = batches.segment_ends(number * 50, 50)
-        assert len(ends) == number.bit_count() and ends[0] == number * 50
-        held = [(end, (end // 50 & -(end // 50)) * 50) for end in ends]
-        assert sum(size for _, size in held) == number * 50
-        assert all(end - size == later for (end, size), (later, _) in zip(held, [*held[1:], (0, 0)], strict=True))
-
-
-def test_commits_are_kept_for_a_while(spark, tmp_path, monkeypatch):
+def test_commits_know_every_stream_and_are_kept_for_a_while(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(batches, "COMMITS_KEPT", 2)
-    log = batches.commit_log(str(tmp_path))
+    log = CommitLog.at(str(tmp_path))
     log.create(spark)
-    assert batches.last_commit(spark, log) == -1
-    for batch in range(4):
-        batches.write_commit(spark, log, batch, 7)
-        assert batches.last_commit(spark, log) == batch
-    assert sorted(r["batch_id"] for r in log.read(spark).collect()) == [2, 3]
+    assert log.state(spark) == (-1, {})
+    for number, (writer, batch) in enumerate([("a", 0), ("b", 0), ("b", 1), ("b", 2)]):
+        assert log.next_number(spark, writer, batch) == number
+        log.write(spark, number, writer, batch, 7)
+        assert log.next_number(spark, writer, batch) is None
+    assert log.state(spark) == (3, {"a": 0, "b": 2})
+    assert log.next_number(spark, "a", 0) is None and log.next_number(spark, "a", 1) == 4
+    assert log.others(spark, "b") and log.others(spark, "c")
+    assert {r["batch_id"] for r in log.table.read(spark).collect()} == {2, 3}
+
+
+def test_a_checkpoint_keeps_its_id(spark, tmp_path):
+    first = checkpoint_id(spark, str(tmp_path / "cp"))
+    assert first == checkpoint_id(spark, str(tmp_path / "cp"))
+    assert first != checkpoint_id(spark, str(tmp_path / "other"))
+
+
+def test_folded_tables_delete_what_snapshots_hold(spark, tmp_path):
+    table = FoldedTable.at(
+        str(tmp_path / "sum"), "n BIGINT", lambda df: df.agg(F.sum("n").alias("n")), every=2
+    )
+    table.create(spark)
+    for batch in range(9):
+        table.write(spark.createDataFrame([(1,)], "n BIGINT"), batch)
+        assert table.current(spark, batch).first()["n"] == batch + 1
+    assert sorted(r["batch_id"] for r in table.deltas.read(spark).select("batch_id").distinct().collect()) == [7, 8]
+    assert table.current(spark, 7).first()["n"] == 8

@@ -9,13 +9,15 @@ from pyspark.sql.utils import StreamingQueryException
 
 from packetflow import schemas
 from packetflow.operators import outbox
-from packetflow.sources.batches import FoldedTable, last_commit
+from packetflow.sources.batches import BucketedTable, FoldedTable
 from packetflow.sources.shards import read_shards, shard_change_stream
 from packetflow.sources.topics import file_topic
 from packetflow.streaming.read_model import ReadModel
-from packetflow.streaming.relay import published_table, start_relay
+from packetflow.operators.joins import without_stored
+from packetflow.streaming.relay import StoredOutbox, published_table, read_published, start_relay
 from packetflow.streaming.routing import Router, TargetUnreachable
 
+HASH = hashlib.sha256(b"valid_api_key_1\n").hexdigest()
 FEED = schemas.CHANGE_EVENT + ", processed_ms BIGINT"
 
 
@@ -45,7 +47,9 @@ def counts(model, spark):
 
 @pytest.fixture
 def model(spark, tmp_path):
-    made = ReadModel(str(tmp_path / "model"), ttl_ms=1000, snapshot_every=3)
+    made = ReadModel(
+        str(tmp_path / "model"), ttl_ms=1000, snapshot_every=3, ledger_buckets=4, ledger_every=3
+    )
     made.create(spark)
     return made
 
@@ -142,7 +146,7 @@ def test_stream_of_many_files_with_a_restart(spark, model, tmp_path):
     frames = [feed(spark, 10 * i, event("a", version=i), event(f"t{i}", version=i)) for i in range(4)]
     write_files(spark, source, frames[:2])
     model.start(file_topic(spark, source, FEED, max_files=1), checkpoint).awaitTermination()
-    assert last_commit(spark, model.commits) == 1
+    assert model.commits.last(spark) == 1
     write_files(spark, source + "/later", frames[2:])
     model.start(file_topic(spark, source, FEED, max_files=1), checkpoint).awaitTermination()
     assert set(ledger(model, spark)) == {"a", "t0", "t1", "t2", "t3"}
@@ -230,9 +234,10 @@ def test_new_checkpoint_on_filled_tables_changes_nothing(spark, model, tmp_path)
         model.start(stream, str(tmp_path / checkpoint)).awaitTermination()
         assert sorted(r["transaction_id"] for r in model.read_ledger(spark).collect()) == ["a", "t0", "t1", "t2"]
         assert counts(model, spark) == {"TCP": 4}
-    assert last_commit(spark, model.commits) == 5
-    with pytest.raises(RuntimeError, match="another checkpoint"):
-        model.project(feed(spark, 0, event("x")), 0)
+    assert model.commits.last(spark) == 5
+    model.project(feed(spark, 0, event("x"), event("a", proto="DNS")), 0)  # by yet another writer
+    assert ledger(model, spark)["a"] == "TCP" and "x" in ledger(model, spark)
+    assert counts(model, spark) == {"TCP": 5}
 
 
 def test_nobody_is_let_in_by_default(spark, tmp_path):
@@ -292,3 +297,136 @@ def test_a_small_batch_writes_few_files(spark, tmp_path):
     kinds = ["UDP", "TCP", "ARP", "TLS", "x"]
     router.route(topic(spark, *[packet(kinds[i % 5], f"t{i}") for i in range(100)]).repartition(16), 0)
     assert len(list((tmp_path / "sink" / "shards").rglob("*.parquet"))) == 5
+
+
+def by_turns(checkpoints, run):
+    for turn, checkpoint in enumerate(checkpoints):
+        run(turn, checkpoint)
+
+
+def test_checkpoints_that_take_turns_lose_nothing(spark, model, tmp_path):
+    source = {name: str(tmp_path / f"feed-{name}") for name in "AB"}
+
+    def run(turn, name):
+        first = 100 * turn
+        frame = feed(spark, first, event(f"{name}{turn}"), event("both"), event(f"{name}{turn}", proto="DNS"))
+        frame.write.mode("append").parquet(source[name])
+        stream = file_topic(spark, source[name], FEED)
+        model.start(stream, str(tmp_path / f"cp-{name}")).awaitTermination()
+
+    by_turns("ABABA", run)
+    wanted = {"both", *(f"{n}{t}" for t, n in enumerate("ABABA"))}
+    assert set(ledger(model, spark)) == wanted
+    assert counts(model, spark) == {"TCP": len(wanted)}
+
+
+def test_a_batch_delivered_again_after_others_wrote_changes_nothing(spark, model):
+    model.project(feed(spark, 0, event("a")), 0, "one")
+    model.project(feed(spark, 0, event("b")), 0, "two")
+    model.project(feed(spark, 0, event("a"), event("late")), 0, "one")  # is finished
+    assert set(ledger(model, spark)) == {"a", "b"}
+    model.project(feed(spark, 0, event("d")), 1, "one")
+    assert set(ledger(model, spark)) == {"a", "b", "d"}
+
+
+def test_a_router_with_a_second_checkpoint_keeps_and_repeats_nothing(spark, tmp_path):
+    source = str(tmp_path / "topic")
+    router = Router(str(tmp_path / "sink"), valid_keys=["valid_api_key_1"], down_shards=("ARP",), max_attempts=2)
+    strange = topic(spark, packet(), key="wrong").withColumn("msg_partition", F.lit(1))
+    tried = [("SnapshotTopic", 0, 9, 1, "k9", "{ bad", [("attempts", bytearray(b"1"))], HASH)]
+    again = spark.createDataFrame(tried, schemas.TOPIC_MESSAGE)
+    topic(spark, packet(), packet("ARP"), "{ bad", packet("TCP", "t")).unionByName(strange).unionByName(again).write.parquet(source)
+    other = str(tmp_path / "other")
+    topic(spark, packet("TLS", "o")).withColumn("msg_offset", F.lit(77).cast("long")).write.parquet(other)
+
+    def rows():
+        tables = (router.shards, router.retries, router.dead_letters, router.refused)
+        return [sorted(str(r[:-1]) for r in router.stored(spark, t).drop("batch_id").collect()) for t in tables]
+
+    router.start(file_topic(spark, source), str(tmp_path / "one")).awaitTermination()
+    first = rows()
+    assert [len(x) for x in first] == [2, 2, 1, 1]
+    router.start(file_topic(spark, other), str(tmp_path / "two")).awaitTermination()
+    assert [len(x) for x in rows()] == [3, 2, 1, 1] and set(first[0]) < set(rows()[0])
+    for checkpoint in ("three", "one", "three"):  # read from the first message again
+        router.start(file_topic(spark, source), str(tmp_path / checkpoint)).awaitTermination()
+        assert [len(x) for x in rows()] == [3, 2, 1, 1]
+
+
+def test_a_relay_with_a_second_checkpoint_keeps_and_repeats_nothing(spark, tmp_path):
+    def rows(ids):
+        df = spark.createDataFrame([(i,) for i in ids], "id STRING")
+        return outbox.outbox_rows(df, "T", F.lit(1), fields=["id"])
+
+    source, out = str(tmp_path / "outbox"), str(tmp_path / "out")
+    rows("abc").write.mode("append").parquet(source)
+    sent = []
+    for turn, checkpoint in enumerate(("one", "two", "one", "two")):
+        stream = spark.readStream.schema(schemas.OUTBOX).parquet(source)
+        start_relay(stream, out, str(tmp_path / checkpoint)).awaitTermination()
+        values = [json.loads(r["value"])["Payload"] for r in read_published(spark, out).collect()]
+        assert len(values) == len(set(values))
+        sent.append(len(values))
+        rows([f"new{turn}"]).write.mode("append").parquet(source)
+    assert sent == [3, 4, 5, 6]
+
+
+@pytest.mark.parametrize("size", [10, 10_000_000])
+def test_a_bucketed_ledger_is_not_shuffled(spark, tmp_path, size, request):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a ledger of any size
+    table = BucketedTable.at(str(tmp_path / "t"), "key STRING, n BIGINT", "key", every=1, buckets=4)
+    table.create(spark)
+    for number in range(3):
+        rows = spark.range(100).select(F.concat(F.lit(f"{number}-"), "id").alias("key"), F.col("id").alias("n"))
+        table.write(rows, number)
+    stored, deltas = table.parts(spark, 2)
+    assert deltas.count() == 0 and stored.count() == 300
+    batch = spark.createDataFrame([("0-1",), ("x",), ("2-99",)], "key STRING").repartition(3)
+    left = without_stored(batch, stored, "key", size)
+    text = left._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    # only the batch is dealt out anew
+    assert text.count("hashpartitioning") == 1 and "Bucketed: true" in text
+    assert size > 10 or "PushedFilters: [In(key" in text
+    assert [r["key"] for r in left.collect()] == ["x"]
+    # a session that has never seen the table learns of it from the folder
+    spark.sql(f"DROP TABLE {table._place(2)[0]}")
+    assert {r["key"] for r in without_stored(batch, table.upto(spark, 2), "key", 3).collect()} == {"x"}
+
+
+def test_an_outbox_with_workers_takes_rows_added_later(spark, tmp_path):
+    stored = StoredOutbox(str(tmp_path / "outbox"), snapshot_every=2, workers=3)
+
+    def rows(ids):
+        df = spark.createDataFrame([(f"r{i}",) for i in ids], "id STRING")
+        return outbox.outbox_rows(df, "T", F.lit(1), fields=["id"])
+
+    stored.load(rows(range(10)))
+    sent = []
+
+    def send(messages):
+        sent.extend(r["id"] for r in messages.collect())
+
+    def down(messages):
+        raise ConnectionError
+
+    for number in range(4):
+        for worker in range(3):
+            if (number, worker) == (1, 2):
+                with pytest.raises(ConnectionError):
+                    stored.tick(spark, number, 1000, down, limit=2, worker=worker)
+            else:
+                stored.tick(spark, number, 1000 + 30_000 * number, send, limit=4, worker=worker)
+            stored.tick(spark, number, 0, send, worker=worker)  # is finished
+        stored.append(rows(range(10 + 3 * number, 13 + 3 * number)), "w", number)
+        stored.append(rows(range(90, 99)), "w", number)  # was added
+    for worker in range(3):
+        stored.tick(spark, 4, 900_000, send, worker=worker)
+    assert len(sent) == len(set(sent)) == 22
+    left = stored.read(spark).filter("is_processed = 0")
+    assert left.count() == 0
+    with pytest.raises(ValueError, match="comes after"):
+        stored.tick(spark, 9, 0, send)
