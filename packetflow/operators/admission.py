@@ -22,7 +22,10 @@ def with_caller(calls: DataFrame) -> DataFrame:
 
 
 def fixed_window_admission(
-    calls: DataFrame, permits: int = PERMITS, window_ms: int = WINDOW_MS
+    calls: DataFrame,
+    permits: int = PERMITS,
+    window_ms: int = WINDOW_MS,
+    used: DataFrame | None = None,
 ) -> DataFrame:
     """Every call with ``caller``, ``window_start_ms`` and ``admitted``.
 
@@ -30,6 +33,8 @@ def fixed_window_admission(
     would put a busy caller into one task. Instead the last call admitted is looked for, where
     each task sends on ``permits`` calls at most, and every call is compared with it. Windows that
     do not fill have none. The comparison is salted: busy callers are the ones it is about.
+
+    ``used`` (``caller, window_start_ms, used``) are permits that earlier calls took.
     """
     if permits < 1:
         raise ValueError("permits must be positive")
@@ -38,12 +43,21 @@ def fixed_window_admission(
     keyed = with_caller(calls).withColumn("window_start_ms", start)
     group = ["caller", "window_start_ms"]
     rank = F.row_number().over(Window.partitionBy(*group).orderBy("ts_ms", "call_id"))
-    last = (
+    ranked = (
         keyed.select(*group, "ts_ms", "call_id")
         .withColumn("__rank", rank)
-        .filter(F.col("__rank") == permits)
-        .select(*group, F.struct("ts_ms", "call_id").alias("__last"))
+        .filter(F.col("__rank") <= permits if used is not None else F.col("__rank") == permits)
     )
+    call = F.struct("ts_ms", "call_id")
+    if used is None:
+        last = ranked.select(*group, call.alias("__last"), F.lit(permits).alias("__left"))
+    else:
+        left = F.greatest(F.lit(permits) - F.coalesce("used", F.lit(0)), F.lit(0))
+        last = (
+            ranked.join(used, group, "left").withColumn("__left", left)
+            .filter(F.col("__rank") == F.greatest("__left", F.lit(1)))
+            .select(*group, call.alias("__last"), "__left")
+        )
     joined = salted(keyed, ["call_id"]).join(replicated(last), [*group, "__salt"], "left")
-    within = F.col("__last").isNull() | (F.struct("ts_ms", "call_id") <= F.col("__last"))
-    return joined.withColumn("admitted", within.cast("int")).drop("__salt", "__last")
+    within = F.col("__last").isNull() | ((F.col("__left") > 0) & (call <= F.col("__last")))
+    return joined.withColumn("admitted", within.cast("int")).drop("__salt", "__last", "__left")

@@ -31,6 +31,18 @@ def replicated(df: DataFrame, salts: int = SALTS) -> DataFrame:
     return df.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
+#: A key with more than one in so many rows is heavy; there are fewer heavy keys than this.
+HEAVY_SHARE = 1_000
+
+
+def heavy_keys(df: DataFrame, on: str) -> list:
+    """The keys that hold more than one in ``HEAVY_SHARE`` rows; fewer than that many can."""
+    counts = df.groupBy(on).agg(F.count("*").alias("__rows"))
+    total = counts.agg(F.sum("__rows")).first()[0] or 0
+    found = counts.filter(F.col("__rows") * HEAVY_SHARE > total).limit(HEAVY_SHARE)
+    return [row[0] for row in found.collect() if row[0] is not None]
+
+
 def in_key_set(
     df: DataFrame,
     keys: DataFrame,
@@ -39,12 +51,14 @@ def in_key_set(
     keep_members: bool = True,
     size: int | None = None,
     max_broadcast: int = MAX_BROADCAST_KEYS,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows whose ``on`` is (or is not) in ``keys``, whatever the size of the set.
 
     A set whose ``size`` is not known is counted, up to the bound only. Within it, it is broadcast;
-    beyond it, the rows are salted so that one key shared by a third of them does not end in one
-    task.
+    beyond it, both sides are dealt out by key, and the heavy keys of ``df`` are salted, so that one
+    key shared by a third of the rows does not end in one task. Keys that are ``unique`` in ``df``,
+    or nearly so, are not looked through for heavy ones.
     """
     how = "left_semi" if keep_members else "left_anti"
     keys = keys.select(on).distinct()
@@ -52,7 +66,22 @@ def in_key_set(
         size = keys.limit(max_broadcast + 1).count()
     if size <= max_broadcast:
         return df.join(F.broadcast(keys), on, how)
-    return salted(df, spread_by).join(replicated(keys), [on, "__salt"], how).drop("__salt")
+    return df.join(keys, on, how) if unique else join_heavy(df, keys, on, spread_by, how)
+
+
+def join_heavy(
+    df: DataFrame, side: DataFrame, on: str, spread_by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """A join with a side that has each key once; only the heavy keys of ``df`` are salted."""
+    heavy = heavy_keys(df.select(on), on)
+    if not heavy:
+        return df.join(side, on, how)
+    is_heavy = F.col(on).isin(heavy)
+    number = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    rows = df.withColumn("__salt", F.when(is_heavy, number).otherwise(0))
+    last = F.when(is_heavy, F.lit(SALTS - 1)).otherwise(0)
+    copies = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), last)))
+    return rows.join(copies, [on, "__salt"], how).drop("__salt")
 
 
 def literal_keys(df: DataFrame, values: Sequence[str], name: str) -> DataFrame:

@@ -20,22 +20,62 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return ranked.filter(F.col("__rank") == 1).drop("__rank")
 
 
+def _range_of(value: Column, bounds: Sequence[Column], first: int = 0) -> Column:
+    """The number of bounds below a value, found by halving: few comparisons for many bounds."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    above = _range_of(value, bounds[middle + 1 :], first + middle + 1)
+    return F.when(value > bounds[middle], above).otherwise(
+        _range_of(value, bounds[:middle], first)
+    )
+
+
+#: Ranges that are told apart by one look; a large table is looked at twice.
+RANGES = 256
+
+
+def with_range(df: DataFrame, order: str, rows_in_range: int, name: str) -> DataFrame:
+    """Add ``name``, the number of a range of ``order`` that holds about so many rows.
+
+    The values are cut at their approximate quantiles, so outliers and gaps change nothing. Up to
+    ``RANGES`` ranges are cut at once; more are cut out of these, up to the square of that number.
+    The bounds of the first come to the driver, those of the others are a broadcast of ``RANGES``
+    rows.
+    """
+    rows = df.agg(F.count(order)).first()[0]
+    wanted = -(-rows // rows_in_range)
+    if wanted <= 1:
+        return df.withColumn(name, F.lit(0))
+
+    def quantiles(ranges: int) -> Column:
+        shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+        return F.percentile_approx(order, shares, 10 * ranges)
+
+    first = min(RANGES, wanted)
+    bounds = df.agg(quantiles(first)).first()[0]
+    value = F.col(order)
+    cut = df.withColumn(name, _range_of(value, [F.lit(b) for b in bounds]))
+    if wanted <= RANGES:
+        return cut
+    second = min(RANGES, -(-wanted // RANGES))
+    finer = F.broadcast(cut.groupBy(name).agg(quantiles(second).alias("__bounds")))
+    inner = _range_of(value, [F.col("__bounds")[i] for i in range(second - 1)])
+    return cut.join(finer, name).withColumn(name, F.col(name) * RANGES + inner).drop("__bounds")
+
+
 def number_within(
     df: DataFrame, group: Sequence[str], order: str, name: str, bucket_rows: int = 1 << 20
 ) -> DataFrame:
     """Add ``name``: 1, 2, 3, ... within each group, by ``order``; null is a group like any other.
 
-    ``order`` is an integer sequence number, unique within the group, with or without gaps. Each
-    group is cut into ranges of numbers, as wide as makes a range of all rows hold ``bucket_rows``
-    on average, so a task sorts few rows and there are few ranges, however sparse the numbers. The
-    count of each range is a partial aggregate; a running sum over the counts gives where its
-    numbers start. One row, the span of the numbers, comes to the driver.
+    ``order`` is an integer sequence number, unique within the group, with or without gaps. The rows
+    are cut into ranges of about ``bucket_rows`` rows, see :func:`with_range`, so a task sorts about
+    one range however the numbers are spread. The count of each group and range is a partial
+    aggregate; a running sum over the counts gives where its numbers start.
     """
     group = list(group)
-    low, high, rows = df.agg(F.min(order), F.max(order), F.count(order)).first()
-    span = 1 if low is None else high - low + 1
-    width = max(bucket_rows, -(-span * bucket_rows // max(rows, 1)))
-    bucketed = df.withColumn("__bucket", F.floor((F.col(order) - F.lit(low)) / F.lit(width)))
+    bucketed = with_range(df, order, bucket_rows, "__bucket")
     earlier = (
         Window.partitionBy(*group)
         .orderBy("__bucket")

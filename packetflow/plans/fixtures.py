@@ -232,6 +232,15 @@ def staged(feed: DataFrame) -> DataFrame:
     return feed.selectExpr("*", f"{STAGE} AS stage", f"{STAGE_CLOCK} AS processed_ms")
 
 
+#: Where the calls of the second and the third micro-batch begin, within windows.
+CALL_CUTS_MS = (NOW_MS - 10_000_000, NOW_MS + 15_000_000)
+
+#: Fixed value: messages of one part of a topic that is read in bounded batches.
+PART_MESSAGES = 1500
+
+#: Fixed value: rows of the outbox that are added after the first ticks.
+ADDED_LATER = "CAST(substr(id, 4) AS BIGINT) % 3 = 2"
+
 BLANK_TOPIC = "CASE WHEN CAST(substr(id, 4) AS BIGINT) % 10 = 7 THEN ' ' ELSE topic END"
 
 

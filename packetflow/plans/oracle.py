@@ -116,6 +116,22 @@ DERIVED = {
              AND id NOT IN (SELECT id FROM tick0)
            ORDER BY date_timestamp_ms, id LIMIT 100""",
     ),
+    **{
+        f"workers{tick}": (
+            ["outbox_table", *[f"workers{n}" for n in range(tick)]],
+            f"""SELECT id, worker, {tick} AS tick FROM (
+                  SELECT *, CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 4 AS worker
+                  FROM outbox_table)
+                WHERE is_processed = 0 AND is_sequential = 0
+                  AND (is_processing = 0 OR expired_at_ms <= {fx.NOW_MS + 1000 * tick})
+                """
+            + ("" if tick else f"AND NOT {fx.ADDED_LATER} ")
+            + "".join(f"AND id NOT IN (SELECT id FROM workers{n}) " for n in range(tick))
+            + """QUALIFY row_number() OVER
+                   (PARTITION BY worker ORDER BY date_timestamp_ms, id) <= 40""",
+        )
+        for tick in range(3)
+    },
     "known": (
         ["recs"],
         f"SELECT DISTINCT transaction_id FROM recs WHERE arrival_ms <= {fx.NOW_MS}",
@@ -525,6 +541,41 @@ ORACLE: dict[str, str] = {
             HAVING max(clock) > {fx.NOW_MS + fx.STAGE_AFTER_MS[2] - TTL_MS}""",
         "past",
     ),
+    "stream_dedup_state": with_tables(
+        f"SELECT {RECORD}, transaction_id AS payload_transaction_id FROM stored", "stored"
+    ),
+    "stream_outcomes": with_tables(
+        f"""SELECT batch_no, outcome, count(*) AS events FROM (
+              SELECT {fx.STAGE.replace("arrival_seq", "e.arrival_seq")} AS batch_no,
+                CASE WHEN skip_reason IS NOT NULL THEN 'Skipped'
+                     WHEN e.arrival_seq IN (SELECT arrival_seq FROM stored) THEN 'Projected'
+                     WHEN e.arrival_seq IN (SELECT arrival_seq FROM past) THEN 'Duplicate'
+                     ELSE 'FastPathSkip' END AS outcome
+              FROM parsed e) GROUP BY ALL""",
+        "parsed",
+        "past",
+        "stored",
+    ),
+    "stream_stats_live": with_tables(
+        """SELECT batch_no, proto, count(*) AS packet_count, min(stored_at_ms) AS first_seen_ms,
+             max(stored_at_ms) AS last_seen_ms
+           FROM stored JOIN (VALUES (0), (1), (2)) b(batch_no) ON stage <= batch_no
+           GROUP BY batch_no, proto""",
+        "stored",
+    ),
+    "stream_admission": with_tables(
+        """SELECT call_id, caller, window_start_ms, CAST(row_number() OVER
+             (PARTITION BY caller, window_start_ms ORDER BY ts_ms, call_id) <= 3 AS INT) AS admitted
+           FROM callers""",
+        "callers",
+    ),
+    "stream_pattern": with_tables("SELECT topic, value FROM change_events", "change_events"),
+    "stream_bounded": with_tables(
+        f"""SELECT msg_offset // {fx.PART_MESSAGES} AS part, count(*) AS messages,
+              1 AS parts_in_batch, count(*) AS messages_in_batch
+            FROM topic_messages GROUP BY part""",
+        "topic_messages",
+    ),
     "stream_client_state": with_tables(f"SELECT {STATE} FROM stored_state", "stored_state"),
     "stream_stats": with_tables(f"SELECT {STATS} FROM stored_stats", "stored_stats"),
     "relay_ticks": with_tables(
@@ -544,6 +595,12 @@ ORACLE: dict[str, str] = {
         "tick2",
         "ticking",
     ),
+    "relay_workers": with_tables(
+        "SELECT * FROM workers0 UNION ALL SELECT * FROM workers1 UNION ALL SELECT * FROM workers2",
+        "workers0",
+        "workers1",
+        "workers2",
+    ),
     "stream_relay": with_tables(
         f"""SELECT id, topic, key, value, {SLOT} AS partition_id, error FROM published
             WHERE is_processed = 0 AND is_sequential = 0""",
@@ -561,6 +618,18 @@ ORACLE: dict[str, str] = {
         "verdicts",
         "shard_docs",
     ),
+    "stream_unreachable": with_tables(
+        """SELECT 'shard' AS sink, packet_id AS item, shard AS detail FROM shard_docs
+             WHERE api_key LIKE 'valid%'
+           UNION ALL SELECT 'refused', CAST(msg_offset AS VARCHAR), sha256(api_key || chr(10))
+             FROM verdicts
+             WHERE api_key NOT LIKE 'valid%'
+           UNION ALL SELECT CASE WHEN attempts + 1 < 3 THEN 'retry' ELSE 'dead_letter' END,
+               CAST(msg_offset AS VARCHAR), CAST(attempts + 1 AS VARCHAR) FROM verdicts
+             WHERE api_key LIKE 'valid%' AND verdict = 'rejected'""",
+        "verdicts",
+        "shard_docs",
+    ),
     "stream_retry_to_dead_letter": with_tables(
         """SELECT msg_offset, msg_key AS key, value, greatest(attempts + 1, 3) AS attempts
            FROM verdicts WHERE verdict = 'rejected'""",

@@ -7,9 +7,11 @@ that engines print differently.
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from typing import ClassVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from packetflow.functions import (
@@ -31,11 +33,18 @@ from packetflow.operators import (
 )
 from packetflow.plans import fixtures as fx
 from packetflow.session import prepare, work_dir
+from packetflow.sources.batches import BatchTable
 from packetflow.sources.shards import read_shards, shard_table
-from packetflow.sources.topics import file_topic
+from packetflow.sources.topics import file_topic, file_topics
 from packetflow.streaming.read_model import ReadModel
-from packetflow.streaming.relay import StoredOutbox, published_table, start_relay
-from packetflow.streaming.routing import Router
+from packetflow.streaming.relay import (
+    StoredOutbox,
+    published_table,
+    read_published,
+    start_relay,
+)
+from packetflow.streaming.routing import Router, TargetUnreachable
+from packetflow.streaming.stateful import Admission, LiveStats, SeenLedger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -447,14 +456,14 @@ def ledger_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ledger_lookup")
 def ledger_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = run_read_model(spark, sf_dir).read_ledger(spark)
+    stored = stored_model(spark, sf_dir).read_ledger(spark)
     row = stored.filter(F.col("transaction_id") == LOOKUP_TX)
     return row.select(*RECORD, millis("stored_at"))
 
 
 @query("client_lookup")
 def client_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = run_read_model(spark, sf_dir).read_client_state(spark)
+    state = stored_model(spark, sf_dir).read_client_state(spark)
     return state_columns(state.filter(F.col("client_id") == LOOKUP_CLIENT))
 
 
@@ -496,19 +505,19 @@ def stats_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stats_protocols")
 def stats_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = run_read_model(spark, sf_dir).read_stats(spark)
+    stored = stored_model(spark, sf_dir).read_stats(spark)
     return stats_columns(stats.protocols_by_count(stored))
 
 
 @query("stats_clients")
 def stats_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = run_read_model(spark, sf_dir).read_client_state(spark)
+    state = stored_model(spark, sf_dir).read_client_state(spark)
     return state_columns(stats.latest_clients(state))
 
 
 @query("stats_total")
 def stats_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.total_packets(run_read_model(spark, sf_dir).read_ledger(spark))
+    return stats.total_packets(stored_model(spark, sf_dir).read_ledger(spark))
 
 
 @query("fixed_window_admission")
@@ -525,29 +534,42 @@ def topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.with_headers(fx.table(fx.event_stream(spark, sf_dir), "topic_messages"))
 
 
-#: Read models by session and input: the queries on stored tables share what one stream wrote.
-MODELS: dict[tuple[str, str], ReadModel] = {}
+def staged_feed(spark: SparkSession, sf_dir: str, stage: int) -> DataFrame:
+    rows = fx.staged(source(spark, sf_dir, "cdc_feed"))
+    return rows.filter(F.col("stage") == stage).drop("stage")
+
+
+def arriving(
+    spark: SparkSession, root: str, stages: Iterable[DataFrame]
+) -> Iterator[DataFrame]:
+    """The same folder as a stream, each time after one more stage has arrived in it."""
+    for number, rows in enumerate(stages):
+        rows.write.parquet(f"{root}/arriving/{number}")
+        yield file_topic(spark, f"{root}/arriving", rows.schema)
 
 
-def run_read_model(spark: SparkSession, sf_dir: str) -> ReadModel:
+def streamed_model(spark: SparkSession, sf_dir: str) -> ReadModel:
     """The read model after three micro-batches of the feed, each a folder that arrives by itself.
 
     Second deliveries come in the same batch or later; markers are met while they live and after
     they have expired; a later batch brings lower arrival numbers.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in MODELS:
-        root = work_dir(spark, "read-model")
-        model = ReadModel(root, snapshot_every=2)
-        staged = fx.staged(source(spark, sf_dir, "cdc_feed"))
-        schema = staged.drop("stage").schema
-        for stage in range(fx.STAGES):
-            rows = staged.filter(F.col("stage") == stage).drop("stage")
-            rows.write.parquet(f"{root}/feed/{stage}")
-            feed = file_topic(spark, f"{root}/feed", schema)
-            model.start(feed, f"{root}/checkpoint").awaitTermination()
-        MODELS[key] = model
-    return MODELS[key]
+    root = work_dir(spark, "read-model")
+    model = ReadModel(root, snapshot_every=2, ledger_every=2, ledger_buckets=8)
+    stages = (staged_feed(spark, sf_dir, n) for n in range(fx.STAGES))
+    for feed in arriving(spark, root, stages):
+        model.start(feed, f"{root}/checkpoint").awaitTermination()
+    return model
+
+
+def stored_model(spark: SparkSession, sf_dir: str) -> ReadModel:
+    """The same tables, projected batch by batch without a stream."""
+    root = work_dir(spark, "read-model")
+    model = ReadModel(root, snapshot_every=2, ledger_every=2, ledger_buckets=8)
+    model.create(spark)
+    for stage in range(fx.STAGES):
+        model.project(staged_feed(spark, sf_dir, stage), stage)
+    return model
 
 
 @query("stream_topic_read")
@@ -566,33 +588,139 @@ def stream_topic_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_ledger")
 def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = run_read_model(spark, sf_dir).read_ledger(spark)
+    rows = streamed_model(spark, sf_dir).read_ledger(spark)
     field = changes.payload_field(F.col("payload"), "transaction_id")
     return rows.select(*RECORD, millis("stored_at"), field.alias("payload_transaction_id"))
 
 
 @query("stream_fast_path")
 def stream_fast_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = run_read_model(spark, sf_dir)
+    model = streamed_model(spark, sf_dir)
     return model.read_markers(spark).select("transaction_id", "marked_at_ms")
 
 
 @query("stream_client_state")
 def stream_client_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state_columns(run_read_model(spark, sf_dir).read_client_state(spark))
+    return state_columns(streamed_model(spark, sf_dir).read_client_state(spark))
 
 
 @query("stream_stats")
 def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats_columns(run_read_model(spark, sf_dir).read_stats(spark))
+    return stats_columns(streamed_model(spark, sf_dir).read_stats(spark))
+
+
+@query("stream_outcomes")
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the events of each micro-batch, as the stream tells beside its commits."""
+    outcomes = streamed_model(spark, sf_dir).read_outcomes(spark)
+    return outcomes.select(F.col("batch_id").alias("batch_no"), "outcome", "events")
+
+
+@query("stream_dedup_state")
+def stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger behind a filter in the state of the stream, after three micro-batches."""
+    root = work_dir(spark, "seen")
+    seen = SeenLedger(root, ledger_every=2, ledger_buckets=8)
+    stages = (staged_feed(spark, sf_dir, n) for n in range(fx.STAGES))
+    for feed in arriving(spark, root, stages):
+        seen.start(feed, f"{root}/checkpoint").awaitTermination()
+    field = changes.payload_field(F.col("payload"), "transaction_id")
+    return seen.read(spark).select(
+        *RECORD, millis("stored_at"), field.alias("payload_transaction_id")
+    )
+
+
+@query("stream_stats_live")
+def stream_stats_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics after each of three batches, out of the state of a stream over the ledger."""
+    root = work_dir(spark, "live-stats")
+    model = ReadModel(f"{root}/model", snapshot_every=2, ledger_every=2, ledger_buckets=8)
+    model.create(spark)
+    live = LiveStats(f"{root}/live")
+    rows = spark.readStream.schema(f"{model.ledger.deltas.schema}, batch_id BIGINT")
+    for stage in range(fx.STAGES):
+        model.project(staged_feed(spark, sf_dir, stage), stage)
+        ledger = rows.parquet(model.ledger.deltas.path)
+        live.start(ledger, f"{root}/checkpoint").awaitTermination()
+    after = [
+        live.read(spark, stage).withColumn("batch_no", F.lit(stage)) for stage in range(fx.STAGES)
+    ]
+    return changes.union_feeds(*after).select(
+        "batch_no", "proto", "packet_count", millis("first_seen"), millis("last_seen")
+    )
+
+
+@query("stream_admission")
+def stream_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls in three micro-batches that begin within windows."""
+    root = work_dir(spark, "admission")
+    limits = Admission(root, PERMITS, WINDOW_MS, snapshot_every=2)
+    calls = source(spark, sf_dir, "calls")
+    low, high = fx.CALL_CUTS_MS
+    ts = F.col("ts_ms")
+    stages = [calls.filter(c) for c in (ts < low, (ts >= low) & (ts < high), ts >= high)]
+    for stream in arriving(spark, root, stages):
+        limits.start(stream, f"{root}/checkpoint").awaitTermination()
+    return limits.read(spark).select("call_id", "caller", "window_start_ms", "admitted")
+
+
+@query("stream_pattern")
+def stream_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics picked by name as a stream, some foreign, one that appears between two batches."""
+    root = work_dir(spark, "pattern")
+    feed = routing.change_feed(documents(spark, sf_dir)).select("topic", "value")
+    messages = topic_rows(spark, sf_dir).select("msg_offset", "value")
+    named = F.when(F.col("msg_offset") % 2 == 0, "pcap.tcp.pcap.packets.old").otherwise("orders")
+    foreign = messages.select(named.alias("topic"), "value")
+    later = F.col("topic") == "pcap.udp.pcap.packets"
+    for rows in (feed.filter(~later).unionByName(foreign), feed.filter(later)):
+        rows.write.mode("append").partitionBy("topic").parquet(f"{root}/topics")
+        sink = (
+            file_topics(spark, f"{root}/topics").writeStream.format("parquet")
+            .option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+        )
+        sink.start().awaitTermination()
+    return spark.read.schema("value STRING, topic STRING").parquet(f"{root}/rows")
+
+
+@query("stream_bounded")
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic in bounded micro-batches: rows of each part, parts and rows of the batch it came in."""
+    root = work_dir(spark, "bounded")
+    part = F.floor(F.col("msg_offset") / fx.PART_MESSAGES).alias("part")
+    messages = topic_rows(spark, sf_dir).select("msg_offset", "value", part)
+    messages.repartition("part").write.partitionBy("part").parquet(f"{root}/topic")
+    stream = spark.readStream.schema("msg_offset BIGINT, value STRING, part BIGINT")
+    counted = BatchTable(f"{root}/counted", "part BIGINT, messages BIGINT")
+
+    def count(batch: DataFrame, number: int) -> None:
+        counted.write(batch.groupBy("part").agg(F.count("*").alias("messages")), number)
+
+    query = (
+        stream.option("maxFilesPerTrigger", 1).parquet(f"{root}/topic").writeStream
+        .foreachBatch(count).option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    found = counted.read(spark)
+    of_batch = Window.partitionBy("batch_id")
+    return found.select(
+        "part", "messages", F.count("*").over(of_batch).alias("parts_in_batch"),
+        F.sum("messages").over(of_batch).alias("messages_in_batch"),
+    )
 
 
 @query("stream_relay")
 def stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outbox rows that arrive by and by, sent by two checkpoints one after the other."""
     root = work_dir(spark, "relay")
-    rows = fx.table(fx.event_stream(spark, sf_dir), "outbox_table")
-    start_relay(rows, f"{root}/published", f"{root}/checkpoint").awaitTermination()
-    sent = published_table(f"{root}/published").read(spark)
+    rows = source(spark, sf_dir, "outbox_table")
+    later = F.expr(fx.ADDED_LATER)
+    stages = arriving(spark, root, (rows.filter(~later), rows.filter(later)))
+    for checkpoint, stream in zip(("one", "two"), stages, strict=True):
+        start_relay(stream, f"{root}/published", f"{root}/{checkpoint}").awaitTermination()
+    sent = read_published(spark, f"{root}/published")
     return sent.select("id", "topic", "key", "value", "partition_id", "error")
 
 
@@ -621,11 +749,34 @@ def relay_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.read(spark).select(*fields).join(sent, "id", "left")
 
 
-@query("stream_route")
-def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = work_dir(spark, "route")
-    router = Router(root, valid_keys=VALID_KEYS, down_shards=DOWN)
-    router.start(topic_stream(spark, sf_dir), f"{root}/checkpoint").awaitTermination()
+@query("relay_workers")
+def relay_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four workers share an outbox to which rows are added between their ticks."""
+    root = work_dir(spark, "workers")
+    stored = StoredOutbox(root, snapshot_every=2, workers=WORKERS)
+    published = BatchTable(f"{root}/published", "id STRING, worker INT, tick INT")
+    rows = source(spark, sf_dir, "outbox_table")
+    later = F.expr(fx.ADDED_LATER)
+    stored.load(rows.filter(~later))
+    published.create(spark)
+    for tick in range(3):
+        for worker in range(WORKERS):
+
+            def send(messages: DataFrame, tick: int = tick, worker: int = worker) -> None:
+                sent = messages.select(
+                    "id", F.lit(worker).alias("worker"), F.lit(tick).alias("tick")
+                )
+                published.write(sent, tick * WORKERS + worker)
+
+            now = fx.NOW_MS + 1000 * tick
+            stored.tick(spark, tick, now, send, limit=WORKER_LIMIT, worker=worker)
+        if tick == 0:
+            stored.append(rows.filter(later))
+    return published.read(spark).drop("batch_id")
+
+
+def routed_sinks(spark: SparkSession, router: Router) -> DataFrame:
+    """What the router has stored, one row for each document, retry, dead letter and refusal."""
 
     def sink(df: DataFrame, name: str, key: str, detail: str) -> DataFrame:
         return df.select(
@@ -635,11 +786,61 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     return changes.union_feeds(
-        sink(router.shards.read(spark), "shard", "packet_id", "shard"),
-        sink(router.retries.read(spark), "retry", "msg_offset", "attempts"),
-        sink(router.dead_letters.read(spark), "dead_letter", "origin_msg_offset", "attempts"),
-        sink(router.refused.read(spark), "refused", "msg_offset", auth.HASH),
-    )
+        sink(router.stored(spark, router.shards), "shard", "packet_id", "shard"),
+        sink(router.stored(spark, router.retries), "retry", "msg_offset", "attempts"),
+        sink(router.stored(spark, router.dead_letters), "dead_letter", "origin_msg_offset",
+             "attempts"),
+        sink(router.stored(spark, router.refused), "refused", "msg_offset", auth.HASH),
+    )
+
+
+@query("stream_route")
+def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic that arrives in two parts, routed by two checkpoints; the second reads all of it."""
+    root = work_dir(spark, "route")
+    router = Router(root, valid_keys=VALID_KEYS, down_shards=DOWN)
+    messages = topic_rows(spark, sf_dir)
+    first = F.col("msg_offset") % 4 > 0
+    stages = arriving(spark, root, (messages.filter(first), messages.filter(~first)))
+    for checkpoint, stream in zip(("one", "two"), stages, strict=True):
+        router.start(stream, f"{root}/{checkpoint}").awaitTermination()
+    return routed_sinks(spark, router)
+
+
+class BreaksOnce(Router):
+    """Goes away during its first batch: dead letters are not written, other sinks are."""
+
+    up: ClassVar[dict[str, bool]] = {}
+
+    def route(self, batch: DataFrame, stream_batch: int, writer: str = "") -> None:
+        first = self.root not in self.up
+        self.up[self.root] = not first
+        try:
+            super().route(batch, stream_batch, writer)
+        finally:
+            self.up[self.root] = True
+
+    @property
+    def dead_letters(self) -> BatchTable:
+        if not self.up.get(self.root, True):
+            raise TargetUnreachable("the connection was lost")
+        return super().dead_letters
+
+
+@query("stream_unreachable")
+def stream_unreachable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store goes away between two sinks of a batch; the stream is started again."""
+    root = work_dir(spark, "unreachable")
+    router = BreaksOnce(root, valid_keys=VALID_KEYS, down_shards=DOWN)
+    for attempt in range(2):
+        stream = router.start(topic_stream(spark, sf_dir), f"{root}/checkpoint")
+        if attempt:
+            stream.awaitTermination()
+        else:
+            with contextlib.suppress(StreamingQueryException):
+                stream.awaitTermination()
+                raise RuntimeError("the store did not go away")
+    return routed_sinks(spark, router)
 
 
 @query("stream_retry_to_dead_letter")
@@ -652,7 +853,7 @@ def stream_retry_to_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(router.max_attempts):
         stream = file_topic(spark, topic)
         router.start(stream, f"{root}/checkpoint").awaitTermination()
-    dead = router.dead_letters.read(spark)
+    dead = router.stored(spark, router.dead_letters)
     return dead.select(
         F.col("origin_msg_offset").alias("msg_offset"), "key", "value", "attempts"
     )

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that operators rely on: times without an offset mean UTC, of a key given twice in one
@@ -73,3 +76,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run jobs that do not need each other at the same time; the results in order.
+
+    Small jobs leave cores idle one by one. All are ended before an error of one is raised.
+    """
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [future.result() for future in futures]

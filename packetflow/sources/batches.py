@@ -212,6 +212,22 @@ class BucketedTable:
 COMMITS_KEPT = 100
 
 
+@dataclass(frozen=True)
+class CommitState:
+    """The last finished batch of a root (-1: none) and the last batch of each stream."""
+
+    last: int
+    written: dict[str, int]
+
+    def next_number(self, writer: str, stream_batch: int) -> int | None:
+        """The number a batch of a stream gets, None if it is finished already."""
+        return None if stream_batch <= self.written.get(writer, -1) else self.last + 1
+
+    def others(self, writer: str) -> bool:
+        """Whether another stream has written here, so that a row may come for a second time."""
+        return any(name != writer for name in self.written)
+
+
 @dataclass(frozen=True)
 class CommitLog:
     """The finished batches of the tables of one root, and the streams that wrote them.
@@ -231,36 +247,33 @@ class CommitLog:
     def create(self, spark: SparkSession) -> None:
         self.table.create(spark)
 
-    def state(self, spark: SparkSession) -> tuple[int, dict[str, int]]:
-        """The last finished batch (-1: none) and the last batch of each stream."""
+    def state(self, spark: SparkSession) -> CommitState:
         rows = self.table.read(spark).collect()
         last = max((r["batch_id"] for r in rows), default=-1)
-        return last, {r["writer"]: r["stream_batch"] for r in rows if r["batch_id"] == last}
+        return CommitState(
+            last, {r["writer"]: r["stream_batch"] for r in rows if r["batch_id"] == last}
+        )
 
     def last(self, spark: SparkSession) -> int:
-        return self.state(spark)[0]
-
-    def next_number(self, spark: SparkSession, writer: str, stream_batch: int) -> int | None:
-        """The number a batch of a stream gets, None if it is finished already."""
-        last, written = self.state(spark)
-        return None if stream_batch <= written.get(writer, -1) else last + 1
-
-    def others(self, spark: SparkSession, writer: str) -> bool:
-        """Whether another stream has written here, so that a row may come for a second time."""
-        return any(name != writer for name in self.state(spark)[1])
+        """The last finished batch, -1 if there is none."""
+        return self.state(spark).last
 
     def write(
-        self, spark: SparkSession, number: int, writer: str, stream_batch: int, rows: int
+        self, spark: SparkSession, state: CommitState, writer: str, stream_batch: int, rows: int
     ) -> None:
-        written = self.state(spark)[1] | {writer: stream_batch}
-        values = [(w, b, rows if w == writer else None) for w, b in sorted(written.items())]
+        """Finish the batch that comes next after ``state``."""
+        written = state.written | {writer: stream_batch}
+        kinds = [f.dataType for f in StructType.fromDDL(self.table.schema).fields]
         held = F.array(
-            *[F.struct(*[F.lit(v).cast(t) for v, t in zip(row, ("string", "bigint", "bigint"), strict=True)])
-              for row in values]
-        )
-        columns = StructType.fromDDL(self.table.schema).names
-        self.table.write(spark.range(1).select(F.inline(held)).toDF(*columns), number)
-        self.table.remove(spark, [number - COMMITS_KEPT])
+            *[
+                F.struct(*[F.lit(v).cast(k) for v, k in zip(row, kinds, strict=True)])
+                for row in ((w, b, rows if w == writer else None) for w, b in sorted(written.items()))
+            ]
+        )
+        names = StructType.fromDDL(self.table.schema).names
+        one = spark.range(0, 1, 1, 1).select(F.inline(held)).toDF(*names)
+        self.table.write(one, state.last + 1)
+        self.table.remove(spark, [state.last + 1 - COMMITS_KEPT])
 
 
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
@@ -268,6 +281,6 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(f"{checkpoint}/writer-id")
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        row = spark.range(1).select(F.lit(uuid.uuid4().hex).alias("id"))
+        row = spark.range(0, 1, 1, 1).select(F.lit(uuid.uuid4().hex).alias("id"))
         row.write.mode("overwrite").parquet(folder.toString())
     return spark.read.schema("id STRING").parquet(folder.toString()).first()["id"]

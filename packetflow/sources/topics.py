@@ -101,6 +101,26 @@ def file_topic(
     return reader.parquet(path)
 
 
+def file_topics(
+    spark: SparkSession,
+    path: str,
+    pattern: str = CHANGE_TOPICS,
+    schema: str | StructType = "value STRING",
+    max_files: int | None = None,
+) -> DataFrame:
+    """A stream of all topics below ``path`` whose name matches, each a folder ``topic=<name>``.
+
+    Folders are looked for anew before each micro-batch, so a topic that appears later is read from
+    its start. Rows get the ``topic`` of their folder; those of other topics go no further.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    named = F.regexp_extract(F.col("_metadata.file_path"), "/topic=([^/]+)/[^/]*$", 1)
+    rows = reader.parquet(f"{path}/topic=*")
+    return rows.withColumn("topic", F.url_decode(named)).filter(F.col("topic").rlike(pattern))
+
+
 def write_kafka(messages: DataFrame, servers: str, **options: str) -> None:
     """Send messages (``topic``, ``key``, ``value``, ``headers``); returns once all are sent.
 

@@ -10,13 +10,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from packetflow import schemas
 from packetflow.operators import changes, projection, stats
-from packetflow.session import spread
+from packetflow.session import spread, together
 from packetflow.sources.batches import (
     BatchTable,
     BucketedTable,
@@ -70,13 +70,19 @@ class ReadModel:
     def quarantine(self) -> BatchTable:
         return BatchTable(f"{self.root}/quarantine", schemas.QUARANTINE)
 
+    @property
+    def outcomes(self) -> BatchTable:
+        """How many events of each batch were skipped, projected or known."""
+        return BatchTable(f"{self.root}/outcomes", "outcome STRING, events BIGINT")
+
     @property
     def commits(self) -> CommitLog:
         return CommitLog.at(f"{self.root}/commits")
 
     def create(self, spark: SparkSession) -> None:
         for table in (
-            self.ledger, self.client_state, self.stats, self.markers, self.quarantine, self.commits,
+            self.ledger, self.client_state, self.stats, self.markers, self.quarantine, self.outcomes,
+            self.commits,
         ):
             table.create(spark)
 
@@ -87,7 +93,8 @@ class ReadModel:
         finished already changes nothing. Only a count and the clock come back to the driver.
         """
         spark = batch.sparkSession
-        batch_id = self.commits.next_number(spark, writer, stream_batch)
+        state = self.commits.state(spark)
+        batch_id = state.next_number(writer, stream_batch)
         if batch_id is None:
             return
         if "topic" not in batch.columns:
@@ -99,25 +106,51 @@ class ReadModel:
         fresh = firsts
         try:
             size, clock = firsts.agg(F.count("*"), F.max("processed_ms")).first()
-            self.quarantine.write(changes.quarantined(parsed), batch_id)
-            parsed.unpersist()
             clock = clock or 0
+            # counted while they are written, not by another pass
+            added, passed = Observation("added"), Observation("passed")
             # Any live marker stops a record, so markers are scanned as they lie, not folded.
             markers = self.markers.rows(spark, batch_id - 1)
             fresh = projection.fast_path(firsts, markers, clock, self.ttl_ms, size)
             fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-            new = fresh
-            for part in self.ledger.parts(spark, batch_id - 1):
-                new = projection.new_ledger_rows(new, part, size)
-            self.ledger.write(changes.with_payload(new), batch_id)
+
+            def store() -> None:
+                new = fresh
+                for part in self.ledger.parts(spark, batch_id - 1):
+                    new = projection.new_ledger_rows(new, part, size)
+                counted = changes.with_payload(new).observe(added, F.count("*").alias("n"))
+                self.ledger.write(counted, batch_id)
+
+            (skipped, events), *_ = together(
+                spark,
+                lambda: parsed.agg(F.count("skip_reason"), F.count("*")).first(),
+                lambda: self.quarantine.write(changes.quarantined(parsed), batch_id),
+                store,
+            )
             written = self.ledger.only(spark, batch_id)
-            self.stats.write(stats.protocol_stats(written), batch_id)
             winners = projection.client_winners(fresh)
-            self.client_state.write(winners.withColumn("batch_no", F.lit(batch_id)), batch_id)
             marks = fresh.select("transaction_id", F.lit(clock).alias("marked_at_ms"))
+            marks = marks.observe(passed, F.count("*").alias("n"))
             alive = F.col("marked_at_ms") > F.lit(clock - self.ttl_ms)
-            self.markers.write(marks, batch_id, keep=alive)
-            self.commits.write(spark, batch_id, writer, stream_batch, size)
+            together(
+                spark,
+                lambda: self.stats.write(stats.protocol_stats(written), batch_id),
+                lambda: self.client_state.write(
+                    winners.withColumn("batch_no", F.lit(batch_id)), batch_id
+                ),
+                lambda: self.markers.write(marks, batch_id, keep=alive),
+            )
+            counts = {
+                projection.SKIPPED: skipped,
+                projection.PROJECTED: added.get["n"],
+                projection.DUPLICATE: passed.get["n"] - added.get["n"],
+                projection.FAST_PATH_SKIP: events - skipped - passed.get["n"],
+            }
+            rows = [F.struct(F.lit(k), F.lit(n).cast("bigint")) for k, n in counts.items() if n]
+            if rows:
+                tally = spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+                self.outcomes.write(tally.toDF("outcome", "events"), batch_id)
+            self.commits.write(spark, state, writer, stream_batch, size)
         finally:
             for frame in (parsed, firsts, fresh):
                 frame.unpersist()
@@ -159,5 +192,8 @@ class ReadModel:
     def read_stats(self, spark: SparkSession) -> DataFrame:
         return self.stats.current(spark, self.commits.last(spark))
 
+    def read_outcomes(self, spark: SparkSession) -> DataFrame:
+        return self.outcomes.upto(spark, self.commits.last(spark))
+
     def read_markers(self, spark: SparkSession) -> DataFrame:
         return self.markers.current(spark, self.commits.last(spark))

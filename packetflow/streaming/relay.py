@@ -17,7 +17,13 @@ from packetflow.operators.joins import without_stored
 from packetflow.operators.ranking import best_per_key
 from packetflow.operators.relay import topic_messages, with_partition
 from packetflow.session import spread
-from packetflow.sources.batches import BatchTable, CommitLog, FoldedTable, checkpoint_id
+from packetflow.sources.batches import (
+    BatchTable,
+    CommitLog,
+    CommitState,
+    FoldedTable,
+    checkpoint_id,
+)
 
 PUBLISHED = (
     "id STRING, " + schemas.TOPIC_RECORD + ", partition_id BIGINT, error STRING"
@@ -59,17 +65,18 @@ def start_relay(
 
     def publish(batch: DataFrame, stream_batch: int) -> None:
         session = batch.sparkSession
-        number = commits.next_number(session, writer_id, stream_batch)
+        state = commits.state(session)
+        number = state.next_number(writer_id, stream_batch)
         if number is None:
             return
         unsent = (F.col("is_processed") == 0) & (F.col("is_sequential") == 0)
         pending = spread(batch, "id").filter(unsent)
         rows = None
-        if commits.others(session, writer_id):
+        if state.others(writer_id):
             rows = pending.count()
             pending = without_stored(pending, table.upto(session, number - 1), "id", rows)
         table.write(with_partition(topic_messages(pending)), number)
-        commits.write(session, number, writer_id, stream_batch, rows or 0)
+        commits.write(session, state, writer_id, stream_batch, rows or 0)
 
     writer = outbox.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
@@ -125,24 +132,24 @@ class StoredOutbox:
     def append(self, rows: DataFrame, writer: str = "", batch: int | None = None) -> None:
         """Add rows, such as a micro-batch of a stream: a batch that was added changes nothing."""
         spark = rows.sparkSession
-        last, written = self.additions.state(spark)
-        batch = written.get(writer, -1) + 1 if batch is None else batch
-        if batch <= written.get(writer, -1):
-            return
-        self.added.write(rows, last + 1)
-        self.additions.write(spark, last + 1, writer, batch, 0)
+        state = self.additions.state(spark)
+        batch = state.written.get(writer, -1) + 1 if batch is None else batch
+        number = state.next_number(writer, batch)
+        if number is not None:
+            self.added.write(rows, number)
+            self.additions.write(spark, state, writer, batch, 0)
 
     def load(self, rows: DataFrame) -> None:
         """Start the outbox with these rows."""
         self.create(rows.sparkSession)
         self.append(rows)
 
-    def _taken(self, spark: SparkSession, worker: int) -> tuple[int, int]:
-        """The last finished tick of a worker and the last addition it has taken, -1 for none."""
+    def _taken(self, spark: SparkSession, worker: int) -> tuple[CommitState, int]:
+        """The finished ticks of a worker and the last addition it has taken, -1 for none."""
         log = self.ticks(worker)
-        last = log.last(spark)
-        taken = log.table.only(spark, last).first()["rows"] if last >= 0 else -1
-        return last, taken
+        state = log.state(spark)
+        taken = log.table.only(spark, state.last).first()["rows"] if state.last >= 0 else -1
+        return state, taken
 
     def _new(self, spark: SparkSession, worker: int, taken: int) -> tuple[DataFrame, int]:
         """Rows of the worker's share that were added since, as versions, and the last addition."""
@@ -155,8 +162,8 @@ class StoredOutbox:
         """The outbox after all finished ticks, with the rows no worker has taken yet."""
         parts = []
         for worker in range(self.workers):
-            tick, taken = self._taken(spark, worker)
-            parts.append(self.versions(worker).current(spark, 2 * tick + 1))
+            state, taken = self._taken(spark, worker)
+            parts.append(self.versions(worker).current(spark, 2 * state.last + 1))
             parts.append(self._new(spark, worker, taken)[0])
         return reduce(DataFrame.unionByName, parts).drop("version_no")
 
@@ -176,11 +183,11 @@ class StoredOutbox:
         worker: int = 0,
     ) -> None:
         """Claim the oldest rows, send their messages, mark them done; ``number`` counts from 0."""
-        last, taken = self._taken(spark, worker)
-        if number <= last:
+        ticks, taken = self._taken(spark, worker)
+        if number <= ticks.last:
             return
-        if number != last + 1:
-            raise ValueError(f"tick {number} of worker {worker} comes after {last}")
+        if number != ticks.last + 1:
+            raise ValueError(f"tick {number} of worker {worker} comes after {ticks.last}")
         versions = self.versions(worker)
         claimed, done = 2 * number, 2 * number + 1
         new, upto = self._new(spark, worker, taken)
@@ -205,4 +212,4 @@ class StoredOutbox:
             finished = claims.withColumn("is_processed", F.lit(1))
         finally:
             write(finished, done)
-            self.ticks(worker).write(spark, number, "", number, upto)
+            self.ticks(worker).write(spark, ticks, "", number, upto)

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from packetflow import schemas
 from packetflow.operators import auth, routing
 from packetflow.operators.joins import without_stored
-from packetflow.session import spread
+from packetflow.session import spread, together
 from packetflow.sources.batches import BatchTable, CommitLog, checkpoint_id
 from packetflow.sources.shards import shard_table
 from packetflow.sources.topics import HASH_HEADER
@@ -92,10 +92,11 @@ class Router:
         if not self.reachable():
             raise TargetUnreachable(f"batch {stream_batch} was not delivered")
         spark = batch.sparkSession
-        batch_id = self.commits.next_number(spark, writer, stream_batch)
+        state = self.commits.state(spark)
+        batch_id = state.next_number(writer, stream_batch)
         if batch_id is None:
             return
-        again = self.commits.others(spark, writer)
+        again = state.others(writer)
         messages = spread(batch, *routing.COORDINATES)
         checked = messages.persist(StorageLevel.MEMORY_AND_DISK)
         routed = checked
@@ -117,20 +118,21 @@ class Router:
             rows = routed.count()
             # a task writes a file for each shard it has: no more tasks than rows are worth
             tasks = max(1, -(-rows // ROWS_PER_TASK))
-            if refused is not None:
-                write(self.refused, refused, tasks, *routing.COORDINATES)
             documents = routing.shard_documents(routed, F.col("msg_ts_ms"), self.down_shards)
-            write(self.shards, documents, tasks, "packet_id")
             dead = routing.dead_letters(routed, max_attempts=self.max_attempts)
+            jobs = [lambda: write(self.shards, documents, tasks, "packet_id")]
+            if refused is not None:
+                jobs.append(lambda: write(self.refused, refused, tasks, *routing.COORDINATES))
             if self.publish:
                 retried = routing.retry_messages(routed, self.main_topic, self.max_attempts)
-                self.publish(self._sendable(retried.unionByName(dead)))
+                jobs.append(lambda: self.publish(self._sendable(retried.unionByName(dead))))
             else:
                 of_origin = [c for c in StructType.fromDDL(DEAD_LETTER).names if "origin" in c]
-                write(self.dead_letters, dead, tasks, *of_origin, "attempts")
                 tried = (*routing.COORDINATES, "attempts")
-                write(self.retries, self._resent(routed), tasks, *tried)
-            self.commits.write(spark, batch_id, writer, stream_batch, rows)
+                jobs.append(lambda: write(self.dead_letters, dead, tasks, *of_origin, "attempts"))
+                jobs.append(lambda: write(self.retries, self._resent(routed), tasks, *tried))
+            together(spark, *jobs)
+            self.commits.write(spark, state, writer, stream_batch, rows)
         finally:
             routed.unpersist()
             checked.unpersist()

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from packetflow.operators import admission, ranking
 
@@ -23,6 +24,20 @@ def test_numbering_equals_a_sorted_loop(spark, width, gap):
     assert got == want
 
 
+@pytest.mark.parametrize("ranges", [256, 5])
+def test_outliers_leave_no_large_range(spark, monkeypatch, ranges):
+    monkeypatch.setattr(ranking, "RANGES", ranges)
+    near = spark.range(20_000).select((F.col("id") * 3).alias("n"))
+    far = spark.createDataFrame([(10**15,), (-(10**12),), (None,)], "n bigint")
+    df = near.unionByName(far)
+    cut = ranking.with_range(df, "n", 1000, "range")
+    sizes = [r["count"] for r in cut.groupBy("range").count().collect()]
+    assert sum(sizes) == 20_003 and max(sizes) < 2000 and len(sizes) <= 25
+    numbered = ranking.number_within(df.filter("n IS NOT NULL"), [], "n", "no", 1000)
+    got = [r["no"] for r in numbered.orderBy("n").collect()]
+    assert got == list(range(1, 20_003))
+
+
 @pytest.mark.parametrize("permits", [1, 3, 5000])
 def test_admission_equals_a_counter_per_window(spark, permits):
     rng = random.Random(5)

@@ -106,14 +106,17 @@ def test_commits_know_every_stream_and_are_kept_for_a_while(spark, tmp_path, mon
     monkeypatch.setattr(batches, "COMMITS_KEPT", 2)
     log = CommitLog.at(str(tmp_path))
     log.create(spark)
-    assert log.state(spark) == (-1, {})
+    state = log.state(spark)
+    assert (state.last, state.written) == (-1, {})
     for number, (writer, batch) in enumerate([("a", 0), ("b", 0), ("b", 1), ("b", 2)]):
-        assert log.next_number(spark, writer, batch) == number
-        log.write(spark, number, writer, batch, 7)
-        assert log.next_number(spark, writer, batch) is None
-    assert log.state(spark) == (3, {"a": 0, "b": 2})
-    assert log.next_number(spark, "a", 0) is None and log.next_number(spark, "a", 1) == 4
-    assert log.others(spark, "b") and log.others(spark, "c")
+        state = log.state(spark)
+        assert state.next_number(writer, batch) == number
+        log.write(spark, state, writer, batch, 7)
+        assert log.state(spark).next_number(writer, batch) is None
+    state = log.state(spark)
+    assert (state.last, state.written) == (3, {"a": 0, "b": 2})
+    assert state.next_number("a", 0) is None and state.next_number("a", 1) == 4
+    assert state.others("b") and state.others("c")
     assert {r["batch_id"] for r in log.table.read(spark).collect()} == {2, 3}
 
 
