@@ -7,10 +7,11 @@ differs is a minimum, which Spark aggregates before it shuffles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetflow.operators.ranking import number_within
+from packetflow.session import work_dir
 
 #: What stands around a turn.
 HEAD, TAIL = "<|im_start|>", "<|im_end|>\n"
@@ -136,29 +137,17 @@ def preference_rows(segments: DataFrame) -> DataFrame:
     )
 
 
-def swapped_replies(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Preference pairs out of plain conversations: the own last reply against a stranger's.
-
-    Conversations 2k and 2k+1 are partners. Chosen is a conversation up to its last assistant turn;
-    in the rejected one the text of that turn is the last reply of the partner. A conversation
-    without a reply, or whose partner has none, gives no pair.
-    """
-    turns = whole_turns(conversations, "conv_id")
-    last = (
-        turns.filter("role = 'assistant'").groupBy("conv_id")
-        .agg(F.max(F.struct("turn", "text")).alias("reply"))
-        .select("conv_id", F.col("reply.turn").alias("last"), F.col("reply.text").alias("reply"))
+def _partners(turns: DataFrame) -> DataFrame:
+    """``pair_id, conv_id``: each conversation with a reply, and the next such one by id."""
+    replied = turns.filter("role = 'assistant'").select("conv_id").distinct()
+    ranked = number_within(replied, [], "conv_id", "rank")
+    total = F.broadcast(ranked.agg(F.max("rank").alias("total")))
+    following = (F.col("rank") % F.col("total") + 1).alias("rank")
+    nexts = (
+        ranked.crossJoin(total).filter("total > 1")
+        .select(F.col("conv_id").alias("pair_id"), following)
     )
-    partner = F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id")
-    other = last.select(partner, F.col("reply").alias("other"))
-    pairs = last.drop("reply").join(other, "conv_id")
-    chosen = turns.join(pairs, "conv_id").filter(F.col("turn") <= F.col("last"))
-    swapped = F.when(F.col("turn") == F.col("last"), F.col("other")).otherwise(F.col("text"))
-    own = F.col("conv_id").alias("pair_id")
-    return (
-        chosen.select(own, "turn", "role", "text"),
-        chosen.select(own, "turn", "role", swapped.alias("text")),
-    )
+    return nexts.join(ranked, "rank").select("pair_id", "conv_id")
 
 
 def ranked_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -169,15 +158,7 @@ def ranked_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     own turns, in their own roles and number. One conversation alone has no pair.
     """
     turns = whole_turns(conversations, "conv_id")
-    replied = turns.filter("role = 'assistant'").select("conv_id").distinct()
-    ranked = number_within(replied, [], "conv_id", "rank")
-    total = F.broadcast(ranked.agg(F.max("rank").alias("total")))
-    following = (F.col("rank") % F.col("total") + 1).alias("rank")
-    nexts = (
-        ranked.crossJoin(total).filter("total > 1")
-        .select(F.col("conv_id").alias("pair_id"), following)
-    )
-    partners = nexts.join(ranked, "rank").select("pair_id", "conv_id")
+    partners = _partners(turns)
     own = F.col("conv_id").alias("pair_id")
     return (
         turns.join(partners.select(F.col("pair_id").alias("conv_id")), "conv_id")
@@ -189,3 +170,116 @@ def ranked_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 def preference_pairs(conversations: DataFrame) -> DataFrame:
     """:func:`preference_rows` of :func:`ranked_pairs`: completions of both sides with spans."""
     return preference_rows(preference_segments(*ranked_pairs(conversations), unique=True))
+
+
+#: Turn numbers of one conversation whose lengths are added up in one step.
+STEP_TURNS = 4096
+
+
+def _with_starts(placed: DataFrame, step: int) -> DataFrame:
+    """Add ``start``: the characters of the part before a turn.
+
+    A conversation may hold any share of the rows, so it is cut at every ``step`` turn numbers: sums
+    of the pieces are partial aggregates, a running sum over them and one within each give the rest.
+    """
+    group = ["pair_id", "part"]
+    cut = placed.withColumn("__piece", F.floor(F.col("turn") / step))
+    earlier = Window.partitionBy(*group).orderBy("__piece").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    pieces = (
+        cut.groupBy(*group, "__piece").agg(F.sum("size").alias("__size"))
+        .withColumn("__base", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+        .drop("__size")
+    )
+    within = Window.partitionBy(*group, "__piece").orderBy("turn").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    own = F.coalesce(F.sum("size").over(within), F.lit(0))
+    return (
+        cut.join(pieces, [*group, "__piece"])
+        .withColumn("start", F.col("__base") + own)
+        .drop("__piece", "__base")
+    )
+
+
+def preference_pieces(
+    conversations: DataFrame, trained_role: str = "assistant", step: int = STEP_TURNS
+) -> DataFrame:
+    """The paired completions of :func:`ranked_pairs`, turn by turn, with masks in characters.
+
+    Columns: ``pair_id, other_id, part, turn, role, rendered, start, trained_start, trained_end,
+    prompt_end``. A pair sets a conversation that has a reply (``pair_id``, chosen) against the next
+    one by id (``other_id``, rejected). The turns both begin with are the ``prompt``, which comes
+    once; from ``prompt_end``, the first turn that differs, the rest of each is its completion. The
+    text of a part is its ``rendered`` turns in order; a turn begins at ``start`` there, and the loss
+    counts from ``trained_start`` to ``trained_end``, null where it does not count. So pairs of
+    conversations of any length are whole, and spread over tasks. Nulls and repeated turns: see
+    :func:`whole_turns`; one conversation alone, or an empty table, has no pair.
+
+    The deduplicated turns are written once; prompts, places and masks are found on digests and
+    lengths, and texts are moved once for each side, dealt out by conversation and turn.
+    """
+    spark = conversations.sparkSession
+    folder = work_dir(spark, "preferences")
+    found = whole_turns(conversations, "conv_id")
+    found.write.parquet(folder)
+    turns = spark.read.schema(found.schema).parquet(folder)
+    partners = _partners(turns).checkpoint()
+    said = F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text")
+    head = F.concat(F.lit(HEAD), F.col("role"), F.lit("\n"))
+    trained = F.when(F.col("role") == trained_role, F.length(head))
+    narrow = turns.select(
+        "conv_id", "turn",
+        F.struct(
+            F.unhex(F.sha2(said, 256)).alias("digest"),
+            (F.length(head) + F.length("text") + len(TAIL)).cast("long").alias("size"),
+            trained.cast("long").alias("from"),
+        ).alias("one"),
+    )
+    own = partners.select("pair_id", F.col("conv_id").alias("other_id"))
+    sides = [
+        narrow.join(own.withColumn("conv_id", F.col(key)), "conv_id")
+        .select("pair_id", "other_id", "turn", "one", F.lit(number).alias("side"))
+        for number, key in enumerate(("pair_id", "other_id"))
+    ]
+
+    def of_side(number: int) -> Column:
+        return F.min(F.when(F.col("side") == number, F.col("one")))
+
+    laid = (
+        sides[0].unionByName(sides[1]).groupBy("pair_id", "other_id", "turn")
+        .agg(of_side(0).alias("chosen"), of_side(1).alias("rejected"))
+        .checkpoint()
+    )
+    differs = ~F.col("chosen.digest").eqNullSafe(F.col("rejected.digest"))
+    ends = laid.groupBy("pair_id").agg(F.min(F.when(differs, F.col("turn"))).alias("prompt_end"))
+    after = F.coalesce(F.col("turn") >= F.col("prompt_end"), F.lit(False))
+
+    def part(name: str, one: str) -> Column:
+        return F.struct(
+            F.lit(name).alias("part"), F.col(f"{one}.size").alias("size"),
+            F.when(F.lit(name != "prompt"), F.col(f"{one}.from")).alias("from"),
+        )
+
+    parts = F.when(~after, F.array(part("prompt", "chosen"))).otherwise(
+        F.array_compact(
+            F.array(
+                *[F.when(F.col(n).isNotNull(), part(n, n)) for n in ("chosen", "rejected")]
+            )
+        )
+    )
+    placed = laid.join(ends, "pair_id").select(
+        "pair_id", "other_id", "turn", "prompt_end", F.inline(parts)
+    )
+    placed = _with_starts(placed, step)
+    conversation = F.when(F.col("part") == "rejected", F.col("other_id")).otherwise(
+        F.col("pair_id")
+    )
+    texts = turns.select("conv_id", "turn", "role", F.concat(head, "text", F.lit(TAIL)).alias("rendered"))
+    return placed.withColumn("conv_id", conversation).join(texts, ["conv_id", "turn"]).select(
+        "pair_id", "other_id", "part", "turn", "role", "rendered", "start",
+        (F.col("start") + F.col("from")).alias("trained_start"),
+        F.when(F.col("from").isNotNull(), F.col("start") + F.col("size")).alias("trained_end"),
+        "prompt_end",
+    )

@@ -77,12 +77,12 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard_join.linked_documents(docs).select("doc_id", "n_shingles", "component_id")
+    found = jaccard_join.linked_documents(docs, count_links=False)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op9_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = preferences.swapped_replies(table(spark, sf_dir, "conversations"))
-    return preferences.preference_segments(*pairs, unique=True)
+    return preferences.preference_pieces(table(spark, sf_dir, "conversations"))
 
 
 def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,37 +167,47 @@ ORACLE: dict[str, str] = {
             QUALIFY row_number() OVER (
                 PARTITION BY conv_id, turn ORDER BY coalesce(role, ''), coalesce(text, '')) = 1
         ),
-        replies AS (
-            SELECT conv_id, turn AS last, text AS reply FROM turns WHERE role = 'assistant'
-            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1
+        replied AS (
+            SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS place, count(*) OVER () AS total
+            FROM (SELECT DISTINCT conv_id FROM turns WHERE role = 'assistant')
         ),
-        sides AS (
-            SELECT t.conv_id AS pair_id, t.turn, t.role, t.text AS chosen, r.last,
-                CASE WHEN t.turn = r.last THEN o.reply ELSE t.text END AS rejected
-            FROM turns t JOIN replies r USING (conv_id)
-            JOIN replies o ON o.conv_id = xor(r.conv_id, 1)
-            WHERE t.turn <= r.last
+        partners AS (
+            SELECT a.conv_id AS pair_id, b.conv_id AS other_id
+            FROM replied a JOIN replied b ON b.place = a.place % a.total + 1 WHERE a.total > 1
+        ),
+        chosen AS (
+            SELECT pair_id, other_id, turn, role, text
+            FROM partners JOIN turns ON conv_id = pair_id
+        ),
+        rejected AS (
+            SELECT pair_id, other_id, turn, role, text
+            FROM partners JOIN turns ON conv_id = other_id
         ),
         ends AS (
-            SELECT pair_id, min(CASE WHEN chosen <> rejected THEN turn END) AS prompt_end
-            FROM sides GROUP BY pair_id
+            SELECT pair_id, min(CASE WHEN c.role IS DISTINCT FROM r.role
+                OR c.text IS DISTINCT FROM r.text THEN turn END) AS prompt_end
+            FROM chosen c FULL JOIN rejected r USING (pair_id, turn) GROUP BY pair_id
         ),
         parts AS (
-            SELECT pair_id, 'prompt' AS part, turn, role, chosen AS text, prompt_end
-            FROM sides JOIN ends USING (pair_id) WHERE prompt_end IS NULL OR turn < prompt_end
-            UNION ALL
-            SELECT pair_id, 'chosen', turn, role, chosen, prompt_end
-            FROM sides JOIN ends USING (pair_id) WHERE turn >= prompt_end
+            SELECT chosen.*, CASE WHEN turn >= prompt_end THEN 'chosen' ELSE 'prompt' END AS part,
+                prompt_end FROM chosen JOIN ends USING (pair_id)
             UNION ALL
-            SELECT pair_id, 'rejected', turn, role, rejected, prompt_end
-            FROM sides JOIN ends USING (pair_id) WHERE turn >= prompt_end
+            SELECT rejected.*, 'rejected', prompt_end FROM rejected JOIN ends USING (pair_id)
+            WHERE turn >= prompt_end
+        ),
+        rendered AS (
+            SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)
+                AS rendered, part <> 'prompt' AND role = 'assistant' AS trained FROM parts
+        ),
+        placed AS (
+            SELECT *, coalesce(sum(length(rendered)) OVER (PARTITION BY pair_id, part ORDER BY turn
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+            FROM rendered
         )
-        SELECT pair_id, part, turn, role,
-            '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered,
-            CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(role) + 13 END
-                AS trained_from,
-            prompt_end
-        FROM parts
+        SELECT pair_id, other_id, part, turn, role, rendered, start,
+            CASE WHEN trained THEN start + 13 + length(role) END AS trained_start,
+            CASE WHEN trained THEN start + length(rendered) END AS trained_end, prompt_end
+        FROM placed
     """,
     "op11_spelling_variants": r"""
         WITH RECURSIVE bytes AS (

@@ -247,16 +247,36 @@ def test_rows_of_a_pair(spark):
 
 
 def test_no_python_in_the_plan(spark, sf_dir):
-    pairs = preferences.swapped_replies(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    plan = preferences.preference_segments(*pairs)._jdf.queryExecution().toString()
+    pieces = preferences.preference_pieces(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    plan = pieces._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
-def test_swapped_replies(spark):
-    rows = [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (0, 2, "user", "c"), (1, 0, "assistant", "d"), (2, 0, "assistant", "e"), (3, 0, "user", "f")]
-    chosen, rejected = preferences.swapped_replies(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    assert sorted(map(tuple, chosen.collect())) == [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (1, 0, "assistant", "d")]
-    assert sorted(map(tuple, rejected.collect())) == [(0, 0, "user", "a"), (0, 1, "assistant", "d"), (1, 0, "assistant", "b")]
+@pytest.mark.parametrize("step", [2, 4096])
+def test_pieces_put_together_are_the_rows_of_pairs(spark, step):
+    rng = random.Random(11)
+    rows = [
+        (k, t, ["user", "assistant"][t % 2], "same" if t < k % 4 else f"é{rng.randrange(9)}")
+        for k in range(12) for t in range(k % 5 + 1)
+    ]
+    rows += [(50, t, "user", "long") for t in range(300)] + [(50, 301, "assistant", "end")]
+    rows += [(None, 0, "user", "x"), (3, None, "user", "x"), (4, 0, None, None), (4, 0, None, None)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    wanted = {r.pair_id: r for r in preferences.preference_pairs(frame).collect()}
+    parts = collections.defaultdict(list)
+    for r in preferences.preference_pieces(frame, step=step).collect():
+        parts[r.pair_id, r.part].append(r)
+    assert {pair for pair, _ in parts} == set(wanted)
+    for (pair, part), pieces in parts.items():
+        pieces.sort(key=lambda r: r.turn)
+        assert [p.start for p in pieces] == [
+            len("".join(q.rendered for q in pieces[:i])) for i in range(len(pieces))
+        ]
+        row = wanted[pair]
+        assert "".join(p.rendered for p in pieces) == row[part]
+        spans = [(p.trained_start, p.trained_end) for p in pieces if p.trained_start is not None]
+        assert spans == ([] if part == "prompt" else [(s.start, s.end) for s in row[f"{part}_spans"]])
+    assert preferences.preference_pieces(frame.limit(0)).collect() == []
 
 
 def test_ranked_pairs_drop_no_conversation_and_no_turn(spark):
