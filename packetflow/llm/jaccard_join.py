@@ -49,6 +49,9 @@ from packetflow.session import shared_dir, work_dir
 #: N-grams of the sets in one task of the join; a larger group is cut into blocks.
 TASK_NGRAMS = 4_000_000
 
+#: Ids that are broadcast to leave out documents (about 24 MB); more are joined by id.
+BROADCAST_IDS = 1_000_000
+
 #: N-grams of neighbouring sets that the walk of a tree counts in one step.
 STEP_NGRAMS = 1 << 14
 
@@ -257,13 +260,15 @@ def _grow(sets: list[np.ndarray], sizes: list[int], step: int) -> _Node:
 def tree_joins(
     grams: list[np.ndarray], df: list[np.ndarray], sizes: list[int], threshold: int,
     copies: list[int], blocks: list[int] | None = None, step: int = STEP_NGRAMS,
+    count: bool = True,
 ) -> tuple[list[tuple[int, int]], np.ndarray]:
     """A forest of links and, of every position, the number of its links.
 
     The forest has pairs of positions that join all linked sets into groups, at most one less than
     the sets. ``grams`` are the n-grams that a set may share, in the global order, ``sizes`` the
     whole sizes. A link counts as often as the other set has ``copies``. With ``blocks`` only links
-    between sets of different blocks are looked for.
+    between sets of different blocks are looked for. Without ``count``, sets that are in one group
+    already are not compared, so a large group of near copies is not looked through pair by pair.
     """
     degrees = np.zeros(len(sizes), np.int64)
     if len(sizes) < 2:
@@ -294,6 +299,8 @@ def tree_joins(
             node, overlap = todo.pop()
             if node.high <= i + 1:
                 continue
+            if not count and (group[max(node.low, i + 1) : node.high] == group[i]).all():
+                continue
             rest = len(own)
             if node.depth:
                 path = sets[node.low][node.start : node.depth]
@@ -338,8 +345,8 @@ _LINKS = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("links", pa.in
 _LINKS_SQL = "left long, right long, links long"
 
 
-def _join(threshold: int):
-    """Links, and of each set that has some their number under ``left`` with a null ``right``."""
+def _join(threshold: int, count: bool):
+    """Links, and, if they are to be counted, of each set that has some their number under ``left`` with a null ``right``."""
 
     def join(group: pa.Table) -> pa.Table:
         group = group.sort_by("set")
@@ -350,9 +357,9 @@ def _join(threshold: int):
         blocks = group.column("own").to_numpy() if task["low"] != task["high"] else None
         links, degrees = tree_joins(
             grams, df, group.column("n").to_pylist(), threshold, group.column("copies").to_pylist(),
-            blocks,
+            blocks, count=count,
         )
-        found = np.flatnonzero(degrees)
+        found = np.flatnonzero(degrees if count else degrees[:0])
         left = np.concatenate([sets[[a for a, _ in links]], sets[found]])
         right = pa.array([int(sets[b]) for _, b in links] + [None] * len(found), pa.int64())
         number = pa.array([None] * len(links) + degrees[found].tolist(), pa.int64())
@@ -384,11 +391,12 @@ def _tasks(alive: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
 
 def _labelled(
     docs: DataFrame, width: int, threshold: int, doc_id: str = "doc_id", text: str = "text",
-    task_ngrams: int = TASK_NGRAMS,
+    task_ngrams: int = TASK_NGRAMS, count_links: bool = True,
 ) -> DataFrame:
     """``doc_id, set, n, component_id, n_links`` of every row, and the smallest set of its component.
 
     That is ``component``, which tells components of one name apart; 0 for a text without words.
+    ``n_links`` counts copies only where links are not counted.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -408,9 +416,11 @@ def _labelled(
     different = members.groupBy("set").agg(
         F.min("doc_id").alias("first"), F.count("*").alias("copies")
     )
-    counted = alive.drop("prefix").join(different.select("set", "copies"), "set")
+    counted = alive.drop("prefix").withColumn("copies", F.lit(1).cast("long"))
+    if count_links:
+        counted = counted.drop("copies").join(different.select("set", "copies"), "set")
     tasks = _tasks(counted, groups, task_ngrams)
-    joined_sets = grouped_arrow(tasks, "task", _join(threshold), _LINKS_SQL).checkpoint()
+    joined_sets = grouped_arrow(tasks, "task", _join(threshold, count_links), _LINKS_SQL).checkpoint()
     classes = components(joined_sets.filter("right IS NOT NULL"), "left", "right")
     degrees = (
         joined_sets.filter("right IS NULL").groupBy(F.col("left").alias("set"))
@@ -437,7 +447,7 @@ def _labelled(
 
 def linked_documents(
     docs: DataFrame, width: int = 5, threshold: int = 80, doc_id: str = "doc_id",
-    text: str = "text", task_ngrams: int = TASK_NGRAMS,
+    text: str = "text", task_ngrams: int = TASK_NGRAMS, count_links: bool = True,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs``.
 
@@ -446,11 +456,13 @@ def linked_documents(
     A text of fewer words is one n-gram. A null, empty or blank text has no n-gram and no links. A
     row with a null id takes part and gets the component of its links, null if there is none with
     an id. Rows that repeat an id are documents of their own with that id. ``n_links`` is the
-    number of other documents (rows) that a document is linked to, its copies among them. Other
-    columns of ``docs`` play no part.
+    number of other documents (rows) that a document is linked to, its copies among them; to count
+    them takes work that grows with the square of a group, so without ``count_links`` there is no
+    such column. Other columns of ``docs`` play no part.
     """
-    found = _labelled(docs, width, threshold, doc_id, text, task_ngrams)
-    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    found = _labelled(docs, width, threshold, doc_id, text, task_ngrams, count_links)
+    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    return found.select(*columns, *(["n_links"] if count_links else []))
 
 
 def _with_set(width: int, names: list[str]):
@@ -473,11 +485,13 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFra
     word are one document. Rows without an id are kept, since no result can name them.
     """
     shared_dir(docs.sparkSession)
-    found = _labelled(docs, width, threshold).drop("n", "n_links").checkpoint()
+    found = _labelled(docs, width, threshold, count_links=False)
+    found = found.drop("n", "n_links").checkpoint()
     # few ids go, and few are repeated: the texts of the others are not moved
     repeated = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     gone = found.filter("component_id <> doc_id").select("doc_id").unionByName(repeated)
-    single = in_key_set(docs, gone, "doc_id", ["text"], keep_members=False)
+    known = {"max_broadcast": BROADCAST_IDS, "unique": True}  # or nearly so
+    single = in_key_set(docs, gone, "doc_id", ["text"], keep_members=False, **known)
     # of repeated ids: a set for each component that is named by the id, then a row for each set
     first = (
         found.filter("doc_id = component_id").join(repeated, "doc_id")
