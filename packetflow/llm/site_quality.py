@@ -22,7 +22,7 @@ from packetflow.llm.common import chunks, map_arrow
 from packetflow.llm.logistic import Logistic, sigmoid
 from packetflow.llm.quality_rules import labelled_sample
 from packetflow.llm.shapes import per_text, repeated_words, split_lines
-from packetflow.operators.joins import replicated, salted
+from packetflow.operators.joins import join_heavy
 from packetflow.session import shared_dir
 
 #: Labelled documents that the classifier is fitted on.
@@ -187,8 +187,7 @@ def _join_sites(
     """Bring each row the numbers of its path; a path may hold any share of the rows."""
     if sites.count() <= bound:
         return rows.join(F.broadcast(sites.withColumnRenamed("path", path)), path)
-    sites = sites.withColumnRenamed("path", path)
-    return salted(rows, spread_by).join(replicated(sites), [path, "__salt"]).drop("__salt")
+    return join_heavy(rows, sites.withColumnRenamed("path", path), path, spread_by)
 
 
 def score_documents(
