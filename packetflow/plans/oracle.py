@@ -569,6 +569,11 @@ ORACLE: dict[str, str] = {
            FROM callers""",
         "callers",
     ),
+    "stream_merged_shards": with_tables(
+        """SELECT shard, count(*) AS documents, count(*) AS events FROM shard_docs
+           WHERE api_key LIKE 'valid%' GROUP BY shard""",
+        "shard_docs",
+    ),
     "stream_pattern": with_tables("SELECT topic, value FROM change_events", "change_events"),
     "stream_bounded": with_tables(
         f"""SELECT msg_offset // {fx.PART_MESSAGES} AS part, count(*) AS messages,

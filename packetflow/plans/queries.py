@@ -34,7 +34,12 @@ from packetflow.operators import (
 from packetflow.plans import fixtures as fx
 from packetflow.session import prepare, work_dir
 from packetflow.sources.batches import BatchTable
-from packetflow.sources.shards import read_shards, shard_table
+from packetflow.sources.shards import (
+    MergedShards,
+    read_shards,
+    shard_change_stream,
+    shard_table,
+)
 from packetflow.sources.topics import file_topic, file_topics
 from packetflow.streaming.read_model import ReadModel
 from packetflow.streaming.relay import (
@@ -807,6 +812,33 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed_sinks(spark, router)
 
 
+@query("stream_merged_shards")
+def stream_merged_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of each shard and its change events, while batches are merged between them."""
+    root = work_dir(spark, "merged")
+    router = Router(root, valid_keys=VALID_KEYS, down_shards=DOWN)
+    router.create(spark)
+    merged = MergedShards(router.shards.path)
+    messages = topic_rows(spark, sf_dir)
+    events = None
+    for stage in range(4):
+        router.route(messages.filter(F.col("msg_offset") % 4 == stage), stage)
+        feed = shard_change_stream(spark, router.shards.path).select("topic", "shard", "value")
+        events = feed.schema
+        sink = (
+            feed.writeStream.format("parquet").option("path", f"{root}/events")
+            .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+        )
+        sink.start().awaitTermination()
+        if stage < 3:
+            merged.merge(spark, router.commits.last(spark))
+    documents = merged.read(spark, router.commits.last(spark))
+    told = spark.read.schema(events).parquet(f"{root}/events")
+    return routing.shard_counts(documents).join(
+        told.groupBy("shard").agg(F.count("*").alias("events")), "shard", "full"
+    )
+
+
 class BreaksOnce(Router):
     """Goes away during its first batch: dead letters are not written, other sinks are."""
 

@@ -10,7 +10,7 @@ from pyspark.sql.utils import StreamingQueryException
 from packetflow import schemas
 from packetflow.operators import outbox
 from packetflow.sources.batches import BucketedTable, FoldedTable
-from packetflow.sources.shards import read_shards, shard_change_stream
+from packetflow.sources.shards import MergedShards, read_shards, shard_change_stream
 from packetflow.sources.topics import file_topic
 from packetflow.streaming.read_model import ReadModel
 from packetflow.operators.joins import without_stored
@@ -430,3 +430,31 @@ def test_an_outbox_with_workers_takes_rows_added_later(spark, tmp_path):
     assert left.count() == 0
     with pytest.raises(ValueError, match="comes after"):
         stored.tick(spark, 9, 0, send)
+
+
+def test_merged_shards_are_few_files_and_come_once(spark, tmp_path):
+    router = Router(str(tmp_path / "sink"), allow_anyone=True)
+    router.create(spark)
+    store = MergedShards(router.shards.path, rows_per_file=10)
+    events = str(tmp_path / "events")
+    kinds = ["UDP", "TCP", "TLS"]
+    for batch in range(6):
+        rows = topic(spark, *[packet(kinds[i % 3], f"t{batch}-{i}") for i in range(12)])
+        router.route(rows.withColumn("msg_offset", F.col("msg_offset") + 100 * batch), batch)
+        feed = shard_change_stream(spark, router.shards.path).select("value")
+        sink = feed.writeStream.format("parquet").option("path", events)
+        sink = sink.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+        sink.start().awaitTermination()
+        if batch % 2:
+            for _ in range(2):  # a second call has nothing to do
+                store.merge(spark, batch)
+        read = store.read(spark, batch)
+        assert read.count() == read.select("packet_id").distinct().count() == 12 * (batch + 1)
+    assert spark.read.schema("value STRING").parquet(events).distinct().count() == 72
+    assert spark.read.schema("value STRING").parquet(events).count() == 72
+    assert store.read(spark, 5, ["UDP"]).count() == 24
+    left = sorted(p.name for p in (tmp_path / "sink" / "shards").iterdir() if "batch_id" in p.name)
+    assert left == ["batch_id=4", "batch_id=5"]  # of the last merge
+    files = list((tmp_path / "sink" / "shards-merged").rglob("*.parquet"))
+    assert {p.parent.parent.name for p in files} == {"shard=UDP", "shard=TCP", "shard=HTTPS"}
+    assert len(files) <= 3 * 3 * 2
