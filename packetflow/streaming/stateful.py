@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from packetflow import schemas
 from packetflow.operators import admission, changes, projection, stats
 from packetflow.operators.ranking import best_per_key
+from packetflow.session import shared_dir
 from packetflow.sources.batches import (
     BatchTable,
     BucketedTable,
@@ -96,15 +97,15 @@ class SeenLedger:
             number = state.next_number(writer_id, stream_batch)
             if number is None:
                 return
-            new = batch.filter("since = latest").select("first.*")
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
+            # written once, so that no later look at it runs the state of the stream again
+            shared_dir(session)
+            new = batch.filter("since = latest").select("first.*").checkpoint()
             size = new.count()
             fresh = new
             for part in self.ledger.parts(session, number - 1):
                 fresh = projection.new_ledger_rows(fresh, part, size)
             self.ledger.write(changes.with_payload(fresh), number)
             self.commits.write(session, state, writer_id, stream_batch, size)
-            new.unpersist()
 
         seen = first_seen(records, self.window, self.delay)
         return _started(seen, store, checkpoint, "update", available_now)

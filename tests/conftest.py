@@ -34,3 +34,24 @@ def sf_dir():
     if not os.path.exists(path):
         pytest.skip("no test data")
     return path
+
+
+@pytest.fixture(scope="session")
+def shared_models(spark):
+    """One read model for all queries that only read it: queries themselves build one each."""
+    from packetflow.plans import queries
+
+    built = {}
+
+    def once(make):
+        def get(spark, sf_dir):
+            if (make, sf_dir) not in built:
+                built[make, sf_dir] = make(spark, sf_dir)
+            return built[make, sf_dir]
+
+        return get
+
+    kept = queries.streamed_model, queries.stored_model
+    queries.streamed_model, queries.stored_model = map(once, kept)
+    yield
+    queries.streamed_model, queries.stored_model = kept

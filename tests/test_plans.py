@@ -43,6 +43,7 @@ def test_groups_are_cut_down_before_the_shuffle(spark, sf_dir, name):
     assert any(s < p for s in shuffles for p in partial)
 
 
+@pytest.mark.usefixtures("shared_models")
 @pytest.mark.parametrize("name", ["outbox_reserve", "stats_clients"])
 def test_limits_are_top_n(spark, sf_dir, name):
     assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, sf_dir))
@@ -70,6 +71,7 @@ def test_large_limits_are_cut_down_too(spark, sf_dir, limit):
     assert "WindowGroupLimit" in plan(outbox.worker_claims(rows, 0, workers=4, limit=limit))
 
 
+@pytest.mark.usefixtures("shared_models")
 @pytest.mark.parametrize("name", ["ledger_lookup", "client_lookup"])
 def test_lookups_push_the_key_to_the_scan_of_the_stored_table(spark, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
