@@ -14,6 +14,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from packetflow import schemas
 from packetflow.functions import (
     attempt_count,
     classify_protocol,
@@ -502,9 +503,21 @@ def packet_stats_by_proto(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stats_incremental_merge")
 def stats_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = full_ledger(spark, sf_dir)
-    before = stats.protocol_stats(rows.filter(F.col("arrival_ms") <= fx.NOW_MS))
-    delta = stats.protocol_stats(rows.filter(F.col("arrival_ms") > fx.NOW_MS))
+    """Statistics stored earlier, and those of the rows that came since, merged.
+
+    The ledger is stored in two batches by one pass over the feed; its second batch is all that the
+    merge reads of it, beside the statistics stored after the first.
+    """
+    root = work_dir(spark, "incremental")
+    schema = "proto STRING, stored_at TIMESTAMP"
+    later = (F.col("arrival_ms") > fx.NOW_MS).cast("int").alias("batch_id")
+    rows = full_ledger(spark, sf_dir).select("proto", "stored_at", later)
+    rows.write.partitionBy("batch_id").parquet(f"{root}/ledger")
+    ledger = BatchTable(f"{root}/ledger", schema)
+    stored = BatchTable(f"{root}/stats", schemas.PROTOCOL_STATS)
+    stored.write(stats.protocol_stats(ledger.upto(spark, 0)), 0)
+    delta = stats.protocol_stats(ledger.read(spark).filter("batch_id = 1"))
+    before = stored.only(spark, 0).drop("batch_id")
     return stats_columns(stats.merge_stats(before, delta))
 
 

@@ -11,7 +11,7 @@ from packetflow.plans.queries import QUERIES
 #: Those that write nothing before their result is asked for.
 WRITES = (
     "stream_", "cdc_union", "relay_ticks", "relay_workers", "ledger_lookup", "client_lookup", "stats_protocols",
-    "stats_clients", "stats_total",
+    "stats_clients", "stats_total", "stats_incremental",
 )
 NO_STREAM = sorted(n for n in QUERIES if not n.startswith(WRITES))
 
