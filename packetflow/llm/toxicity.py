@@ -209,7 +209,8 @@ def train(
     """Learn from ``labels.toxic`` of at most ``size`` documents of those that ``learn`` allows.
 
     ``learn`` is a condition on ``doc_id``. Without labels of both kinds nothing tells the two apart
-    and every text gets the rate of the labels there are.
+    and every text gets the rate of the labels there are; without any label that is 0.5, which
+    counts as toxic.
     """
     sample = labelled_sample(docs, labels, "toxic", size, learn)
     usable = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)")
