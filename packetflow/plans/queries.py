@@ -13,6 +13,7 @@ from typing import ClassVar
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from packetflow import schemas
 from packetflow.functions import (
@@ -64,6 +65,9 @@ WINDOW_MS = 21_600_000
 LOOKUP_TX = "tx-1"
 LOOKUP_CLIENT = "c1"
 
+#: Streams that share the parts of a topic which is read in bounded batches.
+BOUNDED_READERS = 16
+
 RECORD = [
     "arrival_seq", "transaction_id", "client_id", "version", "proto", "source_ip", "dest_ip",
     "source_port", "dest_port",
@@ -704,23 +708,45 @@ def stream_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_bounded")
 def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A topic in bounded micro-batches: rows of each part, parts and rows of the batch it came in."""
+    """A topic in bounded micro-batches: rows of each part, parts and rows of the batch it came in.
+
+    A micro-batch costs a few commits, whatever it holds, so the parts are dealt out to readers that
+    run side by side, each a stream with a checkpoint of its own.
+    """
     root = work_dir(spark, "bounded")
     part = F.floor(F.col("msg_offset") / fx.PART_MESSAGES).alias("part")
+    reader = F.coalesce(F.pmod("part", F.lit(BOUNDED_READERS)), F.lit(0)).alias("reader")
     messages = topic_rows(spark, sf_dir).select("msg_offset", "value", part)
-    messages.repartition("part").write.partitionBy("part").parquet(f"{root}/topic")
-    stream = spark.readStream.schema("msg_offset BIGINT, value STRING, part BIGINT")
+    dealt = messages.select("*", reader).repartition("part")
+    dealt.write.partitionBy("reader", "part").parquet(f"{root}/topic")
     counted = BatchTable(f"{root}/counted", "part BIGINT, messages BIGINT")
+    counted.create(spark)
+
+    def started(number: int) -> StreamingQuery:
+        topic = BatchTable(f"{root}/topic/reader={number}", "msg_offset BIGINT, value STRING")
+        topic.create(spark)
+        stream = spark.readStream.schema(f"{topic.schema}, part BIGINT")
+
+        def count(batch: DataFrame, stream_batch: int) -> None:
+            # a micro-batch is one file, so it is counted by one task without a shuffle
+            counts = batch.coalesce(1).groupBy("part").agg(F.count("*").alias("messages"))
+            counted.write(counts, stream_batch * BOUNDED_READERS + number)
+
+        return (
+            stream.option("maxFilesPerTrigger", 1).parquet(topic.path).writeStream
+            .foreachBatch(count).option("checkpointLocation", f"{root}/checkpoint/{number}")
+            .trigger(availableNow=True).start()
+        )
 
-    def count(batch: DataFrame, number: int) -> None:
-        counted.write(batch.groupBy("part").agg(F.count("*").alias("messages")), number)
-
-    query = (
-        stream.option("maxFilesPerTrigger", 1).parquet(f"{root}/topic").writeStream
-        .foreachBatch(count).option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    streams = []
+    try:
+        for number in range(BOUNDED_READERS):
+            streams.append(started(number))
+        for stream in streams:
+            stream.awaitTermination()
+    finally:  # an error of one ends the others
+        for stream in streams:
+            stream.stop()
     found = counted.read(spark)
     of_batch = Window.partitionBy("batch_id")
     return found.select(

@@ -1,7 +1,10 @@
 """Streams over several micro-batches: redelivery, replay, failure, recovery."""
 
+import glob
 import hashlib
 import json
+import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from pyspark.sql.utils import StreamingQueryException
 
 from packetflow import schemas
 from packetflow.operators import outbox
+from packetflow.plans import queries
 from packetflow.sources.batches import BucketedTable, FoldedTable
 from packetflow.sources.shards import MergedShards, read_shards, shard_change_stream
 from packetflow.sources.topics import file_topic
@@ -458,3 +462,20 @@ def test_merged_shards_are_few_files_and_come_once(spark, tmp_path):
     files = list((tmp_path / "sink" / "shards-merged").rglob("*.parquet"))
     assert {p.parent.parent.name for p in files} == {"shard=UDP", "shard=TCP", "shard=HTTPS"}
     assert len(files) <= 3 * 3 * 2
+
+
+def test_parts_of_a_topic_are_shared_by_readers(spark, tmp_path, monkeypatch):
+    ids = [None, None, *range(-25, 600)]
+    rows = spark.createDataFrame([(i,) for i in ids], "event_id BIGINT").selectExpr(
+        "event_id", "timestamp_ntz '2024-01-15 00:00:00' AS ts", "event_id AS user_id",
+        "'view' AS event_type", "1.0D AS value", "'' AS props",
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries.fx, "PART_MESSAGES", 25)
+    monkeypatch.setattr(queries, "work_dir", lambda spark, name: str(tmp_path / name))
+    found = {tuple(r) for r in queries.QUERIES["stream_bounded"](spark, str(tmp_path)).collect()}
+    assert found == {(None, 2, 1, 2)} | {(part, 25, 1, 25) for part in range(-1, 24)}
+    commits = glob.glob(f"{tmp_path}/bounded/**/commits/*", recursive=True)
+    batches = Counter(os.path.dirname(commit) for commit in commits)
+    assert sum(batches.values()) == 26
+    assert max(batches.values()) == 3  # parts 0, 16 and those without a number
