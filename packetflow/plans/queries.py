@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import contextlib
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import replace
 from typing import ClassVar
 
 from pyspark.errors import StreamingQueryException
@@ -34,7 +35,7 @@ from packetflow.operators import (
     stats,
 )
 from packetflow.plans import fixtures as fx
-from packetflow.session import prepare, work_dir
+from packetflow.session import prepare, short_batches, work_dir
 from packetflow.sources.batches import BatchTable
 from packetflow.sources.shards import (
     MergedShards,
@@ -711,7 +712,9 @@ def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic in bounded micro-batches: rows of each part, parts and rows of the batch it came in.
 
     A micro-batch costs a few commits, whatever it holds, so the parts are dealt out to readers that
-    run side by side, each a stream with a checkpoint of its own.
+    run side by side, each a stream with a checkpoint and a sink of its own. The sink of files puts
+    the rows of a batch in place with one entry of its log, at no look at a folder; a batch is known
+    by its clock, which Spark keeps in the checkpoint.
     """
     root = work_dir(spark, "bounded")
     part = F.floor(F.col("msg_offset") / fx.PART_MESSAGES).alias("part")
@@ -719,22 +722,21 @@ def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = topic_rows(spark, sf_dir).select("msg_offset", "value", part)
     dealt = messages.select("*", reader).repartition("part")
     dealt.write.partitionBy("reader", "part").parquet(f"{root}/topic")
-    counted = BatchTable(f"{root}/counted", "part BIGINT, messages BIGINT")
-    counted.create(spark)
+    arrived = BatchTable(f"{root}/arrived", "part BIGINT, clock BIGINT")
+    sinks = [replace(arrived, path=f"{arrived.path}/{n}") for n in range(BOUNDED_READERS)]
+    session = short_batches(spark, root)
 
     def started(number: int) -> StreamingQuery:
         topic = BatchTable(f"{root}/topic/reader={number}", "msg_offset BIGINT, value STRING")
-        topic.create(spark)
-        stream = spark.readStream.schema(f"{topic.schema}, part BIGINT")
-
-        def count(batch: DataFrame, stream_batch: int) -> None:
-            # a micro-batch is one file, so it is counted by one task without a shuffle
-            counts = batch.coalesce(1).groupBy("part").agg(F.count("*").alias("messages"))
-            counted.write(counts, stream_batch * BOUNDED_READERS + number)
-
+        for table in (topic, sinks[number]):
+            table.create(spark)
+        stream = session.readStream.schema(f"{topic.schema}, part BIGINT")
+        rows = stream.option("maxFilesPerTrigger", 1).parquet(topic.path)
+        clock = F.unix_millis(F.current_timestamp()).alias("clock")
         return (
-            stream.option("maxFilesPerTrigger", 1).parquet(topic.path).writeStream
-            .foreachBatch(count).option("checkpointLocation", f"{root}/checkpoint/{number}")
+            rows.select("part", clock).writeStream.format("parquet")
+            .option("path", sinks[number].path)
+            .option("checkpointLocation", f"{root}/checkpoint/{number}")
             .trigger(availableNow=True).start()
         )
 
@@ -747,8 +749,15 @@ def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:  # an error of one ends the others
         for stream in streams:
             stream.stop()
-    found = counted.read(spark)
-    of_batch = Window.partitionBy("batch_id")
+    stored = [
+        spark.read.schema(sink.schema).parquet(sink.path).withColumn("reader", F.lit(number))
+        for number, sink in enumerate(sinks)
+    ]
+    found = (
+        changes.union_feeds(*stored).groupBy("reader", "clock", "part")
+        .agg(F.count("*").alias("messages"))
+    )
+    of_batch = Window.partitionBy("reader", "clock")
     return found.select(
         "part", "messages", F.count("*").over(of_batch).alias("parts_in_batch"),
         F.sum("messages").over(of_batch).alias("messages_in_batch"),

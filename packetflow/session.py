@@ -68,6 +68,29 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/packetflow/{name}-{uuid.uuid4().hex}"
 
 
+#: Keeps checkpoints by plain renames, as Spark does wherever a store has nothing else.
+PLAIN_CHECKPOINTS = (
+    "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+)
+
+
+def short_batches(spark: SparkSession, path: str) -> SparkSession:
+    """A session for streams below ``path`` that run thousands of short micro-batches.
+
+    Folders are listed by as many tasks as there are cores instead of a task each. Where ``path`` is
+    a folder of this machine, logs of a checkpoint are put in place by plain renames: the usual ones
+    start a dozen processes for each log there, which cost more than the micro-batch itself.
+    """
+    session = prepare(spark.newSession())
+    cores = spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(cores))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.getUri().getScheme() == "file":
+        session.conf.set("spark.sql.streaming.checkpointFileManagerClass", PLAIN_CHECKPOINTS)
+    return session
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores on a source of fewer splits than cores, such as one small file.
 

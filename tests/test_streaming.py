@@ -13,6 +13,7 @@ from pyspark.sql.utils import StreamingQueryException
 from packetflow import schemas
 from packetflow.operators import outbox
 from packetflow.plans import queries
+from packetflow.session import short_batches
 from packetflow.sources.batches import BucketedTable, FoldedTable
 from packetflow.sources.shards import MergedShards, read_shards, shard_change_stream
 from packetflow.sources.topics import file_topic
@@ -479,3 +480,34 @@ def test_parts_of_a_topic_are_shared_by_readers(spark, tmp_path, monkeypatch):
     batches = Counter(os.path.dirname(commit) for commit in commits)
     assert sum(batches.values()) == 26
     assert max(batches.values()) == 3  # parts 0, 16 and those without a number
+
+
+def test_a_bounded_batch_writes_one_file_in_no_folder_of_its_own(spark, tmp_path, monkeypatch):
+    rows = spark.range(1000).selectExpr(
+        "id AS event_id", "timestamp_ntz '2024-01-15 00:00:00' AS ts", "id AS user_id",
+        "'view' AS event_type", "1.0D AS value", "'' AS props",
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries.fx, "PART_MESSAGES", 25)
+    monkeypatch.setattr(queries, "work_dir", lambda spark, name: str(tmp_path / name))
+    found = {tuple(r) for r in queries.QUERIES["stream_bounded"](spark, str(tmp_path)).collect()}
+    assert found == {(part, 25, 1, 25) for part in range(40)}
+    written = glob.glob(f"{tmp_path}/bounded/**/*.parquet", recursive=True)
+    folders = Counter(os.path.dirname(f) for f in written if "/topic/" not in f)
+    assert sum(folders.values()) == 40 and len(folders) == 16
+
+
+def test_streams_of_short_batches_list_folders_with_few_tasks(spark, tmp_path):
+    spark.range(50).selectExpr("id", "id AS part").write.partitionBy("part").parquet(str(tmp_path / "t"))
+    session, sc = short_batches(spark, str(tmp_path)), spark.sparkContext
+    sc.setJobGroup("listing", "folders")
+    try:
+        rows = session.read.schema("id BIGINT, part BIGINT").parquet(str(tmp_path / "t"))
+        jobs = sc.statusTracker().getJobIdsForGroup("listing")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds]
+    assert [sc.statusTracker().getStageInfo(s).numTasks for s in stages] == [sc.defaultParallelism]
+    assert rows.count() == 50
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    assert session.conf.get(name) != spark.conf.get(name, None)  # the caller's session is left alone
