@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -91,6 +92,18 @@ def short_batches(spark: SparkSession, path: str) -> SparkSession:
     return session
 
 
+@contextlib.contextmanager
+def plain_caches(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile, what is persisted is kept as it is: to compress it costs as much as to parse it."""
+    name = "spark.sql.inMemoryColumnarStorage.compressed"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores on a source of fewer splits than cores, such as one small file.
 

@@ -171,8 +171,12 @@ class BucketedTable:
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Write the rows of a batch and, when it is due, the table that ends with it."""
         self.deltas.write(rows, batch_id)
+        self.merge(rows.sparkSession, batch_id)
+
+    def merge(self, spark: SparkSession, batch_id: int) -> None:
+        """Write the table that ends with a batch whose rows are written, when it is due."""
         if batch_id > 0 and batch_id % self.every == 0:
-            self._rebuild(rows.sparkSession, batch_id)
+            self._rebuild(spark, batch_id)
 
     def _rebuild(self, spark: SparkSession, batch_id: int) -> None:
         before = batch_id - self.every

@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from packetflow import schemas
 from packetflow.operators import changes, projection, stats
-from packetflow.session import spread, together
+from packetflow.operators.joins import MAX_BROADCAST_KEYS
+from packetflow.session import plain_caches, spread, together
 from packetflow.sources.batches import (
     BatchTable,
     BucketedTable,
@@ -26,6 +27,20 @@ from packetflow.sources.batches import (
 )
 
 
+def _told(parsed: DataFrame) -> tuple:
+    """What one look at the parsed events of a batch tells.
+
+    How many there are, are skipped and are of the wrong type, how many records have a clock, and the
+    first and the last clock of records.
+    """
+    clock = F.when(F.col("skip_reason").isNull(), F.col("processed_ms"))
+    bad = F.when(F.col("skip_reason") == "bad_type", 1)
+    return parsed.agg(
+        F.count("*"), F.count("skip_reason"), F.count(bad), F.count(clock), F.min(clock),
+        F.max(clock),
+    ).first()
+
+
 @dataclass(frozen=True)
 class ReadModel:
     """Tables below one folder: ledger, client state, statistics, markers, quarantine."""
@@ -92,6 +107,10 @@ class ReadModel:
         ``writer`` names the stream, whose batches are counted by ``stream_batch``; one that is
         finished already changes nothing. Only a count and the clock come back to the driver.
         """
+        with plain_caches(batch.sparkSession):
+            self._project(batch, stream_batch, writer)
+
+    def _project(self, batch: DataFrame, stream_batch: int, writer: str) -> None:
         spark = batch.sparkSession
         state = self.commits.state(spark)
         batch_id = state.next_number(writer, stream_batch)
@@ -99,13 +118,22 @@ class ReadModel:
             return
         if "topic" not in batch.columns:
             batch = batch.withColumn("topic", F.lit(None).cast("string"))
-        events = spread(batch, "arrival_seq", "msg_partition")
-        parsed = changes.parse_changes(events).persist(StorageLevel.MEMORY_AND_DISK)
-        firsts = projection.first_arrivals(changes.records(parsed))
-        firsts = firsts.persist(StorageLevel.MEMORY_AND_DISK)
+        feed = spread(batch, "arrival_seq", "msg_partition")
+        parsed = changes.parse_changes(feed).persist(StorageLevel.MEMORY_AND_DISK)
+        records = changes.records(parsed)
+        firsts = projection.first_arrivals(records)
         fresh = firsts
         try:
-            size, clock = firsts.agg(F.count("*"), F.max("processed_ms")).first()
+            events, skipped, bad, clocked, low, high = _told(parsed)
+            known = events - skipped
+            size = None
+            if known > MAX_BROADCAST_KEYS and clocked == known and low == high:
+                size, clock = records.select("transaction_id").distinct().count(), high
+            if size is None or size <= MAX_BROADCAST_KEYS:
+                firsts = firsts.persist(StorageLevel.MEMORY_AND_DISK)
+                fresh = firsts
+                size, clock = firsts.agg(F.count("*"), F.max("processed_ms")).first()
+            # else they are looked at once only, for what passes the markers, and not kept
             clock = clock or 0
             # counted while they are written, not by another pass
             added, passed = Observation("added"), Observation("passed")
@@ -119,14 +147,11 @@ class ReadModel:
                 for part in self.ledger.parts(spark, batch_id - 1):
                     new = projection.new_ledger_rows(new, part, size)
                 counted = changes.with_payload(new).observe(added, F.count("*").alias("n"))
-                self.ledger.write(counted, batch_id)
+                self.ledger.deltas.write(counted, batch_id)
 
-            (skipped, events), *_ = together(
-                spark,
-                lambda: parsed.agg(F.count("skip_reason"), F.count("*")).first(),
-                lambda: self.quarantine.write(changes.quarantined(parsed), batch_id),
-                store,
-            )
+            # without bad events nothing is looked through for them
+            refused = changes.quarantined(parsed) if bad else parsed.filter(F.lit(False))
+            together(spark, lambda: self.quarantine.write(refused, batch_id), store)
             written = self.ledger.only(spark, batch_id)
             winners = projection.client_winners(fresh)
             marks = fresh.select("transaction_id", F.lit(clock).alias("marked_at_ms"))
@@ -139,6 +164,7 @@ class ReadModel:
                     winners.withColumn("batch_no", F.lit(batch_id)), batch_id
                 ),
                 lambda: self.markers.write(marks, batch_id, keep=alive),
+                lambda: self.ledger.merge(spark, batch_id),
             )
             counts = {
                 projection.SKIPPED: skipped,

@@ -17,6 +17,7 @@ from packetflow.session import short_batches
 from packetflow.sources.batches import BucketedTable, FoldedTable
 from packetflow.sources.shards import MergedShards, read_shards, shard_change_stream
 from packetflow.sources.topics import file_topic
+from packetflow.streaming import read_model
 from packetflow.streaming.read_model import ReadModel
 from packetflow.operators.joins import without_stored
 from packetflow.streaming.relay import StoredOutbox, published_table, read_published, start_relay
@@ -511,3 +512,33 @@ def test_streams_of_short_batches_list_folders_with_few_tasks(spark, tmp_path):
     assert rows.count() == 50
     name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     assert session.conf.get(name) != spark.conf.get(name, None)  # the caller's session is left alone
+
+
+@pytest.mark.parametrize("most", [0, 3, 100_000])
+def test_records_of_a_large_batch_are_kept_once_and_uncompressed(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(read_model, "MAX_BROADCAST_KEYS", most)
+    name = "spark.sql.inMemoryColumnarStorage.compressed"
+    seen, known = [], read_model.projection.fast_path
+
+    def fast_path(firsts, *rest):
+        seen.append((firsts.storageLevel.useMemory, spark.conf.get(name)))
+        return known(firsts, *rest)
+
+    monkeypatch.setattr(read_model.projection, "fast_path", fast_path)
+    model = ReadModel(str(tmp_path / "model"), ledger_every=2, ledger_buckets=2)
+    model.create(spark)
+    bad = event("bad", stored={"a": 1})
+    first = [event("a"), event("b", proto="UDP"), event("a", proto="DNS"), event("c"), bad, "{", event("d")]
+    model.project(feed(spark, 0, *first, clock=7), 0)
+    model.project(feed(spark, 100, event("b"), event("e"), event("e"), event("f"), event("g"), clock=9), 1)
+    model.project(feed(spark, 200, event("b"), event("h"), clock=9), 2)
+    assert ledger(model, spark) == {"b": "UDP"} | dict.fromkeys("acdefgh", "TCP")
+    told = {(r["batch_id"], r["outcome"]): r["events"] for r in model.read_outcomes(spark).collect()}
+    assert told == {
+        (0, "Skipped"): 2, (0, "Projected"): 4, (0, "FastPathSkip"): 1, (1, "Projected"): 3,
+        (1, "FastPathSkip"): 2, (2, "Projected"): 1, (2, "FastPathSkip"): 1,
+    }
+    assert model.quarantine.read(spark).count() == 1
+    assert [r["rows"] for r in model.commits.table.read(spark).orderBy("batch_id").collect()] == [4, 4, 2]
+    assert seen == [(most == 100_000 or (most == 3 and n == 2), "false") for n in range(3)]
+    assert spark.conf.get(name) == "true"
