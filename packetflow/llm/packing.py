@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +34,10 @@ GRAIN = 8
 #: Pieces of one class that are ranked in one group.
 GROUP_PIECES = 100_000
 
-#: How a byte-level tokenizer cuts text before it merges, the mark put before a text,
-#: and a white-space character that stands between words that are encoded together.
-PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
+#: How a byte-level tokenizer cuts text before it merges, where white space is at most
+#: two characters long and before something else; the mark put before a text, and a white-space
+#: character that stands between words that are encoded together.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
 FIRST, BETWEEN = "\0", "\x0c"
 
 #: Different words, of at most so many letters, whose ids a worker keeps from chunk to chunk.
@@ -47,6 +46,23 @@ KNOWN_WORDS, KNOWN_LETTERS = 200_000, 32
 _ENCODERS: dict[str, Encoder] = {}
 
 
+class Found(NamedTuple):
+    """Ids of words: ``flat[begins[i]:begins[i] + sizes[i]]`` are those of word i.
+
+    Where ``whole`` is set, the texts that hold the word have to be encoded as a whole.
+    """
+
+    flat: np.ndarray
+    begins: np.ndarray
+    sizes: np.ndarray
+    whole: np.ndarray
+
+
+def _nothing(count: int = 0) -> Found:
+    zeros = np.zeros(count, np.int64)
+    return Found(np.zeros(0, np.uint32), zeros, zeros.copy(), np.ones(count, bool))
+
+
 class Encoder:
     """Ids of whole texts from a tokenizer file; every different word of a chunk is encoded once.
 
@@ -54,8 +70,9 @@ class Encoder:
 
     A byte-level tokenizer never joins what a single space followed by no white space parts. So a
     text is cut there, and the ids of its parts are put together. Words of Western letters whose
-    merges the file lists in the order of their ids go through a faster merger, all at once; other
-    words, and whole texts with other white space or special tokens, through the tokenizer.
+    merges the file lists in the order of their ids go through a faster merger, all at once and
+    without a Python object for each; other words, and whole texts with other white space or special
+    tokens, through the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -66,7 +83,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content for t in added if t.content]
         self.merger = self._merger(json.loads(Path(path).read_text(encoding="utf-8")))
-        self.known: dict[str, np.ndarray] = {}
+        self.known, self.known_ids = pa.array([], pa.string()), _nothing()
         if self.merger:
             self.between = self.merger.encode_ordinary(BETWEEN)
 
@@ -102,60 +119,88 @@ class Encoder:
         import tiktoken
 
         ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
-        return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        # words hold no special tokens; with none to look for it would stop at every character
+        apart = {t["content"]: t["id"] for t in described.get("added_tokens", []) if t["content"]}
+        return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=apart)
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
-    def _words(self, units: list[str]) -> list[np.ndarray | None]:
-        """Ids of the parts of texts; None where a text has to be encoded as a whole."""
-        result: list[np.ndarray | None] = [None] * len(units)
-        fast, slow = [], []
-        for i, unit in enumerate(units):
-            body = unit[1:] if unit[:1] == FIRST else unit
-            if not body or body[0].isspace() or body[-1].isspace():
-                if unit == FIRST and len(units) == 1:
-                    result[i] = np.zeros(0, np.uint32)
-            elif any(s in unit for s in self.special):
-                continue
-            elif self.merger and BETWEEN not in body and FIRST not in body and _WESTERN(body):
-                fast.append(i)
+    def _merged(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of words and how many each has, by the merger; None if they cannot be told apart."""
+        spelled = pc.if_else(
+            pc.starts_with(units, FIRST),
+            pc.utf8_slice_codeunits(units, 1),
+            pc.binary_join_element_wise(" ", units, ""),
+        )
+        together = pc.binary_join(pa.ListArray.from_arrays([0, len(units)], spelled), BETWEEN)
+        ids = self.merger.encode_to_numpy(together[0].as_py() + BETWEEN, disallowed_special=())
+        parts = ids == self.between[0]
+        ends = np.flatnonzero(parts)
+        if len(self.between) != 1 or len(ends) != len(units):
+            return None
+        return ids[~parts], np.diff(ends, prepend=-1) - 1
+
+    def _words(self, units: pa.Array) -> Found:
+        """Ids of the parts of texts."""
+        result = _nothing(len(units))
+        odd = np.zeros(len(units), bool)
+        for special in self.special:
+            odd |= pc.match_substring(units, special).to_numpy(False)
+        fast = np.zeros(len(units), bool)
+        if self.merger:
+            fast = pc.match_substring_regex(units, _WESTERN).to_numpy(False) & ~odd
+            fast &= ~pc.match_substring_regex(units, _LONG_SPACE).to_numpy(False)
+        flat = []
+        if fast.any():
+            merged = self._merged(units.filter(pa.array(fast)))
+            if merged:
+                ids, sizes = merged
+                flat.append(ids)
+                result.sizes[fast], result.begins[fast] = sizes, np.cumsum(sizes) - sizes
+                result.whole[fast] = False
             else:
+                fast[:] = False
+        rest = np.flatnonzero(~(fast | odd))
+        slow, spelled = [], []
+        for i, unit in zip(rest.tolist(), units.take(pa.array(rest)).to_pylist(), strict=True):
+            body = unit[1:] if unit[:1] == FIRST else unit
+            if unit == FIRST and self.merger:  # of an empty text, or before a space: no ids
+                result.whole[i] = False
+            elif body and not body[0].isspace() and not body[-1].isspace():
                 slow.append(i)
-
-        def spelled(i: int) -> str:
-            return units[i][1:] if units[i][:1] == FIRST else " " + units[i]
-
-        if fast:
-            together = BETWEEN.join(map(spelled, fast)) + BETWEEN
-            ids = self.merger.encode_to_numpy(together, disallowed_special=())
-            ends = np.flatnonzero(ids == self.between[0])
-            if len(self.between) == 1 and len(ends) == len(fast):
-                begin = 0
-                for i, end in zip(fast, ends.tolist(), strict=True):
-                    result[i] = ids[begin:end]
-                    begin = end + 1
-            else:
-                slow += fast
+                spelled.append(body if unit[:1] == FIRST else " " + unit)
+        used = sum(map(len, flat))
         for begin in range(0, len(slow), 20_000):
-            some = slow[begin : begin + 20_000]
-            for i, ids in zip(some, self._plain([spelled(i) for i in some]), strict=True):
-                result[i] = ids
-        return result
-
-    def _found(self, units: list[str]) -> list[np.ndarray | None]:
+            some, found = slow[begin : begin + 20_000], self._plain(spelled[begin : begin + 20_000])
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            result.sizes[some], result.begins[some] = sizes, used + np.cumsum(sizes) - sizes
+            result.whole[some] = False
+            flat += found
+            used += int(sizes.sum())
+        return result._replace(flat=np.concatenate(flat)) if flat else result
+
+    def _found(self, units: pa.Array) -> Found:
         """The same as ``_words``, which is asked only for what is not known."""
-        if len(units) == 1:  # the mark alone stands for empty texts there
-            return self._words(units)
-        result: list[np.ndarray | None] = list(map(self.known.get, units))
-        missing = [i for i, ids in enumerate(result) if ids is None]
-        some = [units[i] for i in missing]
-        again = self._words([*some, ""])  # never a single one
-        for i, unit, ids in zip(missing, some, again, strict=False):
-            result[i] = ids
-            if ids is not None and len(unit) <= KNOWN_LETTERS and len(self.known) < KNOWN_WORDS:
-                self.known[unit] = ids.copy()
+        held, before = self.known, self.known_ids
+        places = pc.fill_null(pc.index_in(units, held), -1).to_numpy(False)
+        old, new = np.flatnonzero(places >= 0), np.flatnonzero(places < 0)
+        words = units.take(pa.array(new))
+        own = self._words(words)
+        result = _nothing(len(units))._replace(flat=np.concatenate([before.flat, own.flat]))
+        result.whole[old], result.whole[new] = False, own.whole
+        result.sizes[old], result.sizes[new] = before.sizes[places[old]], own.sizes
+        result.begins[old], result.begins[new] = before.begins[places[old]], own.begins + len(before.flat)
+        short = pc.utf8_length(words).to_numpy(False) <= KNOWN_LETTERS
+        kept = np.flatnonzero(short & ~own.whole)[: max(0, KNOWN_WORDS - len(held))]
+        if len(kept):
+            ids = before.flat, own.flat[_spans(own.begins[kept], own.sizes[kept])]
+            sizes = np.concatenate([before.sizes, own.sizes[kept]])
+            self.known = pa.concat_arrays([held, words.take(pa.array(kept))])
+            self.known_ids = Found(
+                np.concatenate(ids), np.cumsum(sizes) - sizes, sizes, np.zeros(len(sizes), bool)
+            )
         return result
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -165,19 +210,13 @@ class Encoder:
         encoded = parts.values.dictionary_encode()
         codes = encoded.indices.to_numpy(False).astype(np.int64)
         bounds = parts.offsets.to_numpy().astype(np.int64)
-        found = self._found(encoded.dictionary.to_pylist())
-        whole = np.fromiter((ids is None for ids in found), bool, len(found))
-        sums = np.concatenate([[0], np.cumsum(whole[codes])])
+        found = self._found(encoded.dictionary)
+        sums = np.concatenate([[0], np.cumsum(found.whole[codes])])
         marked = pc.match_substring(text, FIRST).to_numpy(False)  # the mark can not be told apart
         odd = np.flatnonzero((np.diff(sums[bounds]) > 0) | marked)
-        sizes = np.fromiter((0 if ids is None else len(ids) for ids in found), np.int64, len(found))
-        some = [ids for ids in found if ids is not None]
-        flat = np.concatenate(some) if some else np.zeros(0, np.uint32)
-        begins = (np.cumsum(sizes) - sizes)[codes]
-        sizes = sizes[codes]
-        ends = np.cumsum(sizes)
-        at = np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        ids, offsets = flat[at], np.concatenate([[0], ends])[bounds]
+        sizes = found.sizes[codes]
+        ids = found.flat[_spans(found.begins[codes], sizes)]
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[bounds]
         if len(odd):
             pieces = [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             again = self._plain([text[int(i)].as_py() for i in odd])
@@ -188,11 +227,22 @@ class Encoder:
         return ids, offsets
 
 
+def _spans(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all spans, one span after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 #: What would change how a tokenizer merges.
 _OPTIONS = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
 
-#: Letters on whose kind all Unicode tables agree; words of other ones go to the tokenizer itself.
-_WESTERN = re.compile(r"[\x01-\u024f]*\Z").match
+#: Letters on whose kind all Unicode tables agree, neither mark, separator nor white space at the
+#: ends of a word; words of other ones, or with longer white space inside, go to the tokenizer itself.
+_WESTERN = (
+    r"\A\x00?[\x01-\x08\x0e-\x1b\x21-\x{84}\x{86}-\x{9f}\x{a1}-\x{24f}]"
+    r"(?:[\x01-\x0b\x0d-\x{24f}]*[\x01-\x08\x0e-\x1b\x21-\x{84}\x{86}-\x{9f}\x{a1}-\x{24f}])?\z"
+)
+_LONG_SPACE = r"[\t\n\x0b\r\x{85}\x{a0}]{3}"
 
 
 def _pieces(path: str, size: int, end: int, text: str, names: list[str], with_ids: bool):

@@ -1,4 +1,5 @@
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -42,6 +43,26 @@ def test_ids_of_the_table(spark, sf_dir):
     assert ids_of(texts) == [plain_ids(t) for t in texts]
 
 
+def test_white_space_inside_words():
+    spaces = ["\n", "\n\n", "\n\n\n", "\t\n\t\n", "\x85\xa0", "\r\n\r", "\x0b\x0b", "\x1c\n\x1d", " \n"]
+    texts = [f"{a}the{s}cat's{s}9{b}" for s in spaces for a in ("", " ", "x ") for b in ("", s, " on")]
+    assert ids_of(texts) == [plain_ids(t) for t in texts]
+    assert ids_of([" a", "", " a b", "  a", " "]) == [plain_ids(t) for t in [" a", "", " a b", "  a", " "]]
+
+
+def test_words_are_looked_up_and_merged_without_python_calls_for_each():
+    encoder = packing.Encoder(PATH)
+    texts = [" ".join(f"w{i * 7919 + j}a'n{j}." for j in range(500)) for i in range(40)]
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        ids, offsets = encoder.encode(pa.array(texts))
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 2_000  # for 20,000 different words
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [plain_ids(t) for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 16), st.integers(0, 40), max_size=16))
 def test_patterns_cover_the_histogram_exactly(histogram):
