@@ -35,7 +35,7 @@ from packetflow.operators import (
     stats,
 )
 from packetflow.plans import fixtures as fx
-from packetflow.session import prepare, short_batches, work_dir
+from packetflow.session import bare_settings, plain_files, prepare, short_batches, work_dir
 from packetflow.sources.batches import BatchTable
 from packetflow.sources.shards import (
     MergedShards,
@@ -66,8 +66,10 @@ WINDOW_MS = 21_600_000
 LOOKUP_TX = "tx-1"
 LOOKUP_CLIENT = "c1"
 
-#: Streams that share the parts of a topic which is read in bounded batches.
+#: Streams that share the parts of a topic which is read in bounded batches, and messages that a
+#: task deals out to them.
 BOUNDED_READERS = 16
+DEALT_MESSAGES = 100_000
 
 RECORD = [
     "arrival_seq", "transaction_id", "client_id", "version", "proto", "source_ip", "dest_ip",
@@ -720,8 +722,10 @@ def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.floor(F.col("msg_offset") / fx.PART_MESSAGES).alias("part")
     reader = F.coalesce(F.pmod("part", F.lit(BOUNDED_READERS)), F.lit(0)).alias("reader")
     messages = topic_rows(spark, sf_dir).select("msg_offset", "value", part)
-    dealt = messages.select("*", reader).repartition("part")
-    dealt.write.partitionBy("reader", "part").parquet(f"{root}/topic")
+    tasks = messages.count() // DEALT_MESSAGES + spark.sparkContext.defaultParallelism
+    dealt = messages.select("*", reader).repartition(tasks, "part")
+    writer = dealt.write.options(**plain_files(spark, root)).partitionBy("reader", "part")
+    writer.parquet(f"{root}/topic")
     arrived = BatchTable(f"{root}/arrived", "part BIGINT, clock BIGINT")
     sinks = [replace(arrived, path=f"{arrived.path}/{n}") for n in range(BOUNDED_READERS)]
     session = short_batches(spark, root)
@@ -732,7 +736,8 @@ def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
             table.create(spark)
         stream = session.readStream.schema(f"{topic.schema}, part BIGINT")
         rows = stream.option("maxFilesPerTrigger", 1).parquet(topic.path)
-        clock = F.unix_millis(F.current_timestamp()).alias("clock")
+        # in a lambda the clock stays out of the generated code, else compiled for each batch
+        clock = F.transform(F.array(F.current_timestamp()), F.unix_millis)[0].alias("clock")
         return (
             rows.select("part", clock).writeStream.format("parquet")
             .option("path", sinks[number].path)
@@ -741,14 +746,15 @@ def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     streams = []
-    try:
-        for number in range(BOUNDED_READERS):
-            streams.append(started(number))
-        for stream in streams:
-            stream.awaitTermination()
-    finally:  # an error of one ends the others
-        for stream in streams:
-            stream.stop()
+    with bare_settings(spark):
+        try:
+            for number in range(BOUNDED_READERS):
+                streams.append(started(number))
+            for stream in streams:
+                stream.awaitTermination()
+        finally:  # an error of one ends the others
+            for stream in streams:
+                stream.stop()
     stored = [
         spark.read.schema(sink.schema).parquet(sink.path).withColumn("reader", F.lit(number))
         for number, sink in enumerate(sinks)

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,24 +75,72 @@ PLAIN_CHECKPOINTS = (
     "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
 )
 
+#: Files of this machine without a checksum file beside each: the usual ones start several processes
+#: for every file they write, to set the permissions of it and of its checksums; these start one.
+PLAIN_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+
+#: Micro-batches between two lists of all files read so far, each of which is written as a whole.
+#: The list of a sink is left as it is: whoever reads the sink has to know this number.
+BATCHES_PER_LOG = 100
+
+
+def plain_files(spark: SparkSession, path: str) -> dict[str, str]:
+    """Options for many small files below ``path``; none if it is no folder of this machine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return PLAIN_FILES if store.getUri().getScheme() == "file" else {}
+
 
 def short_batches(spark: SparkSession, path: str) -> SparkSession:
     """A session for streams below ``path`` that run thousands of short micro-batches.
 
     Folders are listed by as many tasks as there are cores instead of a task each. Where ``path`` is
-    a folder of this machine, logs of a checkpoint are put in place by plain renames: the usual ones
-    start a dozen processes for each log there, which cost more than the micro-batch itself.
+    a folder of this machine, logs of a checkpoint are plain files put in place by plain renames:
+    the usual ones start a dozen processes for each log there, which cost more than the micro-batch
+    itself. Plans, which are told to listeners batch by batch, are told in short.
     """
     session = prepare(spark.newSession())
     cores = spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(cores))
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if store.getUri().getScheme() == "file":
-        session.conf.set("spark.sql.streaming.checkpointFileManagerClass", PLAIN_CHECKPOINTS)
+    session.conf.set("spark.sql.streaming.fileSource.log.compactInterval", str(BATCHES_PER_LOG))
+    session.conf.set("spark.sql.ui.explainMode", "simple")
+    plain = plain_files(spark, path)
+    if plain:
+        plain = plain | {"spark.sql.streaming.checkpointFileManagerClass": PLAIN_CHECKPOINTS}
+    for key, value in plain.items():
+        session.conf.set(key, value)
     return session
 
 
+@contextlib.contextmanager
+def bare_settings(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile, Hadoop's settings go to tasks without the names of the files they come from.
+
+    Every scan and every write sends all settings, a thousand, and packs the names beside each by
+    themselves, at ten times the cost of the settings: much to a short micro-batch, and stages are
+    packed one after the other. Only a listing of settings reads the names, which come back in the
+    end. Where they can not be left out, they are sent.
+    """
+    settings, names, held = spark._jsc.hadoopConfiguration(), None, None
+    with contextlib.suppress(Py4JJavaError):
+        settings.size()  # else they may not be loaded yet
+        kind = spark._jvm.org.apache.hadoop.conf.Configuration(False).getClass()
+        field = kind.getDeclaredField("updatingResource")
+        field.setAccessible(True)
+        names = field.get(settings)
+    if names is not None:
+        held = spark._jvm.java.util.HashMap(names)
+        names.clear()
+    try:
+        yield
+    finally:
+        if names is not None:
+            names.putAll(held)
+
+
 @contextlib.contextmanager
 def plain_caches(spark: SparkSession) -> Iterator[None]:
     """Meanwhile, what is persisted is kept as it is: to compress it costs as much as to parse it."""

@@ -13,7 +13,7 @@ from pyspark.sql.utils import StreamingQueryException
 from packetflow import schemas
 from packetflow.operators import outbox
 from packetflow.plans import queries
-from packetflow.session import short_batches
+from packetflow.session import bare_settings, short_batches
 from packetflow.sources.batches import BucketedTable, FoldedTable
 from packetflow.sources.shards import MergedShards, read_shards, shard_change_stream
 from packetflow.sources.topics import file_topic
@@ -542,3 +542,40 @@ def test_records_of_a_large_batch_are_kept_once_and_uncompressed(spark, tmp_path
     assert [r["rows"] for r in model.commits.table.read(spark).orderBy("batch_id").collect()] == [4, 4, 2]
     assert seen == [(most == 100_000 or (most == 3 and n == 2), "false") for n in range(3)]
     assert spark.conf.get(name) == "true"
+
+
+def test_bounded_batches_share_compiled_code_and_write_plain_files(spark, tmp_path, monkeypatch):
+    rows = spark.range(1000).selectExpr(
+        "id AS event_id", "timestamp_ntz '2024-01-15 00:00:00' AS ts", "id AS user_id",
+        "'view' AS event_type", "1.0D AS value", "'' AS props",
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries.fx, "PART_MESSAGES", 25)
+    monkeypatch.setattr(queries, "DEALT_MESSAGES", 50, raising=False)
+    monkeypatch.setattr(queries, "work_dir", lambda spark, name: str(tmp_path / name))
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME()
+    before = compiled.getCount()
+    result = queries.QUERIES["stream_bounded"](spark, str(tmp_path))
+    assert compiled.getCount() - before < 40  # micro-batches
+    assert {tuple(r) for r in result.collect()} == {(part, 25, 1, 25) for part in range(40)}
+    written = [p.name for p in (tmp_path / "bounded").rglob("*") if p.is_file()]
+    assert not [name for name in written if name.endswith(".crc")]
+    topic = (tmp_path / "bounded" / "topic").rglob("*.parquet")
+    assert len({p.name.split("-")[1] for p in topic}) > 4  # tasks that dealt the messages out
+
+
+def test_settings_are_sent_without_their_sources_and_keep_them(spark):
+    settings, java = spark._jsc.hadoopConfiguration(), spark._jvm.java.io
+
+    def sent() -> int:
+        copy = spark._jsparkSession.sessionState().newHadoopConf()
+        out = java.ByteArrayOutputStream()
+        copy.write(java.DataOutputStream(out))
+        return out.size()
+
+    usual, sources = sent(), list(settings.getPropertySources("io.file.buffer.size"))
+    with pytest.raises(ConnectionError), bare_settings(spark):
+        assert settings.get("io.file.buffer.size") and sent() < usual * 0.8
+        raise ConnectionError
+    assert sent() == usual
+    assert list(settings.getPropertySources("io.file.buffer.size")) == sources
