@@ -82,9 +82,13 @@ PLAIN_FILES = {
     "fs.file.impl.disable.cache": "true",
 }
 
-#: Micro-batches between two lists of all files read so far, each of which is written as a whole.
-#: The list of a sink is left as it is: whoever reads the sink has to know this number.
-BATCHES_PER_LOG = 100
+#: Logs of a stream keep the last few micro-batches: folders of logs are listed in every one, so if
+#: none were deleted, each would cost more than the one before it. A restart needs the last two.
+FEW_LOGS = {
+    "spark.sql.streaming.minBatchesToRetain": "10",
+    "spark.sql.streaming.fileSource.log.cleanupDelay": "1s",
+    "spark.sql.streaming.fileSink.log.cleanupDelay": "1s",
+}
 
 
 def plain_files(spark: SparkSession, path: str) -> dict[str, str]:
@@ -100,17 +104,17 @@ def short_batches(spark: SparkSession, path: str) -> SparkSession:
     Folders are listed by as many tasks as there are cores instead of a task each. Where ``path`` is
     a folder of this machine, logs of a checkpoint are plain files put in place by plain renames:
     the usual ones start a dozen processes for each log there, which cost more than the micro-batch
-    itself. Plans, which are told to listeners batch by batch, are told in short.
+    itself. Logs that are merged go at once, so a sink must not be read while it is written. Plans,
+    which are told to listeners batch by batch, are told in short.
     """
     session = prepare(spark.newSession())
     cores = spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(cores))
-    session.conf.set("spark.sql.streaming.fileSource.log.compactInterval", str(BATCHES_PER_LOG))
     session.conf.set("spark.sql.ui.explainMode", "simple")
     plain = plain_files(spark, path)
     if plain:
         plain = plain | {"spark.sql.streaming.checkpointFileManagerClass": PLAIN_CHECKPOINTS}
-    for key, value in plain.items():
+    for key, value in (FEW_LOGS | plain).items():
         session.conf.set(key, value)
     return session
 

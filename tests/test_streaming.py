@@ -579,3 +579,17 @@ def test_settings_are_sent_without_their_sources_and_keep_them(spark):
         raise ConnectionError
     assert sent() == usual
     assert list(settings.getPropertySources("io.file.buffer.size")) == sources
+
+
+def test_logs_of_short_batches_do_not_grow_with_their_number(spark, tmp_path):
+    rows = spark.range(80).selectExpr("id", "id AS part").repartition(4, "part")
+    rows.write.partitionBy("part").parquet(str(tmp_path / "t"))
+    session = short_batches(spark, str(tmp_path))
+    topic = session.readStream.schema("id BIGINT, part BIGINT").option("maxFilesPerTrigger", 1)
+    sink = topic.parquet(str(tmp_path / "t")).writeStream.format("parquet")
+    sink = sink.option("path", str(tmp_path / "rows")).trigger(availableNow=True)
+    sink.option("checkpointLocation", str(tmp_path / "cp")).start().awaitTermination()
+    stored = spark.read.schema("id BIGINT").parquet(str(tmp_path / "rows"))
+    assert stored.distinct().count() == stored.count() == 80
+    for logs in ("cp/sources/0", "cp/offsets", "cp/commits", "rows/_spark_metadata"):
+        assert 2 <= len(list((tmp_path / logs).iterdir())) < 60, logs
